@@ -7,13 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, mixing, ngram_join, packing, quality_classifier, quality_rules, warc
+from . import embedding_dedup, mixing, ngram_join, packing, quality_classifier, quality_rules, secret_scan, sharding, token_counts, warc
+from .common import fresh_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Arrivals that op1 makes of a table's files.
+ARRIVALS = 8
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = sorted(docs.inputFiles())
+    step = max(1, -(-len(files) // ARRIVALS))
+    arrivals = [spark.read.schema(docs.schema).parquet(*files[i : i + step]) for i in range(0, len(files), step)] or [docs]
+    store = sharding.ingest(arrivals, fresh_path(spark, "shards"))
+    return store.read().select("doc_id", "lang", "source", "n_chars", F.octet_length("text").cast("long").alias("text_bytes"), F.md5(F.encode("text", "UTF-8")).alias("text_md5"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
@@ -29,6 +43,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.train(spark))
+    return found.select("doc_id", "start", "length", "kind", "score", F.md5(F.encode("secret", "UTF-8")).alias("secret_md5"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
@@ -37,6 +56,12 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -56,4 +81,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB twins, where SQL expresses the operator; tests hold the others against brute force."""
+    return {"op1_sharding": "SELECT doc_id, lang, source, n_chars, strlen(text) AS text_bytes, md5(text) AS text_md5 FROM documents"}
