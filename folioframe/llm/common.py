@@ -2,34 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workspace import fresh_path
+
 #: A word is a run of anything but ASCII white space.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 SPACE_RE = r"[\x20\x09-\x0D]+"
 
-_OWN: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset (tests, one machine) an own one."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="folioframe-")
-    return _OWN[app]
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage is cut and lost executors cost nothing."""
     spark = df.sparkSession

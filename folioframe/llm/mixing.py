@@ -20,7 +20,7 @@ from .common import n_words, stored
 #: Tokens of a block; no source is off its target by more than about half of it, plus what rounding of whole shards leaves.
 BLOCK = 16
 #: Documents of a shard, about.
-SHARD_DOCS = 20_000
+SHARD_DOCS = 4_000
 SEED = 17
 WEIGHTS = (3, 1, 2)
 
