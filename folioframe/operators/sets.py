@@ -21,15 +21,9 @@ def union_runs(runs: dict[str, DataFrame], name: str = "run") -> DataFrame:
 
 
 def without_subgrams(grams: DataFrame, gram: str = "phrase", count: str = "count", least: int = 2, most: int = 6) -> DataFrame:
-    """Drop an (n-1)-gram that begins or ends a surviving n-gram of equal count, n from ``most`` down.
-
-    Drops of a level are decided before any of them; the levels are few and fixed.
-    """
-    size = F.size(F.split(F.col(gram), " "))
-    left = grams.withColumn("_n", size)
-    for n in range(most, least, -1):
-        words = F.split(F.col(gram), " ")
-        part = lambda start: F.array_join(F.slice(words, F.lit(start), F.lit(n - 1)), " ")  # noqa: B023, E731
-        covered = left.where(F.col("_n") == n).select(F.explode(F.array(part(1), part(2))).alias(gram), F.col(count)).distinct()
-        left = left.join(covered, [gram, count], "left_anti")
-    return left.drop("_n")
+    """Drop an (n-1)-gram that begins or ends an n-gram of equal count, n up to ``most``; all drops are decided on the given table."""
+    words = F.split(F.col(gram), " ")
+    n = F.size(words)
+    ends = F.array(F.array_join(F.slice(words, F.lit(1), n - 1), " "), F.array_join(F.slice(words, F.lit(2), n - 1), " "))
+    covered = grams.where((n > least) & (n <= most)).select(F.explode(ends).alias(gram), F.col(count)).distinct()
+    return grams.join(covered, [gram, count], "left_anti")
