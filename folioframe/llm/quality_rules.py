@@ -87,14 +87,13 @@ def default_rules() -> dict[str, Column]:
     }
 
 
-def fit_votes(counts: dict[tuple[int, ...], int], rounds: int = 100, prior_good: float = 0.8, strength: float = 20.0) -> tuple[float, list[list[tuple[float, float]]]]:
+def fit_votes(counts: dict[tuple[int, ...], int], rules: int, rounds: int = 100, prior_good: float = 0.8, strength: float = 20.0) -> tuple[float, list[list[tuple[float, float]]]]:
     """Expectation-maximisation over pattern counts -> log prior odds and (P(vote | good), P(vote | bad)) per rule and vote.
 
     Starts from "bad if any rule votes against", which ties the classes to their names. Pseudo-counts of ``strength``
     keep rules that rarely vote, and tables with one kind of document only, in place; rules are taken to be better
     than chance (a vote never counts for the other side) and abstaining says nothing.
     """
-    rules = len(next(iter(counts), ()))
     total = sum(counts.values())
     given = {ABSTAIN: (0.7, 0.7), FOR: (0.29, 0.15), AGAINST: (0.01, 0.15)}
     post = {v: 0.1 if AGAINST in v else 0.9 for v in counts}
@@ -125,7 +124,7 @@ def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None
     way to it. A null, empty or blank text has no words: base_failed is true, so it isn't kept. Equal texts get equal
     verdicts; an empty table gives no rows.
     """
-    made = {*FEATURES, "_words", "base_failed", "p_good", "kept", *(f"vote_{k}" for k in rules())}
+    made = {*FEATURES, "_text", "_words", "base_failed", "p_good", "kept", *(f"vote_{k}" for k in rules())}
     carried = [c for c in (docs.columns if keep is None else keep) if c not in made]
     text = docs[text_col].cast("string")
     base = docs.select(*[docs[c] for c in carried], text.alias("_text"), words(text).alias("_words"))
@@ -134,7 +133,7 @@ def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None
     feats = stored(feats.select("*", failed.alias("base_failed"), *[v.alias(f"vote_{k}") for k, v in rules().items()]), "quality-features")
     names = [f"vote_{k}" for k in rules()]
     counts = {tuple(r[:-1]): r[-1] for r in feats.groupBy(*names).count().collect()}
-    odds, table = fit_votes(counts)
+    odds, table = fit_votes(counts, len(names))
     z = F.lit(odds)
     for name, votes in zip(names, table, strict=True):
         part = F.lit(0.0)
