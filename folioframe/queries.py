@@ -919,3 +919,287 @@ def trailing_cluster_detector(spark, d):
 def placement_validator(spark, d):
     x = table(spark, d, "documents").where(F.length("text") <= 300)
     return x.select("doc_id", C.placed(F.col("text"), F.concat(F.left("text", F.lit(5)), F.lit(" ^z "), F.substring("text", 6, 1000)), F.lit("^z")).alias("placed"))
+
+
+# --- More scans, filters, joins and page operators -----------------------------------------------------------------
+
+
+@query("SELECT n_nationkey, n_name FROM nation ORDER BY n_nationkey")
+def json_array_scan(spark, d):
+    path = fresh_path(spark, "array")
+    x = table(spark, d, "nation").select("n_nationkey", "n_name")
+    x.agg(F.to_json(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("value")).write.text(path)
+    return readers.json_array(spark, path, x.schema, "n_nationkey")
+
+
+@query("SELECT r_regionkey AS page_num, r_name FROM region WHERE r_regionkey BETWEEN 1 AND 3")
+def dir_scan_page_range(spark, d):
+    path = fresh_path(spark, "pages")
+    x = table(spark, d, "region").select("r_regionkey", "r_name")
+    x.write.partitionBy("r_regionkey").json(path)
+    schema = StructType([StructField("r_name", StringType())])
+    rows = spark.read.schema(schema).json(path).withColumn("page_num", F.regexp_extract("_metadata.file_path", r"r_regionkey=([0-9]+)/", 1).try_cast("int"))
+    return rows.where(R.in_range(F.col("page_num"), 1, 3)).select("page_num", "r_name")
+
+
+@query("SELECT n_nationkey, coalesce(CASE WHEN n_nationkey % 2 = 0 THEN 100 - n_nationkey END, n_nationkey) AS place FROM nation ORDER BY place, n_nationkey")
+def dir_scan_reading_order(spark, d):
+    x = table(spark, d, "nation").withColumn("reading_order_index", F.when(F.col("n_nationkey") % 2 == 0, 100 - F.col("n_nationkey"))).withColumn("page_num", F.col("n_nationkey"))
+    return readers.reading_order(x).select("n_nationkey", F.coalesce("reading_order_index", "page_num").alias("place"))
+
+
+@query("SELECT r_name AS text FROM region WHERE r_regionkey <> 2")
+def text_file_scan(spark, d):
+    path = fresh_path(spark, "texts")
+    x = table(spark, d, "region").select("r_regionkey", "r_name")
+    writers.text_per_group(x, path, "r_regionkey", "r_name")
+    rows = spark.read.text(path, wholetext=True).where("r_regionkey <> 2")
+    return rows.select(F.trim(F.regexp_replace("value", "\n", "")).alias("text"))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
+def alignment_load(spark, d):
+    units = table(spark, d, "labels").groupBy("quality").agg(F.collect_set("doc_id").alias("ids"))
+    return readers.needed_lines(units, table(spark, d, "documents").select("doc_id"), "ids", "doc_id")
+
+
+@query("SELECT conv_id, turn FROM conversations")
+def stale_file_guarded_read(spark, d):
+    rows = spark.read.schema("key string, conv_id long, turn long, text string").json(_jsonl(spark, d))
+    return readers.fresh_files(rows, F.current_timestamp() - F.expr("interval 1 hour")).select("conv_id", "turn")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' OR o_custkey % 5 = 0")
+def page_or_line_locked_filter(spark, d):
+    from .plans import pages as PP
+
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("page_id"), F.when(F.col("o_orderstatus") == "F", "locked").alias("review_status"))
+    p = table(spark, d, "customer").select(F.col("c_custkey").alias("page_id"), F.when(F.col("c_custkey") % 5 == 0, "locked").alias("page_status"))
+    return PP.locked(o, p).select("o_orderkey")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def locked_gate_filter(spark, d):
+    from .plans import pages as PP
+
+    o = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "locked").alias("review_status"))
+    return table(spark, d, "lineitem").join(PP.locked(o), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT conv_id, turn FROM conversations WHERE role = 'user'")
+def region_filter(spark, d):
+    return table(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn")
+
+
+@query("SELECT doc_id, coalesce(max(quality) <= 0, false) OR coalesce(max(CASE WHEN toxic = 1 THEN NULL ELSE 3 END) <= 0, false) AS low FROM labels GROUP BY doc_id")
+def rubric_threshold_any(spark, d):
+    x = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").cast("string").alias("q"), F.max(F.when(F.col("toxic") == 1, None).otherwise("3")).alias("t"))
+    m = F.create_map(F.lit("cf"), F.col("q"), F.lit("rf"), F.coalesce("t", F.lit("na")))
+    return x.select("doc_id", R.any_rubric_at_most(m, 0).alias("low"))
+
+
+@query("SELECT doc_id, coalesce(lang, source) AS unit FROM documents WHERE trim(text) <> '' AND doc_id IS NOT NULL")
+def empty_row_filter(spark, d):
+    x = table(spark, d, "documents").where(~R.blank(F.col("text")) & F.col("doc_id").isNotNull())
+    return x.select("doc_id", F.coalesce("lang", "source").alias("unit"))
+
+
+@query("SELECT item_id AS unit_id, text FROM benchmark UNION ALL SELECT doc_id, text FROM documents")
+def column_rename_normalize(spark, d):
+    both = table(spark, d, "benchmark").select(F.col("item_id").alias("chunk_id"), "text").unionByName(table(spark, d, "documents").select(F.col("doc_id").alias("unit_id"), "text"), allowMissingColumns=True)
+    return both.select(F.coalesce("unit_id", "chunk_id").alias("unit_id"), "text")
+
+
+@query("SELECT page_id, TRY_CAST(nullif(regexp_extract(url, 'p([0-9]+)', 1), '') AS INTEGER) AS page FROM pages")
+def page_of_unit(spark, d):
+    return table(spark, d, "pages").select("page_id", R.page_of_unit(F.col("url")).alias("page"))
+
+
+@query("SELECT o_orderkey, coalesce(c_name, '') AS name FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 2 = 0")
+def left_lookup(spark, d):
+    c = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return table(spark, d, "orders").join(c, "o_custkey", "left").select("o_orderkey", F.coalesce("c_name", F.lit("")).alias("name"))
+
+
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as OCR records: user turns as body, the others as footnotes anchored to the turn before."""
+    line = F.struct(
+        F.col("turn").cast("int").alias("line_index"), F.when(F.col("role") == "user", "body").when(F.col("role") == "assistant", "footnote").otherwise("odd").alias("region"),
+        F.concat(F.left("text", F.lit(40)), F.lit("^0"), F.substring("text", 41, 40)).alias("text_raw_ocr"),
+        F.lit("0").alias("marker_id"), (F.col("turn") - 1).cast("int").alias("marginalia_anchor_index"),
+    )
+    x = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    return x.select(R.page_id(F.col("conv_id")).alias("page_id"), F.col("conv_id").cast("int").alias("page_num"), "lines")
+
+
+_LINES = """(SELECT printf('p%04d', conv_id) AS page_id, conv_id, turn, CASE role WHEN 'user' THEN 'body' WHEN 'assistant' THEN 'marginalia' ELSE 'body' END AS region, text, row_number() OVER (PARTITION BY conv_id, CASE role WHEN 'assistant' THEN 1 ELSE 0 END ORDER BY turn)::INTEGER AS seq FROM conversations)"""
+
+
+@query(f"SELECT page_id, printf('%s_%s_l%04d', page_id, region, seq) AS line_id, left(text, 40) || substr(text, 41, 40) AS text, 1 AS n_markers, length(left(text, 40))::INTEGER AS at FROM {_LINES}")
+def scan_to_annotation(spark, d):
+    from .plans import pages as PP
+
+    x = PP.scan_lines(_records(spark, d))
+    return x.select("page_id", "line_id", "text", F.size("markers").alias("n_markers"), F.col("markers")[0]["offset"].alias("at"))
+
+
+@query(f"""WITH l AS {_LINES}, b AS (SELECT conv_id, turn, printf('%s_body_l%04d', page_id, seq) AS body_line_id, seq AS bs FROM l WHERE region = 'body'), m AS (SELECT l.*, b.body_line_id, b.bs FROM l LEFT JOIN b ON b.conv_id = l.conv_id AND b.turn = l.turn - 1 WHERE region = 'marginalia')
+SELECT printf('%s_fn%04d', page_id, seq) AS footnote_id, body_line_id, row_number() OVER (PARTITION BY page_id ORDER BY bs NULLS LAST, seq)::INTEGER AS marker_number FROM m""")
+def anchor_lookup_join(spark, d):
+    from .plans import pages as PP
+
+    return PP.anchored_notes(PP.scan_lines(_records(spark, d))).select("footnote_id", "body_line_id", "marker_number")
+
+
+@query(f"""WITH l AS {_LINES}, n AS (SELECT page_id, count(*) AS notes FROM l WHERE region = 'marginalia' GROUP BY page_id) SELECT page_id, count(*) * any_value(notes) AS pairs FROM l JOIN n USING (page_id) GROUP BY page_id""")
+def marker_lookup_join(spark, d):
+    from .plans import pages as PP
+
+    lines = PP.scan_lines(_records(spark, d))
+    return PP.marker_symbols(lines, PP.anchored_notes(lines)).groupBy("page_id").agg(F.count("*").alias("pairs"))
+
+
+@query("SELECT conv_id, printf('## p%04d', conv_id) || chr(10) || chr(10) || string_agg(text || chr(10) || chr(10) || role, chr(10) || chr(10) ORDER BY turn) AS markdown FROM conversations GROUP BY conv_id")
+def page_bundle_renderer(spark, d):
+    from .plans import pages as PP
+
+    s = table(spark, d, "conversations").select(R.page_id(F.col("conv_id")).alias("page_id"), F.format_string("p%04d_l%04d", "conv_id", "turn").alias("segment_id"), F.col("turn").cast("int").alias("seq"), F.col("text").alias("latin"), F.col("role").alias("english"))
+    return PP.bundles(s).select(F.regexp_extract("page_id", "([0-9]+)", 1).cast("long").alias("conv_id"), "markdown")
+
+
+@query("SELECT doc_id, max(quality) AS score, CASE WHEN max(quality) = 0 THEN 2 ELSE 1 END AS versions FROM labels GROUP BY doc_id")
+def fix_application(spark, d):
+    from .plans import pages as PP
+
+    s = table(spark, d, "labels").groupBy(F.col("doc_id").alias("segment_id")).agg(F.max("quality").alias("score"))
+    h = F.array(F.struct(F.lit(1).alias("version"), F.lit("draft").alias("stage"), F.lit("x").alias("english")))
+    fixes = s.select("segment_id", F.lit("y").alias("proposed"), F.lit(False).alias("no_change"), F.lit(None).cast("string").alias("error"), "score")
+    out = PP.apply_fixes(s.withColumn("history", h), fixes, 0)
+    return out.select(F.col("segment_id").alias("doc_id"), "score", F.size("history").alias("versions"))
+
+
+@query("SELECT q AS score, count(*) AS units, count(*) FILTER (f) AS flagged FROM (SELECT doc_id, max(quality) AS q FROM labels GROUP BY doc_id) LEFT JOIN (SELECT DISTINCT doc_id, true AS f FROM documents WHERE regexp_matches(text, '[0-9]{16}')) USING (doc_id) GROUP BY q")
+def validator_coverage_join(spark, d):
+    from .plans import pages as PP
+
+    s = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("score"))
+    return PP.coverage(s, table(spark, d, "documents").where(F.col("text").rlike("[0-9]{16}")), "doc_id")
+
+
+@query("SELECT doc_id, max(quality) AS score FROM labels WHERE doc_id IN (SELECT doc_id FROM documents) GROUP BY doc_id HAVING max(quality) <= 0 ORDER BY score, doc_id")
+def repair_queue(spark, d):
+    from .plans import pages as PP
+
+    s = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("score")).withColumn("error", F.lit(None).cast("string"))
+    return PP.repair_queue(s, table(spark, d, "documents").select("doc_id"), "doc_id", 0).select("doc_id", "score")
+
+
+@query("SELECT conv_id, (length(max(text) FILTER (turn = 0)) / 100.0)::DOUBLE AS score, CASE WHEN max(text) FILTER (turn = 1) IS NULL THEN 'missing_translation' END AS error FROM conversations GROUP BY conv_id HAVING max(text) FILTER (turn = 1) IS NOT NULL")
+def external_scorer(spark, d):
+    from .plans import pages as PP
+
+    t = lambda n: F.max(F.when(F.col("turn") == n, F.col("text")))
+    x = table(spark, d, "conversations").groupBy("conv_id").agg(t(0).alias("src"), t(1).alias("mt")).where("mt is not null").withColumn("ref", F.col("mt"))
+    return PP.external_scores(x, lambda src, mt, ref: [len(s) / 100 for s in src], "conv_id", "src", "mt", "ref")
+
+
+@query("SELECT conv_id, turn, '[source]' || chr(10) || text || chr(10) || chr(10) || '[role]' || chr(10) || role AS prompt FROM conversations WHERE trim(text) <> ''")
+def prompt_builders(spark, d):
+    from .plans import pages as PP
+
+    x = table(spark, d, "conversations").where(~R.blank(F.col("text")))
+    return x.select("conv_id", "turn", PP.prompt({"source": F.col("text"), "none": F.lit(" "), "role": F.col("role")}).alias("prompt"))
+
+
+@query("SELECT page_id, max(seq) + 1 AS next_ordinal FROM " + _LINES + " WHERE region = 'body' GROUP BY page_id")
+def client_next_ordinal(spark, d):
+    from .plans import pages as PP
+
+    return PP.next_ordinal(PP.scan_lines(_records(spark, d)), "body")
+
+
+@query("SELECT item_id, count(*) AS n FROM (SELECT item_id, unnest(regexp_extract_all(trim(text), '[^.!?]+[.!?]+')) AS s FROM benchmark WHERE regexp_matches(text, '^[A-Za-z, .\\n]*\\.$') AND NOT regexp_matches(lower(text), '(^|[^a-z.])(st|mr|dr|no|rev|hist|vol|ch|cap|cf|vid|lib|viz)\\.')) GROUP BY item_id")
+def split_sentences_abbrev(spark, d):
+    from .functions import pages as FP
+
+    x = table(spark, d, "benchmark").where(F.col("text").rlike(r"^[A-Za-z, .\n]*\.$") & ~F.lower("text").rlike(r"(^|[^a-z.])(st|mr|dr|no|rev|hist|vol|ch|cap|cf|vid|lib|viz)\."))
+    return x.select("item_id", F.size(FP.split_sentences(F.col("text"))).cast("long").alias("n"))
+
+
+@query("SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+'), ' ') AS tokens FROM documents WHERE regexp_matches(text, '^[\\x00-\\x25\\x27-\\x7e]*$')")
+def tokenize_fold(spark, d):
+    from .functions import pages as FP
+
+    x = table(spark, d, "documents").where(F.col("text").rlike(r"^[\x00-\x25\x27-\x7e]*$"))
+    return x.select("doc_id", F.array_join(FP.fold_tokens(F.col("text")), " ").alias("tokens"))
+
+
+@query("SELECT doc_id, strip_accents(text) AS text FROM documents WHERE lang IN ('de', 'es', 'fr')")
+def accent_strip(spark, d):
+    from .functions import pages as FP
+
+    return table(spark, d, "documents").where(F.col("lang").isin("de", "es", "fr")).select("doc_id", FP.strip_accents(F.col("text")).alias("text"))
+
+
+@query("SELECT doc_id, regexp_matches(text, 'ae|AE|Æ|æ') AS has_ae, regexp_matches(text, '\\[[^\\]]+\\]|^[?*!†‡]\\s|\\bfn[0-9]+\\b') AS has_marker FROM documents")
+def has_target_flags(spark, d):
+    from .functions import pages as FP
+
+    return table(spark, d, "documents").select("doc_id", *[c.alias(k) for k, c in FP.target_flags(F.col("text")).items()])
+
+
+_GRAMS = "SELECT unnest([t[i] || ' ' || t[i + 1] || coalesce(' ' || t[i + 2], '') FOR i IN range(1, len(t))]) AS g FROM (SELECT regexp_extract_all(lower(text), '[a-z]+') AS t FROM benchmark)"
+
+
+@query("""WITH t AS (SELECT regexp_extract_all(lower(text), '[a-z]+') AS t FROM benchmark), g AS (SELECT unnest([t[i] || ' ' || t[i + 1] FOR i IN range(1, len(t))] || [t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] FOR i IN range(1, len(t) - 1)]) AS phrase FROM t), c AS (SELECT phrase, count(*) AS count FROM g GROUP BY phrase),
+x AS (SELECT split_part(phrase, ' ', 1) || ' ' || split_part(phrase, ' ', 2) AS phrase, count FROM c WHERE phrase LIKE '% % %' UNION SELECT split_part(phrase, ' ', 2) || ' ' || split_part(phrase, ' ', 3), count FROM c WHERE phrase LIKE '% % %')
+SELECT phrase, count FROM c WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.phrase = c.phrase AND x.count = c.count)""")
+def maximal_repeat_dedup(spark, d):
+    tokens = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    g = table(spark, d, "benchmark").select(F.explode(T.ngrams(tokens, 2, 3)).alias("phrase")).groupBy("phrase").agg(F.count("*").alias("count"))
+    return S.without_subgrams(g, most=3)
+
+
+@query("WITH t AS (SELECT item_id, regexp_extract_all(text, '[A-Za-z]+') AS t FROM benchmark), w AS (SELECT item_id, unnest(t) AS s, generate_subscripts(t, 1) AS i FROM t) SELECT lower(s) AS word, arg_min(s, {'p': item_id, 'i': i}) AS example FROM w GROUP BY 1")
+def first_example(spark, d):
+    w = table(spark, d, "benchmark").select("item_id", F.posexplode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("i", "example"))
+    return W.first_per_key(w.withColumn("word", F.lower("example")), ["word"], "example", ["item_id", "i"])
+
+
+@query("SELECT p_partkey, coalesce(CASE WHEN p_size % 2 = 0 THEN p_size END, TRY_CAST(nullif(regexp_extract(p_name, '([0-9]+)[^0-9]*$', 1), '') AS INTEGER), 0) AS seq FROM part")
+def seq_backfill_legacy(spark, d):
+    return table(spark, d, "part").select("p_partkey", R.order_key(F.when(F.col("p_size") % 2 == 0, F.col("p_size")), F.col("p_name")).alias("seq"))
+
+
+@query("SELECT status, count(*) AS n, count(*) FILTER (NOT no_change) AS n_real, count(*) FILTER (no_change) AS n_no_change FROM (SELECT o_orderstatus AS status, o_orderkey % 3 = 0 AS no_change FROM orders) GROUP BY status")
+def report_totals(spark, d):
+    x = table(spark, d, "orders").select(F.col("o_orderstatus").alias("status"), (F.col("o_orderkey") % 3 == 0).alias("no_change"))
+    return x.groupBy("status").agg(F.count("*").alias("n"), F.count_if(~F.col("no_change")).alias("n_real"), F.count_if("no_change").alias("n_no_change"))
+
+
+@query("SELECT round(avg(a.score), 6) AS a, round(avg(b.score), 6) AS b, count(*) AS n FROM " + _RUN.format("click") + " a JOIN " + _RUN.format("purchase") + " b USING (user_id)")
+def compared_averages(spark, d):
+    x = J.left_compare(_scores(spark, d, "click"), _scores(spark, d, "purchase"), "user_id", "score").where("status = 'compared'")
+    return x.agg(F.round(F.avg("value_a"), 6).alias("a"), F.round(F.avg("value_b"), 6).alias("b"), F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT o_custkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 4 <> c_nationkey % 4")
+def stale_derivation_check(spark, d):
+    o = table(spark, d, "orders").groupBy("o_custkey", (F.col("o_orderkey") % 4).alias("v")).agg(F.count("*")).select("o_custkey", F.create_map(F.col("o_custkey"), F.col("v").cast("long")).alias("used"))
+    now = table(spark, d, "customer").select(F.col("c_custkey").alias("source"), (F.col("c_nationkey") % 4).cast("long").alias("version"))
+    return C.stale(o, "used", now, "o_custkey", "source", "version")
+
+
+@query(f"WITH s AS {_SEG} SELECT segment_id, 'EMPTY' AS reason, 1 AS floor_score FROM s WHERE english IS NULL AND trim(latin) <> ''")
+def flag_bridge(spark, d):
+    s = _segments(spark, d)
+    return validators.repair_inputs(validators.trivial(s), s, ["EMPTY"]).select("segment_id", "reason", "floor_score")
+
+
+@query("SELECT item_id, row_number() OVER (ORDER BY length(text) DESC, item_id)::INTEGER AS rank, length(text) AS chars FROM benchmark")
+def page_profiling(spark, d):
+    from pyspark.sql import Window
+
+    m = mining.page_metrics(table(spark, d, "benchmark"), ["item_id"], "text")
+    # One row a page, ranked over the whole book: the report's order.
+    return m.select("item_id", F.row_number().over(Window.orderBy(F.col("chars").desc(), "item_id")).alias("rank"), F.col("chars").cast("long").alias("chars"))
