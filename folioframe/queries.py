@@ -1203,3 +1203,463 @@ def page_profiling(spark, d):
     m = mining.page_metrics(table(spark, d, "benchmark"), ["item_id"], "text")
     # One row a page, ranked over the whole book: the report's order.
     return m.select("item_id", F.row_number().over(Window.orderBy(F.col("chars").desc(), "item_id")).alias("rank"), F.col("chars").cast("long").alias("chars"))
+
+
+# --- Operators on literal rows: their inputs (carets, Greek, Latin numerals, scans) don't occur in the test tables --------
+
+
+def _rows(spark: SparkSession, *values, schema: str = "t string") -> DataFrame:
+    return spark.createDataFrame([v if isinstance(v, tuple) else (v,) for v in values], schema)
+
+
+def _is(*pairs) -> str:
+    """A twin that states what each text must become."""
+    lit = lambda v: "NULL" if v is None else str(v) if isinstance(v, (int, float, bool)) else "'" + v.replace("'", "''") + "'"
+    return "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(lit, p)) + ")" for p in pairs) + ") v(t, x)"
+
+
+@query("SELECT doc_id, replace(replace(replace(replace(text, 'Æ', 'AE'), 'Ǣ', 'AE'), 'æ', 'ae'), 'ǣ', 'ae') AS x FROM documents")
+def normalize_ligatures(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.normalize_ligatures(F.col("text")).alias("x"))
+
+
+@query(_is(("Przedixit prz", "Praedixit prae"), ("quse Ztern", "quae aetern"), ("terré", "terrae")))
+def normalize_ae_heuristics(spark, d):
+    from .functions import pages as FP
+
+    return _rows(spark, "Przedixit prz", "quse Ztern", "terré").select("t", FP.normalize_ae(F.col("t")).alias("x"))
+
+
+@query(_is(("anno CID I2C", "anno CIƆ IƆC"), ("C1D, I2G", "CIƆ, IƆC"), ("CIDX", "CIDX")))
+def normalize_open_c_numerals(spark, d):
+    from .functions import pages as FP
+
+    return _rows(spark, "anno CID I2C", "C1D, I2G", "CIDX").select("t", FP.normalize_open_c(F.col("t")).alias("x"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(replace(replace(text, 'Æ', 'AE'), 'æ', 'ae'), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS x FROM documents")
+def compose_transforms(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.compose(T.normalize_ligatures, T.normalize_ws)(F.col("text")).alias("x"))
+
+
+@query(_is(("a^b c^de^9", "a c"), ("x ^ y", "x ^ y"), ("^a", "")))
+def strip_carets(spark, d):
+    return _rows(spark, "a^b c^de^9", "x ^ y", "^a").select("t", T.strip_carets(F.col("t")).alias("x"))
+
+
+@query(_is(("Arnobius^y et^2 alii", "Arnobius et alii|y8|211"), ("none", "none")))
+def extract_inline_markers(spark, d):
+    from .functions import pages as FP
+
+    m = FP.inline_markers(F.col("t"))
+    x = F.concat_ws("|", m["text"], F.transform(m["markers"], lambda k: F.concat(k["symbol"], k["offset"].cast("string"))))
+    return _rows(spark, "Arnobius^y et^2 alii", "none").select("t", x.alias("x"))
+
+
+@query(_is(("abcdef", "abc^adef^b"), ("", "^a^b")))
+def inject_markers(spark, d):
+    ms = F.array(F.struct(F.lit(3).alias("offset"), F.lit("a").alias("symbol")), F.struct(F.lit(99).alias("offset"), F.lit("b").alias("symbol")))
+    return _rows(spark, "abcdef", "").select("t", T.inject_markers(F.col("t"), ms).alias("x"))
+
+
+@query(_is(("a^b", 'a<sup><a href="#fn-b">b</a></sup>'), ("plain", "plain")))
+def carets_to_anchors(spark, d):
+    return _rows(spark, "a^b", "plain").select("t", T.caret_links(F.col("t")).alias("x"))
+
+
+@query("SELECT item_id, '…' || text[27:78] || CASE WHEN length(text) > 78 THEN '…' ELSE '' END AS x FROM benchmark WHERE length(text) >= 60")
+def clip_around(spark, d):
+    return table(spark, d, "benchmark").where(F.length("text") >= 60).select("item_id", T.clip_around(F.col("text"), F.lit(50), F.lit(54)).alias("x"))
+
+
+@query(_is(("“ſanctus,", "sanctus"), ("(Et)", "et"), ("—", "")))
+def normalize_catchword(spark, d):
+    return _rows(spark, "“ſanctus,", "(Et)", "—").select("t", T.normalize_catchword(F.col("t")).alias("x"))
+
+
+@query(_is(("First page be-\nlieves .\n12", "First page believes."), ("Text\na  See there\n3\n", "Text")))
+def stitch_pages(spark, d):
+    from .functions import pages as FP
+
+    return _rows(spark, "First page be-\nlieves .\n12", "Text\na  See there\n3\n").select("t", FP.stitch_pages(F.array("t")).alias("x"))
+
+
+@query(_is(("gentesque", "gentes que"), ("atque", "atque"), ("que", "que"), ("gens", "gens")))
+def split_enclitic_que(spark, d):
+    return _rows(spark, "gentesque", "atque", "que", "gens").select("t", F.array_join(T.split_enclitic(F.col("t")), " ").alias("x"))
+
+
+@query("SELECT item_id, len(list_filter(regexp_split_to_array(lower(text), '[.,;:!?()\\[\\]\\n]+'), lambda c: regexp_matches(c, '[a-z]{2,}'))) AS clauses FROM benchmark")
+def clause_tokens(spark, d):
+    c = mining.clauses(table(spark, d, "benchmark"), "item_id", "text")
+    return c.groupBy("item_id").agg(F.count("*").alias("clauses"))
+
+
+@query(_is(("episcopus ecclesiae", "episcop ecclesi"), ("reges regum", "reg reg"), ("et", "et")))
+def loose_key(spark, d):
+    return _rows(spark, "episcopus ecclesiae", "reges regum", "et").select("t", mining.loose_key(F.col("t"), "ibus|orum|arum|ae|us|um|es").alias("x"))
+
+
+@query("SELECT item_id, len(t) - 1 + greatest(len(t) - 2, 0) AS grams FROM (SELECT item_id, regexp_extract_all(lower(text), '[a-z]+') AS t FROM benchmark) WHERE len(t) >= 2")
+def ngrams(spark, d):
+    t = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    return table(spark, d, "benchmark").withColumn("t", t).where(F.size("t") >= 2).select("item_id", F.size(T.ngrams(F.col("t"), 2, 3)).cast("long").alias("grams"))
+
+
+@query("SELECT item_id, array_to_string(list_filter(w, lambda x, i: list_position(w, x) = i AND x NOT IN ('the', 'and')), ' ') AS words FROM (SELECT item_id, regexp_extract_all(lower(text), '[a-z]{3,}') AS w FROM benchmark)")
+def content_words(spark, d):
+    return table(spark, d, "benchmark").select("item_id", F.array_join(T.content_words(F.col("text"), ["the", "and"]), " ").alias("words"))
+
+
+@query(_is(("XIV", 14), ("IIX", 8), ("MCMXC", 1990), ("ABC", None), ("", None)))
+def roman_to_int(spark, d):
+    return _rows(spark, "XIV", "IIX", "MCMXC", "ABC", "").select("t", T.roman_to_int(F.col("t")).alias("x"))
+
+
+@query(_is(("XIV", 14), ("IIX", None), ("mcmxc", 1990), ("ABC", None)))
+def roman_to_int_strict(spark, d):
+    return _rows(spark, "XIV", "IIX", "mcmxc", "ABC").select("t", T.roman_to_int_strict(F.col("t")).alias("x"))
+
+
+@query(_is(("anno 36 octavum non XIV", "8 14 36"), ("nonus decem I", "9 10"), ("nihil", "")))
+def extract_numerals_latin(spark, d):
+    x = F.array_join(F.transform(F.array_sort(F.transform(T.latin_numerals(F.col("t")), lambda n: n["value"])), lambda v: v.cast("string")), " ")
+    return _rows(spark, "anno 36 octavum non XIV", "nonus decem I", "nihil").select("t", x.alias("x"))
+
+
+def _english(spark: SparkSession, parts: bool) -> DataFrame:
+    x = F.array_join(F.transform(F.array_sort(T.english_numerals(F.col("t"), parts)), lambda v: v.cast("string")), " ")
+    return _rows(spark, "the twenty-third of XX", "7th ninetieth forty one").select("t", x.alias("x"))
+
+
+@query(_is(("the twenty-third of XX", "3 20 23"), ("7th ninetieth forty one", "1 7 40 41 90")))
+def extract_numerals_english(spark, d):
+    return _english(spark, True)
+
+
+@query(_is(("the twenty-third of XX", "20 23"), ("7th ninetieth forty one", "7 41 90")))
+def extract_numerals_english_v2(spark, d):
+    return _english(spark, False)
+
+
+@query(_is((8, "8 eight eighth VIII"), (40, "40 forty fortieth XL"), (23, "23 twenty-three twenty-third XXIII"), (200, "200 CC"), (5000, "5000")))
+def expected_forms(spark, d):
+    return _rows(spark, 8, 40, 23, 200, 5000, schema="t int").select("t", F.array_join(T.expected_forms(F.col("t")), " ").alias("x"))
+
+
+@query(_is(("dixit λόγος et αβ", "λόγος"), ("ἀρχή, τέλος fin", "ἀρχή, τέλος"), ("none", "")))
+def greek_spans(spark, d):
+    return _rows(spark, "dixit λόγος et αβ", "ἀρχή, τέλος fin", "none").select("t", F.array_join(T.greek_spans(F.col("t")), "|").alias("x"))
+
+
+@query(_is(("Gen. 1.1", "scripture Gen. 1:1"), ("1 Reg. 8.27", "scripture 1 Reg. 8:27"), ("Plinius", "unknown ")))
+def classify_marginal(spark, d):
+    from .functions import pages as FP
+
+    c = FP.classify_marginal(F.col("t"))
+    return _rows(spark, "Gen. 1.1", "1 Reg. 8.27", "Plinius").select("t", F.concat_ws(" ", c["kind"], c["citation"]).alias("x"))
+
+
+@query(_is(("CHAPTER XIV.", 14), ("CAPVT SECVNDVM", 2), ("CAPUT IX", 9), ("text", None)))
+def detect_heading(spark, d):
+    from .functions import pages as FP
+
+    return _rows(spark, "CHAPTER XIV.", "CAPVT SECVNDVM", "CAPUT IX", "text").select("t", FP.detect_chapter(F.col("t"), F.col("t").startswith("CH")).alias("x"))
+
+
+@query(_is(("12 CAP. III", "12"), ("De rebus 7", "7"), ("XIV", "xiv"), ("De rebus", None)))
+def printed_page(spark, d):
+    return _rows(spark, "12 CAP. III", "De rebus 7", "XIV", "De rebus").select("t", T.printed_page(F.col("t")).alias("x"))
+
+
+@query(_is(("CAP. IV.|33", "true true right left true"), ("33|x", "true false left  false"), ("x", "false false   false")))
+def header_meta(spark, d):
+    from .functions import pages as FP
+
+    m = FP.header_meta(F.split("t", r"\|"), F.lit(3))
+    return _rows(spark, "CAP. IV.|33", "33|x", "x").select("t", F.concat_ws(" ", *[c.cast("string") for c in m.values()]).alias("x"))
+
+
+@query(_is(("body[FOOTNOTES]notes", "body/notes"), ("body", "body")))
+def split_body_footnotes(spark, d):
+    s = T.split_body_notes(F.col("t"))
+    return _rows(spark, "body[FOOTNOTES]notes", "body").select("t", F.concat_ws("/", s["body"], s["notes"]).alias("x"))
+
+
+@query(_is(("a[b]? c[12]", "a[fn-b] c[fn-12]"), ("plain", "plain")))
+def clean_footnote_markers(spark, d):
+    from .functions import pages as FP
+
+    return _rows(spark, "a[b]? c[12]", "plain").select("t", FP.clean_note_marks(F.col("t")).alias("x"))
+
+
+@query(_is(("lead\n* first\nmore\n2. second", "[fn01|?] lead\n[fn02|*] first more\n[fn03|2.] second"), ("", "")))
+def relabel_footnotes(spark, d):
+    from .functions import pages as FP
+
+    return _rows(spark, "lead\n* first\nmore\n2. second", "").select("t", FP.relabel_notes(F.col("t")).alias("x"))
+
+
+@query(_is(('```json\n{"a": {"b": 1}}\n```', '{"a": {"b": 1}}'), ("no json", None)))
+def json_extract_balanced(spark, d):
+    return _rows(spark, '```json\n{"a": {"b": 1}}\n```', "no json").select("t", R.json_object_text(F.col("t")).alias("x"))
+
+
+@query(_is(("/a/p0012/p0034/f.json", "p0034"), ("/a/b.json", None)))
+def infer_page_from_path(spark, d):
+    return _rows(spark, "/a/p0012/p0034/f.json", "/a/b.json").select("t", R.page_from_path(F.col("t")).alias("x"))
+
+
+def _history(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as histories, odd turns blank."""
+    e = F.struct("turn", F.when(F.col("turn") % 2 == 0, F.col("text")).otherwise(" ").alias("english"))
+    return table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(e)).alias("h"))
+
+
+_LAST = "SELECT conv_id, arg_max(CASE WHEN turn % 2 = 0 THEN text ELSE ' ' END, turn) AS last, coalesce(arg_max(text, turn) FILTER (turn % 2 = 0), '') AS filled FROM conversations GROUP BY conv_id"
+
+
+@query(f"SELECT conv_id, last AS x FROM ({_LAST})")
+def latest_value_no_fallback(spark, d):
+    return _history(spark, d).select("conv_id", R.last_value(F.col("h")).alias("x"))
+
+
+@query(f"SELECT conv_id, filled AS x FROM ({_LAST})")
+def latest_nonempty_value(spark, d):
+    return _history(spark, d).select("conv_id", R.latest_nonempty_value(F.col("h")).alias("x"))
+
+
+@query(f"SELECT conv_id, CASE WHEN trim(last) = '' THEN 'final' ELSE trim(last) END AS x FROM ({_LAST})")
+def latest_value_trimmed(spark, d):
+    return _history(spark, d).select("conv_id", R.latest_value_trimmed(F.col("h"), F.lit(" final ")).alias("x"))
+
+
+@query("SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 0 AND doc_id BETWEEN 10 AND 100000")
+def fix_selection(spark, d):
+    x = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").cast("string").alias("cf"))
+    return x.where(R.any_rubric_at_most(F.create_map(F.lit("cf"), F.col("cf")), 0, ("cf",)) & R.in_range(F.col("doc_id"), 10, 100_000)).select("doc_id")
+
+
+@query("SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND props IS NOT NULL")
+def completed_filter(spark, d):
+    return table(spark, d, "events").where((F.col("event_type") == "purchase") & F.col("props").isNotNull()).select("user_id").distinct()
+
+
+@query("SELECT l_orderkey AS note, CASE WHEN c.o IS NOT NULL THEN 'caret' WHEN o_orderkey IS NOT NULL THEN 'line' ELSE 'own' END AS home FROM (SELECT DISTINCT l_orderkey FROM lineitem) LEFT JOIN (SELECT o_orderkey AS o FROM orders WHERE o_orderkey % 3 = 0) c ON c.o = l_orderkey LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0) ON o_orderkey = l_orderkey")
+def footnote_home_join(spark, d):
+    from .plans import pages as PP
+
+    notes = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("marker_id")).distinct().withColumns({"body_line_id": F.col("marker_id"), "page_id": F.lit("own")})
+    o = table(spark, d, "orders")
+    carets = o.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("marker_id"), F.lit("caret").alias("page_id"), F.lit(1).alias("pos"))
+    lines = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("line_id"), F.lit("line").alias("page_id"))
+    return PP.note_homes(notes, carets, lines).select(F.col("marker_id").alias("note"), "home")
+
+
+@query("SELECT doc_id, count(*) AS flags, any_value(lang) AS lang FROM labels JOIN documents USING (doc_id) GROUP BY doc_id")
+def flag_to_segment_join(spark, d):
+    f = table(spark, d, "labels").groupBy("doc_id").agg(F.count("*").alias("flags"))
+    return f.join(table(spark, d, "documents").select("doc_id", "lang"), "doc_id")
+
+
+@query("SELECT labels.doc_id, quality, lang FROM labels LEFT JOIN documents USING (doc_id)")
+def score_latin_lookup(spark, d):
+    return table(spark, d, "labels").select("doc_id", "quality").join(table(spark, d, "documents").select("doc_id", "lang"), "doc_id", "left")
+
+
+@query("SELECT p_brand, count(DISTINCT p_type) AS pages FROM part GROUP BY p_brand")
+def distinct_count_pages(spark, d):
+    return table(spark, d, "part").groupBy("p_brand").agg(F.countDistinct("p_type").alias("pages"))
+
+
+@query("SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)::INTEGER AS seq FROM orders")
+def running_per_home_seq(spark, d):
+    x = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    return W.dense_sequence(x, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")]).select("o_orderkey", "seq")
+
+
+@query("SELECT s_suppkey, s_acctbal FROM supplier ORDER BY s_acctbal, s_suppkey LIMIT 5")
+def topk_list(spark, d):
+    return table(spark, d, "supplier").select("s_suppkey", "s_acctbal").orderBy("s_acctbal", "s_suppkey").limit(5)
+
+
+@query("SELECT p_type AS phrase, count(*) AS count, round(coalesce(avg(CASE WHEN p_size > 10 THEN p_size END), 0), 6) AS loglik FROM part GROUP BY p_type ORDER BY loglik DESC, count DESC, phrase")
+def phrase_rank(spark, d):
+    p = table(spark, d, "part").groupBy(F.col("p_type").alias("phrase")).agg(F.count("*").alias("count"), F.avg(F.when(F.col("p_size") > 10, F.col("p_size"))).alias("loglik")).withColumn("n", F.lit(2))
+    return mining.ranked(p).select("phrase", "count", F.round(F.coalesce("loglik", F.lit(0.0)), 6).alias("loglik"))
+
+
+@query("SELECT n_nationkey, n_name FROM nation ORDER BY n_name DESC")
+def order_preserving_rewrite(spark, d):
+    path = fresh_path(spark, "ordered")
+    x = W.dense_sequence(table(spark, d, "nation").select("n_nationkey", "n_name"), [F.lit(1)], [F.col("n_name").desc()], "_pos")
+    writers.ordered_jsonl(x, path)
+    return spark.read.schema("n_nationkey int, n_name string").json(path)
+
+
+@query("SELECT p_brand, count(*)::VARCHAR AS n FROM part GROUP BY p_brand")
+def tsv_sink(spark, d):
+    path = fresh_path(spark, "tsv")
+    writers.tsv(table(spark, d, "part").groupBy("p_brand").agg(F.count("*").alias("n")), path)
+    return readers.delimited(spark, path)
+
+
+@query("SELECT n_nationkey::VARCHAR AS line, n_name AS text FROM nation")
+def file_per_row_sink(spark, d):
+    path = fresh_path(spark, "rows")
+    writers.text_per_group(table(spark, d, "nation").select(F.col("n_nationkey").alias("line"), "n_name"), path, "line", "n_name")
+    return spark.read.text(path).select(F.col("line").cast("string").alias("line"), F.col("value").alias("text"))
+
+
+@query("SELECT '| ' || event_type || ' | ' || count(*) || ' |' AS line FROM events GROUP BY event_type")
+def report_sink(spark, d):
+    from .plans import pages as PP
+
+    text = PP.report(table(spark, d, "events").groupBy("event_type").count().orderBy("event_type"), "Events")
+    return spark.createDataFrame([(x,) for x in text.splitlines()[4:]], "line string")
+
+
+@query("SELECT printf('v%d', o_orderkey % 2) AS pairing, count(*) AS n FROM orders GROUP BY 1")
+def judgment_scan(spark, d):
+    base = fresh_path(spark, "judged")
+    table(spark, d, "orders").select(F.format_string("v%d", F.col("o_orderkey") % 2).alias("pairing"), "o_orderkey").write.partitionBy("pairing").json(base)
+    return spark.read.schema("o_orderkey long, pairing string").json(base).groupBy("pairing").agg(F.count("*").alias("n"))
+
+
+@query(_is(("the", 2), ("and", 2)))
+def glossary_load(spark, d):
+    return _terms(spark).select(F.col("term").alias("t"), F.size("approved").alias("x"))
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+def http_read_api(spark, d):
+    """What the service's GET would return: one page's rows."""
+    return table(spark, d, "nation").where("n_regionkey = 1").select("n_nationkey", "n_name")
+
+
+@query("SELECT s_suppkey, 's_acctbal' AS field FROM supplier WHERE s_suppkey % 5 = 0 AND s_acctbal <> 0")
+def http_annotation_api(spark, d):
+    """What the service's save would log: the differences between the stored and the posted page."""
+    s = table(spark, d, "supplier")
+    return C.diff(s, s.withColumn("s_acctbal", F.when(F.col("s_suppkey") % 5 == 0, 0.0).otherwise(F.col("s_acctbal"))), ["s_suppkey"], ["s_acctbal", "s_name"]).select("s_suppkey", "field")
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def append_event_log(spark, d):
+    """The events, appended as a log and read back as a stream of batches."""
+    from .streaming import incremental
+
+    src, out = fresh_path(spark, "log"), fresh_path(spark, "log-out")
+    x = table(spark, d, "events").select("event_id", "event_type")
+    writers.append_jsonl(x, src)
+    stream = incremental.event_log(spark, src, x.schema)
+    incremental.upsert_batches(stream, fresh_path(spark, "log-state"), lambda df, n: df.write.mode("append").parquet(out)).awaitTermination()
+    return spark.read.schema(x.schema).parquet(out).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS n FROM region")
+def retry_with_backoff(spark, d):
+    from .streaming import incremental
+
+    left = iter((True, True, False))
+
+    def once() -> DataFrame:
+        if next(left):
+            raise TimeoutError("try again")
+        return table(spark, d, "region").agg(F.count("*").alias("n"))
+
+    return incremental.with_retries(once, wait=0.0)
+
+
+@query("SELECT c_nationkey AS unit FROM (SELECT DISTINCT c_nationkey FROM customer JOIN supplier ON c_custkey = s_suppkey WHERE c_nationkey <> s_nationkey)")
+def optimistic_guard(spark, d):
+    new = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("u")).agg(F.collect_set("c_custkey").alias("ids"))
+    old = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("u")).agg(F.collect_set("s_suppkey").alias("ids"))
+    return J.ownership_clashes(new, old, "u", "ids").select("unit")
+
+
+@query("""WITH w AS (SELECT conv_id, turn, coalesce(list_extract(regexp_extract_all(lower(text), '[a-z]+'), -1), '') AS caught, coalesce(list_extract(regexp_extract_all(lower(text), '[a-z]+'), 1), '') AS head FROM conversations),
+x AS (SELECT caught, lead(head) OVER (PARTITION BY conv_id ORDER BY turn) AS found, lead(1) OVER (PARTITION BY conv_id ORDER BY turn) AS more FROM w)
+SELECT CASE WHEN caught = '' OR coalesce(found, '') = '' THEN 'missing' WHEN caught = found THEN 'match' ELSE 'mismatch' END AS status, count(*) AS n FROM x WHERE more = 1 GROUP BY 1""")
+def catchword_verifier(spark, d):
+    return lead_join_catchword(spark, d).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT page_id, count(*) AS refs, min(turn - 1) AS first_anchor FROM {_LINES} WHERE region = 'marginalia' GROUP BY page_id")
+def marginalia_index(spark, d):
+    from .plans import pages as PP
+
+    x = PP.scan_lines(_records(spark, d)).where("region = 'marginalia'").withColumn("anchor", F.coalesce("anchor_index", F.lit(-1)))
+    return x.groupBy("page_id").agg(F.count("*").alias("refs"), F.min("anchor").cast("long").alias("first_anchor"))
+
+
+@query(_is(("x^a y^b y^b z^c", "d/b/c"), ("x ^a ^b ^d", "//")))
+def polish_validator(spark, d):
+    c = C.once_each(F.col("t"), F.array(F.lit("a"), F.lit("b"), F.lit("d")))
+    return _rows(spark, "x^a y^b y^b z^c", "x ^a ^b ^d").select("t", F.concat_ws("/", *[F.array_join(v, "") for v in c.values()]).alias("x"))
+
+
+@query()
+def token_bridge_mapping(spark, d):
+    """For each assistant turn, the mean user line its words match, within a conversation."""
+    import pandas as pd
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("turn")
+        words = [t.lower().split() for t in pdf["text"]]
+        user = pdf["role"].eq("user")
+        a, b = [w for w, u in zip(words, user, strict=True) if not u], [w for w, u in zip(words, user, strict=True) if u]
+        got = alignment.bridge_lines(a, b)
+        return pd.DataFrame({"conv_id": pdf["conv_id"].iloc[0], "turn": pdf.loc[~user, "turn"].to_numpy(), "line": pd.Series(got, dtype=float)})
+
+    return table(spark, d, "conversations").groupBy("conv_id").applyInPandas(run, "conv_id long, turn long, line double")
+
+
+@query("SELECT r_regionkey, upper(r_name) || '!' AS x FROM region")
+def udf_text_transform(spark, d):
+    return table(spark, d, "region").select("r_regionkey", T.compose(F.upper, lambda c: F.concat(c, F.lit("!")))(F.col("r_name")).alias("x"))
+
+
+@query("SELECT conv_id, 1.0::DOUBLE AS score FROM conversations WHERE turn = 0")
+def udf_metric(spark, d):
+    from .plans import pages as PP
+
+    x = table(spark, d, "conversations").where("turn = 0").select("conv_id", F.col("text").alias("s"), F.col("text").alias("m"), F.col("text").alias("r"))
+    return PP.external_scores(x, lambda s, m, r: [float(a == b) for a, b in zip(m, r, strict=True)], "conv_id", "s", "m", "r").select("conv_id", "score")
+
+
+@query("SELECT r_name AS text, 1.0::DOUBLE AS confidence FROM region")
+def udf_ocr_engine(spark, d):
+    """An injected engine over binary files; here it reads the bytes as text."""
+    from .plans import pages as PP
+
+    path = fresh_path(spark, "scans")
+    table(spark, d, "region").select(F.col("r_name").alias("value")).repartition(5, "value").write.option("maxRecordsPerFile", 1).text(path)
+    images = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    return PP.recognise(images, lambda b: (b.decode().strip(), 1.0)).where("text <> ''").select("text", "confidence")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 4 = 3")
+def udf_injected_callable(spark, d):
+    return detect_and_rerun(spark, d)
+
+
+@query(f"""WITH l AS {_LINES}, b AS (SELECT conv_id, turn, seq AS bs FROM l WHERE region = 'body'), m AS (SELECT l.page_id, l.seq, b.bs FROM l LEFT JOIN b ON b.conv_id = l.conv_id AND b.turn = l.turn - 1 WHERE region = 'marginalia')
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY bs NULLS LAST, seq)::INTEGER AS marker_number FROM m""")
+def client_renumber(spark, d):
+    from .plans import pages as PP
+
+    return PP.anchored_notes(PP.scan_lines(_records(spark, d))).select("page_id", "marker_number")
+
+
+@query(_is(("a^x b^y", "y/z"), ("^x ^z", "/")))
+def marker_parity_gate(spark, d):
+    body = F.regexp_extract_all("t", F.lit(r"\^([a-z])"), F.lit(1))
+    p = validators.marker_parity(body, F.array(F.lit("x"), F.lit("z")))
+    return _rows(spark, "a^x b^y", "^x ^z").select("t", F.concat_ws("/", *[F.array_join(v, "") for v in p.values()]).alias("x"))
+
+
+@query(_is(("size", 5), ("debug", 1)))
+def layered_config(spark, d):
+    c = readers.layered_config({"size": "3", "debug": "no"}, {"size": "5"}, {"debug": "TRUE"}, types={"size": int, "debug": bool})
+    return spark.createDataFrame([(k, int(v)) for k, v in c.items()], "t string, x int")
