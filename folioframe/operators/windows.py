@@ -30,6 +30,18 @@ def sessions(rows: DataFrame, ends: Column, group: list[str], order: list[str],
     return out.select(*group, "session", "lines", F.array_join(F.transform("_p", lambda p: p["_t"]), sep).alias("text"))
 
 
+def sessions_across(rows: DataFrame, ends: Column, block: str, order: list[str], text: str, sep: str = " ") -> DataFrame:
+    """Sessions over the whole ordered corpus, by blocks (pages, conversations) in their order: numbers within blocks plus
+    the sessions that earlier blocks ended. Only one row a block is ordered globally. (session, home, lines, text); home is the block of its first row."""
+    x = rows.withColumns({"_end": ends.cast("int"), "_own": session_number(ends, [block], order)})
+    totals = x.groupBy(block).agg(F.sum("_end").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    x = x.join(totals.select(block, before.alias("_before")), block).withColumn("session", F.col("_own") + F.col("_before"))
+    part = F.struct(block, *order, F.coalesce(text, F.lit("")).alias("_t"))
+    out = x.groupBy("session").agg(F.count("*").alias("lines"), F.min(block).alias("home"), F.array_sort(F.collect_list(part)).alias("_p"))
+    return out.select("session", "home", "lines", F.array_join(F.transform("_p", lambda p: p["_t"]), sep).alias("text"))
+
+
 def carry_forward(value: Column, group: list[str], order: list[str], default: Column | None = None) -> Column:
     """The last value that isn't null up to the row."""
     x = F.last(value, ignorenulls=True).over(Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))

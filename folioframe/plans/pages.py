@@ -130,3 +130,16 @@ def next_ordinal(lines: DataFrame, region: str) -> DataFrame:
     """Per page: one more than the largest ordinal of the region's line ids, a line without one counting by its place."""
     n = F.nullif(F.regexp_extract("line_id", rf"_{region}_l([0-9]{{4}})$", 1), F.lit("")).try_cast("int")
     return lines.where(F.col("region") == region).groupBy("page_id").agg((F.max(F.coalesce(n, F.col("seq"))) + 1).alias("next_ordinal"))
+
+
+def translate(units: DataFrame, model: Callable[[str], str], unit: str, text: str) -> DataFrame:
+    """Ask a model, given by the caller, for each unit; its JSON gives english, notes and uncertain, with defaults; what isn't JSON is an error."""
+    asked = units.select(F.col(unit), prompt({"text": F.col(text)}).alias("_p"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({unit: b[unit], "raw": [model(p) for p in b["_p"]]})
+
+    out = asked.mapInPandas(run, f"{unit} {units.schema[unit].dataType.simpleString()}, raw string")
+    x = F.from_json(R.json_object_text(F.col("raw")), "english string, notes string, uncertain boolean")
+    return out.select(unit, F.coalesce(x["english"], F.lit("")).alias("english"), F.coalesce(x["notes"], F.lit("")).alias("notes"), F.coalesce(x["uncertain"], F.lit(False)).alias("uncertain"), F.when(x["english"].isNull(), "no english").alias("error"))

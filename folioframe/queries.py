@@ -512,11 +512,10 @@ def sentence_sessionize(spark, d):
 
 
 @query("""WITH s AS (SELECT *, coalesce(sum((text LIKE '%.')::INT) OVER (ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS session FROM conversations)
-SELECT 0 AS part, session, count(*) AS lines, length(string_agg(coalesce(text, ''), ' ' ORDER BY conv_id, turn)) AS chars FROM s GROUP BY session""")
+SELECT min(conv_id) AS home, session, count(*) AS lines, length(string_agg(coalesce(text, ''), ' ' ORDER BY conv_id, turn)) AS chars FROM s GROUP BY session""")
 def sentence_sessionize_cross_page(spark, d):
-    x = table(spark, d, "conversations").withColumn("part", F.lit(0))
-    out = W.sessions(x, F.col("text").endswith("."), ["part"], ["conv_id", "turn"], "text")
-    return out.select("part", "session", "lines", F.length("text").cast("long").alias("chars"))
+    out = W.sessions_across(table(spark, d, "conversations"), F.col("text").endswith("."), "conv_id", ["turn"], "text")
+    return out.select("home", "session", "lines", F.length("text").cast("long").alias("chars"))
 
 
 @query("SELECT event_id, user_id, coalesce(last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS section FROM events")
@@ -1663,3 +1662,36 @@ def marker_parity_gate(spark, d):
 def layered_config(spark, d):
     c = readers.layered_config({"size": "3", "debug": "no"}, {"size": "5"}, {"debug": "TRUE"}, types={"size": int, "debug": bool})
     return spark.createDataFrame([(k, int(v)) for k, v in c.items()], "t string, x int")
+
+
+@query("SELECT n_nationkey, 'N:' || n_name AS english, '' AS notes, false AS uncertain, NULL::VARCHAR AS error FROM nation")
+def translation_source(spark, d):
+    """An injected model answers in a code fence, as models do."""
+    import json
+
+    from .plans import pages as PP
+
+    return PP.translate(table(spark, d, "nation"), lambda p: "```json\n" + json.dumps({"english": "N:" + p.removeprefix("[text]\n")}) + "\n```", "n_nationkey", "n_name")
+
+
+def _scanned(spark: SparkSession, d: str, scale: float) -> DataFrame:
+    """The interface that OCR engines share: an injected engine over binary files, confidence in per cent."""
+    return udf_ocr_engine(spark, d).select("text", (F.col("confidence") * scale).alias("confidence"))
+
+
+_SCAN = "SELECT r_name AS text, 100.0::DOUBLE AS confidence FROM region"
+
+
+@query(_SCAN)
+def ocr_source_tesseract(spark, d):
+    return _scanned(spark, d, 100.0)
+
+
+@query(_SCAN)
+def ocr_source_kraken(spark, d):
+    return _scanned(spark, d, 100.0)
+
+
+@query(_SCAN)
+def ocr_source_vision_llm(spark, d):
+    return _scanned(spark, d, 100.0)
