@@ -1,7 +1,7 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
 A candidate is the value assigned to a word such as password or token, or a run of 16 and more letters, digits and
-``_+/-`` with a digit among its first 65 characters. The forest sees its length, shares and transitions of character
+``_+/-`` that begins as issued keys do or has a digit among its first 65 characters. The forest sees its length, shares and transitions of character
 classes, how much of it dictionary words cover, whether it stands in a path, and the words beside it. It is trained from labelled
 findings (left context, value, right context, label); where a user has none, from seeded examples of what is and isn't a secret.
 
@@ -25,11 +25,12 @@ THRESHOLD, MASK = 0.5, "[SECRET]"
 KEY = r"(?i:passwords?|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
 ASSIGNED = KEY + r"[\"']?[ ]{0,2}[=:][ ]{0,2}[\"']?"
 VALUE = r"[A-Za-z0-9_+/.!@#$%^&*~-]{8,}"
-PATTERN = rf"{ASSIGNED}{VALUE}|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]{{0,64}}[0-9])[A-Za-z0-9_+/-]{{16,}}"
+#: Starts by which issuers mark their keys.
+MARKS = r"(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_live_|rk_live_|sk-|AIza|ya29|eyJ)"
+ISSUED = f"^{MARKS}"
+PATTERN = rf"{ASSIGNED}{VALUE}|(?<![A-Za-z0-9_+/-]){MARKS}[A-Za-z0-9_+/-]{{12,}}|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]{{0,64}}[0-9])[A-Za-z0-9_+/-]{{16,}}"
 #: Common English words and endings, and words of placeholders.
 DICTIONARY = "the|and|tion|ing|ment|with|from|have|this|that|user|name|file|data|page|test|demo|dummy|example|sample|change|place|holder|your|here|secret|password|token|hello|world|admin|letme|default|value|index|image|version|release|build|config|system|report|final|draft"
-#: Starts by which issuers mark their keys.
-ISSUED = r"^(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_live_|rk_live_|sk-|AIza|ya29|eyJ)"
 #: Words beside values that are digests or ids rather than secrets.
 HARMLESS = r"(?i)\b(?:sha\d*|md5|commit|revision|checksum|digest|hash|etag|uuid|guid|isbn|order|invoice|phone|tel|card|account|version|build|serial|tracking|example|sample|placeholder|image|png|jpg)\b"
 FEATURES = ("length", "digits", "upper", "lower", "hex", "changes", "distinct", "words", "path", "assigned", "issued", "harmless", "dashes", "digits_only", "vowels")
