@@ -78,7 +78,7 @@ def default_rules() -> dict[str, Column]:
     clean, length, repeats = F.col("n_clean") / n, F.col("word_chars") / n, F.col("n_repeat_words") / n
     return {
         "symbols": against(n, F.col("n_symbols") / n > 0.12),
-        "repeats": against(n, repeats > 0.35, repeats < 0.10),
+        "repeats": against(n, repeats > 0.50, repeats < 0.10),
         "lines": against(n, F.col("n_dup_lines") / n > 0.05),
         "word_length": against(n, (length < 2.5) | (length > 12.0)),
         "upper": against(chars, F.col("n_upper") / chars > 0.30),
