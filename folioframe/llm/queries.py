@@ -67,7 +67,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def held_out(doc_id):
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,12 +16,13 @@ import math
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_BYTES, FANOUT, LEAST_BYTES = 128 << 20, 4, 1 << 20
-#: Merges that run at once.
-PARALLEL = 8
+#: Jobs that merge at once, and runs that one job merges, a task each.
+PARALLEL, RUNS_A_JOB = 4, 64
 
 
 class CommitConflict(RuntimeError):
@@ -130,8 +131,9 @@ class ShardStore:
                 return base["version"]
             schema = self._schema(base)
             read = lambda run: self.spark.read.schema(schema).parquet(*[f"{self.root}/{s.path}" for s in run]).coalesce(1)
+            jobs = [runs[i : i + RUNS_A_JOB] for i in range(0, len(runs), RUNS_A_JOB)]
             with ThreadPoolExecutor(PARALLEL) as pool:
-                merged = list(pool.map(lambda run: self._write(read(run)), runs))
+                merged = list(pool.map(lambda job: self._write(reduce(DataFrame.unionAll, map(read, job))), jobs))
             gone = {s.path for run in runs for s in run}
             self._commit(base, [s for s in base["shards"] if s.path not in gone] + [s for m in merged for s in m], base["schema"])
 
