@@ -86,35 +86,37 @@ def plan(docs: DataFrame, keep: list[str] | None = None, id_col: str = "doc_id",
     by the columns carried, and rows equal in all are alike); an empty table gives no rows. taken <= 2 * size.
     """
     keep = keep or []
+    source = docs[source_col].cast("string")
     sized = docs.select(
         *[docs[c].alias(f"_c{i}") for i, c in enumerate(keep)],
         docs[id_col].alias("_id"),
-        docs[source_col].cast("string").alias("_src"),
+        # One key a source, never null and in the order of code points, null last.
+        F.coalesce(F.concat(F.lit("s"), source), F.lit("z")).alias("_key"),
         n_words(docs[text_col].cast("string")).alias("size"),
         F.xxhash64(F.lit(seed), docs[id_col].cast("string"), docs[text_col].cast("string")).alias("_h"),
     )
-    sized = stored(sized, "mix-sizes")
-    n_shards = F.lit(max(1, -(-sized.count() // shard_docs)))
-    sized = sized.withColumn("_shard", F.pmod(F.col("_h"), n_shards))
-    shards = sized.groupBy("_src", "_shard").agg(F.sum("size").alias("shard_size"))
-    targets = source_targets(shards.groupBy("_src").agg(F.sum("shard_size").alias("source_size")), "_src", weights=weights)
+    slim = stored(sized.select("_id", "_key", "size", "_h"), "mix-sizes")
+    # Columns that are carried are read again rather than stored twice.
+    sized = sized if keep else slim
+    n_shards = F.lit(max(1, -(-slim.count() // shard_docs)))
+    sized, slim = (x.withColumn("_shard", F.pmod(F.col("_h"), n_shards)) for x in (sized, slim))
+    shards = slim.groupBy("_key", "_shard").agg(F.sum("size").alias("shard_size"))
+    targets = source_targets(shards.groupBy("_key").agg(F.sum("shard_size").alias("source_size")), "_key", weights=weights)
     all_blocks = F.round(F.sum("target").over(Window.partitionBy(F.lit(0))) / block).cast("long")
-    quotas = apportion(targets.withColumn("_blocks", all_blocks), ["_src"], [], "target", "_blocks", "source_blocks").drop("_blocks")
-    q = quotas.withColumnRenamed("_src", "_qsrc")
-    by_shard = shards.join(q, F.col("_src").eqNullSafe(F.col("_qsrc"))).drop("_qsrc")
-    by_shard = apportion(by_shard, ["_src", "_shard"], ["_src"], "shard_size", "source_blocks", "shard_blocks")
+    quotas = apportion(targets.withColumn("_blocks", all_blocks), ["_key"], [], "target", "_blocks", "source_blocks").drop("_blocks")
+    by_shard = apportion(shards.join(quotas, "_key"), ["_key", "_shard"], ["_key"], "shard_size", "source_blocks", "shard_blocks")
     ring = by_shard.select(
-        F.col("_src").alias("_qsrc"),
-        F.col("_shard").alias("_qshard"),
+        "_key",
+        "_shard",
         "source_size",
         "target",
         "shard_size",
         F.least(F.col("shard_blocks") * block, 2 * F.col("shard_size")).alias("_quota"),
-        (F.pmod(F.xxhash64(F.lit(seed + 1), F.coalesce("_src", F.lit("")), "_shard"), F.greatest(F.lit(1), F.floor(F.col("shard_size") / block))) * block).alias("_from"),
+        (F.pmod(F.xxhash64(F.lit(seed + 1), "_key", "_shard"), F.greatest(F.lit(1), F.floor(F.col("shard_size") / block))) * block).alias("_from"),
     )
-    order = Window.partitionBy("_src", "_shard").orderBy("_h", *[f"_c{i}" for i in range(len(keep))]).rowsBetween(Window.unboundedPreceding, 0)
-    placed = sized.withColumn("_hi", F.sum("size").over(order))
-    x = placed.join(ring, F.col("_src").eqNullSafe(F.col("_qsrc")) & (F.col("_shard") == F.col("_qshard")))
+    order = Window.partitionBy("_key", "_shard").orderBy("_h", *[f"_c{i}" for i in range(len(keep))]).rowsBetween(Window.unboundedPreceding, 0)
+    # The window and the join share one exchange.
+    x = sized.withColumn("_hi", F.sum("size").over(order)).join(ring, ["_key", "_shard"])
     lo, hi, total = F.col("_hi") - F.col("size"), F.col("_hi"), F.col("shard_size")
     rest = F.when(total > 0, F.pmod("_quota", total)).otherwise(0)
     whole = F.when(total > 0, F.floor(F.col("_quota") / total)).otherwise(0).cast("long")
@@ -127,7 +129,7 @@ def plan(docs: DataFrame, keep: list[str] | None = None, id_col: str = "doc_id",
         cut[f"b{i}"] = F.when(n > 0, F.least(hi, b) - lo).otherwise(0).cast("long")
     x = x.withColumns(cut)
     taken = F.col("whole") * F.col("size") + F.col("b0") - F.col("a0") + F.col("b1") - F.col("a1")
-    return x.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(keep)], F.col("_id").alias(id_col), F.col("_src").alias(source_col), "size", "source_size", "target", taken.cast("long").alias("taken"), "whole", "a0", "b0", "a1", "b1")
+    return x.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(keep)], F.col("_id").alias(id_col), F.nullif(F.substring("_key", 2, 1 << 30), F.when(F.col("_key") == "z", "")).alias(source_col), "size", "source_size", "target", taken.cast("long").alias("taken"), "whole", "a0", "b0", "a1", "b1")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
