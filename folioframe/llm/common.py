@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,18 +15,31 @@ from ..workspace import fresh_path
 WORD_RE = r"[^\x20\x09-\x0D]+"
 SPACE_RE = r"[\x20\x09-\x0D]+"
 
+_COLLECTORS: list[list[str]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Collects the paths of tables stored meanwhile, for a caller that knows when they have been read for the last time."""
+    made: list[str] = []
+    _COLLECTORS.append(made)
+    try:
+        yield made
+    finally:
+        _COLLECTORS.pop()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage is cut and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored_at(df, name)[0]
 
 
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """As :func:`stored`, with the path, for callers that delete the table when nothing reads it any more."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    for made in _COLLECTORS:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -33,6 +50,12 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def settle(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of steps whose DataFrames are gone, rather than when the driver next collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; null and blank texts give an empty array."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_RE), lambda w: w != "")

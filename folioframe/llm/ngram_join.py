@@ -29,13 +29,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remove, stored, stored_at
+from .common import remove, settle, stored, stored_at
 from .textsets import as_bytes, mix, shingles
 
 SHINGLE = 5
 THRESHOLD = (80, 100)
 #: Members of a tile of a bucket, and partners of a hub that one group of rows holds.
 TILE, FAN = 1024, 64
+#: Hubs of many partners that may be broadcast.
+FANS_AT_MOST = 1_000_000
 _U = np.uint64
 _BAND, _PART = _U(0xD6E8FEB86659FD93), _U(0xA0761D6478BD642F)
 
@@ -156,20 +158,29 @@ def _starts(t: pa.Table, columns: tuple[int, ...]) -> np.ndarray:
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (sig, h), sorted: the distinct classes of each signature that has several, with a bucket number and the smallest."""
+    """Of (sig, h), sorted: the distinct classes of each signature that has several, with a bucket number and the smallest.
+
+    Of a signature that reaches over batches only the first and the last class are held, so its size doesn't matter.
+    """
     bucket = TaskContext.get().partitionId() << 40
-    for t, first in _runs(batches):
-        sig, h = t.column(0).to_numpy(), t.column(1).to_numpy()
-        run = np.zeros(len(h), np.int64)
-        run[first[1:]] = 1
-        run = np.cumsum(run)
-        fresh = np.ones(len(h), bool)
-        fresh[1:] = (h[1:] != h[:-1]) | (run[1:] != run[:-1])
+    held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+    for b in batches:
+        if not b.num_rows:
+            continue
+        new = (b.column(0).to_numpy(), b.column(1).to_numpy(), np.zeros(b.num_rows, bool))
+        sig, h, told = (np.concatenate(x) for x in zip(held, new, strict=True))
+        begins = np.ones(len(sig), bool)
+        begins[1:] = sig[1:] != sig[:-1]
+        fresh = begins.copy()
+        fresh[1:] |= h[1:] != h[:-1]
+        first, run = np.flatnonzero(begins), np.cumsum(begins) - 1
         n = np.bincount(run[fresh], minlength=len(first))
-        out = fresh & (n[run] > 1)
+        out = fresh & (n[run] > 1) & ~told
         if out.any():
             yield _batch([("bucket", pa.int64()), ("h", pa.int64()), ("hub", pa.int64())], bucket + run[out], h[out], h[first][run[out]])
-        bucket += len(first)
+        bucket += len(first) - 1
+        keep = np.unique([first[-1], len(sig) - 1]) if n[-1] > 1 else first[-1:]
+        held = (sig[keep], h[keep], np.full(len(keep), n[-1] > 1))
 
 
 def _sketched(p: int, q: int):
@@ -234,8 +245,10 @@ def _checked(size: int, p: int, q: int):
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, p: int, q: int) -> DataFrame:
     """The pairs (a, b) of classes whose texts really are similar enough."""
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fans = pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN).alias("fan"))
-    pairs = pairs.join(fans, "a").withColumn("slot", F.pmod(F.xxhash64("b"), "fan")).drop("fan")
+    fans = stored(pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN).alias("fan")).where("fan > 1"), "join-fans")
+    # At most one hub in FAN pairs; beyond a million of them the join is left to Spark.
+    fans = F.broadcast(fans) if fans.limit(FANS_AT_MOST + 1).count() <= FANS_AT_MOST else fans
+    pairs = pairs.join(fans, "a", "left").withColumn("slot", F.pmod(F.xxhash64("b"), F.coalesce("fan", F.lit(1)))).drop("fan")
     rows = pairs.select("a", "slot", F.lit(False).alias("hub"), F.col("b").alias("h")).union(pairs.select("a", "slot", F.lit(True).alias("hub"), F.col("a").alias("h")).distinct())
     rows = rows.join(classes.select("h", "rep", "rep_th"), "h")
     rows = rows.join(texts, F.col("rep").eqNullSafe(F.col("_id")) & (F.col("rep_th") == F.col("_th")))
@@ -281,17 +294,20 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     texts = docs.select(docs[id_col].cast("long").alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"))
     sets, sets_at = stored_at(shingled(texts, shingle, p, q), "join-sets")
-    has = sets.where("n > 0")
+    ids = stored(sets.select("_id", "_th", "n", "h"), "join-ids")
     classes = stored(
-        has.groupBy("h").agg(F.min(F.struct(F.coalesce("_id", F.lit(2**63 - 1)), F.col("_id").alias("id"), F.col("_th").alias("th"))).alias("r")).select("h", F.col("r.id").alias("rep"), F.col("r.th").alias("rep_th")),
+        ids.where("n > 0").groupBy("h").agg(F.min(F.struct(F.coalesce("_id", F.lit(2**63 - 1)), F.col("_id").alias("id"), F.col("_th").alias("th"))).alias("r")).select("h", F.col("r.id").alias("rep"), F.col("r.th").alias("rep_th")),
         "join-classes",
     )
-    sigs = has.where(F.octet_length("sigs") > 0).select("h", "sigs").mapInArrow(_exploded, "sig long, h long")
+    sigs = sets.where(F.octet_length("sigs") > 0).select("h", "sigs").mapInArrow(_exploded, "sig long, h long")
     members, members_at = stored_at(sigs.repartition(n_parts, "sig").sortWithinPartitions("sig", "h").mapInArrow(_members, "bucket long, h long, hub long"), "join-buckets")
+    del sigs
+    settle(spark)
 
     met = members.where("h <> hub").groupBy("h", "hub").agg(F.count("*").alias("n"))
-    best = met.groupBy("h").agg(F.max(F.struct("n", "hub")).alias("b")).select(F.col("b.hub").alias("a"), F.col("h").alias("b"))
+    best = stored(met.groupBy("h").agg(F.max(F.struct("n", "hub")).alias("b")).select(F.col("b.hub").alias("a"), F.col("h").alias("b")), "join-best")
     links = stored(_verified(best, classes, texts, shingle, p, q), "join-links")
+    settle(spark)
     roots = _roots(links.select(F.col("b").alias("h"), F.col("a").alias("parent")))
 
     rooted = members.join(roots, "h", "left").select("bucket", "h", F.coalesce("root", "h").alias("root"))
@@ -301,10 +317,13 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     open_rows = rooted.join(mixed, "bucket").withColumn("t", F.pmod(F.xxhash64("h"), "tiles"))
     open_rows = open_rows.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("o"), "t", "h", "root")
     open_rows = open_rows.select("bucket", F.least("t", "o").alias("ti"), F.greatest("t", "o").alias("tj"), "t", "h", "root")
-    drawn = has.where("sketch is not null").select("h", F.col("n").alias("size"), "sketch").dropDuplicates(["h"])
+    drawn = sets.where("sketch is not null").select("h", F.col("n").alias("size"), "sketch").dropDuplicates(["h"])
     open_rows = open_rows.join(drawn, "h").select("bucket", "ti", "tj", "t", "h", "root", "size", "sketch")
     near = open_rows.repartition(n_parts, "bucket", "ti", "tj").sortWithinPartitions("bucket", "ti", "tj").mapInArrow(_sketched(p, q), "a long, b long").distinct()
     near = stored(near, "join-near")
+    for at in (sets_at, members_at, rooted_at):
+        remove(spark, at)
+    settle(spark)
     ends = roots.withColumnsRenamed({"h": "v"})
     if not near.isEmpty():
         more = _verified(near, classes, texts, shingle, p, q)
@@ -317,12 +336,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     full = classes.join(ends.withColumnRenamed("v", "h"), "h", "left").select("h", "rep", "rep_th", F.coalesce("root", "h").alias("root"))
     least = full.groupBy("root").agg(F.min(F.struct(F.coalesce("rep", F.lit(2**63 - 1)), F.col("rep").alias("id"), F.col("rep_th").alias("th"))).alias("c"))
     named = stored(full.join(least, "root").select("h", F.col("c.id").alias("component_id"), F.col("c.th").alias("_first")), "join-components")
-    for at in (members_at, rooted_at):
-        remove(spark, at)
-    known = sets.select("_id", "_th", "n", "h").where("n > 0").join(named, "h")
+    known = ids.where("n > 0").join(named, "h")
     first = F.col("_id").eqNullSafe(F.col("component_id")) & (F.col("_th") == F.col("_first"))
     known = known.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "_th", first.alias("first"))
-    return known.unionByName(sets.where("n = 0").select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("_id").alias("component_id"), "_th", F.lit(True).alias("first")))
+    return known.unionByName(ids.where("n = 0").select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("_id").alias("component_id"), "_th", F.lit(True).alias("first")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -98,6 +98,34 @@ def test_sketches_never_exceed_the_distance(n, m, seed):
     assert np.bitwise_count(N._fold(x, size) ^ N._fold(y, size)).sum() <= len(np.setxor1d(a, b))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 5)), max_size=40), st.integers(1, 6))
+def test_members_over_batches(rows, size):
+    import pyarrow as pa
+
+    class Task:
+        def partitionId(self):
+            return 0
+
+    N.TaskContext, kept = type("T", (), {"get": staticmethod(Task)}), N.TaskContext
+    try:
+        rows = sorted(rows)
+        cut = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in c], pa.int64()) for k in (0, 1)], names=["sig", "h"]) for c in cut]
+        got = [tuple(r.values()) for b in N._members(iter(batches)) for r in b.to_pylist()]
+    finally:
+        N.TaskContext = kept
+    groups = defaultdict(set)
+    for s, h in rows:
+        groups[s].add(h)
+    want = sorted((min(g), h) for g in groups.values() if len(g) > 1 for h in g)
+    assert sorted((hub, h) for _, h, hub in got) == want
+    by = defaultdict(set)
+    for bucket, h, _ in got:
+        by[bucket].add(h)
+    assert sorted(map(sorted, by.values())) == sorted(sorted(g) for g in groups.values() if len(g) > 1)
+
+
 def test_words():
     assert len(word_hashes(b"One two\tthree\x0bfour\x1cfive")) == 4
     assert (word_hashes("ÄB".encode()) == word_hashes("Äb".encode())).all()
