@@ -36,8 +36,8 @@ SHINGLE = 5
 THRESHOLD = (80, 100)
 #: Members of a tile of a bucket, and partners of a hub that one group of rows holds.
 TILE, FAN = 1024, 64
-#: Hubs of many partners that may be broadcast.
-FANS_AT_MOST = 1_000_000
+#: Hubs of many partners, and ids of needed texts, that may be broadcast.
+FANS_AT_MOST, NEED_AT_MOST = 1_000_000, 500_000
 _U = np.uint64
 _BAND, _PART = _U(0xD6E8FEB86659FD93), _U(0xA0761D6478BD642F)
 
@@ -250,7 +250,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
     fans = F.broadcast(fans) if fans.limit(FANS_AT_MOST + 1).count() <= FANS_AT_MOST else fans
     pairs = pairs.join(fans, "a", "left").withColumn("slot", F.pmod(F.xxhash64("b"), F.coalesce("fan", F.lit(1)))).drop("fan")
     rows = pairs.select("a", "slot", F.lit(False).alias("hub"), F.col("b").alias("h")).union(pairs.select("a", "slot", F.lit(True).alias("hub"), F.col("a").alias("h")).distinct())
-    rows = rows.join(classes.select("h", "rep", "rep_th"), "h")
+    rows = stored(rows.join(classes.select("h", "rep", "rep_th"), "h"), "join-rows")
+    need = rows.select("rep", "rep_th").distinct()
+    if need.limit(NEED_AT_MOST + 1).count() <= NEED_AT_MOST:  # texts that no pair needs aren't shuffled
+        texts = texts.join(F.broadcast(need), F.col("_id").eqNullSafe(F.col("rep")) & (F.col("_th") == F.col("rep_th")), "left_semi")
     rows = rows.join(texts, F.col("rep").eqNullSafe(F.col("_id")) & (F.col("rep_th") == F.col("_th")))
     rows = rows.select("a", "slot", "hub", "h", "_text").repartition(n, "a", "slot").sortWithinPartitions("a", "slot", F.col("hub").desc(), "h")
     return rows.mapInArrow(_checked(size, p, q), "a long, b long")
