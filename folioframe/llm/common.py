@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -52,8 +53,10 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def settle(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of steps whose DataFrames are gone, rather than when the driver next collects garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # what the first round finds unreachable releases more, which only a second one finds
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def words(text: Column) -> Column:
