@@ -1,7 +1,7 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-A candidate is the value assigned to a word such as password or token, or a run of 16 and more letters, digits and
-``_+/-`` that begins as issued keys do or has a digit among its first 65 characters. The forest sees its length, shares and transitions of character
+A candidate is any value assigned to a word such as password or token, whatever blanks and tabs stand around the sign, or a
+run of 16 and more letters, digits and ``_+/-``, or a shorter one that begins as issued keys do. The forest sees its length, shares and transitions of character
 classes, how much of it dictionary words cover, whether it stands in a path, and the words beside it. It is trained from labelled
 findings (left context, value, right context, label); where a user has none, from seeded examples of what is and isn't a secret.
 
@@ -23,12 +23,12 @@ from .common import let
 TREES, DEPTH, SEED, EXAMPLES = 15, 6, 5, 1600
 THRESHOLD, MASK = 0.5, "[SECRET]"
 KEY = r"(?i:passwords?|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
-ASSIGNED = KEY + r"[\"']?[ ]{0,2}[=:][ ]{0,2}[\"']?"
-VALUE = r"[A-Za-z0-9_+/.!@#$%^&*~-]{8,}"
+ASSIGNED = KEY + r"[\"']?[ \t]*+[=:][ \t]*+[\"']?"
+VALUE = r"[A-Za-z0-9_+/.!@#$%^&*~-]+"
 #: Starts by which issuers mark their keys.
 MARKS = r"(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_live_|rk_live_|sk-|AIza|ya29|eyJ)"
 ISSUED = f"^{MARKS}"
-PATTERN = rf"{ASSIGNED}{VALUE}|(?<![A-Za-z0-9_+/-]){MARKS}[A-Za-z0-9_+/-]{{12,}}|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]{{0,64}}[0-9])[A-Za-z0-9_+/-]{{16,}}"
+PATTERN = rf"{ASSIGNED}{VALUE}|(?<![A-Za-z0-9_+/-]){MARKS}[A-Za-z0-9_+/-]{{12,}}|(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{{16,}}"
 #: Common English words and endings, and words of placeholders.
 DICTIONARY = "the|and|tion|ing|ment|with|from|have|this|that|user|name|file|data|page|test|demo|dummy|example|sample|change|place|holder|your|here|secret|password|token|hello|world|admin|letme|default|value|index|image|version|release|build|config|system|report|final|draft"
 #: Words beside values that are digests or ids rather than secrets.
@@ -61,7 +61,7 @@ def features(value: Column, left: Column, right: Column) -> dict[str, Column]:
 
 
 def labelled_examples(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[str, str, str, int]]:
-    """Seeded findings (left, value, right, label): issued keys and assigned random values against digests, ids, numbers, paths and placeholders."""
+    """Seeded findings (left, value, right, label): issued keys, assigned random values and bare random runs against digests, ids, numbers, paths, names, words and placeholders."""
     r = random.Random(seed)
     pick = lambda chars, k: "".join(r.choice(chars) for _ in range(k))
     hexes, alnum, low = "0123456789abcdef", string.ascii_letters + string.digits, string.ascii_lowercase
@@ -71,19 +71,26 @@ def labelled_examples(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[str, st
 
     def secret() -> tuple[str, str]:
         key = r.choice(["password", "passwd", "secret", "token", "api_key", "apikey", "access_key", "TOKEN", "PASSWORD", "Secret"])
-        sign = r.choice(["=", ": ", " = ", " = \"", "=\"", "='", ":"])
-        kind = r.randrange(6)
-        if kind == 0:
-            return prose() + " ", r.choice(["AKIA", "ASIA"]) + pick(string.ascii_uppercase + string.digits, 16)
+        sign = r.choice(["=", ": ", " = ", " = \"", "=\"", "='", ":", "\t= ", "   = ", "\t:\t", " =    "])
+        kind = r.randrange(10)
+        if kind in (0, 9):
+            return prose() + " ", r.choice(["AKIA", "ASIA"]) + pick(string.ascii_uppercase + r.choice([string.digits, ""]), 16)
         if kind == 1:
             return r.choice([prose() + " ", f"{prose()} {key}{sign}"]), r.choice(["ghp_", "gho_", "glpat-", "sk_live_", "xoxb-", "AIza", "sk-"]) + pick(alnum, r.randint(20, 40))
         if kind in (2, 3):
-            x = pick(hexes, r.choice([16, 18, 20, 24, 32, 40, 64]))
+            x = pick(r.choice([hexes, hexes, string.digits * 2 + "abcdef"]), r.choice([16, 18, 20, 24, 32, 40, 64]))
             return f"{prose()} {key}{sign}", x.upper() if r.random() < 0.2 else x
+        if kind == 6:
+            x = list(pick(r.choice([alnum, string.ascii_letters + "!@#$%&*"]), r.randint(2, 6)) + r.choice(low) + r.choice(string.digits))
+            r.shuffle(x)
+            return f"{prose()} {key}{sign}", "".join(x)
+        if kind in (7, 8):
+            x = pick(r.choice([alnum, string.ascii_letters]), r.randint(20, 44))
+            return prose() + " ", "".join(word() + r.choice("/_") for _ in range(r.choice([0, 0, 2, 12]))) + x
         return f"{prose()} {key}{sign}", pick(alnum + "_-+/" * (kind == 5), r.randint(10, 44))
 
     def harmless() -> tuple[str, str]:
-        kind = r.randrange(9)
+        kind = r.randrange(13)
         if kind == 0:
             return f"{prose()} {r.choice(['commit', 'sha256', 'md5', 'checksum', 'digest', 'revision', 'etag'])}{r.choice([' ', ': ', '='])}", pick(hexes, r.choice([32, 40, 64]))
         if kind == 1:
@@ -100,6 +107,16 @@ def labelled_examples(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[str, st
             return f"{prose()} {r.choice(['password', 'token', 'secret'])}{r.choice(['=', ': '])}", r.choice(["x", "*", "a", "0"]) * r.randint(8, 24)
         if kind == 7:
             return prose() + " ", word() + word() + word() + word() + str(r.randint(1, 2030))
+        if kind == 8:
+            return prose() + " ", "".join(word().capitalize() for _ in range(r.randint(3, 8))).ljust(16, "e")
+        if kind == 9:
+            x = "".join(r.choice(dictionary + [word()]) for _ in range(r.randint(3, 6))).ljust(16, "n")
+            return prose() + " ", r.choice([x, x.capitalize(), x.upper()])
+        if kind == 10:
+            x = r.choice("/_-").join(word() for _ in range(r.randint(4, 20))).ljust(16, "a")
+            return prose() + " ", x.upper() if r.random() < 0.3 else x
+        if kind == 11:
+            return f"{prose()} {r.choice(['token', 'secret', 'password', 'Password'])}{r.choice([': ', ' = ', '=', ':'])}", r.choice([word(), word() + r.choice(".!"), r.choice(dictionary), r.choice(["a", "-", "...", "***", "none", "null", "1", "20"])])
         return f"{prose()} {r.choice(['token', 'secret', 'password'])}: ", "".join(word() for _ in range(3)).ljust(8, "e")
 
     out = []
