@@ -689,6 +689,14 @@ def char_diff_rate(spark, d):
     return x.select("conv_id", F.round(T.char_diff_rate(F.col("a"), F.col("b")), 6).alias("rate"))
 
 
+@query("""WITH c AS (SELECT conv_id, coalesce(max(text) FILTER (turn = 0), '') AS a, coalesce(max(text) FILTER (turn = 2), '') AS b FROM conversations GROUP BY conv_id)
+SELECT conv_id, round(CASE WHEN greatest(length(a), length(b)) = 0 THEN 0 ELSE 100.0 * (greatest(length(a), length(b)) - len(list_filter(list_zip(string_split(a, ''), string_split(b, '')), lambda p: p[1] = p[2] AND p[1] <> ''))) / greatest(length(a), length(b)) END, 6) AS rate FROM c""")
+def char_diff_rate_whole(spark, d):
+    t = lambda n: F.coalesce(F.max(F.when(F.col("turn") == n, F.col("text"))), F.lit(""))
+    x = table(spark, d, "conversations").groupBy("conv_id").agg(t(0).alias("a"), t(2).alias("b"))
+    return x.select("conv_id", F.round(T.char_diff_rate(F.col("a"), F.col("b")), 6).alias("rate"))
+
+
 @query("SELECT o_orderkey, printf('p%04d', o_orderkey) AS page_id FROM orders")
 def id_builders(spark, d):
     return table(spark, d, "orders").select("o_orderkey", R.page_id(F.col("o_orderkey")).alias("page_id"))
@@ -1020,11 +1028,11 @@ def left_lookup(spark, d):
     return table(spark, d, "orders").join(c, "o_custkey", "left").select("o_orderkey", F.coalesce("c_name", F.lit("")).alias("name"))
 
 
-def _records(spark: SparkSession, d: str) -> DataFrame:
-    """Conversations as OCR records: user turns as body, the others as footnotes anchored to the turn before."""
+def _records(spark: SparkSession, d: str, most: int | None = None) -> DataFrame:
+    """Conversations as OCR records: user turns as body, the others as footnotes anchored to the turn before. The marker stands at character 40; ``most`` keeps so many characters after it."""
     line = F.struct(
         F.col("turn").cast("int").alias("line_index"), F.when(F.col("role") == "user", "body").when(F.col("role") == "assistant", "footnote").otherwise("odd").alias("region"),
-        F.concat(F.left("text", F.lit(40)), F.lit("^0"), F.substring("text", 41, 40)).alias("text_raw_ocr"),
+        F.concat(F.left("text", F.lit(40)), F.lit("^0"), F.substring("text", F.lit(41), F.length("text") if most is None else F.lit(most))).alias("text_raw_ocr"),
         F.lit("0").alias("marker_id"), (F.col("turn") - 1).cast("int").alias("marginalia_anchor_index"),
     )
     x = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(line)).alias("lines"))
@@ -1038,6 +1046,15 @@ _LINES = """(SELECT printf('p%04d', conv_id) AS page_id, conv_id, turn, CASE rol
 def scan_to_annotation(spark, d):
     from .plans import pages as PP
 
+    # The twin reads the first 80 characters; scan_to_annotation_whole has all.
+    x = PP.scan_lines(_records(spark, d, 40))
+    return x.select("page_id", "line_id", "text", F.size("markers").alias("n_markers"), F.col("markers")[0]["offset"].alias("at"))
+
+
+@query(f"SELECT page_id, printf('%s_%s_l%04d', page_id, region, seq) AS line_id, text, 1 AS n_markers, length(left(text, 40))::INTEGER AS at FROM {_LINES}")
+def scan_to_annotation_whole(spark, d):
+    from .plans import pages as PP
+
     x = PP.scan_lines(_records(spark, d))
     return x.select("page_id", "line_id", "text", F.size("markers").alias("n_markers"), F.col("markers")[0]["offset"].alias("at"))
 
