@@ -131,6 +131,14 @@ def work_plan_scan(spark, d):
     return readers.work_plan(spark, 1, 2000, table(spark, d, "supplier").select(F.col("s_suppkey").alias("page_num")))
 
 
+@query("SELECT n AS page_num, CASE WHEN s_suppkey IS NULL THEN 'run' ELSE 'skip' END AS action, CASE WHEN s_suppkey IS NULL THEN '' ELSE 'target exists' END AS reason FROM (SELECT unnest(range(1, max(greatest(c, s)) + 1)) AS n FROM (SELECT max(c_custkey) AS c FROM customer), (SELECT max(s_suppkey) AS s FROM supplier)) LEFT JOIN supplier ON s_suppkey = n")
+def work_plan_scan_whole(spark, d):
+    """The plan of all customers' and suppliers' keys."""
+    done = table(spark, d, "supplier").select(F.col("s_suppkey").alias("page_num"))
+    last = max(table(spark, d, "customer").agg(F.max("c_custkey")).head()[0] or 0, done.agg(F.max("page_num")).head()[0] or 0)
+    return readers.work_plan(spark, 1, last, done)
+
+
 @query("SELECT doc_id, text FROM documents UNION ALL SELECT item_id, text FROM benchmark WHERE item_id NOT IN (SELECT doc_id FROM documents)")
 def path_fallback_resolve(spark, d):
     b = table(spark, d, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
@@ -333,6 +341,13 @@ def self_overlap_clash(spark, d):
     return J.ownership_clashes(new, old, "u", "ids").select("unit", F.size("lines").cast("long").alias("n_lines"), F.size("owners").cast("long").alias("n_owners"))
 
 
+@query("SELECT c_nationkey AS unit, count(*) AS n_lines, count(DISTINCT s_nationkey) AS n_owners FROM (SELECT DISTINCT c_nationkey, c_custkey FROM customer) c JOIN (SELECT s_suppkey, s_nationkey FROM supplier) s ON c_custkey = s_suppkey WHERE c_nationkey <> s_nationkey GROUP BY c_nationkey")
+def self_overlap_clash_whole(spark, d):
+    new = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("u")).agg(F.collect_set("c_custkey").alias("ids"))
+    old = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("u")).agg(F.collect_set("s_suppkey").alias("ids"))
+    return J.ownership_clashes(new, old, "u", "ids").select("unit", F.size("lines").cast("long").alias("n_lines"), F.size("owners").cast("long").alias("n_owners"))
+
+
 @query("SELECT doc_id, 'label' AS origin FROM labels UNION ALL SELECT doc_id, 'document' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def priority_union_join(spark, d):
     a, b = table(spark, d, "labels").select("doc_id", F.lit("label").alias("origin")), table(spark, d, "documents").select("doc_id", F.lit("document").alias("origin"))

@@ -23,3 +23,22 @@ def test_lines_keep_whole_texts(spark, talks):
 
 def test_difference_after_60_characters_counts(spark, talks):
     assert {r.conv_id: r.rate for r in Q.char_diff_rate_whole(spark, talks).collect()} == {1: round(100 / len(LONG), 6), 2: 100.0}
+
+
+@pytest.fixture(scope="module")
+def keys(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("keys"))
+    spark.range(1, 2501).selectExpr("id AS c_custkey", "id % 5 AS c_nationkey").write.parquet(f"{d}/customer.parquet")
+    spark.range(1, 2401).selectExpr("id AS s_suppkey", "id % 7 AS s_nationkey").write.parquet(f"{d}/supplier.parquet")
+    return d
+
+
+def test_clashes_of_all_customers(spark, keys):
+    hits = [k for k in range(1, 2401) if k % 5 != k % 7]
+    want = {u: (sum(k % 5 == u for k in hits), len({k % 7 for k in hits if k % 5 == u})) for u in range(5)}
+    assert {r.unit: (r.n_lines, r.n_owners) for r in Q.self_overlap_clash_whole(spark, keys).collect()} == want
+
+
+def test_plan_reaches_the_last_key(spark, keys):
+    got = {r.page_num: r.action for r in Q.work_plan_scan_whole(spark, keys).collect()}
+    assert got == {n: "skip" if n <= 2400 else "run" for n in range(1, 2501)}
