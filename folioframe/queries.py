@@ -943,6 +943,12 @@ def placement_validator(spark, d):
     return x.select("doc_id", C.placed(F.col("text"), F.concat(F.left("text", F.lit(5)), F.lit(" ^z "), F.substring("text", 6, 1000)), F.lit("^z")).alias("placed"))
 
 
+@query()
+def placement_validator_whole(spark, d):
+    x = table(spark, d, "documents")
+    return x.select("doc_id", C.placed(F.col("text"), F.concat(F.left("text", F.lit(5)), F.lit(" ^z "), F.substring("text", F.lit(6), F.length("text"))), F.lit("^z")).alias("placed"))
+
+
 # --- More scans, filters, joins and page operators -----------------------------------------------------------------
 
 
@@ -1157,6 +1163,13 @@ def split_sentences_abbrev(spark, d):
     return x.select("item_id", F.size(FP.split_sentences(F.col("text"))).cast("long").alias("n"))
 
 
+@query()
+def split_sentences_abbrev_whole(spark, d):
+    from .functions import pages as FP
+
+    return table(spark, d, "documents").select("doc_id", F.size(FP.split_sentences(F.col("text"))).cast("long").alias("n"))
+
+
 @query("SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+'), ' ') AS tokens FROM documents WHERE regexp_matches(text, '^[\\x00-\\x25\\x27-\\x7e]*$')")
 def tokenize_fold(spark, d):
     from .functions import pages as FP
@@ -1165,6 +1178,13 @@ def tokenize_fold(spark, d):
     return x.select("doc_id", F.array_join(FP.fold_tokens(F.col("text")), " ").alias("tokens"))
 
 
+@query()
+def tokenize_fold_whole(spark, d):
+    from .functions import pages as FP
+
+    return table(spark, d, "documents").select("doc_id", F.array_join(FP.fold_tokens(F.col("text")), " ").alias("tokens"))
+
+
 @query("SELECT doc_id, strip_accents(text) AS text FROM documents WHERE lang IN ('de', 'es', 'fr')")
 def accent_strip(spark, d):
     from .functions import pages as FP

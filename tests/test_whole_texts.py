@@ -42,3 +42,12 @@ def test_clashes_of_all_customers(spark, keys):
 def test_plan_reaches_the_last_key(spark, keys):
     got = {r.page_num: r.action for r in Q.work_plan_scan_whole(spark, keys).collect()}
     assert got == {n: "skip" if n <= 2400 else "run" for n in range(1, 2501)}
+
+
+def test_hard_rows_are_kept(spark, tmp_path):
+    texts = ["Æther & cœur Élan 12", "He saw St. Peter. Then Dr. No left! Was it 3?", "x" * 400 + " end."]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokens = {r.doc_id: r.tokens for r in Q.tokenize_fold_whole(spark, tmp_path).collect()}
+    assert tokens == {0: "aether and coeur elan 12", 1: "he saw st peter then dr no left was it 3", 2: "x" * 400 + " end"}
+    assert {r.doc_id: r.n for r in Q.split_sentences_abbrev_whole(spark, tmp_path).where("doc_id > 0").collect()} == {1: 3, 2: 1}
+    assert {r.doc_id: r.placed for r in Q.placement_validator_whole(spark, tmp_path).collect()} == {0: True, 1: True, 2: True}
