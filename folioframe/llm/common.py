@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -16,18 +14,22 @@ from ..workspace import fresh_path
 WORD_RE = r"[^\x20\x09-\x0D]+"
 SPACE_RE = r"[\x20\x09-\x0D]+"
 
-_COLLECTORS: list[list[str]] = []
+#: Spark's setting by which an execution's shuffle files go when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def scratch() -> Iterator[list[str]]:
-    """Collects the paths of tables stored meanwhile, for a caller that knows when they have been read for the last time."""
-    made: list[str] = []
-    _COLLECTORS.append(made)
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs meanwhile go with its end; a later use of the same DataFrame would shuffle again."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
     try:
-        yield made
+        yield
     finally:
-        _COLLECTORS.pop()
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -39,9 +41,8 @@ def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """As :func:`stored`, with the path, for callers that delete the table when nothing reads it any more."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    for made in _COLLECTORS:
-        made.append(path)
-    df.write.parquet(path)
+    with tidy(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -51,12 +52,13 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def settle(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of steps whose DataFrames are gone, rather than when the driver next collects garbage."""
-    for _ in range(2):  # what the first round finds unreachable releases more, which only a second one finds
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.3)
+def unused(names: list[str], base: str) -> str:
+    """A column name that begins with ``base`` and that none of ``names`` begins with, whatever its case."""
+    taken = [n.lower() for n in names]
+    name = f"_{base}"
+    while any(n.startswith(name) for n in taken):
+        name = f"_{name}"
+    return name
 
 
 def words(text: Column) -> Column:

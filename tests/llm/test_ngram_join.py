@@ -61,6 +61,7 @@ def corpus(seed, families=12, members=8):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed, monkeypatch):
     monkeypatch.setattr(N, "TILE", 3)
+    monkeypatch.setattr(N, "GROUP_TILE", 2)
     monkeypatch.setattr(N, "FAN", 2)
     docs = corpus(seed) + [(10_000, None), (10_001, ""), (10_002, " \n"), (10_003, "A b"), (10_004, "a B"), (10_005, "b a")]
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' AS h", "1 AS n")
@@ -68,6 +69,41 @@ def test_components(spark, seed, monkeypatch):
     assert got == brute(docs)
 
 
+def test_sets_whose_first_hashes_agree(spark):
+    docs = corpus(5, families=6)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.components(spark.createDataFrame(docs, "doc_id long, text string"), class_bits=3).collect()}
+    assert got == brute(docs)
+
+
+def test_whole_table(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute(docs)
+
+
+def test_common_passages_and_long_texts(spark):
+    """Documents that share most of their words with all others, and two very long ones that differ in a tenth."""
+    r = random.Random(3)
+    passage = [f"p{i}" for i in range(60)]
+    docs = [(i, " ".join(passage + [f"o{r.randrange(10**6)}" for _ in range(r.choice([8, 12, 20, 40]))])) for i in range(120)]
+    long = [f"l{i}" for i in range(60_000)]
+    docs += [(500, " ".join(long)), (501, " ".join(long[:54_000])), (502, " ".join(long[:44_000]))]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in N.components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute(docs)
+
+
+def test_keep_one_carries_any_column(spark):
+    rows = [(2, "a b c d e f g", 7, {"x": 1}), (1, "A b c d e f g", 8, None), (3, "other words", None, {"y": 2})]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _jid long, _kid map<string,int>").selectExpr("*", "1 AS _id", "2 AS _th", "3 AS h", "true AS first")
+    got = sorted((r.doc_id, r._jid, r._kid, r.first) for r in N.keep_one(df).collect())
+    assert got == [(1, 8, None, True), (3, None, {"y": 2}, True)]
+
+
+def test_stars_and_forests():
+    a, b = N._stars(np.array([4, 4, 2, 2, 2, 9]), np.array([5, 3, 8, 8, 1, 0]))
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(1, 8), (3, 5)]
+
+
 def test_large_family(spark):
     """A group in which single pairs fail though neighbours link: the chain must hold together."""
     words = [f"w{i}" for i in range(200)]
@@ -118,10 +154,8 @@ def test_members_over_batches(rows, size):
     groups = defaultdict(set)
     for s, h in rows:
         groups[s].add(h)
-    want = sorted((min(g), h) for g in groups.values() if len(g) > 1 for h in g)
-    assert sorted((hub, h) for _, h, hub in got) == want
     by = defaultdict(set)
-    for bucket, h, _ in got:
+    for bucket, h in got:
         by[bucket].add(h)
     assert sorted(map(sorted, by.values())) == sorted(sorted(g) for g in groups.values() if len(g) > 1)
 
