@@ -4,7 +4,8 @@ Documents are routed to context-size tiers (1024, 512, 256, 128 by default). A d
 longest tier gives whole windows first; what is left of it goes to the smallest tier that holds it. Each tier is
 packed from its longest piece on, the gap of a window is filled from shorter pieces, and a piece is cut only where
 nothing fits. What remains at the end of a task is cut at powers of two, so no window needs padding. Windows of a
-tier form step groups of an equal number of tokens.
+tier form step groups of an equal number of tokens; at the end of a task the tiers' incomplete groups are balanced against each
+other, largest windows first, so that all groups of a task but one at most are full.
 
 The plan is one stage without a shuffle: each task packs the documents of its own input split, with a buffer of a
 bounded number of pieces, so memory doesn't depend on the input and a lost task is simply run again.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -40,20 +42,35 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+#: tiktoken's pattern gives up on runs of white space from some hundred thousand characters on; from these on ``tokenizers`` itself is used.
+LONG_BLANKS = re.compile(r"\s{20000}")
+
+
 def load_encoder(path: str):
-    """text -> ids of a byte-level BPE file of the ``tokenizers`` library, special tokens taken as ordinary text.
+    """text -> ids of a byte-level BPE file, as the ``tokenizers`` library gives them with ``add_special_tokens=False``.
 
     Ids of such a file follow its merge order, so the same vocabulary runs as ranks in the faster tiktoken; a test
-    holds both against each other.
+    holds both against each other. A special token written out in a text gets its id, as that library does by default.
     """
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {x["content"] for x in spec.get("added_tokens", ())}
+    special = {x["content"]: x["id"] for x in spec.get("added_tokens", ())}
     back = _byte_of_char()
     ranks = {bytes(back[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
-    return tiktoken.Encoding("byte_bpe", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    fast, exact = tiktoken.Encoding("byte_bpe", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens=special), []
+
+    def encode(text: str) -> list[int]:
+        if len(text) < 20_000 or not LONG_BLANKS.search(text):
+            return fast.encode(text, allowed_special="all") if any(x in text for x in special) else fast.encode_ordinary(text)
+        if not exact:
+            from tokenizers import Tokenizer
+
+            exact.append(Tokenizer.from_file(path))
+        return exact[0].encode(text, add_special_tokens=False).ids
+
+    return encode
 
 
 class _Piece:
@@ -71,21 +88,39 @@ class _Packer:
 
     def __init__(self, task: int, tiers: tuple[int, ...], step_tokens: int):
         self.tiers, self.step_tokens = tiers, step_tokens
-        self.next_id, self.base = task << 36, task << 24
-        self.in_tier: dict[int, int] = {}
+        self.next_id, self.next_group = task << 36, task << 36
+        #: Windows (lists of rows without a group) of the group that each size is filling.
+        self.filling: dict[int, list[list[tuple]]] = {}
         self.held: list[_Piece] = []
         self.rows: list[tuple] = []
 
     def window(self, pieces: list[_Piece], size: int) -> None:
-        n = self.in_tier.get(size, 0)
-        self.in_tier[size] = n + 1
-        per_group = max(1, self.step_tokens // size)
-        group = ((self.base + n // per_group) << 12) | size
-        offset = 0
+        rows, offset = [], 0
         for p in pieces:
-            self.rows.append((p.doc, p.start, len(p.ids), zlib.crc32(p.ids.tobytes()), p.total, self.next_id, offset, size, group))
+            rows.append((p.doc, p.start, len(p.ids), zlib.crc32(p.ids.tobytes()), p.total, self.next_id, offset, size))
             offset += len(p.ids)
         self.next_id += 1
+        windows = self.filling.setdefault(size, [])
+        windows.append(rows)
+        if (len(windows) + 1) * size > self.step_tokens:
+            self.group(self.filling.pop(size))
+
+    def group(self, windows: list[list[tuple]]) -> None:
+        self.rows += [(*row, self.next_group) for rows in windows for row in rows]
+        self.next_group += 1
+
+    def balance(self) -> None:
+        """Group what the sizes have left: sizes are powers of two, so taken from the largest on they fill groups without a gap."""
+        group, held = [], 0
+        for size in sorted(self.filling, reverse=True):
+            for rows in self.filling.pop(size):
+                if group and held + size > self.step_tokens:
+                    self.group(group)
+                    group, held = [], 0
+                group.append(rows)
+                held += size
+        if group:
+            self.group(group)
 
     def add(self, doc, ids: np.ndarray) -> None:
         top, total = self.tiers[0], len(ids)
@@ -160,8 +195,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
     One row a piece: the document's id, the piece's first position and length there, CRC-32 of its little-endian
     unsigned 32-bit ids, the document's tokens, its window and place in it, the window's tier and step group.
-    A null or empty text gives the one id ``eos_id``; repeated rows are packed each for itself; a null id stays null;
-    an empty table gives no rows; other columns aren't read. ``tiers`` must be falling powers of two.
+    A null or empty text gives the one id ``eos_id``; a text of any length is taken whole, long runs of blanks too; repeated rows
+    are packed each for itself; a null id stays null; an empty table gives no rows; other columns aren't read. ``tiers`` must be falling powers of two.
     """
     if any(t & (t - 1) for t in tiers) or list(tiers) != sorted(set(tiers), reverse=True):
         raise ValueError("tiers must be falling powers of two")
@@ -182,6 +217,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                 if len(packer.rows) >= 20_000:
                     yield packer.batch()
         packer.pack(last=True)
+        packer.balance()
         yield packer.batch()
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, SCHEMA)
