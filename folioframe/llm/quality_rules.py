@@ -16,11 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, stored, words
+from .common import let, stored, unused, words
 
 ABSTAIN, FOR, AGAINST = 0, 1, 2
 #: A word of letters, small but for the first, with one closing mark at most.
 CLEAN_WORD = r"(?<![^\x20\x09-\x0D])\p{L}\p{Ll}*+[.,;:?]?(?![^\x20\x09-\x0D])"
+#: Words from which on the share of repeated ones counts against a text.
+LONG_ENOUGH = 200
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_shouts", "n_clean")
 
 
@@ -78,7 +80,8 @@ def default_rules() -> dict[str, Column]:
     clean, length, repeats = F.col("n_clean") / n, F.col("word_chars") / n, F.col("n_repeat_words") / n
     return {
         "symbols": against(n, F.col("n_symbols") / n > 0.12),
-        "repeats": against(n, repeats > 0.50, repeats < 0.10),
+        # In a short text one repeated sentence is a large share, so it says nothing there.
+        "repeats": against(n, (repeats > 0.35) & (F.col("n_words") >= LONG_ENOUGH), repeats < 0.10),
         "lines": against(n, F.col("n_dup_lines") / n > 0.05),
         "word_length": against(n, (length < 2.5) | (length > 12.0)),
         "upper": against(chars, F.col("n_upper") / chars > 0.30),
@@ -144,8 +147,13 @@ def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None
     return feats.select("*", p.alias("p_good")).select("*", (~F.col("base_failed") & (F.col("p_good") >= threshold)).alias("kept"))
 
 
-def filter_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns and types."""
-    marked = docs.select([docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    kept = judge(marked, f"c{docs.columns.index(text_col)}").where("kept")
-    return kept.select([F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+def filter_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns and types.
+
+    Only verdicts are stored: rows find theirs by id and hash of the text, so copies of a text spread over the tasks. Repeated
+    rows, null ids, null and long texts and columns of any name or type stay as they are.
+    """
+    k, th = unused(docs.columns, "id"), unused(docs.columns, "th")
+    keys = {k: F.coalesce(docs[id_col].cast("string"), F.lit("")), th: F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))}
+    kept = judge(docs.select(*[c.alias(n) for n, c in keys.items()], docs[text_col].alias("text")), "text", keep=[k, th]).where("kept").select(k, th).distinct()
+    return docs.withColumns(keys).join(kept, [k, th], "left_semi").select(*docs.columns)

@@ -56,6 +56,48 @@ def test_em_is_stable():
     assert Q.fit_votes({}, 2)[0] > 0
 
 
+def plain_em(votes, rounds=100, prior=0.8, strength=20.0):
+    """The same model, document by document."""
+    given = {Q.FOR: (0.29, 0.15), Q.AGAINST: (0.01, 0.15)}
+    post = [0.1 if Q.AGAINST in v else 0.9 for v in votes]
+    for _ in range(rounds):
+        good = sum(post)
+        share = (good + strength * prior) / (len(votes) + strength)
+        rate = []
+        for j in range(len(votes[0])):
+            here = {}
+            for vote, (g0, b0) in given.items():
+                g = (strength * g0 + sum(p for p, v in zip(post, votes, strict=True) if v[j] == vote)) / (strength + good)
+                b = (strength * b0 + sum(1 - p for p, v in zip(post, votes, strict=True) if v[j] == vote)) / (strength + len(votes) - good)
+                here[vote] = max(g, b) / b if vote == Q.FOR else g / max(g, b)
+            rate.append(here)
+        new = []
+        for v in votes:
+            odds = share / (1 - share)
+            for j, x in enumerate(v):
+                odds *= rate[j].get(x, 1.0)
+            new.append(odds / (1 + odds))
+        moved, post = max(abs(a - b) for a, b in zip(new, post, strict=True)), new
+        if moved < 1e-9:
+            break
+    return post
+
+
+def test_verdicts_equal_a_plain_em(spark, small):
+    rows = Q.judge(spark.read.parquet(f"{small}/documents.parquet")).collect()
+    want = plain_em([tuple(r[f"vote_{k}"] for k in Q.default_rules()) for r in rows])
+    for r, p in zip(rows, want, strict=True):
+        assert abs(r.p_good - p) < 1e-6
+        assert r.kept == (not r.base_failed and p >= 0.5) or abs(p - 0.5) < 1e-6
+
+
+def test_repeats_count_in_long_texts_only(spark):
+    part = " ".join(f"w{i} x{i}" for i in range(60))
+    docs = [(1, part + " " + " ".join(f"y{i}" for i in range(180)) + " " + part + " " + " ".join(f"v{i}" for i in range(100))), (2, "a b c d e f g h i j k l m n o p q r s t " * 2 + " ".join(f"z{i}" for i in range(60)))]
+    votes = {r.doc_id: (r.base_failed, r.vote_repeats) for r in Q.judge(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert votes == {1: (False, Q.AGAINST), 2: (False, Q.ABSTAIN)}
+
+
 @pytest.mark.parametrize("rows", [[], [(None, "word " * 60, None), (None, None, "x"), (1, "word other third " * 20, "y"), (1, "word other third " * 20, "y")]])
 def test_filter_keeps_columns(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_words string")
