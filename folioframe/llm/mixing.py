@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from .common import n_words, stored
 
@@ -78,12 +79,21 @@ def _overlap(lo: Column, hi: Column, a: Column, b: Column) -> Column:
     return F.greatest(F.lit(0).cast("long"), F.least(hi, b) - F.greatest(lo, a))
 
 
+def _orderable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def plan(docs: DataFrame, keep: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK, shard_docs: int = SHARD_DOCS, seed: int = SEED) -> DataFrame:
     """Every row with size, source_size, target, taken, and how: ``whole`` full copies and word ranges [a0, b0), [a1, b1) of one more.
 
     ``keep`` names further columns to carry (none by default). A null or blank text has size 0 and is never taken;
-    the null source is a source like others; repeated rows are rows of their own (ties in the seeded order are broken
-    by the columns carried, and rows equal in all are alike); an empty table gives no rows. taken <= 2 * size.
+    the null source is a source like others; texts of any length are taken by word; repeated rows are rows of their own
+    (ties in the seeded order are broken by the columns carried that have an order, which maps don't, and rows equal in all are alike);
+    an empty table gives no rows. taken <= 2 * size.
     """
     keep = keep or []
     source = docs[source_col].cast("string")
@@ -104,7 +114,11 @@ def plan(docs: DataFrame, keep: list[str] | None = None, id_col: str = "doc_id",
     targets = source_targets(shards.groupBy("_key").agg(F.sum("shard_size").alias("source_size")), "_key", weights=weights)
     all_blocks = F.round(F.sum("target").over(Window.partitionBy(F.lit(0))) / block).cast("long")
     quotas = apportion(targets.withColumn("_blocks", all_blocks), ["_key"], [], "target", "_blocks", "source_blocks").drop("_blocks")
-    by_shard = apportion(shards.join(quotas, "_key"), ["_key", "_shard"], ["_key"], "shard_size", "source_blocks", "shard_blocks")
+    # Two levels: a source's quota goes to about a square root of its shards in groups, a group's to its shards, so no task sees all of them.
+    shards = shards.withColumn("_group", F.pmod("_shard", F.ceil(F.sqrt(n_shards)).cast("long")))
+    grouped = shards.groupBy("_key", "_group").agg(F.sum("shard_size").alias("group_size"))
+    by_group = apportion(grouped.join(quotas, "_key"), ["_key", "_group"], ["_key"], "group_size", "source_blocks", "group_blocks").drop("group_size")
+    by_shard = apportion(shards.join(by_group, ["_key", "_group"]), ["_key", "_group", "_shard"], ["_key", "_group"], "shard_size", "group_blocks", "shard_blocks")
     ring = by_shard.select(
         "_key",
         "_shard",
@@ -114,7 +128,7 @@ def plan(docs: DataFrame, keep: list[str] | None = None, id_col: str = "doc_id",
         F.least(F.col("shard_blocks") * block, 2 * F.col("shard_size")).alias("_quota"),
         (F.pmod(F.xxhash64(F.lit(seed + 1), "_key", "_shard"), F.greatest(F.lit(1), F.floor(F.col("shard_size") / block))) * block).alias("_from"),
     )
-    order = Window.partitionBy("_key", "_shard").orderBy("_h", *[f"_c{i}" for i in range(len(keep))]).rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("_key", "_shard").orderBy("_h", *[f"_c{i}" for i, c in enumerate(keep) if _orderable(docs.schema[c].dataType)]).rowsBetween(Window.unboundedPreceding, 0)
     # The window and the join share one exchange.
     x = sized.withColumn("_hi", F.sum("size").over(order)).join(ring, ["_key", "_shard"])
     lo, hi, total = F.col("_hi") - F.col("size"), F.col("_hi"), F.col("shard_size")

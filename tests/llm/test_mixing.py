@@ -67,6 +67,14 @@ def test_plan(spark, small):
         assert abs(sum(r.taken for r in x) - want[s]) <= 3 * M.BLOCK + 0.01 * want[s]
 
 
+def test_columns_without_an_order_and_long_texts(spark):
+    rows = [(i, "w " * (200_000 if i == 3 else 5), "s", {"k": i}, [{"a": 1}]) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, m map<string,int>, l array<map<string,int>>")
+    out = M.mix(docs)
+    assert out.dtypes == docs.dtypes
+    assert abs(out.agg(F.sum(F.size(F.split("text", " +")))).head()[0] / (1.5 * 200_035) - 1) < 0.01
+
+
 def test_mix_gives_the_words_taken(spark):
     rows = [(i, " ".join(f"d{i}w{k}" for k in range(i % 40)), f"s{i % 4}", "x") for i in range(200)] + [(None, None, None, None), (7, "", "s1", ""), (8, "rep eat ed", None, "y"), (8, "rep eat ed", None, "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string")
