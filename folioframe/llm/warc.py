@@ -27,18 +27,24 @@ from .common import fresh_path, stored
 LEAST_BYTES = 1000
 #: Payload bytes after which a task begins the next archive, and records of an index entry.
 ARCHIVE_BYTES, SPAN = 64 << 20, 256
+#: Payload bytes that a reader gathers before it hands them on.
+BATCH_BYTES = 16 << 20
 LEVEL = 1
 DATE = "2024-01-01T00:00:00Z"
 _CHUNK = 1 << 20
 
 
 def open_filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """Arrow's filesystem and path of a URI; ``file:/a`` and ``/a`` count as local."""
+    """Arrow's filesystem and path of a URI; ``file:/a`` and ``/a`` count as local, and Hadoop's names of S3 as S3."""
     if uri.startswith("file:"):
         return pyarrow.fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
     if "://" not in uri:
         return pyarrow.fs.LocalFileSystem(), uri
-    return pyarrow.fs.FileSystem.from_uri(uri)
+    scheme, rest = uri.split("://", 1)
+    try:
+        return pyarrow.fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+    except (pa.ArrowInvalid, OSError) as e:
+        raise ValueError(f"archives can't be written to {uri}: Arrow has no file system for {scheme} here; set spark.checkpoint.dir to one of file, hdfs, s3a, gs, abfs") from e
 
 
 def record(fields: dict[str, str], payload: bytes) -> bytes:
@@ -62,16 +68,19 @@ def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
 
 
 def records_of_stream(source) -> Iterator[bytes]:
-    """The raw records of a gzip file of any number of members, in memory no larger than one record and a chunk."""
+    """The raw records of a gzip file of any number of members, in memory no larger than one record and a chunk.
+
+    A file that ends inside a record or inside a member (before its checksum) is an error.
+    """
     inflate, held = zlib.decompressobj(31), bytearray()
-    need = None
+    need, inside = None, False
     while True:
         chunk = source.read(_CHUNK)
         if not chunk:
             break
         while chunk:
             held += inflate.decompress(chunk)
-            chunk = inflate.unused_data
+            chunk, inside = inflate.unused_data, not inflate.eof
             if inflate.eof:
                 inflate = zlib.decompressobj(31)
             at = 0
@@ -87,8 +96,8 @@ def records_of_stream(source) -> Iterator[bytes]:
                 yield bytes(held[at : at + need])
                 at, need = at + need, None
             del held[:at]
-    if held:
-        raise ValueError("the archive ends inside a record")
+    if held or inside:
+        raise ValueError("the archive ends inside a record" if held else "the archive is cut: its gzip stream has no end")
 
 
 def normalise(source, sink, level: int = LEVEL) -> list[tuple[int, int]]:
@@ -161,9 +170,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
 
 def normalise_archives(archives: DataFrame, source: str, target: str, level: int = LEVEL, span: int = SPAN) -> DataFrame:
-    """Normalise each archive of ``archives`` (path); returns (path, from, bytes, records), a row for each span of members.
+    """Normalise each archive of ``archives`` (path, records); returns (path, from, bytes, records), a row for each span of members.
 
-    Beside every archive stands its sidecar ``<path>.idx``: offset and length of each member, a line each.
+    An archive that doesn't hold as many records as its writer counted is an error; a null count isn't checked. Beside every archive stands its sidecar ``<path>.idx``: offset and length of each member, a line each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,16 +180,18 @@ def normalise_archives(archives: DataFrame, source: str, target: str, level: int
         to_fs, to = open_filesystem(target)
         to_fs.create_dir(to, recursive=True)
         for b in batches:
-            for path in b.column(0).to_pylist():
+            for path, records in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 name = f"{uuid.uuid4().hex}.warc.gz"
                 with fs.open_input_stream(f"{root}/{path}", compression=None) as f, to_fs.open_output_stream(f"{to}/{name}", compression=None) as g:
                     index = normalise(f, g, level)
+                if records is not None and len(index) != records:
+                    raise ValueError(f"{path}: {len(index)} records where its writer counted {records}")
                 with to_fs.open_output_stream(f"{to}/{name}.idx") as g:
                     g.write(_sidecar(index))
                 spans = [index[i : i + span] for i in range(0, len(index), span)]
                 yield pa.RecordBatch.from_pydict({"path": pa.array([name] * len(spans), pa.string()), "from": pa.array([s[0][0] for s in spans], pa.int64()), "bytes": pa.array([s[-1][0] + s[-1][1] - s[0][0] for s in spans], pa.int64()), "records": pa.array([len(s) for s in spans], pa.int64())})
 
-    return archives.select("path").mapInArrow(run, "path string, from long, bytes long, records long")
+    return archives.select("path", "records").mapInArrow(run, "path string, from long, bytes long, records long")
 
 
 def read_archives(spans: DataFrame, folder: str) -> DataFrame:
@@ -196,7 +207,11 @@ def read_archives(spans: DataFrame, folder: str) -> DataFrame:
             for path, start, size, n in zip(*(b.column(c).to_pylist() for c in range(4)), strict=True):
                 with fs.open_input_file(f"{root}/{path}") as f:
                     raw = f.read_at(size, start)
+                kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
+                names = ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload")
+                batch = lambda rows, kinds=kinds, names=names: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
                 out: list[tuple] = []
+                got, held = 0, 0
                 for data in records_of_stream(io.BytesIO(raw)):
                     h, payload, _ = parse(data)
                     sha, length = h["WARC-Payload-Digest"].removeprefix("sha1:"), int(h["X-Payload-Bytes"])
@@ -204,11 +219,14 @@ def read_archives(spans: DataFrame, folder: str) -> DataFrame:
                         raise ValueError(f"{path}: a payload isn't what its header says")
                     to = h.get("WARC-Refers-To")
                     out.append((int(h["X-Page-Id"]) if "X-Page-Id" in h else None, h.get("WARC-Target-URI"), length, sha, h["WARC-Type"], int(to.removeprefix("<urn:page:")[:-1]) if to else None, payload if to is None else None))
-                if len(out) != n:
-                    raise ValueError(f"{path}: {len(out)} records where the index has {n}")
-                kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
-                names = ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload")
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+                    got, held = got + 1, held + len(payload)
+                    if held > BATCH_BYTES:
+                        yield batch(out)
+                        out, held = [], 0
+                if got != n:
+                    raise ValueError(f"{path}: {got} records where the index has {n}")
+                if out:
+                    yield batch(out)
 
     return spans.mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
@@ -218,7 +236,8 @@ def round_trip(pages: DataFrame, **columns) -> DataFrame:
     spark: SparkSession = pages.sparkSession
     raw, clean = fresh_path(spark, "warc-raw"), fresh_path(spark, "warc")
     archives = stored(write_archives(pages, raw, **columns), "warc-archives")
-    n = max(1, archives.count())
+    # As many tasks as the session shuffles into at most; each takes several archives then.
+    n = max(1, min(archives.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     spans = stored(normalise_archives(archives.repartition(n), raw, clean), "warc-index")
     fs, root = open_filesystem(raw)
     if fs.get_file_info(root).type != pyarrow.fs.FileType.NotFound:

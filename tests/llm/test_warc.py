@@ -42,6 +42,10 @@ def test_broken_archives():
     _, data = archive([b"abc"])
     with pytest.raises(ValueError, match="inside a record"):
         list(W.records_of_stream(io.BytesIO(gzip.compress(gzip.decompress(data)[:-4]))))
+    _, data = archive([b"abc", b"x" * 3000, b"", b"q"] * 10)
+    for n in range(1, len(data)):  # every cut is noticed
+        with pytest.raises((ValueError, zlib.error)):
+            list(W.records_of_stream(io.BytesIO(data[:n])))
     with pytest.raises(ValueError, match="no WARC record"):
         W.parse(b"HTTP/1.1\r\n\r\n")
 
@@ -57,6 +61,26 @@ def test_pages(spark, small):
     assert W.round_trip(pages.limit(0)).count() == 0
 
 
+def test_records_are_counted(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", "x" * i) for i in range(20)], "page_id long, url string, html string")
+    archives = W.stored(W.write_archives(pages.coalesce(1), f"file://{tmp_path}/raw"), "test-archives")
+    assert W.normalise_archives(archives, f"file://{tmp_path}/raw", f"file://{tmp_path}/a").agg({"records": "sum"}).head()[0] == 20
+    with pytest.raises(Exception, match="records where its writer counted"):
+        W.normalise_archives(archives.selectExpr("path", "records + 1 AS records"), f"file://{tmp_path}/raw", f"file://{tmp_path}/b").collect()
+
+
+def test_large_payloads(spark, monkeypatch):
+    rows = [(i, "u", ("y%d " % i) * 2_000_000) for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.payload_bytes for r in W.round_trip(pages).collect()} == {i: len(h) for i, _, h in rows}
+
+
+def test_file_systems():
+    assert W.open_filesystem("file:/a/b")[1] == "/a/b" == W.open_filesystem("/a/b")[1]
+    with pytest.raises(ValueError, match="no file system"):
+        W.open_filesystem("viewfs://x/y")
+
+
 def test_payloads_come_back(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     back = {r.page_id: bytes(r.payload) for r in W.round_trip(pages, archive_bytes=50_000).where("record_type = 'response'").collect()}
