@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
@@ -23,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 TARGET_BYTES, FANOUT, LEAST_BYTES = 128 << 20, 4, 1 << 20
 #: Jobs that merge at once, and runs that one job merges, a task each.
 PARALLEL, RUNS_A_JOB = 4, 64
+#: Commits that a writer tries when others are first.
+TRIES = 20
 
 
 class CommitConflict(RuntimeError):
@@ -91,11 +94,17 @@ class ShardStore:
 
     def append(self, arrivals: DataFrame) -> int:
         """Write the rows of ``arrivals`` as new shards and commit; returns the version. Columns must be those of the store."""
-        base = self.manifest()
-        schema = arrivals.schema.json()
-        if base["schema"] and [(f.name, f.dataType) for f in arrivals.schema] != [(f.name, f.dataType) for f in self._schema(base)]:
-            raise ValueError("the arrivals' columns are not those of the store")
-        return self._commit(base, base["shards"] + self._write(arrivals), base["schema"] or schema)
+        written = None
+        for _ in range(TRIES):
+            base = self.manifest()
+            if base["schema"] and [(f.name, f.dataType) for f in arrivals.schema] != [(f.name, f.dataType) for f in self._schema(base)]:
+                raise ValueError("the arrivals' columns are not those of the store")
+            written = self._write(arrivals) if written is None else written
+            try:
+                return self._commit(base, base["shards"] + written, base["schema"] or arrivals.schema.json())
+            except CommitConflict:  # the same shards are committed on top of what the other writer did
+                continue
+        raise CommitConflict(f"{TRIES} commits in a row lost against other writers")
 
     @staticmethod
     def _schema(manifest: dict):
@@ -135,7 +144,16 @@ class ShardStore:
             with ThreadPoolExecutor(PARALLEL) as pool:
                 merged = list(pool.map(lambda job: self._write(reduce(DataFrame.unionAll, map(read, job))), jobs))
             gone = {s.path for run in runs for s in run}
-            self._commit(base, [s for s in base["shards"] if s.path not in gone] + [s for m in merged for s in m], base["schema"])
+            for _ in range(TRIES):
+                if not gone <= {s.path for s in base["shards"]}:  # another writer merged some of them; what was written here is never named
+                    break
+                try:
+                    self._commit(base, [s for s in base["shards"] if s.path not in gone] + [s for m in merged for s in m], base["schema"])
+                    break
+                except CommitConflict:
+                    base = self.manifest()
+            else:
+                raise CommitConflict(f"{TRIES} commits in a row lost against other writers")
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version, the latest by default."""
@@ -146,21 +164,26 @@ class ShardStore:
         paths = [f"{self.root}/{s.path}" for s in m["shards"]]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def vacuum(self) -> int:
-        """Delete shards that the latest version doesn't name; earlier versions can't be read afterwards. Returns how many went."""
-        live = {s.path for s in self.manifest()["shards"]}
-        n = 0
+    def vacuum(self, keep_versions: int = 10, older_than_s: float = 7 * 86400) -> int:
+        """Delete shards that none of the latest ``keep_versions`` names and that are older than ``older_than_s``; returns how many went.
+
+        The age protects shards that another writer has written and not yet committed. Versions before the kept ones can't
+        be read afterwards.
+        """
+        latest = self.version()
+        live = {s.path for v in range(max(1, latest - keep_versions + 1), latest + 1) for s in self.manifest(v)["shards"]}
+        n, oldest = 0, (time.time() - older_than_s) * 1000
         for folder, _ in self._list("data"):
-            names = [f"data/{folder}/{x}" for x, _ in self._list(f"data/{folder}") if x.endswith(".parquet")]
-            for x in names:
-                if x not in live:
-                    self._fs.delete(self._path(x), False)
+            for f in self._fs.listStatus(self._path(f"data/{folder}")):
+                name = f"data/{folder}/{f.getPath().getName()}"
+                if name.endswith(".parquet") and name not in live and f.getModificationTime() <= oldest:
+                    self._fs.delete(f.getPath(), False)
                     n += 1
         return n
 
 
 def ingest(tables: list[DataFrame], root: str, **options) -> ShardStore:
-    """Append each table as an arrival, compact, and drop the shards that were merged.
+    """Append each table as an arrival and compact. Earlier versions stay readable until :meth:`ShardStore.vacuum`.
 
     All columns are kept as they are, null, long and repeated rows included; an empty table commits a version without rows.
     """
@@ -168,5 +191,4 @@ def ingest(tables: list[DataFrame], root: str, **options) -> ShardStore:
     for t in tables:
         store.append(t)
     store.compact()
-    store.vacuum()
     return store
