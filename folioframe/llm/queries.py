@@ -44,7 +44,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.train(spark))
+    import public_tokenizers
+
+    words = secret_scan.dictionary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.train(spark, words=words))
     return found.select("doc_id", "start", "length", "kind", "score", F.md5(F.encode("secret", "UTF-8")).alias("secret_md5"))
 
 

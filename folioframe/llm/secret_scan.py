@@ -3,15 +3,22 @@
 A candidate is any value assigned to a word such as password or token, whatever blanks and tabs stand around the sign, or a
 run of 16 and more letters, digits and ``_+/-``, or a shorter one that begins as issued keys do. The forest sees its length, shares and transitions of character
 classes, how much of it dictionary words cover, whether it stands in a path, and the words beside it. It is trained from labelled
-findings (left context, value, right context, label); where a user has none, from seeded examples of what is and isn't a secret.
+findings (left context, value, right context, label), a table or a list; where a user has none, from seeded examples of what is
+and isn't a secret. :func:`evaluate` gives precision and recall on findings that were held out.
+
+The dictionary is the most frequent whole words of a public tokenizer's vocabulary file, whose path is a parameter.
 
 Native: candidates, features and the forest, written as a SQL expression, run in one stage without a shuffle.
 """
 
 from __future__ import annotations
 
+import base64
 import random
+import re
 import string
+from collections import Counter
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -20,7 +27,9 @@ from pyspark.sql import functions as F
 
 from .common import let
 
-TREES, DEPTH, SEED, EXAMPLES = 15, 6, 5, 1600
+TREES, DEPTH, SEED, EXAMPLES = 21, 8, 5, 4000
+#: Labelled findings that a forest is fitted on, at most (of the smallest hashes), and words of the dictionary.
+FIT_FINDINGS, DICTIONARY_WORDS = 20_000, 1500
 THRESHOLD, MASK = 0.5, "[SECRET]"
 KEY = r"(?i:passwords?|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
 ASSIGNED = KEY + r"[\"']?[ \t]*+[=:][ \t]*+[\"']?"
@@ -29,17 +38,53 @@ VALUE = r"[A-Za-z0-9_+/.!@#$%^&*~-]+"
 MARKS = r"(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_live_|rk_live_|sk-|AIza|ya29|eyJ)"
 ISSUED = f"^{MARKS}"
 PATTERN = rf"{ASSIGNED}{VALUE}|(?<![A-Za-z0-9_+/-]){MARKS}[A-Za-z0-9_+/-]{{12,}}|(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{{16,}}"
-#: Common English words and endings, and words of placeholders.
-DICTIONARY = "the|and|tion|ing|ment|with|from|have|this|that|user|name|file|data|page|test|demo|dummy|example|sample|change|place|holder|your|here|secret|password|token|hello|world|admin|letme|default|value|index|image|version|release|build|config|system|report|final|draft"
+#: Endings and words that stand inside joined-up names, for values whose words nothing separates.
+PARTS = "the|and|tion|ing|ment|with|from|have|this|that|user|name|file|data|page|test|demo|dummy|example|sample|change|place|holder|your|here|secret|password|token|hello|world|admin|letme|default|value|index|image|version|release|build|config|system|report|final|draft"
 #: Words beside values that are digests or ids rather than secrets.
 HARMLESS = r"(?i)\b(?:sha\d*|md5|commit|revision|checksum|digest|hash|etag|uuid|guid|isbn|order|invoice|phone|tel|card|account|version|build|serial|tracking|example|sample|placeholder|image|png|jpg)\b"
-FEATURES = ("length", "digits", "upper", "lower", "hex", "changes", "distinct", "words", "path", "assigned", "issued", "harmless", "dashes", "digits_only", "vowels")
+#: What documentation writes in place of a key.
+PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|change[_-]?me|your[_-]|redacted|xxxx|0000000|1234567|abcdef"
+FEATURES = ("length", "digits", "upper", "lower", "hex", "changes", "distinct", "pairs", "longest", "mixed", "parts", "dictionary", "placeholder", "path", "assigned", "issued", "harmless", "dashes", "digits_only", "vowels")
+
+
+def dictionary(path: str, words: int = DICTIONARY_WORDS, least: int = 4) -> tuple[str, ...]:
+    """The first ``words`` whole lower-case words of a byte-level vocabulary (a piece and its rank a line), most frequent first."""
+    found = []
+    with open(path, "rb") as f:
+        for line in f:
+            piece = base64.b64decode(line.split()[0])
+            if re.fullmatch(rb" [a-z]{%d,}" % least, piece):
+                found.append(piece[1:].decode())
+                if len(found) == words:
+                    break
+    return tuple(found)
+
+
+def common_pairs(words: tuple[str, ...], pairs: int = 220) -> str:
+    """A pattern that matches, without taking it, a letter pair frequent in ``words`` (or in :data:`PARTS`)."""
+    count = Counter(w[i : i + 2] for w in words or PARTS.split("|") for i in range(len(w) - 1))
+    after: dict[str, str] = {}
+    for pair, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[:pairs]:
+        after[pair[0]] = after.get(pair[0], "") + pair[1]
+    return "(?=" + "|".join(f"{a}[{b}]" for a, b in sorted(after.items())) + ")"
+
+
+@dataclass(frozen=True)
+class Model:
+    """A grown forest and the dictionary that its features look words up in."""
+
+    forest: list
+    words: tuple[str, ...] = ()
 
 
-def features(value: Column, left: Column, right: Column) -> dict[str, Column]:
+def features(value: Column, left: Column, right: Column, words: tuple[str, ...] = ()) -> dict[str, Column]:
     """The forest's inputs; all are doubles."""
     size = F.greatest(F.length(value), F.lit(1)).cast("double")
     n = lambda p: F.regexp_count(value, F.lit(p)).cast("double")
+    known = (lambda w: F.lower(w).isin(*words)) if words else (lambda w: F.lit(False))
+    covered = F.aggregate(F.regexp_extract_all(value, F.lit("[A-Z]?[a-z]+|[A-Z]+"), F.lit(0)), F.lit(0), lambda a, w: a + F.when(known(w), F.length(w)).otherwise(0))
+    segment = F.array_max(F.transform(F.split(value, "[/_.+-]+"), lambda s: F.struct(F.length(s).alias("n"), s.alias("s"))))
+    change = "(?<=[a-z])[0-9A-Z]|(?<=[A-Z])[0-9a-z]|(?<=[0-9])[A-Za-z]"
     yes = lambda c: F.when(c, F.lit(1.0)).otherwise(F.lit(0.0))
     return {
         "length": size,
@@ -47,9 +92,14 @@ def features(value: Column, left: Column, right: Column) -> dict[str, Column]:
         "upper": n("[A-Z]") / size,
         "lower": n("[a-z]") / size,
         "hex": yes(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")),
-        "changes": n("(?<=[a-z])[0-9A-Z]|(?<=[A-Z])[0-9a-z]|(?<=[0-9])[A-Za-z]") / size,
+        "changes": n(change) / size,
         "distinct": F.size(F.array_distinct(F.split(value, ""))).cast("double") / size,
-        "words": (size - F.length(F.regexp_replace(F.lower(value), DICTIONARY, ""))) / size,
+        "pairs": F.regexp_count(F.lower(value), F.lit(common_pairs(words))).cast("double") / size,
+        "longest": segment["n"].cast("double"),
+        "mixed": F.regexp_count(segment["s"], F.lit(change)).cast("double") / F.greatest(segment["n"], F.lit(1)),
+        "parts": (size - F.length(F.regexp_replace(F.lower(value), PARTS, ""))) / size,
+        "dictionary": covered / size,
+        "placeholder": yes(value.rlike(PLACEHOLDER)),
         "path": yes(value.rlike("[/.][A-Za-z_]+[/.]|^/|/$") | left.rlike(r"(?:https?:|/|\\)\S*$") | right.rlike(r"^[./][A-Za-z]")),
         "assigned": yes(left.rlike(ASSIGNED + "$")),
         "issued": yes(value.rlike(ISSUED)),
@@ -65,9 +115,18 @@ def labelled_examples(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[str, st
     r = random.Random(seed)
     pick = lambda chars, k: "".join(r.choice(chars) for _ in range(k))
     hexes, alnum, low = "0123456789abcdef", string.ascii_letters + string.digits, string.ascii_lowercase
-    word = lambda: pick(low, r.randint(2, 9))
+    parts = PARTS.split("|")
+
+    def word() -> str:
+        """A word of syllables, a known one, or now and then letters at random."""
+        kind = r.random()
+        if kind < 0.15:
+            return pick(low, r.randint(2, 9))
+        if kind < 0.4:
+            return r.choice(parts)
+        return "".join(r.choice(["b", "c", "ch", "d", "f", "g", "h", "l", "m", "n", "p", "r", "s", "sch", "st", "t", "th", "tr", "v", "w"]) + r.choice(["a", "e", "i", "o", "u", "ea", "ie", "ou"]) + r.choice(["", "", "n", "r", "s", "t", "nd", "rt", "rtz", "ng"]) for _ in range(r.randint(1, 3)))
+
     prose = lambda: " ".join(word() for _ in range(r.randint(1, 4)))
-    dictionary = DICTIONARY.split("|")
 
     def secret() -> tuple[str, str]:
         key = r.choice(["password", "passwd", "secret", "token", "api_key", "apikey", "access_key", "TOKEN", "PASSWORD", "Secret"])
@@ -90,7 +149,13 @@ def labelled_examples(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[str, st
         return f"{prose()} {key}{sign}", pick(alnum + "_-+/" * (kind == 5), r.randint(10, 44))
 
     def harmless() -> tuple[str, str]:
-        kind = r.randrange(13)
+        kind = r.randrange(15)
+        if kind == 13:
+            x = r.choice(["AKIA", "ASIA", "ghp_", "sk_live_", "AIza", "sk-"])
+            return prose() + r.choice([" ", " key=", " token: "]), r.choice([x + pick(string.ascii_uppercase + string.digits, 9) + "EXAMPLE", x + "X" * 16, x + "EXAMPLE" + pick(alnum, 8), x + "your_key_goes_here", x + "1234567890abcdef"])
+        if kind == 14:
+            x = r.choice(["your_api_key_here", "change-me-please", "example-token-value", "REDACTED", "xxxxxxxxxxxx", "0000000000000000", "dummy_secret_1", "placeholder"])
+            return f"{prose()} {r.choice(['password', 'token', 'secret', 'api_key'])}{r.choice(['=', ': ', ' = '])}", x
         if kind == 0:
             return f"{prose()} {r.choice(['commit', 'sha256', 'md5', 'checksum', 'digest', 'revision', 'etag'])}{r.choice([' ', ': ', '='])}", pick(hexes, r.choice([32, 40, 64]))
         if kind == 1:
@@ -102,7 +167,7 @@ def labelled_examples(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[str, st
         if kind == 4:
             return prose() + r.choice([" https://", " /"]), "/".join([word() for _ in range(3)]) + "/" + str(r.randint(1, 9999)) + "/" + pick(hexes, 12)
         if kind == 5:
-            return f"{prose()} {r.choice(['password', 'token', 'secret', 'api_key'])}{r.choice(['=', ': ', ' = '])}", (r.choice(dictionary) + r.choice(["", "_", "-"]) + r.choice(dictionary) + r.choice(["", "1", "123", "2024"])).ljust(8, "x")
+            return f"{prose()} {r.choice(['password', 'token', 'secret', 'api_key'])}{r.choice(['=', ': ', ' = '])}", (r.choice(parts) + r.choice(["", "_", "-"]) + r.choice(parts) + r.choice(["", "1", "123", "2024"])).ljust(8, "x")
         if kind == 6:
             return f"{prose()} {r.choice(['password', 'token', 'secret'])}{r.choice(['=', ': '])}", r.choice(["x", "*", "a", "0"]) * r.randint(8, 24)
         if kind == 7:
@@ -110,13 +175,13 @@ def labelled_examples(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[str, st
         if kind == 8:
             return prose() + " ", "".join(word().capitalize() for _ in range(r.randint(3, 8))).ljust(16, "e")
         if kind == 9:
-            x = "".join(r.choice(dictionary + [word()]) for _ in range(r.randint(3, 6))).ljust(16, "n")
+            x = "".join(r.choice(parts + [word()]) for _ in range(r.randint(3, 6))).ljust(16, "n")
             return prose() + " ", r.choice([x, x.capitalize(), x.upper()])
         if kind == 10:
             x = r.choice("/_-").join(word() for _ in range(r.randint(4, 20))).ljust(16, "a")
             return prose() + " ", x.upper() if r.random() < 0.3 else x
         if kind == 11:
-            return f"{prose()} {r.choice(['token', 'secret', 'password', 'Password'])}{r.choice([': ', ' = ', '=', ':'])}", r.choice([word(), word() + r.choice(".!"), r.choice(dictionary), r.choice(["a", "-", "...", "***", "none", "null", "1", "20"])])
+            return f"{prose()} {r.choice(['token', 'secret', 'password', 'Password'])}{r.choice([': ', ' = ', '=', ':'])}", r.choice([word(), word() + r.choice(".!"), r.choice(parts), r.choice(["a", "-", "...", "***", "none", "null", "1", "20"])])
         return f"{prose()} {r.choice(['token', 'secret', 'password'])}: ", "".join(word() for _ in range(3)).ljust(8, "e")
 
     out = []
@@ -161,16 +226,34 @@ def forest_score(forest: list, inputs: dict[str, Column]) -> Column:
     return reduce(lambda a, b: a + b, map(tree, forest)) / F.lit(float(len(forest)))
 
 
-def train(spark: SparkSession, findings: list[tuple[str, str, str, int]] | None = None, **options) -> list:
-    """A forest from labelled findings (left, value, right, label), a bounded list."""
-    findings = labelled_examples() if findings is None else findings
-    rows = spark.createDataFrame(findings, "left string, value string, right string, label int")
-    got = rows.select(*[c.alias(k) for k, c in features(F.col("value"), F.col("left"), F.col("right")).items()], "label").collect()
+def _findings(spark: SparkSession, findings) -> DataFrame:
+    if findings is None:
+        findings = labelled_examples()
+    return findings if isinstance(findings, DataFrame) else spark.createDataFrame(findings, "left string, value string, right string, label int")
+
+
+def train(spark: SparkSession, findings: DataFrame | list[tuple[str, str, str, int]] | None = None, words: tuple[str, ...] = (), most: int = FIT_FINDINGS, **options) -> Model:
+    """A model from labelled findings (left, value, right, label); of more than ``most`` those of the smallest hashes are taken.
+
+    Findings with a null value or label are left out; null contexts count as empty.
+    """
+    rows = _findings(spark, findings).where("value is not null and label is not null")
+    rows = rows.orderBy(F.xxhash64("left", "value", "right"), "value").limit(most)
+    side = lambda c: F.coalesce(F.col(c), F.lit(""))
+    got = rows.select(*[c.alias(k) for k, c in features(F.col("value"), side("left"), side("right"), words).items()], "label").collect()
     data = np.array([tuple(map(float, r)) for r in got])
-    return grow(data[:, :-1], data[:, -1], **options)
+    return Model(grow(data[:, :-1], data[:, -1], **options), words)
+
+
+def evaluate(spark: SparkSession, model: Model, findings: DataFrame | list[tuple[str, str, str, int]], threshold: float = THRESHOLD) -> dict[str, float]:
+    """Precision and recall of the model on labelled findings that it wasn't trained on."""
+    x = _findings(spark, findings).withColumn("_f", F.struct(*[c.alias(k) for k, c in features(F.col("value"), F.col("left"), F.col("right"), model.words).items()]))
+    hit = let(F.col("_f"), lambda f: forest_score(model.forest, {k: f[k] for k in FEATURES})) >= threshold
+    both, said, true = x.agg(F.count(F.when(hit & (F.col("label") == 1), 1)), F.count(F.when(hit, 1)), F.count(F.when(F.col("label") == 1, 1))).head()
+    return {"precision": both / max(said, 1), "recall": both / max(true, 1)}
 
 
-def _candidates(text: Column, forest: list) -> Column:
+def _candidates(text: Column, model: Model) -> Column:
     """Array of (gap, key, value, p) in text order: what stands before, the assignment's word and sign, the value, its score."""
     gaps, found = F.split(text, PATTERN, -1), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
@@ -180,20 +263,21 @@ def _candidates(text: Column, forest: list) -> Column:
         left = F.concat(F.right(F.get(parts, i), F.lit(40)), key)
         inputs = let(
             F.struct(value.alias("value"), left.alias("left"), F.left(F.get(parts, i + 1), F.lit(24)).alias("right")),
-            lambda c: let(F.struct(*[v.alias(k) for k, v in features(c["value"], c["left"], c["right"]).items()]), lambda f: forest_score(forest, {k: f[k] for k in FEATURES})),
+            lambda c: let(F.struct(*[v.alias(k) for k, v in features(c["value"], c["left"], c["right"], model.words).items()]), lambda f: forest_score(model.forest, {k: f[k] for k in FEATURES})),
         )
         return F.struct(F.get(parts, i).alias("gap"), key.alias("key"), value.alias("value"), inputs.alias("p"))
 
     return let(gaps, lambda parts: F.transform(found, lambda m, i: one(parts, m, i)))
 
 
-def scan(docs: DataFrame, forest: list, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """A row for each secret: id, start (characters before it), length, kind (issued, assigned or run), score, secret.
 
-    A null or empty text has none; repeated rows each give theirs, a null id stays null; other columns aren't read.
+    A null or empty text has none; texts and candidates of any length are looked at whole; repeated rows each give theirs, a null
+    id stays null; an empty table gives no rows; other columns aren't read.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    c = docs.select(docs[id_col].alias("_id"), text.alias("_t")).where(F.col("_t").rlike(PATTERN)).select("_id", _candidates(F.col("_t"), forest).alias("_c"))
+    c = docs.select(docs[id_col].alias("_id"), text.alias("_t")).where(F.col("_t").rlike(PATTERN)).select("_id", _candidates(F.col("_t"), model).alias("_c"))
     empty = F.array().cast("array<struct<start:bigint,value:string,key:string,p:double>>")
 
     def step(a: Column, x: Column) -> Column:
@@ -207,10 +291,10 @@ def scan(docs: DataFrame, forest: list, id_col: str = "doc_id", text_col: str =
     return rows.select(F.col("_id").alias(id_col), F.col("f.start").alias("start"), F.length("f.value").cast("long").alias("length"), kind.alias("kind"), F.col("f.p").alias("score"), F.col("f.value").alias("secret"))
 
 
-def redact(docs: DataFrame, forest: list, text_col: str = "text", threshold: float = THRESHOLD, mask: str = MASK) -> DataFrame:
+def redact(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD, mask: str = MASK) -> DataFrame:
     """``docs`` with each secret of ``text_col`` replaced by ``mask``; all rows and other columns stay, null texts too."""
     text = docs[text_col].cast("string")
     tail = lambda parts: F.element_at(parts, -1)
     piece = lambda x: F.concat(x["gap"], x["key"], F.when(x["p"] >= threshold, F.lit(mask)).otherwise(x["value"]))
-    clean = F.concat(F.concat_ws("", F.transform(_candidates(text, forest), piece)), tail(F.split(text, PATTERN, -1)))
+    clean = F.concat(F.concat_ws("", F.transform(_candidates(text, model), piece)), tail(F.split(text, PATTERN, -1)))
     return docs.withColumn(text_col, F.when(text.rlike(PATTERN), clean).otherwise(text))

@@ -1,3 +1,4 @@
+import public_tokenizers
 import pytest
 
 from folioframe.llm import secret_scan as S
@@ -17,7 +18,7 @@ PLAIN = ["the token: the end", "a password: none", "password = secret", "thanono
 
 @pytest.fixture(scope="module")
 def forest(spark):
-    return S.train(spark)
+    return S.train(spark, words=S.dictionary(public_tokenizers.path("byte_bpe_50k.tiktoken")))
 
 
 def test_hard_secrets_are_found_and_masked(spark, forest):
