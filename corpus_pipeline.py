@@ -1,62 +1,43 @@
 """Corpus pipeline: quality rules, n-gram Jaccard join, secret scan, source mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. Its result is to be written as Parquet and
-reread as the next one's docs: a stage begins by deleting the intermediate tables of the one before it. Tokenising can't be said in SQL, so there is no twin; tests hold the stages against brute force.
+reread as the next one's docs. Null, empty and very long texts, null ids and sources, repeated rows and further columns of any
+name pass every stage: a null or empty text fails the base rule and goes in the first; a repeated row is a copy, of which the
+second keeps one; ties between copies go to the smallest id, a null id last; an empty table stays empty. Tokenising can't
+be said in SQL, so there is no twin; tests hold the stages against brute force.
 """
 
 from __future__ import annotations
 
-from functools import wraps
-
 from pyspark.sql import DataFrame, SparkSession
 
 from folioframe.llm import mixing, ngram_join, packing, quality_rules, secret_scan
-from folioframe.llm.common import remove, scratch, settle, stored
-
-#: Intermediate tables of the stage that ran last, by application.
-_LEFT: dict[str, list[str]] = {}
-
-
-def _stage(f):
-    @wraps(f)
-    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        app = spark.sparkContext.applicationId
-        for path in _LEFT.pop(app, []):
-            remove(spark, path)
-        settle(spark)
-        with scratch() as made:
-            out = f(spark, docs, sf_dir)
-        _LEFT[app] = made
-        return out
+from folioframe.llm.common import stored
 
-    return run
 
-
-@_stage
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
     return quality_rules.filter_documents(docs)
 
 
-@_stage
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return ngram_join.keep_one(docs)
 
 
-@_stage
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; documents stay."""
-    return secret_scan.redact(docs, secret_scan.train(spark))
+    import public_tokenizers
+
+    words = secret_scan.dictionary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return secret_scan.redact(docs, secret_scan.train(spark, words=words))
 
 
-@_stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are mixed to their targets: documents repeat, or stay in part."""
     return mixing.mix(docs)
 
 
-@_stage
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents become pieces of windows of at most 1024 tokens."""
     import public_tokenizers
