@@ -87,17 +87,25 @@ def split_sentences(c: Column) -> Column:
     return F.aggregate(cut, empty, step, lambda a: F.when(a["buf"] == "", a["out"]).otherwise(F.concat(a["out"], F.array(a["buf"]))))
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def fold_tokens(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+#: Letters that are spelt out.
+SPELT = str.maketrans({"ſ": "s", "æ": "ae", "Æ": "Ae", "œ": "oe", "Œ": "Oe", "&": " and "})
+
+
+def folded(text: str | None) -> list[str]:
     """Lower-case runs of letters and digits after compatibility decomposition without marks; ſ, ae, oe and & are spelt out."""
     import re
     import unicodedata
 
-    spelt = str.maketrans({"ſ": "s", "æ": "ae", "Æ": "Ae", "œ": "oe", "Œ": "Oe", "&": " and "})
     # NFKD is not among Spark's functions.
-    fold = lambda t: re.findall(r"[^\W_]+", "".join(c for c in unicodedata.normalize("NFKD", (t or "").translate(spelt)) if unicodedata.category(c)[0] != "M").lower())
+    plain = "".join(c for c in unicodedata.normalize("NFKD", (text or "").translate(SPELT)) if unicodedata.category(c)[0] != "M")
+    return re.findall(r"[^\W_]+", plain.lower())
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def fold_tokens(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """:func:`folded` as a column function."""
     for s in texts:
-        yield s.map(fold)
+        yield s.map(folded)
 
 
 @F.pandas_udf(StringType())

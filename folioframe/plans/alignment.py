@@ -3,49 +3,76 @@
 from __future__ import annotations
 
 import difflib
+import re
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
 MOST_SENTENCES, SKIP = 24, 0.05
+#: What counts as a content word.
+CONTENT_WORD = r"[a-zà-ÿ]{3,}"
+STOP_WORDS = """the and that was his with for which this not are but have had from they were been their them also who him her she you
+all one out into when then there these those""".split()
 
 
-def align_spans(similarity: np.ndarray, most: int = MOST_SENTENCES, skip: float = SKIP) -> list[tuple[int, int]]:
-    """Each unit takes 0 to ``most`` consecutive sentences, in order, so that the similarities add up to the most.
+def span_scores(unit: set[str], sentences: list[set[str]], most: int = MOST_SENTENCES) -> np.ndarray:
+    """[start, length - 1]: Jaccard of the unit's words and the union of a span's, scaled by 0.5 + 0.5 * (fewer / more words).
 
-    ``similarity[u, s]`` is that of unit u and sentence s; a skipped sentence between spans costs ``skip``, trailing ones nothing.
+    A span that reaches beyond the last sentence has -inf, one without words, or a unit without, 0.
     """
-    units, n = similarity.shape
-    sums = np.concatenate([np.zeros((units, 1)), np.cumsum(similarity, axis=1)], axis=1)
-    best = -skip * np.arange(n + 1)
-    back: list[np.ndarray] = []
-    for u in range(units):
-        new, start = best.copy(), np.arange(n + 1)
-        for k in range(1, min(most, n) + 1):
-            value = best[: n + 1 - k] + sums[u, k:] - sums[u, : n + 1 - k]
-            better = value > new[k:] + 1e-12
+    n = len(sentences)
+    out = np.full((n, min(most, n)), -np.inf)
+    vocabulary = {w: i for i, w in enumerate(sorted(set().union(*sentences)))} if n else {}
+    has = np.zeros((len(vocabulary), n), bool)
+    for j, words in enumerate(sentences):
+        has[[vocabulary[w] for w in words], j] = True
+    mine = np.zeros(len(vocabulary), bool)
+    mine[[vocabulary[w] for w in unit if w in vocabulary]] = True
+    for start in range(n):
+        union = np.logical_or.accumulate(has[:, start : start + most], axis=1)
+        size, both = union.sum(axis=0), union[mine].sum(axis=0)
+        either = len(unit) + size - both
+        with np.errstate(divide="ignore", invalid="ignore"):
+            balance = np.minimum(len(unit), size) / np.maximum(len(unit), size)
+            score = both / either * (0.5 + 0.5 * balance)
+        out[start, : len(size)] = np.where((size == 0) | (len(unit) == 0), 0.0, score)
+    return out
+
+
+def align_spans(scores: list[np.ndarray], n: int, skip: float = SKIP) -> list[tuple[int, int]]:
+    """Each unit takes the next 0 or more of the ``n`` sentences so that the spans' scores add up to the most.
+
+    ``scores[u]`` is :func:`span_scores` of unit u. A unit without a span costs ``skip``; sentences between spans are never left
+    out, those after the last one are free. Of equal choices the longest last span wins, and of equal ends the first.
+    """
+    best = np.full(n + 1, -np.inf)
+    best[0] = 0.0
+    came: list[np.ndarray] = []
+    for table in scores:
+        new, start = np.full(n + 1, -np.inf), np.arange(n + 1)
+        for k in range(table.shape[1], 0, -1):
+            value = best[: n + 1 - k] + table[: n + 1 - k, k - 1]
+            better = value > new[k:]
             new[k:][better] = value[better]
             start[k:][better] = np.flatnonzero(better)
-        jump = np.arange(n + 1)
-        for s in range(1, n + 1):
-            if new[s - 1] - skip > new[s] + 1e-12:
-                new[s], jump[s] = new[s - 1] - skip, jump[s - 1]
-        back.append(np.stack([start[jump], jump]))
+        none = best - skip > new
+        new[none], start[none] = best[none] - skip, np.flatnonzero(none)
+        came.append(start)
         best = new
     spans, at = [], int(np.argmax(best))
-    for b in reversed(back):
-        spans.append((int(b[0, at]), int(b[1, at])))
-        at = int(b[0, at])
+    for start in reversed(came):
+        spans.append((int(start[at]), at))
+        at = int(start[at])
     return spans[::-1]
 
 
-def _words(text: str) -> set[str]:
-    return {w for w in "".join(c.lower() if c.isalnum() else " " for c in text or "").split() if len(w) > 2}
+def _words(text: str | None) -> set[str]:
+    return set(re.findall(CONTENT_WORD, (text or "").lower())) - set(STOP_WORDS)
 
 
 def align(rows: DataFrame, doc: str, side: str, pos: str, text: str) -> DataFrame:
-    """(doc, unit, first, last) from rows with side 'unit' or 'sentence': sentences [first, last) of each unit.
+    """(doc, unit, first, last) from rows with side 'unit' or 'sentence': sentences [first, last) of each unit, none if equal.
 
     One document's rows meet in a task; documents are of bounded size.
     """
@@ -53,20 +80,50 @@ def align(rows: DataFrame, doc: str, side: str, pos: str, text: str) -> DataFram
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(pos)
         units, sentences = (pdf[pdf[side] == s] for s in ("unit", "sentence"))
-        a, b = [_words(t) for t in units[text]], [_words(t) for t in sentences[text]]
-        sim = np.array([[len(x & y) / len(x | y) if x | y else 0.0 for y in b] for x in a]).reshape(len(a), len(b))
-        spans = align_spans(sim)
+        words = [_words(t) for t in sentences[text]]
+        spans = align_spans([span_scores(_words(t), words) for t in units[text]], len(words))
         return pd.DataFrame({doc: pdf[doc].iloc[0], "unit": units[pos].to_numpy(), "first": [x for x, _ in spans], "last": [y for _, y in spans]})
 
     return rows.select(doc, side, pos, text).groupBy(doc).applyInPandas(run, f"{doc} {rows.schema[doc].dataType.simpleString()}, unit long, first long, last long")
 
 
-def bridge_lines(source: list[list[str]], reference: list[list[str]]) -> list[float | None]:
-    """For each source line the mean reference line of its tokens in matching blocks, weighted by the matches; None without any."""
+def matching_lines(source: list[list[str]], reference: list[list[str]]) -> list[list[int]]:
+    """For each source line the reference lines of its tokens in matching blocks, one a token."""
     flat = lambda lines: ([t for x in lines for t in x], [i for i, x in enumerate(lines) for _ in x])
     (a, at_a), (b, at_b) = flat(source), flat(reference)
     votes: list[list[int]] = [[] for _ in source]
     for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
         for k in range(m.size):
             votes[at_a[m.a + k]].append(at_b[m.b + k])
-    return [sum(v) / len(v) if v else None for v in votes]
+    return votes
+
+
+def bridge_lines(source: list[list[str]], reference: list[list[str]]) -> list[tuple[int, int]]:
+    """(reference line, votes) for each source line: the mean line of its matching tokens; lines without any are interpolated
+    between their neighbours; then lines are rounded, and never fall. Without any match, or reference, all lie at 0."""
+    votes = matching_lines(source, reference) if reference else [[] for _ in source]
+    known = [i for i, v in enumerate(votes) if v]
+    if not known:
+        return [(0, 0) for _ in source]
+    mean = np.interp(np.arange(len(source)), known, [sum(votes[i]) / len(votes[i]) for i in known])
+    # Python's round and numpy's rint both take halves to the even number.
+    lines = np.maximum.accumulate(np.clip(np.rint(mean), 0, len(reference) - 1).astype(int))
+    return [(int(x), len(v)) for x, v in zip(lines, votes, strict=True)]
+
+
+def bridge(rows: DataFrame, doc: str, side: str, pos: str, text: str) -> DataFrame:
+    """(doc, pos, line, votes) of the rows with side 'bridge' against those with side 'reference', by folded tokens.
+
+    One document's rows meet in a task; documents are of bounded size. Matching is that of difflib, quadratic at worst in
+    a document's tokens.
+    """
+    from ..functions.pages import folded
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(pos)
+        mine, theirs = (pdf[pdf[side] == s] for s in ("bridge", "reference"))
+        got = bridge_lines([folded(t) for t in mine[text]], [folded(t) for t in theirs[text]])
+        return pd.DataFrame({doc: pdf[doc].iloc[0], pos: mine[pos].to_numpy(), "line": [x for x, _ in got], "votes": [v for _, v in got]})
+
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in (doc, pos)}
+    return rows.select(doc, side, pos, text).groupBy(doc).applyInPandas(run, f"{doc} {kinds[doc]}, {pos} {kinds[pos]}, line long, votes long")

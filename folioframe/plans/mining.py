@@ -7,14 +7,38 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.sets import without_subgrams
+from ..workspace import stored
 
 
-def clauses(rows: DataFrame, page: str, text: str, token: str = "[a-z]{2,}") -> DataFrame:
+def clauses(rows: DataFrame, page: str, text: str, token: str = r"\p{L}{2,}") -> DataFrame:
     """(page, pos, tokens): the lower-case tokens of each stretch between punctuation marks."""
     parts = rows.select(page, F.posexplode(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[.,;:!?()\[\]\n]+")).alias("pos", "_c"))
     return parts.select(page, "pos", F.regexp_extract_all("_c", F.lit(token), F.lit(0)).alias("tokens")).where(F.size("tokens") > 0)
 
 
+#: Words that look like numerals, and words whose -que isn't the enclitic.
+NO_NUMERALS = ("vi", "di", "mi", "ci")
+NO_ENCLITIC = tuple("""atque neque itaque utique usque undique denique quoque quinque cumque plerumque ubique uterque utraque utrumque namque absque
+cunque unusquisque quisque quaeque quicunque quocunque peraeque susque oblique antique propinque seque torque quaque""".split())
+
+
+def latin_clauses(rows: DataFrame, page: str, text: str) -> DataFrame:
+    """(page, pos, surfaces, tokens): the words of each stretch between punctuation, quotes and dashes, as written and in lower case.
+
+    Carets with their marker go, ligatures are spelt out, an enclitic -que is a word of its own; words of one letter, digits and
+    Roman numerals are left out.
+    """
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"\^[A-Za-z0-9]{1,2}", " ")
+    for letter, spelt in (("æ", "ae"), ("œ", "oe"), ("ſ", "s"), ("Æ", "Ae"), ("Œ", "Oe")):
+        t = F.replace(t, F.lit(letter), F.lit(spelt))
+    parts = rows.select(page, F.posexplode(F.split(t, "[.,;:!?()\\[\\]“”\"'«»—–]+")).alias("pos", "_c"))
+    pieces = F.flatten(F.transform(F.split(F.col("_c"), r"(?U)\s+"), lambda w: F.when(F.lower(w).endswith("que") & ~F.lower(w).isin(*NO_ENCLITIC) & (F.length(w) > 4), F.array(F.left(w, F.length(w) - 3), F.right(w, F.lit(3)))).otherwise(F.array(w))))
+    surfaces = F.transform(pieces, lambda w: F.regexp_replace(w, "[^A-Za-zÀ-ÿ]+", ""))
+    roman = "^m{0,4}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})$"
+    kept = F.filter(surfaces, lambda w: (F.length(w) >= 2) & (F.lower(w).isin(*NO_NUMERALS) | ~F.lower(w).rlike(roman)))
+    return parts.select(page, "pos", kept.alias("surfaces")).where(F.size("surfaces") > 0).select(page, "pos", "surfaces", F.transform("surfaces", F.lower).alias("tokens"))
+
+
 def word_table(clause: DataFrame, page: str) -> DataFrame:
     """(word, count, pages)"""
     return clause.select(page, F.explode("tokens").alias("word")).groupBy("word").agg(F.count("*").alias("count"), F.countDistinct(page).alias("pages"))
@@ -23,15 +47,21 @@ def word_table(clause: DataFrame, page: str) -> DataFrame:
 def phrase_table(clause: DataFrame, page: str, stopwords: list[str], least: int = 2, most: int = 6, min_count: int = 3) -> DataFrame:
     """(phrase, n, count, pages, loglik of pairs): n-grams without stopwords at their ends, without those a longer one explains."""
     stop = F.array(*map(F.lit, stopwords)).cast("array<string>")
-    ends_well = lambda g: ~F.array_contains(stop, F.element_at(F.split(g, " "), 1)) & ~F.array_contains(stop, F.element_at(F.split(g, " "), -1))
-    grams = clause.select(page, F.explode(T.ngrams(F.col("tokens"), least, most)).alias("phrase")).where(ends_well(F.col("phrase")))
-    counted = grams.groupBy("phrase").agg(F.count("*").alias("count"), F.countDistinct(page).alias("pages")).where(F.col("count") >= min_count)
+    t = F.col("tokens")
+    ends_well = lambda i, n: ~F.array_contains(stop, F.get(t, i)) & ~F.array_contains(stop, F.get(t, i + n - 1))
+    starts = lambda n: F.filter(F.sequence(F.lit(0), F.size(t) - n), lambda i: ends_well(i, n))
+    sized = lambda n: F.when(F.size(t) >= n, F.transform(starts(n), lambda i: F.array_join(F.slice(t, i + 1, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
+    grams = clause.select(page, F.explode(F.concat(*[sized(n) for n in range(least, most + 1)])).alias("phrase"))
+    # N-grams are built once: per phrase and page, then per phrase; what is left is stored, since it is joined with itself.
+    per_page = grams.groupBy("phrase", page).agg(F.count("*").alias("c"))
+    counted = stored(per_page.groupBy("phrase").agg(F.sum("c").alias("count"), F.count("*").alias("pages")).where(F.col("count") >= min_count), "phrases")
     kept = without_subgrams(counted, "phrase", "count", least, most).withColumn("n", F.size(F.split("phrase", " ")))
-    pairs = clause.select(F.explode(T.ngrams(F.col("tokens"), 2, 2)).alias("_p"))
-    first = pairs.groupBy(F.split("_p", " ")[0].alias("_a")).agg(F.count("*").alias("row"))
-    second = pairs.groupBy(F.split("_p", " ")[1].alias("_b")).agg(F.count("*").alias("col"))
-    total = clause.agg(F.sum(F.size("tokens")).alias("total"))
-    two = kept.where("n = 2").withColumns({"_a": F.split("phrase", " ")[0], "_b": F.split("phrase", " ")[1]}).join(first, "_a").join(second, "_b").join(F.broadcast(total))  # one row
+    # A pair's marginals are how often its words have a right or a left neighbour.
+    words = clause.select(F.size(t).alias("_n"), F.posexplode(t).alias("_i", "_w")).groupBy("_w").agg(F.count_if(F.col("_i") < F.col("_n") - 1).alias("row"), F.count_if(F.col("_i") > 0).alias("col"), F.count("*").alias("seen"))
+    words = stored(words, "phrase-words")
+    total = words.agg(F.sum("seen").alias("total"))
+    two = kept.where("n = 2").withColumns({"_a": F.split("phrase", " ")[0], "_b": F.split("phrase", " ")[1]})
+    two = two.join(words.select(F.col("_w").alias("_a"), "row"), "_a").join(words.select(F.col("_w").alias("_b"), "col"), "_b").join(F.broadcast(total))  # one row
     scored = two.select("phrase", F.round(T.log_likelihood(F.col("count"), F.col("row"), F.col("col"), F.col("total")), 2).alias("loglik"))
     return kept.join(scored, "phrase", "left").select("phrase", "n", "count", "pages", "loglik")
 

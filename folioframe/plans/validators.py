@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records as R
 from ..functions import text as T
+from ..functions.pages import strip_accents
 from ..operators.windows import neighbour_set, neighbour_text
 
 GROUP, ORDER = ["page_num", "kind"], ["ord", "segment_id"]
@@ -69,9 +70,17 @@ def citations(segments: DataFrame, rules: DataFrame, window: int = 1) -> DataFra
 
 
 def markers(segments: DataFrame, window: int = 1) -> DataFrame:
-    """``^x`` of a body line's Latin missing in the neighbours' English, English ones nobody has, and repeated ones."""
+    """Markers of a body line's Latin missing in the neighbours' English, English ones nobody has, and repeated ones.
+
+    The Latin's are those of the structured column ``markers`` (structs with marker_id, a letter each) where it is there and has some,
+    otherwise ``^x`` in the text.
+    """
     ids = lambda c: F.regexp_extract_all(c, F.lit(r"(?U)\^([a-z])\b"), F.lit(1))
-    x = segments.where("kind = 'body'").withColumns({"_lat": ids(F.col("latin")), "_own": ids(F.coalesce("english", F.lit("")))})
+    latin = ids(F.col("latin"))
+    if "markers" in segments.columns:
+        given = F.filter(F.transform(F.coalesce(F.col("markers"), F.array()), lambda m: F.lower(m["marker_id"])), lambda m: F.coalesce(m.rlike(r"^\p{L}$"), F.lit(False)))
+        latin = F.when(F.size(given) > 0, given).otherwise(latin)
+    x = segments.where("kind = 'body'").withColumns({"_lat": latin, "_own": ids(F.coalesce("english", F.lit("")))})
     x = x.withColumns({"_near_lat": neighbour_set(F.col("_lat"), ["page_num"], ORDER, window), "_near_en": neighbour_set(F.col("_own"), ["page_num"], ORDER, window)})
     row = lambda flag, severity: lambda m: F.struct(F.lit(flag).alias("flag"), F.lit(severity).alias("severity"), m.alias("marker_id"))
     dropped = F.transform(F.filter("_lat", lambda m: ~F.array_contains("_near_en", m)), row("MARKER_DROPPED", "high"))
@@ -87,39 +96,80 @@ def trivial(segments: DataFrame) -> DataFrame:
     return _finding(x, F.col("_flag"), F.lit("high"))
 
 
+#: Fixed value: Latin words after Greek that say it again in Latin.
+PARAPHRASE_CUE = r"(?iU)\b(?:hoc\s+est|id\s+est|nempe|videlicet|scilicet|vel|seu|sive|h\.\s*e\.|i\.\s*e\.|viz\.|sc\.)\b"
+#: Characters after the Greek in which a cue counts, and Latin letters that make a line mixed prose.
+CUE_REACH, MIXED_LETTERS = 30, 4
+
+
 def greek(segments: DataFrame, window: int = 1, gloss_window: int = 5, glosses: bool = False) -> DataFrame:
-    """Greek spans of the Latin that the neighbours' English lacks; with ``glosses``, also spans without any bracketed text near by."""
+    """Greek spans of the Latin that the neighbours' English lacks, accents aside; with ``glosses``, on lines that also hold Latin, spans
+    that no Latin cue follows and after which no ``[`` opens in the English near by.
+    """
     near = neighbour_text(F.coalesce("english", F.lit("")), GROUP, ORDER, window)
     far = neighbour_text(F.coalesce("english", F.lit("")), GROUP, ORDER, gloss_window)
-    x = segments.withColumns({"_en": near, "_far": far}).withColumn("_span", F.explode(T.greek_spans(F.col("latin"))))
-    dropped = ~F.col("_en").contains(F.col("_span"))
-    bare = F.lit(glosses) & ~dropped & ~F.col("_far").rlike(r"[\[(][^\])]*[A-Za-z][^\])]*[\])]")
+    x = segments.withColumns({"_en": near, "_far": far, "_spans": T.greek_spans(F.col("latin"))}).where(F.size("_spans") > 0)
+    # Texts are folded once a line, before its spans become rows.
+    x = x.withColumns({"_en": strip_accents("_en"), "_far": strip_accents("_far")})
+    # Spans stand in order, so the tail of each is what follows it in the rest of the line.
+    empty = F.array().cast("array<struct<span:string,tail:string>>")
+    rest = lambda text, span: F.substring(text, F.instr(text, span) + F.length(span), F.length(text))
+    step = lambda a, s: F.struct(rest(a["left"], s).alias("left"), F.concat(a["out"], F.array(F.struct(s.alias("span"), F.left(rest(a["left"], s), F.lit(CUE_REACH)).alias("tail")))).alias("out"))
+    x = x.withColumn("_s", F.explode(F.aggregate("_spans", F.struct(F.col("latin").alias("left"), empty.alias("out")), step, lambda a: a["out"])))
+    x = x.withColumn("_plain", strip_accents("_s.span"))
+    at = F.instr("_far", F.col("_plain"))
+    glossed = (at > 0) & (F.instr(F.substring("_far", at + F.length("_plain"), F.length("_far")), F.lit("[")) > 0)
+    dropped = ~F.col("_en").contains(F.col("_plain"))
+    mixed = T.alpha_breakdown(F.col("latin"))["latin"] >= MIXED_LETTERS
+    bare = F.lit(glosses) & ~dropped & mixed & ~F.col("_s.tail").rlike(PARAPHRASE_CUE) & ~glossed
     flag = F.when(dropped, "GREEK_DROPPED").when(bare, "BRACKET_GLOSS_MISSING")
     x = x.withColumn("_flag", flag).where("_flag is not null")
-    return _finding(x, F.col("_flag"), F.when(F.col("_flag") == "GREEK_DROPPED", "high").otherwise("low"), span=F.col("_span"))
+    letters = F.regexp_count("_s.span", F.lit(T.GREEK)).cast("long")
+    return _finding(x, F.col("_flag"), F.when(F.col("_flag") == "GREEK_DROPPED", "high").otherwise("info"), span=F.col("_s.span"), letters=letters)
 
 
-def glossary(segments: DataFrame, terms: DataFrame, window: int = 1) -> DataFrame:
-    """Terms (term, matcher, approved, banned) against segments: banned renderings, missing approved ones, and drift between approved ones."""
-    near = neighbour_text(F.coalesce("english", F.lit("")), GROUP, ORDER, window)
+#: Words of an older register.
+ARCHAISMS = "thee thou thy thine ye hath doth dost saith shalt wilt cometh goeth whosoever verily thereof unto"
+
+
+def _hits(segments: DataFrame, terms: DataFrame, window: int) -> DataFrame:
+    """Segments with the terms of their Latin: ``_en`` (neighbours' English), ``_bad`` (first banned rendering), ``_good`` (approved ones)."""
     from ..operators.joins import matching_rules
 
-    x = matching_rules(segments.withColumn("_en", near), "latin", terms, "matcher")
-    word = lambda text: lambda v: F.rlike(text, F.concat(F.lit(r"(?iU)\b\Q"), v, F.lit(r"\E\b")))
-    x = x.withColumns({"_bad": F.filter("banned", word(F.col("_en"))), "_good": F.filter("approved", word(F.col("_en")))})
-    banned = _finding(x.where(F.size("_bad") > 0), F.lit("BANNED"), F.lit("high"), term=F.col("term"), detail=F.array_join("_bad", "|"))
-    missing = _finding(x.where((F.size("_good") == 0) & (F.size("approved") > 0)), F.lit("MISSING_APPROVED"), F.lit("medium"), term=F.col("term"), detail=F.array_join("approved", "|"))
-    return banned.unionByName(missing)
+    near = T.strip_carets(neighbour_text(F.coalesce("english", F.lit("")), GROUP, ORDER, window))
+    x = matching_rules(segments.withColumns({"_en": near, "_la": T.strip_carets(F.col("latin"))}), "_la", terms, "matcher")
+    word = lambda v: F.rlike("_en", F.concat(F.lit(r"(?iU)\b\Q"), v, F.lit(r"\E\b")))
+    return x.withColumns({"_bad": F.get(F.filter("banned", word), F.lit(0)), "_good": F.filter("approved", word)})
 
 
-def glossary_drift(segments: DataFrame, terms: DataFrame) -> DataFrame:
-    """Terms rendered by more than one approved variant, with the segments of each."""
+def glossary(segments: DataFrame, terms: DataFrame, window: int = 1) -> DataFrame:
+    """Findings of terms (term, matcher, approved, banned, and maybe category) that a segment's Latin holds, and of older diction.
+
+    BANNED, or SCRIPTURE_SUBSTITUTION for the category scripture: the first banned rendering in the neighbours' English, which is the excerpt.
+    MISSING_APPROVED: neither a banned nor an approved rendering there, of a term that has approved ones. ARCHAISM: words of an
+    older register in a body segment's own English. DRIFT: a term with several approved renderings, no segment, the number of segments
+    of each. Carets are no text on either side.
+    """
+    x = _hits(segments, terms, window)
+    found = lambda rows, flag, severity, detail: _finding(rows, flag, F.lit(severity), term=F.col("term"), detail=detail)
+    kind = F.when(F.col("category") == "scripture", "SCRIPTURE_SUBSTITUTION").otherwise("BANNED") if "category" in terms.columns else F.lit("BANNED")
+    banned = found(x.where("_bad is not null").withColumn("english", F.col("_en")), kind, "high", F.col("_bad"))
+    missing = found(x.where((F.size("_good") == 0) & F.col("_bad").isNull() & (F.size("approved") > 0)), F.lit("MISSING_APPROVED"), "medium", F.array_join("approved", "|"))
+    older = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(T.strip_carets(F.coalesce("english", F.lit(""))), F.lit(rf"(?iU)\b(?:{'|'.join(ARCHAISMS.split())})\b"), F.lit(0)), F.lower)))
+    body = segments.where("kind = 'body'").withColumns({"_old": older, "term": F.lit("(archaic register)")}).where(F.size("_old") > 0)
+    archaic = found(body, F.lit("ARCHAISM"), "medium", F.array_join("_old", "|"))
+    drift = glossary_drift(segments, terms, window)
+    uses = F.array_join(F.transform(F.array_sort(F.map_keys("uses")), lambda k: F.concat(k, F.lit("="), F.element_at(F.col("uses"), k).cast("string"))), "|")
+    blank = F.lit("")
+    drifting = drift.select(blank.alias("segment_id"), blank.alias("page_id"), F.lit("DRIFT").alias("flag"), F.lit("info").alias("severity"), "term", uses.alias("detail"), blank.alias("latin"), blank.alias("english"))
+    return banned.unionByName(missing).unionByName(archaic).unionByName(drifting)
+
+
+def glossary_drift(segments: DataFrame, terms: DataFrame, window: int = 1) -> DataFrame:
+    """Terms rendered by more than one approved variant near their segments, with the segments of each."""
     from ..operators.aggregates import variant_drift
-    from ..operators.joins import matching_rules
 
-    x = matching_rules(segments, "latin", terms, "matcher").withColumn("variant", F.explode("approved"))
-    x = x.where(F.rlike("english", F.concat(F.lit(r"(?iU)\b\Q"), F.col("variant"), F.lit(r"\E\b"))))
-    return variant_drift(x, "term", "variant", "segment_id")
+    return variant_drift(_hits(segments, terms, window).withColumn("variant", F.explode("_good")), "term", "variant", "segment_id")
 
 
 def marker_parity(body: Column, notes: Column) -> dict[str, Column]:

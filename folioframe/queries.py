@@ -126,13 +126,8 @@ def sentinel_slice_scan(spark, d):
     return readers.sentinel_slice(x, "id", "o_orderkey", str(ends[0]), str(ends[1])).select("o_orderkey")
 
 
-@query("SELECT n AS page_num, CASE WHEN s_suppkey IS NULL THEN 'run' ELSE 'skip' END AS action, CASE WHEN s_suppkey IS NULL THEN '' ELSE 'target exists' END AS reason FROM range(1, 2001) t(n) LEFT JOIN supplier ON s_suppkey = n")
-def work_plan_scan(spark, d):
-    return readers.work_plan(spark, 1, 2000, table(spark, d, "supplier").select(F.col("s_suppkey").alias("page_num")))
-
-
 @query("SELECT n AS page_num, CASE WHEN s_suppkey IS NULL THEN 'run' ELSE 'skip' END AS action, CASE WHEN s_suppkey IS NULL THEN '' ELSE 'target exists' END AS reason FROM (SELECT unnest(range(1, max(greatest(c, s)) + 1)) AS n FROM (SELECT max(c_custkey) AS c FROM customer), (SELECT max(s_suppkey) AS s FROM supplier)) LEFT JOIN supplier ON s_suppkey = n")
-def work_plan_scan_whole(spark, d):
+def work_plan_scan(spark, d):
     """The plan of all customers' and suppliers' keys."""
     done = table(spark, d, "supplier").select(F.col("s_suppkey").alias("page_num"))
     last = max(table(spark, d, "customer").agg(F.max("c_custkey")).head()[0] or 0, done.agg(F.max("page_num")).head()[0] or 0)
@@ -334,15 +329,8 @@ def symbol_binding_join(spark, d):
     return J.bind_by_rank(a, b, ["conv_id"], "turn", "answer")
 
 
-@query("SELECT c_nationkey AS unit, count(*) AS n_lines, count(DISTINCT s_nationkey) AS n_owners FROM (SELECT DISTINCT c_nationkey, c_custkey FROM customer WHERE c_custkey <= 100) c JOIN (SELECT s_suppkey, s_nationkey FROM supplier) s ON c_custkey = s_suppkey WHERE c_nationkey <> s_nationkey GROUP BY c_nationkey")
-def self_overlap_clash(spark, d):
-    new = table(spark, d, "customer").where("c_custkey <= 100").groupBy(F.col("c_nationkey").alias("u")).agg(F.collect_set("c_custkey").alias("ids"))
-    old = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("u")).agg(F.collect_set("s_suppkey").alias("ids"))
-    return J.ownership_clashes(new, old, "u", "ids").select("unit", F.size("lines").cast("long").alias("n_lines"), F.size("owners").cast("long").alias("n_owners"))
-
-
 @query("SELECT c_nationkey AS unit, count(*) AS n_lines, count(DISTINCT s_nationkey) AS n_owners FROM (SELECT DISTINCT c_nationkey, c_custkey FROM customer) c JOIN (SELECT s_suppkey, s_nationkey FROM supplier) s ON c_custkey = s_suppkey WHERE c_nationkey <> s_nationkey GROUP BY c_nationkey")
-def self_overlap_clash_whole(spark, d):
+def self_overlap_clash(spark, d):
     new = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("u")).agg(F.collect_set("c_custkey").alias("ids"))
     old = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("u")).agg(F.collect_set("s_suppkey").alias("ids"))
     return J.ownership_clashes(new, old, "u", "ids").select("unit", F.size("lines").cast("long").alias("n_lines"), F.size("owners").cast("long").alias("n_owners"))
@@ -696,17 +684,9 @@ def decode_ab(spark, d):
     return table(spark, d, "orders").select("o_orderkey", R.decode_choice(pick, F.col("o_orderkey") % 2 == 1).alias("winner"))
 
 
-@query("""WITH c AS (SELECT conv_id, coalesce(left(max(text) FILTER (turn = 0), 60), '') AS a, coalesce(left(max(text) FILTER (turn = 2), 60), '') AS b FROM conversations GROUP BY conv_id)
-SELECT conv_id, round(CASE WHEN greatest(length(a), length(b)) = 0 THEN 0 ELSE 100.0 * (greatest(length(a), length(b)) - len(list_filter(range(1, least(length(a), length(b)) + 1), lambda i: a[i] = b[i]))) / greatest(length(a), length(b)) END, 6) AS rate FROM c""")
-def char_diff_rate(spark, d):
-    t = lambda n: F.coalesce(F.left(F.max(F.when(F.col("turn") == n, F.col("text"))), F.lit(60)), F.lit(""))
-    x = table(spark, d, "conversations").groupBy("conv_id").agg(t(0).alias("a"), t(2).alias("b"))
-    return x.select("conv_id", F.round(T.char_diff_rate(F.col("a"), F.col("b")), 6).alias("rate"))
-
-
 @query("""WITH c AS (SELECT conv_id, coalesce(max(text) FILTER (turn = 0), '') AS a, coalesce(max(text) FILTER (turn = 2), '') AS b FROM conversations GROUP BY conv_id)
 SELECT conv_id, round(CASE WHEN greatest(length(a), length(b)) = 0 THEN 0 ELSE 100.0 * (greatest(length(a), length(b)) - len(list_filter(list_zip(string_split(a, ''), string_split(b, '')), lambda p: p[1] = p[2] AND p[1] <> ''))) / greatest(length(a), length(b)) END, 6) AS rate FROM c""")
-def char_diff_rate_whole(spark, d):
+def char_diff_rate(spark, d):
     t = lambda n: F.coalesce(F.max(F.when(F.col("turn") == n, F.col("text"))), F.lit(""))
     x = table(spark, d, "conversations").groupBy("conv_id").agg(t(0).alias("a"), t(2).alias("b"))
     return x.select("conv_id", F.round(T.char_diff_rate(F.col("a"), F.col("b")), 6).alias("rate"))
@@ -839,8 +819,8 @@ def greek_validator(spark, d):
 
 
 def _terms(spark: SparkSession) -> DataFrame:
-    rows = [("the", r"\bthe\b", ["with", "from"], ["hated"]), ("and", r"\band\b", ["this", "that"], ["worthless"])]
-    return readers.glossary(spark.createDataFrame(rows, "term string, latin_pattern string, approved array<string>, banned array<string>"))
+    rows = [("the", r"\bthe\b", ["with", "from"], ["hated"], None), ("and", r"\band\b", ["this", "that"], ["worthless"], "scripture")]
+    return readers.glossary(spark.createDataFrame(rows, "term string, latin_pattern string, approved array<string>, banned array<string>, category string"))
 
 
 @query()
@@ -861,13 +841,13 @@ def rule_findings(spark, d):
 _STOP = ["the", "and", "of", "to", "in"]
 
 
-@query("""WITH c AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[.,;:!?()\\[\\]\\n]+')) AS c FROM benchmark), t AS (SELECT item_id, unnest(regexp_extract_all(c, '[a-z]{2,}')) AS word FROM c)
+@query("""WITH c AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[.,;:!?()\\[\\]\\n]+')) AS c FROM benchmark), t AS (SELECT item_id, unnest(regexp_extract_all(c, '\\p{L}{2,}')) AS word FROM c)
 SELECT word, count(*) AS count, count(DISTINCT item_id) AS pages FROM t GROUP BY word""")
 def word_mining(spark, d):
     return mining.word_table(mining.clauses(table(spark, d, "benchmark"), "item_id", "text"), "item_id")
 
 
-@query("""WITH c AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[.,;:!?()\\[\\]\\n]+')) AS c FROM benchmark), t AS (SELECT item_id, regexp_extract_all(c, '[a-z]{2,}') AS t FROM c),
+@query("""WITH c AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[.,;:!?()\\[\\]\\n]+')) AS c FROM benchmark), t AS (SELECT item_id, regexp_extract_all(c, '\\p{L}{2,}') AS t FROM c),
 g AS (SELECT item_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS phrase FROM t), a AS (SELECT split_part(phrase, ' ', 1) AS a, count(*) AS r FROM g GROUP BY 1), b AS (SELECT split_part(phrase, ' ', 2) AS b, count(*) AS k FROM g GROUP BY 1), n AS (SELECT sum(len(t)) AS n FROM t),
 p AS (SELECT phrase, split_part(phrase, ' ', 1) AS a, split_part(phrase, ' ', 2) AS b, count(*) AS count, count(DISTINCT item_id) AS pages FROM g GROUP BY 1 HAVING count(*) >= 2),
 x AS (SELECT phrase, count, pages, count::DOUBLE AS o1, (r - count)::DOUBLE AS o2, (k - count)::DOUBLE AS o3, greatest(n - r - k + count, 0)::DOUBLE AS o4 FROM p JOIN a USING (a) JOIN b USING (b), n WHERE a NOT IN ('the','and','of','to','in') AND b NOT IN ('the','and','of','to','in')),
@@ -879,13 +859,12 @@ def log_likelihood_g2(spark, d):
 
 @query()
 def phrase_mining(spark, d):
-    en = table(spark, d, "documents").where("lang = 'en'")
-    return mining.phrase_table(mining.clauses(en, "doc_id", "text"), "doc_id", _STOP)
+    return mining.phrase_table(mining.clauses(table(spark, d, "documents"), "doc_id", "text"), "doc_id", _STOP)
 
 
 @query()
 def review_candidates(spark, d):
-    p = mining.phrase_table(mining.clauses(table(spark, d, "documents").where("lang = 'en'"), "doc_id", "text"), "doc_id", _STOP)
+    p = mining.phrase_table(mining.clauses(table(spark, d, "documents"), "doc_id", "text"), "doc_id", _STOP)
     return A.clusters(p, mining.loose_key(F.col("phrase")), "phrase", "count", "pages").where("pages >= 2").orderBy(F.col("total").desc(), "cluster").limit(200)
 
 
@@ -937,14 +916,8 @@ def trailing_cluster_detector(spark, d):
     return table(spark, d, "documents").select("doc_id", validators.trailing_cluster(text).alias("cluster"))
 
 
-@query("SELECT doc_id, true AS placed FROM documents WHERE length(text) <= 300")
-def placement_validator(spark, d):
-    x = table(spark, d, "documents").where(F.length("text") <= 300)
-    return x.select("doc_id", C.placed(F.col("text"), F.concat(F.left("text", F.lit(5)), F.lit(" ^z "), F.substring("text", 6, 1000)), F.lit("^z")).alias("placed"))
-
-
 @query()
-def placement_validator_whole(spark, d):
+def placement_validator(spark, d):
     x = table(spark, d, "documents")
     return x.select("doc_id", C.placed(F.col("text"), F.concat(F.left("text", F.lit(5)), F.lit(" ^z "), F.substring("text", F.lit(6), F.length("text"))), F.lit("^z")).alias("placed"))
 
@@ -1063,17 +1036,8 @@ def _records(spark: SparkSession, d: str, most: int | None = None) -> DataFrame:
 _LINES = """(SELECT printf('p%04d', conv_id) AS page_id, conv_id, turn, CASE role WHEN 'user' THEN 'body' WHEN 'assistant' THEN 'marginalia' ELSE 'body' END AS region, text, row_number() OVER (PARTITION BY conv_id, CASE role WHEN 'assistant' THEN 1 ELSE 0 END ORDER BY turn)::INTEGER AS seq FROM conversations)"""
 
 
-@query(f"SELECT page_id, printf('%s_%s_l%04d', page_id, region, seq) AS line_id, left(text, 40) || substr(text, 41, 40) AS text, 1 AS n_markers, length(left(text, 40))::INTEGER AS at FROM {_LINES}")
-def scan_to_annotation(spark, d):
-    from .plans import pages as PP
-
-    # The twin reads the first 80 characters; scan_to_annotation_whole has all.
-    x = PP.scan_lines(_records(spark, d, 40))
-    return x.select("page_id", "line_id", "text", F.size("markers").alias("n_markers"), F.col("markers")[0]["offset"].alias("at"))
-
-
 @query(f"SELECT page_id, printf('%s_%s_l%04d', page_id, region, seq) AS line_id, text, 1 AS n_markers, length(left(text, 40))::INTEGER AS at FROM {_LINES}")
-def scan_to_annotation_whole(spark, d):
+def scan_to_annotation(spark, d):
     from .plans import pages as PP
 
     x = PP.scan_lines(_records(spark, d))
@@ -1155,41 +1119,25 @@ def client_next_ordinal(spark, d):
     return PP.next_ordinal(PP.scan_lines(_records(spark, d)), "body")
 
 
-@query("SELECT item_id, count(*) AS n FROM (SELECT item_id, unnest(regexp_extract_all(trim(text), '[^.!?]+[.!?]+')) AS s FROM benchmark WHERE regexp_matches(text, '^[A-Za-z, .\\n]*\\.$') AND NOT regexp_matches(lower(text), '(^|[^a-z.])(st|mr|dr|no|rev|hist|vol|ch|cap|cf|vid|lib|viz)\\.')) GROUP BY item_id")
-def split_sentences_abbrev(spark, d):
-    from .functions import pages as FP
-
-    x = table(spark, d, "benchmark").where(F.col("text").rlike(r"^[A-Za-z, .\n]*\.$") & ~F.lower("text").rlike(r"(^|[^a-z.])(st|mr|dr|no|rev|hist|vol|ch|cap|cf|vid|lib|viz)\."))
-    return x.select("item_id", F.size(FP.split_sentences(F.col("text"))).cast("long").alias("n"))
-
-
 @query()
-def split_sentences_abbrev_whole(spark, d):
+def split_sentences_abbrev(spark, d):
     from .functions import pages as FP
 
     return table(spark, d, "documents").select("doc_id", F.size(FP.split_sentences(F.col("text"))).cast("long").alias("n"))
 
 
-@query("SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+'), ' ') AS tokens FROM documents WHERE regexp_matches(text, '^[\\x00-\\x25\\x27-\\x7e]*$')")
-def tokenize_fold(spark, d):
-    from .functions import pages as FP
-
-    x = table(spark, d, "documents").where(F.col("text").rlike(r"^[\x00-\x25\x27-\x7e]*$"))
-    return x.select("doc_id", F.array_join(FP.fold_tokens(F.col("text")), " ").alias("tokens"))
-
-
 @query()
-def tokenize_fold_whole(spark, d):
+def tokenize_fold(spark, d):
     from .functions import pages as FP
 
     return table(spark, d, "documents").select("doc_id", F.array_join(FP.fold_tokens(F.col("text")), " ").alias("tokens"))
 
 
-@query("SELECT doc_id, strip_accents(text) AS text FROM documents WHERE lang IN ('de', 'es', 'fr')")
+@query("SELECT doc_id, strip_accents(text) AS text FROM documents")
 def accent_strip(spark, d):
     from .functions import pages as FP
 
-    return table(spark, d, "documents").where(F.col("lang").isin("de", "es", "fr")).select("doc_id", FP.strip_accents(F.col("text")).alias("text"))
+    return table(spark, d, "documents").select("doc_id", FP.strip_accents(F.col("text")).alias("text"))
 
 
 @query("SELECT doc_id, regexp_matches(text, 'ae|AE|Æ|æ') AS has_ae, regexp_matches(text, '\\[[^\\]]+\\]|^[?*!†‡]\\s|\\bfn[0-9]+\\b') AS has_marker FROM documents")
@@ -1340,10 +1288,17 @@ def split_enclitic_que(spark, d):
     return _rows(spark, "gentesque", "atque", "que", "gens").select("t", F.array_join(T.split_enclitic(F.col("t")), " ").alias("x"))
 
 
-@query("SELECT item_id, len(list_filter(regexp_split_to_array(lower(text), '[.,;:!?()\\[\\]\\n]+'), lambda c: regexp_matches(c, '[a-z]{2,}'))) AS clauses FROM benchmark")
+_NO_ENCLITIC = ", ".join(f"'{w}'" for w in mining.NO_ENCLITIC)
+
+
+@query(f"""WITH t AS (SELECT doc_id, replace(replace(replace(replace(replace(regexp_replace(text, '\\^[A-Za-z0-9]{{1,2}}', ' ', 'g'), 'æ', 'ae'), 'œ', 'oe'), 'ſ', 's'), 'Æ', 'Ae'), 'Œ', 'Oe') AS t FROM documents),
+c AS (SELECT doc_id, unnest(regexp_split_to_array(t, '[.,;:!?()\\[\\]“”"''«»—–]+')) AS c FROM t),
+w AS (SELECT doc_id, flatten(list_transform(regexp_split_to_array(c, '\\s+'), lambda w: CASE WHEN lower(w) LIKE '%que' AND lower(w) NOT IN ({_NO_ENCLITIC}) AND length(w) > 4 THEN [left(w, length(w) - 3), right(w, 3)] ELSE [w] END)) AS w FROM c),
+k AS (SELECT doc_id, list_filter(list_transform(w, lambda x: lower(regexp_replace(x, '[^A-Za-zÀ-ÿ]+', '', 'g'))), lambda x: length(x) >= 2 AND (x IN ('vi', 'di', 'mi', 'ci') OR NOT regexp_matches(x, '^m{{0,4}}(cm|cd|d?c{{0,3}})(xc|xl|l?x{{0,3}})(ix|iv|v?i{{0,3}})$'))) AS k FROM w)
+SELECT doc_id, count(*) AS clauses, sum(len(k))::BIGINT AS tokens, sum(len(array_to_string(k, '')))::BIGINT AS letters FROM k WHERE len(k) > 0 GROUP BY doc_id""")
 def clause_tokens(spark, d):
-    c = mining.clauses(table(spark, d, "benchmark"), "item_id", "text")
-    return c.groupBy("item_id").agg(F.count("*").alias("clauses"))
+    c = mining.latin_clauses(table(spark, d, "documents"), "doc_id", "text")
+    return c.groupBy("doc_id").agg(F.count("*").alias("clauses"), F.sum(F.size("tokens")).alias("tokens"), F.sum(F.length(F.array_join("tokens", ""))).alias("letters"))
 
 
 @query(_is(("episcopus ecclesiae", "episcop ecclesi"), ("reges regum", "reg reg"), ("et", "et")))
@@ -1652,18 +1607,9 @@ def polish_validator(spark, d):
 
 @query()
 def token_bridge_mapping(spark, d):
-    """For each assistant turn, the mean user line its words match, within a conversation."""
-    import pandas as pd
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("turn")
-        words = [t.lower().split() for t in pdf["text"]]
-        user = pdf["role"].eq("user")
-        a, b = [w for w, u in zip(words, user, strict=True) if not u], [w for w, u in zip(words, user, strict=True) if u]
-        got = alignment.bridge_lines(a, b)
-        return pd.DataFrame({"conv_id": pdf["conv_id"].iloc[0], "turn": pdf.loc[~user, "turn"].to_numpy(), "line": pd.Series(got, dtype=float)})
-
-    return table(spark, d, "conversations").groupBy("conv_id").applyInPandas(run, "conv_id long, turn long, line double")
+    """Assistant turns against the user turns of their conversation."""
+    c = table(spark, d, "conversations").select("conv_id", F.when(F.col("role") == "user", "reference").otherwise("bridge").alias("side"), "turn", "text")
+    return alignment.bridge(c, "conv_id", "side", "turn", "text")
 
 
 @query("SELECT r_regionkey, upper(r_name) || '!' AS x FROM region")

@@ -4,21 +4,44 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def _switch(df: DataFrame, path: str, write) -> None:
-    """Write beside ``path``, then rename: readers see the old result or the new one."""
+    """Write beside ``path``, move the old result aside, rename the new one, and only then delete the old one.
+
+    A folder can't replace another in one step on Hadoop's file systems. A crash in between leaves the old result whole under
+    ``<path>.old``, and the next call, or :func:`recover`, puts it back if the new one didn't arrive.
+    """
     spark = df.sparkSession
+    recover(spark, path)
     aside = f"{path}.{uuid.uuid4().hex}"
     write(aside)
-    jvm = spark._jvm
-    a, b = jvm.org.apache.hadoop.fs.Path(aside), jvm.org.apache.hadoop.fs.Path(path)
-    fs = b.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(b, True)
-    if not fs.rename(a, b):
+    fs, target = _fs(spark, path)
+    old, new = _fs(spark, f"{path}.old")[1], _fs(spark, aside)[1]
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, target):
+        recover(spark, path)
         raise OSError(f"cannot move {aside} to {path}")
+    fs.delete(old, True)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """After a crash between the two renames: the old result returns if there is no new one, and goes if there is."""
+    fs, target = _fs(spark, path)
+    old = _fs(spark, f"{path}.old")[1]
+    if fs.exists(old):
+        if fs.exists(target):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, target)
 
 
 def segment_order(df: DataFrame) -> list[Column]:

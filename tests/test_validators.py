@@ -39,10 +39,44 @@ def test_greek_and_glossary(spark):
     s = segments(spark, [("p1_1", "p1", 1, "dixit λόγος", "he said"), ("p2_1", "p2", 1, "ecclesia", "the temple"), ("p3_1", "p3", 1, "ecclesia", "the church"), ("p4_1", "p4", 1, "ecclesia", "an assembly")])
     assert flags(validators.greek(s), "flag", "span") == [("p1_1", "GREEK_DROPPED", "λόγος")]
     terms = readers.glossary(spark.createDataFrame([("ecclesia", r"\becclesia\b", ["church", "assembly"], ["temple"]), ("", "x", [], [])], "term string, latin_pattern string, approved array<string>, banned array<string>"))
-    assert flags(validators.glossary(s, terms), "flag", "detail") == [("p2_1", "BANNED", "temple"), ("p2_1", "MISSING_APPROVED", "church|assembly")]
+    assert flags(validators.glossary(s, terms), "flag", "detail") == [("", "DRIFT", "assembly=1|church=1"), ("p2_1", "BANNED", "temple")]
     assert validators.glossary_drift(s, terms).head()["uses"] == {"church": 1, "assembly": 1}
 
 
+def test_glossary_findings(spark):
+    s = segments(spark, [("p1_1", "p1", 1, "ec^accle^b x", "nothing"), ("p2_1", "p2", 1, "verbum", "the old temple"), ("p2_2", "p2", 2, "alia", "he saith unto thee"), ("p3_fn_1", "p3", 1, "x", "thou hath"), ("p4_1", "p4", 1, "deus", "lord")])
+    rows = [("ecclesia", r"\beccle", ["church"], [], None), ("verbum", "verbum", ["word"], ["shrine", "temple"], "scripture"), ("deus", "deus", [], ["idol"], None)]
+    terms = readers.glossary(spark.createDataFrame(rows, "term string, latin_pattern string, approved array<string>, banned array<string>, category string"))
+    got = flags(validators.glossary(s, terms), "flag", "severity", "detail", "english")
+    assert ("p2_1", "SCRIPTURE_SUBSTITUTION", "high", "temple", "the old temple he saith unto thee") in got
+    assert ("p2_2", "ARCHAISM", "medium", "saith|thee|unto", "he saith unto thee") in got
+    assert {x[0] for x in got} <= {"p1_1", "p2_1", "p2_2"}
+
+
+def test_greek_accents_cues_and_glosses(spark):
+    s = segments(spark, [("p1_1", "p1", 1, "dixit λόγος ille", "he said λογος"), ("p2_1", "p2", 1, "dixit λόγος id est verbum", "λογος"), ("p3_1", "p3", 1, "dixit λόγος", "λόγος [word"), ("p4_1", "p4", 1, "λόγος", "λόγος"), ("p5_1", "p5", 1, "dixit λόγος", "[word] λόγος")])
+    assert flags(validators.greek(s, glosses=True), "flag", "severity", "letters") == [("p1_1", "BRACKET_GLOSS_MISSING", "info", 5), ("p5_1", "BRACKET_GLOSS_MISSING", "info", 5)]
+
+
+def test_structured_markers(spark):
+    s = segments(spark, [("p1_1", "p1", 1, "x^q", "a^a")]).withColumn("markers", F.expr("array(named_struct('marker_id', 'A'), named_struct('marker_id', 'b'), named_struct('marker_id', '12'))"))
+    assert flags(validators.markers(s), "flag", "marker_id") == [("p1_1", "MARKER_DROPPED", "b")]
+    assert flags(validators.markers(s.withColumn("markers", F.col("markers").isNull().cast("string")).drop("markers")), "flag", "marker_id") == [("p1_1", "MARKER_DROPPED", "q"), ("p1_1", "MARKER_HALLUCINATED", "a")]
+
+
+def test_rewrites_survive_a_crash(spark, tmp_path):
+    from folioframe.sources import writers
+
+    path = f"file://{tmp_path}/out"
+    one, two = spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([(2,)], "a int")
+    writers.sorted_jsonl(one, path, [F.col("a")])
+    writers.sorted_jsonl(two, path, [F.col("a")])
+    assert [r.a for r in spark.read.json(path).collect()] == [2] and not (tmp_path / "out.old").exists()
+    (tmp_path / "out").rename(tmp_path / "out.old")  # as after a crash between the renames
+    writers.recover(spark, path)
+    assert [r.a for r in spark.read.json(path).collect()] == [2]
+
+
 def test_scans(spark, tmp_path):
     schema = StructType([StructField("k", StringType()), StructField("v", LongType())])
     f = tmp_path / "a.jsonl"

@@ -16,13 +16,13 @@ def talks(spark, tmp_path_factory):
 
 
 def test_lines_keep_whole_texts(spark, talks):
-    got = [(r.text, r.n_markers, r.at) for r in Q.scan_to_annotation_whole(spark, talks).orderBy("line_id").collect()]
+    got = [(r.text, r.n_markers, r.at) for r in Q.scan_to_annotation(spark, talks).orderBy("line_id").collect()]
     assert got == [(LONG, 1, 40), (LONG[:-1] + "D", 1, 40), (LONG + "!", 1, 40), ("short", 1, 5)]
     assert {len(line["text_raw_ocr"]) for r in Q._records(spark, talks).collect() for line in r.lines} == {len(LONG) + 2, len(LONG) + 3, 7}
 
 
 def test_difference_after_60_characters_counts(spark, talks):
-    assert {r.conv_id: r.rate for r in Q.char_diff_rate_whole(spark, talks).collect()} == {1: round(100 / len(LONG), 6), 2: 100.0}
+    assert {r.conv_id: r.rate for r in Q.char_diff_rate(spark, talks).collect()} == {1: round(100 / len(LONG), 6), 2: 100.0}
 
 
 @pytest.fixture(scope="module")
@@ -36,18 +36,18 @@ def keys(spark, tmp_path_factory):
 def test_clashes_of_all_customers(spark, keys):
     hits = [k for k in range(1, 2401) if k % 5 != k % 7]
     want = {u: (sum(k % 5 == u for k in hits), len({k % 7 for k in hits if k % 5 == u})) for u in range(5)}
-    assert {r.unit: (r.n_lines, r.n_owners) for r in Q.self_overlap_clash_whole(spark, keys).collect()} == want
+    assert {r.unit: (r.n_lines, r.n_owners) for r in Q.self_overlap_clash(spark, keys).collect()} == want
 
 
 def test_plan_reaches_the_last_key(spark, keys):
-    got = {r.page_num: r.action for r in Q.work_plan_scan_whole(spark, keys).collect()}
+    got = {r.page_num: r.action for r in Q.work_plan_scan(spark, keys).collect()}
     assert got == {n: "skip" if n <= 2400 else "run" for n in range(1, 2501)}
 
 
 def test_hard_rows_are_kept(spark, tmp_path):
     texts = ["Æther & cœur Élan 12", "He saw St. Peter. Then Dr. No left! Was it 3?", "x" * 400 + " end."]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    tokens = {r.doc_id: r.tokens for r in Q.tokenize_fold_whole(spark, tmp_path).collect()}
+    tokens = {r.doc_id: r.tokens for r in Q.tokenize_fold(spark, tmp_path).collect()}
     assert tokens == {0: "aether and coeur elan 12", 1: "he saw st peter then dr no left was it 3", 2: "x" * 400 + " end"}
-    assert {r.doc_id: r.n for r in Q.split_sentences_abbrev_whole(spark, tmp_path).where("doc_id > 0").collect()} == {1: 3, 2: 1}
-    assert {r.doc_id: r.placed for r in Q.placement_validator_whole(spark, tmp_path).collect()} == {0: True, 1: True, 2: True}
+    assert {r.doc_id: r.n for r in Q.split_sentences_abbrev(spark, tmp_path).where("doc_id > 0").collect()} == {1: 3, 2: 1}
+    assert {r.doc_id: r.placed for r in Q.placement_validator(spark, tmp_path).collect()} == {0: True, 1: True, 2: True}
