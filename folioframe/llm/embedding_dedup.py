@@ -7,9 +7,10 @@ candidates if some substring differs in at most one bit, which holds for all pai
 original vectors in double precision.
 
 Equal vectors are one class with a weight, so copies aren't compared. Each class lies once in every table and asks, with its
-vector, for its substrings' neighbours; a bucket of many classes is cut into tiles to which askers are sent
-alike. A pair found in several tables counts in the first one only, so links need no list of pairs: tasks return
-each class's number of links, and for each the smallest class of the component that its links form there.
+code, for its substrings' neighbours; a bucket of many classes is cut into tiles to which askers are sent
+alike. What has a candidate in a tile goes there again with its vector. A pair found in several tables counts in the first one
+only, so links need no list of pairs: tasks return each class's number of links, and for each the smallest class of the component
+that its links form there.
 """
 
 from __future__ import annotations
@@ -77,7 +78,7 @@ def _unit(column: pa.Array, rows: int) -> np.ndarray:
 
 
 def _asking(codes: Codes, tables: int):
-    """Of (class, weight, vector): rows by bucket. kind 0 lies in it, 1 asks its own bucket, 2 asks one that has a bit set which it hasn't.
+    """Of (class, vector): rows by bucket, with codes alone. kind 0 lies in it, 1 asks its own bucket, 2 asks one that has a bit set which it hasn't.
 
     So of two classes whose substrings differ in one bit, exactly one asks the other.
     """
@@ -87,26 +88,92 @@ def _asking(codes: Codes, tables: int):
         for b in batches:
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)
-                code = codes(_unit(part.column(2), part.num_rows))
+                code, every = codes(_unit(part.column(1), part.num_rows)), np.arange(part.num_rows)
                 keys, rows, kinds = [], [], []
-
-                def put(key: np.ndarray, row: np.ndarray, kind: int, keys=keys, rows=rows, kinds=kinds) -> None:
-                    keys.append(key)
-                    rows.append(row)
-                    kinds.append(np.full(len(row), kind, np.int8))
-
                 for t, (lo, n) in enumerate(spans):
                     sub = ((code >> np.uint64(lo)) & np.uint64((1 << n) - 1)).astype(np.int64) | (t << 56)
-                    every = np.arange(part.num_rows)
-                    put(sub, every, 0)
-                    put(sub, every, 1)
-                    for bit in range(n):
-                        unset = np.flatnonzero(~sub & (1 << bit))
-                        put(sub[unset] | (1 << bit), unset, 2)
+                    unset = [np.flatnonzero(~sub & (1 << bit)) for bit in range(n)]
+                    keys += [sub, sub, *(sub[u] | (1 << bit) for bit, u in enumerate(unset))]
+                    rows += [every, every, *unset]
+                    kinds += [np.zeros(len(every), np.int8), np.ones(len(every), np.int8), *(np.full(len(u), 2, np.int8) for u in unset)]
                 row = np.concatenate(rows)
-                take = pa.array(row)
-                cols = [pa.array(np.concatenate(keys), pa.int64()), pa.array(np.concatenate(kinds), pa.int8()), part.column(0).take(take), part.column(1).take(take), pa.array(code.view(np.int64)[row], pa.int64()), part.column(2).take(take)]
-                yield pa.RecordBatch.from_arrays(cols, names=["key", "kind", "c", "weight", "code", "vector"])
+                cols = [pa.array(np.concatenate(keys), pa.int64()), pa.array(np.concatenate(kinds), pa.int8()), part.column(0).take(pa.array(row)), pa.array(code.view(np.int64)[row], pa.int64())]
+                yield pa.RecordBatch.from_arrays(cols, names=["key", "kind", "c", "code"])
+
+    return run
+
+
+class _Pairs:
+    """Which askers of a tile meet which of its classes: by the whole codes' distance, each pair in the first of its tables only."""
+
+    def __init__(self, bits: int, tables: int, cosine: float):
+        self.spans, self.far = substrings(bits, tables), farthest(bits, cosine)
+
+    def first_table(self, x: np.ndarray) -> np.ndarray:
+        out = np.full(x.shape, len(self.spans), np.int64)
+        for t in reversed(range(len(self.spans))):
+            lo, n = self.spans[t]
+            out[np.bitwise_count((x >> np.uint64(lo)) & np.uint64((1 << n) - 1)) <= 1] = t
+        return out
+
+    def __call__(self, t: int, kind: np.ndarray, c: np.ndarray, code: np.ndarray, own: np.ndarray, own_code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = code[:, None] ^ own_code[None, :]
+        once = np.where(kind[:, None] == 2, True, c[:, None] < own[None, :])
+        i, j = np.nonzero((np.bitwise_count(x) <= self.far) & once)
+        here = self.first_table(x[i, j]) == t
+        return i[here], j[here]
+
+
+def _tiles(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[tuple[pa.RecordBatch, list[tuple[tuple[int, int], int, int]]]]:
+    """Batches of at most ``rows``, each with its stretches ((key, tile), begin, end). Rows must come sorted."""
+    for b in (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows)):
+        key, tile = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        new = np.ones(b.num_rows, bool)
+        new[1:] = (key[1:] != key[:-1]) | (tile[1:] != tile[:-1])
+        first = np.flatnonzero(new)
+        yield b, [((int(key[lo]), int(tile[lo])), int(lo), int(hi)) for lo, hi in zip(first, [*first[1:], b.num_rows], strict=True)]
+
+
+def _meeting(pairs: _Pairs):
+    """Of (key, tile, kind, c, code), sorted: the rows (key, tile, kind, c) that have a candidate in their tile."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, out = None, []
+
+        def put(at: tuple[int, int], kind: np.ndarray, c: np.ndarray) -> None:
+            if len(c):
+                out.append((np.full(len(c), at[0]), np.full(len(c), at[1]), kind, c))
+
+        def close() -> None:
+            if held is not None:
+                put(held[0], np.zeros(int(held[3].sum()), np.int8), held[1][held[3]])
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.int8(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["key", "tile", "kind", "c"])
+                out.clear()
+
+        for b, stretches in _tiles(batches):
+            kind, c, code = (b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
+            code = code.view(np.uint64)
+            for at, lo, hi in stretches:
+                own = lo + np.flatnonzero(kind[lo:hi] == 0)
+                if held is None or held[0] != at:
+                    close()
+                    held = [at, c[own], code[own], np.zeros(len(own), bool)]
+                elif len(own):
+                    held = [at, *(np.concatenate(x) for x in zip(held[1:], (c[own], code[own], np.zeros(len(own), bool)), strict=True))]
+                asking = lo + np.flatnonzero(kind[lo:hi])
+                for k in range(0, len(asking) if len(held[1]) else 0, 256):
+                    a = asking[k : k + 256]
+                    i, j = pairs(at[0] >> 56, kind[a], c[a], code[a], held[1], held[2])
+                    held[3][j] = True
+                    met = a[np.unique(i)]
+                    put(at, kind[met], c[met])
+            yield from flush()
+        close()
+        yield from flush()
 
     return run
 
@@ -127,46 +194,27 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         label = new
 
 
-def _linked(bits: int, tables: int, cosine: float):
-    """Of (key, tile, kind, c, weight, code, vector), sorted: (c, links, root) of the classes that a tile links, root in the same component."""
-    spans = substrings(bits, tables)
-    far = farthest(bits, cosine)
-
-    def first_table(x: np.ndarray) -> np.ndarray:
-        out = np.full(x.shape, len(spans), np.int64)
-        for t in reversed(range(len(spans))):
-            lo, n = spans[t]
-            out[np.bitwise_count((x >> np.uint64(lo)) & np.uint64((1 << n) - 1)) <= 1] = t
-        return out
+def _linked(codes: Codes, pairs: _Pairs, cosine: float):
+    """Of (key, tile, kind, c, weight, vector), sorted: (c, links, root) of the classes that a tile links, root in the same component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        for b in (b.slice(at, 2048) for b in batches for at in range(0, b.num_rows, 2048)):
-            key, tile, kind, c, weight = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            code = b.column(5).to_numpy(zero_copy_only=False).view(np.uint64)
-            vec = _unit(b.column(6), b.num_rows)
-            new = np.ones(b.num_rows, bool)
-            new[1:] = (key[1:] != key[:-1]) | (tile[1:] != tile[:-1])
-            first = np.flatnonzero(new)
+        for b, stretches in _tiles(batches):
+            kind, c, weight = (b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
+            vec = _unit(b.column(5), b.num_rows)
+            code = codes(vec)
             out = []
-            for lo, hi in zip(first, [*first[1:], b.num_rows], strict=True):
+            for at, lo, hi in stretches:
                 own = lo + np.flatnonzero(kind[lo:hi] == 0)
                 mine = (c[own], weight[own], code[own], vec[own])
-                if held is None or held[0] != (key[lo], tile[lo]):
-                    held = ((key[lo], tile[lo]), *mine)
+                if held is None or held[0] != at:
+                    held = (at, *mine)
                 elif len(own):
-                    held = (held[0], *(np.concatenate(x) for x in zip(held[1:], mine, strict=True)))
+                    held = (at, *(np.concatenate(x) for x in zip(held[1:], mine, strict=True)))
                 asking = lo + np.flatnonzero(kind[lo:hi])
-                if not len(held[1]) or not len(asking):
-                    continue
-                t = int(key[lo]) >> 56
-                for at in range(0, len(asking), 256):
-                    a = asking[at : at + 256]
-                    x = code[a][:, None] ^ held[3][None, :]
-                    once = np.where(kind[a][:, None] == 2, True, c[a][:, None] < held[1][None, :])
-                    i, j = np.nonzero((np.bitwise_count(x) <= far) & once)
-                    here = first_table(x[i, j]) == t
-                    i, j = i[here], j[here]
+                for k in range(0, len(asking) if len(held[1]) else 0, 256):
+                    a = asking[k : k + 256]
+                    i, j = pairs(at[0] >> 56, kind[a], c[a], code[a], held[1], held[3])
                     good = np.einsum("ij,ij->i", vec[a[i]], held[4][j]) >= cosine
                     i, j = i[good], j[good]
                     if len(i):
@@ -194,7 +242,7 @@ def links(classes: DataFrame, codes: Codes, tables: int = TABLES, cosine: float
     """(c, links, root) rows of the classes (c, weight, vector), to be summed by c; (c, root) are edges of the same components."""
     spark = classes.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = classes.select("c", "weight", "vector").mapInArrow(_asking(codes, tables), f"key long, kind tinyint, c long, weight long, code long, vector {classes.schema['vector'].dataType.simpleString()}")
+    rows = classes.select("c", "vector").mapInArrow(_asking(codes, tables), "key long, kind tinyint, c long, code long")
     large = stored(rows.where("kind = 0").groupBy("key").agg(F.ceil(F.count("*") / TILE).alias("tiles")).where("tiles > 1"), "embed-large")
     some = large.count()
     if some:
@@ -205,8 +253,11 @@ def links(classes: DataFrame, codes: Codes, tables: int = TABLES, cosine: float
         rows = rows.withColumn("tile", F.explode(F.when(F.col("kind") == 0, F.array(own)).otherwise(F.sequence(F.lit(0).cast("long"), last))))
     else:
         rows = rows.withColumn("tile", F.lit(0).cast("long"))
-    rows = rows.select("key", "tile", "kind", "c", "weight", "code", "vector").repartition(n, "key", "tile").sortWithinPartitions("key", "tile", "kind")
-    return rows.mapInArrow(_linked(codes.bits, tables, cosine), "c long, links long, root long")
+    pairs = _Pairs(codes.bits, tables, cosine)
+    dealt = lambda x: x.repartition(n, "key", "tile").sortWithinPartitions("key", "tile", "kind")
+    met = stored(dealt(rows.select("key", "tile", "kind", "c", "code")).mapInArrow(_meeting(pairs), "key long, tile long, kind tinyint, c long").distinct(), "embed-met")
+    # Only what has a candidate in a tile is sent there with its vector.
+    return dealt(met.join(classes, "c").select("key", "tile", "kind", "c", "weight", "vector")).mapInArrow(_linked(codes, pairs, cosine), "c long, links long, root long")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, cosine: float = COSINE, fit_rows: int = FIT_ROWS) -> DataFrame:

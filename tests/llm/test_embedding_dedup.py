@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from folioframe.llm import embedding_dedup as E
@@ -60,3 +61,21 @@ def test_codes_follow_the_angle():
     d = np.bitwise_count(codes[:, None] ^ codes[None, :])[np.triu_indices(500, 1)]
     a = np.arccos(np.clip(v @ v.T, -1, 1))[np.triu_indices(500, 1)]
     assert np.corrcoef(d, a)[0, 1] > 0.7
+
+
+@pytest.mark.parametrize("size", [64, 256, 768])
+def test_pairs_just_above_the_threshold(spark, size):
+    """Recall of pairs whose cosine lies between 0.90 and 0.92, among unrelated vectors."""
+    r = np.random.default_rng(size)
+    a = r.normal(size=(300, size))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    other = r.normal(size=(300, size))
+    other -= (other * a).sum(axis=1, keepdims=True) * a
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cosine = r.uniform(0.901, 0.92, size=(300, 1))
+    b = cosine * a + np.sqrt(1 - cosine**2) * other
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([a, b]))]
+    got = {x.vec_id: x for x in E.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    found = sum(got[300 + i].component_id == i for i in range(300))
+    assert found >= 0.97 * 300
+    assert all(x.n_links == 0 or x.n_links == 1 for x in got.values())
