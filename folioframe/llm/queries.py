@@ -85,4 +85,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB twins, where SQL expresses the operator; tests hold the others against brute force."""
-    return {"op1_sharding": "SELECT doc_id, lang, source, n_chars, strlen(text) AS text_bytes, md5(text) AS text_md5 FROM documents"}
+    payload = "SELECT page_id, encode(coalesce(html, '')) AS p FROM pages"
+    sized = f"SELECT page_id, octet_length(p) AS payload_bytes, sha1(p) AS payload_digest FROM ({payload})"
+    answer = "max(page_id) OVER (PARTITION BY payload_digest)"
+    return {
+        "op1_sharding": "SELECT doc_id, lang, source, n_chars, strlen(text) AS text_bytes, md5(text) AS text_md5 FROM documents",
+        "op9_warc": f"SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id < {answer} THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN payload_bytes >= 1000 AND page_id < {answer} THEN {answer} END AS refers_to FROM ({sized})",
+    }
