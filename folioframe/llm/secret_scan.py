@@ -137,7 +137,7 @@ def labelled_examples(n: int = EXAMPLES, seed: int = SEED) -> list[tuple[str, st
         if kind == 1:
             return r.choice([prose() + " ", f"{prose()} {key}{sign}"]), r.choice(["ghp_", "gho_", "glpat-", "sk_live_", "xoxb-", "AIza", "sk-"]) + pick(alnum, r.randint(20, 40))
         if kind in (2, 3):
-            x = pick(r.choice([hexes, hexes, string.digits * 2 + "abcdef"]), r.choice([16, 18, 20, 24, 32, 40, 64]))
+            x = pick(r.choice([hexes, hexes, string.digits * 2 + "abcdef", string.digits * 6 + "abcdef"]), r.choice([16, 18, 20, 24, 32, 40, 64]))
             return f"{prose()} {key}{sign}", x.upper() if r.random() < 0.2 else x
         if kind == 6:
             x = list(pick(r.choice([alnum, string.ascii_letters + "!@#$%&*"]), r.randint(2, 6)) + r.choice(low) + r.choice(string.digits))
