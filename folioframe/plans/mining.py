@@ -46,9 +46,9 @@ def word_table(clause: DataFrame, page: str) -> DataFrame:
 
 def phrase_table(clause: DataFrame, page: str, stopwords: list[str], least: int = 2, most: int = 6, min_count: int = 3) -> DataFrame:
     """(phrase, n, count, pages, loglik of pairs): n-grams without stopwords at their ends, without those a longer one explains."""
-    stop = F.array(*map(F.lit, stopwords)).cast("array<string>")
-    t = F.col("tokens")
-    ends_well = lambda i, n: ~F.array_contains(stop, F.get(t, i)) & ~F.array_contains(stop, F.get(t, i + n - 1))
+    t, good = F.col("tokens"), F.col("_good")
+    clause = clause.withColumn("_good", F.transform(t, lambda w: ~w.isin(*stopwords)))
+    ends_well = lambda i, n: F.get(good, i) & F.get(good, i + n - 1)
     starts = lambda n: F.filter(F.sequence(F.lit(0), F.size(t) - n), lambda i: ends_well(i, n))
     sized = lambda n: F.when(F.size(t) >= n, F.transform(starts(n), lambda i: F.array_join(F.slice(t, i + 1, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
     grams = clause.select(page, F.explode(F.concat(*[sized(n) for n in range(least, most + 1)])).alias("phrase"))
