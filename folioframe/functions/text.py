@@ -189,11 +189,20 @@ def split_enclitic(token: Column, enclitic: str = "que", exceptions: tuple[str,
     return F.when(cut, F.array(F.substring(token, F.lit(1), F.length(token) - len(enclitic)), F.lit(enclitic))).otherwise(F.array(token))
 
 
+def gram(tokens: Column, first: Column, n: int) -> Column:
+    """The n-gram at a 0-based place, joined by spaces; by single elements, since a slice inside a lambda copies the whole array."""
+    return F.concat_ws(" ", *[F.get(tokens, first + k) for k in range(n)])
+
+
 def ngrams(tokens: Column, least: int = 2, most: int = 6) -> Column:
-    """All n-grams of an array, joined by spaces, n from ``least`` to ``most``."""
-    sizes = F.filter(F.sequence(F.lit(least), F.lit(most)), lambda n: n <= F.size(tokens))
-    grams = lambda n: F.transform(F.sequence(F.lit(1), F.size(tokens) - n + 1), lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.flatten(F.transform(sizes, grams))
+    """All n-grams of an array, joined by spaces, n from ``least`` to ``most``; the array is evaluated once a row, not once an n-gram."""
+    none = F.array().cast("array<string>")
+
+    def grams(t: Column) -> Column:
+        sized = lambda n: F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(0), F.size(t) - n), lambda i: gram(t, i, n))).otherwise(none)
+        return F.concat(*[sized(n) for n in range(least, most + 1)])
+
+    return F.element_at(F.transform(F.array(tokens), grams), 1)
 
 
 def log_likelihood(k11: Column, row: Column, col: Column, total: Column) -> Column:

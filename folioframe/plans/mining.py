@@ -50,7 +50,7 @@ def phrase_table(clause: DataFrame, page: str, stopwords: list[str], least: int
     clause = clause.withColumn("_good", F.transform(t, lambda w: ~w.isin(*stopwords)))
     ends_well = lambda i, n: F.get(good, i) & F.get(good, i + n - 1)
     starts = lambda n: F.filter(F.sequence(F.lit(0), F.size(t) - n), lambda i: ends_well(i, n))
-    sized = lambda n: F.when(F.size(t) >= n, F.transform(starts(n), lambda i: F.array_join(F.slice(t, i + 1, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
+    sized = lambda n: F.when(F.size(t) >= n, F.transform(starts(n), lambda i: T.gram(t, i, n))).otherwise(F.array().cast("array<string>"))
     grams = clause.select(page, F.explode(F.concat(*[sized(n) for n in range(least, most + 1)])).alias("phrase"))
     # N-grams are built once: per phrase and page, then per phrase; what is left is stored, since it is joined with itself.
     per_page = grams.groupBy("phrase", page).agg(F.count("*").alias("c"))
