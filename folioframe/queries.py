@@ -15,8 +15,8 @@ from .operators import changes as C
 from .operators import joins as J
 from .operators import sets as S
 from .operators import windows as W
-from .plans import alignment, decisions, mining, validators
-from .sources import readers, writers
+from .plans import alignment, decisions, mining, service, validators
+from .sources import ocr, readers, writers
 from .workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1655,17 +1655,38 @@ def glossary_load(spark, d):
     return _terms(spark).select(F.col("term").alias("t"), F.size("approved").alias("x"))
 
 
-@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+@query("""WITH p AS (SELECT conv_id AS page_num, printf('p%04d', conv_id) AS page_id, avg(length(text) % 100) AS raw_confidence_avg, min(length(text) % 100)::DOUBLE AS raw_confidence_min FROM conversations GROUP BY conv_id),
+q AS (SELECT *, CASE WHEN raw_confidence_min >= 10 THEN 'ok' ELSE 'review' END AS qc_status FROM p)
+SELECT 'pages' AS answer, * FROM q UNION ALL SELECT 'page' AS answer, * FROM q WHERE page_num = 3""")
 def http_read_api(spark, d):
-    """What the service's GET would return: one page's rows."""
-    return table(spark, d, "nation").where("n_regionkey = 1").select("n_nationkey", "n_name")
+    """What the service's GET would return: the list of all pages, and one page by its number."""
+    sure = F.length("text") % 100
+    p = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("page_num")).agg(F.avg(sure).alias("raw_confidence_avg"), F.min(sure).cast("double").alias("raw_confidence_min"))
+    p = p.withColumns({"page_id": F.format_string("p%04d", "page_num"), "qc_status": F.when(F.col("raw_confidence_min") >= 10, "ok").otherwise("review")})
+    return service.list_pages(p).select(F.lit("pages").alias("answer"), "*").unionByName(service.list_pages(service.get_page(p, "3")).select(F.lit("page").alias("answer"), "*"))
 
 
-@query("SELECT s_suppkey, 's_acctbal' AS field FROM supplier WHERE s_suppkey % 5 = 0 AND s_acctbal <> 0")
+@query("""WITH x AS (SELECT conv_id, CASE WHEN conv_id % 7 = 0 THEN 'missing' WHEN conv_id % 5 = 0 OR (conv_id % 11 = 0 AND bool_or(turn = 0)) THEN 'invalid' ELSE 'saved' END AS outcome,
+count(*) + count(CASE WHEN turn % 2 = 0 THEN text END) AS n FROM conversations WHERE conv_id % 3 <> 0 GROUP BY conv_id)
+SELECT CASE WHEN conv_id % 7 = 0 THEN 'new-' ELSE '' END || printf('p%04d', conv_id) AS page_id, outcome, CASE WHEN outcome = 'saved' THEN n ELSE 0 END AS edits, CASE WHEN outcome = 'saved' THEN (SELECT count(*) FROM conversations c WHERE c.conv_id = x.conv_id) ELSE 0 END AS reviewed FROM x""")
 def http_annotation_api(spark, d):
-    """What the service's save would log: the differences between the stored and the posted page."""
-    s = table(spark, d, "supplier")
-    return C.diff(s, s.withColumn("s_acctbal", F.when(F.col("s_suppkey") % 5 == 0, 0.0).otherwise(F.col("s_acctbal"))), ["s_suppkey"], ["s_acctbal", "s_name"]).select("s_suppkey", "field")
+    """Two thirds of the pages are posted: some aren't stored, some have an unknown status or a marker without a note, the rest are saved.
+
+    Per page: what came of it, the edits logged, and the lines that are reviewed afterwards.
+    """
+    c = table(spark, d, "conversations")
+    line = lambda page, text, status: [page.alias("page_id"), F.format_string("l%04d", "turn").alias("line_id"), text.alias("text_gold"), F.lit("").alias("marker_id"), F.col("role").alias("notes"), status.alias("review_status")]
+    page = F.format_string("p%04d", "conv_id")
+    stored = c.select(*line(page, F.col("text"), F.lit("draft")))
+    sent = c.where("conv_id % 3 <> 0").withColumn("_page", F.when(F.col("conv_id") % 7 == 0, F.concat(F.lit("new-"), page)).otherwise(page))
+    text = F.when(F.col("turn") % 2 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    status = F.when(F.col("conv_id") % 5 == 0, "odd").otherwise("reviewed")
+    posted = sent.select(*line(F.col("_page"), text, status), F.when(F.col("turn") == 0, F.array(F.lit("n1"))).otherwise(F.array(F.lit(""))).alias("note_ids"))
+    notes = sent.where("conv_id % 11 <> 0").select(F.col("_page").alias("page_id"), F.lit("n1").alias("footnote_id"), F.lit("gloss").alias("kind")).distinct()
+    after, edits, outcome = service.save_pages(stored, posted, service.line_faults(posted, notes))
+    done = after.where("review_status = 'reviewed'").groupBy("page_id").agg(F.count("*").alias("reviewed"))
+    logged = edits.groupBy("page_id").agg(F.count("*").alias("edits"))
+    return outcome.join(logged, "page_id", "left").join(done, "page_id", "left").select("page_id", "outcome", F.coalesce("edits", F.lit(0)).alias("edits"), F.coalesce("reviewed", F.lit(0)).alias("reviewed"))
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
@@ -1729,12 +1750,19 @@ def udf_text_transform(spark, d):
     return table(spark, d, "region").select("r_regionkey", T.compose(F.upper, lambda c: F.concat(c, F.lit("!")))(F.col("r_name")).alias("x"))
 
 
-@query("SELECT conv_id, 1.0::DOUBLE AS score FROM conversations WHERE turn = 0")
+@query("""WITH x AS (SELECT a.conv_id, a.text AS s, b.text AS r, list_distinct(string_split(a.text, ' ')) AS p, list_distinct(string_split(b.text, ' ')) AS q FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = 0 AND b.turn = 2)
+SELECT conv_id, CASE WHEN e IS NULL THEN len(list_intersect(p, q)) / len(list_distinct(list_concat(p, q))) END::DOUBLE AS score, e AS error FROM (SELECT *, CASE WHEN coalesce(trim(s), '') = '' THEN 'missing_source' WHEN coalesce(trim(r), '') = '' THEN 'missing_reference' END AS e FROM x)""")
 def udf_metric(spark, d):
+    """An injected metric, called on batches: shared words of each conversation's turns 0 and 2."""
     from .plans import pages as PP
 
-    x = table(spark, d, "conversations").where("turn = 0").select("conv_id", F.col("text").alias("s"), F.col("text").alias("m"), F.col("text").alias("r"))
-    return PP.external_scores(x, lambda s, m, r: [float(a == b) for a, b in zip(m, r, strict=True)], "conv_id", "s", "m", "r").select("conv_id", "score")
+    def overlap(_, mt, ref):
+        sides = [(set(a.split(" ")), set(b.split(" "))) for a, b in zip(mt, ref, strict=True)]
+        return [len(a & b) / len(a | b) for a, b in sides]
+
+    c = table(spark, d, "conversations")
+    x = c.where("turn = 0").select("conv_id", F.col("text").alias("s"), F.col("text").alias("m")).join(c.where("turn = 2").select("conv_id", F.col("text").alias("r")), "conv_id")
+    return PP.external_scores(x, overlap, "conv_id", "s", "m", "r").select("conv_id", "score", "error")
 
 
 @query("SELECT r_name AS text, 1.0::DOUBLE AS confidence FROM region")
@@ -1777,24 +1805,51 @@ def translation_source(spark, d):
     return PP.translate(table(spark, d, "nation"), lambda p: "```json\n" + json.dumps({"english": "N:" + p.removeprefix("[text]\n")}) + "\n```", "n_nationkey", "n_name")
 
 
-def _scanned(spark: SparkSession, d: str, scale: float) -> DataFrame:
-    """The interface that OCR engines share: an injected engine over binary files, confidence in per cent."""
-    return udf_ocr_engine(spark, d).select("text", (F.col("confidence") * scale).alias("confidence"))
+def _images(spark: SparkSession, d: str) -> DataFrame:
+    """Documents' bytes in place of page images."""
+    return table(spark, d, "documents").select(F.col("doc_id").alias("path"), F.encode("text", "UTF-8").alias("content"))
+
 
+def _word_engine(image: bytes) -> tuple[str, list]:
+    n, b = len(image.decode()), len(image)
+    return image.decode(), [n % 97, str(n // 97 % 89), "-1", -1, b % 79, (n + b) % 83]
+
+
+def _line_engine(image: bytes) -> list:
+    return [(x, [len(x) % 97 if i < 4 else -1]) for i, x in enumerate(image.decode().split("\n"))]
+
+
+def _vision_model(image: bytes) -> str:
+    import json
 
-_SCAN = "SELECT r_name AS text, 100.0::DOUBLE AS confidence FROM region"
+    found = image.decode().split("\n")
+    lines = [{"text": x, "confidence": len(x) % 128 / 128 if i < 4 else 0, "marker_id": None, "illegible": False} | ({"region": "footnote"} if i % 7 == 6 else {}) for i, x in enumerate(found)]
+    return "```json\n" + json.dumps({"page_summary": f"{len(found)} lines", "lines": ["not a line", *lines]}) + "\n```"
 
 
-@query(_SCAN)
+@query("""WITH x AS (SELECT doc_id, text, length(text) AS n, strlen(text) AS b FROM documents),
+y AS (SELECT *, [n % 97, n // 97 % 89, b % 79, (n + b) % 83] AS c FROM x)
+SELECT doc_id AS path, text, CASE WHEN text IS NULL THEN 0 ELSE list_sum(c) / 4.0 END::DOUBLE AS avg_confidence, CASE WHEN text IS NULL THEN 0 ELSE list_min(c) END::DOUBLE AS min_confidence,
+CASE WHEN text IS NULL THEN 'no image' END AS error FROM y""")
 def ocr_source_tesseract(spark, d):
-    return _scanned(spark, d, 100.0)
+    """An injected engine over all documents: its text, and confidences a word of which some mark no word."""
+    return ocr.from_words(_images(spark, d), _word_engine)
 
 
-@query(_SCAN)
+@query("""WITH x AS (SELECT doc_id, text, list_transform(string_split(text, chr(10))[1:4], lambda v: length(v) % 97) AS c FROM documents)
+SELECT doc_id AS path, text, CASE WHEN text IS NULL THEN 0 ELSE round(list_sum(c) / len(c), 2) END::DOUBLE AS avg_confidence, CASE WHEN text IS NULL THEN 0 ELSE list_min(c) END::DOUBLE AS min_confidence,
+CASE WHEN text IS NULL THEN 'no image' END AS error FROM x""")
 def ocr_source_kraken(spark, d):
-    return _scanned(spark, d, 100.0)
+    """An injected engine over all documents: lines with confidences, unknown ones among them."""
+    return ocr.from_lines(_images(spark, d), _line_engine)
 
 
-@query(_SCAN)
+@query("""WITH x AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+y AS (SELECT doc_id, l, list_filter(list_transform(l[1:4], lambda v: (length(v) % 128) / 128.0::DOUBLE), lambda v: v > 0) AS c FROM x),
+z AS (SELECT doc_id, len(l) || ' lines' AS page_summary, CASE WHEN len(c) = 0 THEN 0 ELSE round_even(list_sum(c) / len(c) * 100, 2) END::DOUBLE AS avg_confidence, CASE WHEN len(c) = 0 THEN 0 ELSE round_even(list_min(c) * 100, 2) END::DOUBLE AS min_confidence,
+unnest(l) AS text, generate_subscripts(l, 1) - 1 AS i FROM y)
+SELECT doc_id AS path, page_summary, avg_confidence, min_confidence, i::INTEGER AS line_index, CASE WHEN i % 7 = 6 THEN 'footnote' ELSE 'body' END AS region, text, CASE WHEN i < 4 THEN (length(text) % 128) / 128.0::DOUBLE ELSE 0 END AS confidence FROM z""")
 def ocr_source_vision_llm(spark, d):
-    return _scanned(spark, d, 100.0)
+    """An injected model over all documents, whose fenced JSON becomes lines beside the page's summary and confidences."""
+    x = ocr.from_vision(_images(spark, d), _vision_model).select("path", "page_summary", "avg_confidence", "min_confidence", F.explode("lines").alias("l"))
+    return x.select("path", "page_summary", "avg_confidence", "min_confidence", "l.line_index", "l.region", "l.text", "l.confidence")
