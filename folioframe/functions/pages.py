@@ -61,7 +61,7 @@ def stitch_pages(pages: Column) -> Column:
 
 def _foot(page: Column) -> Column:
     """A page without blank lines, trailing page number, and the block of footnote lines above it."""
-    lines = F.filter(F.transform(F.split(page, r"\r?\n"), F.rtrim), lambda x: F.trim(x) != "")
+    lines = F.filter(F.transform(F.split(page, r"\r?\n"), lambda x: F.rtrim(x)), lambda x: F.trim(x) != "")
     drop = lambda a, pattern: F.slice(a, F.lit(1), F.size(a) - _trailing(a, pattern))
     number = drop(lines, r"^\s*[0-9]{1,3}\s*$")
     return F.array_join(F.element_at(F.transform(F.array(number), lambda a: drop(a, r"^\s*[a-z]\s+[A-Z“”\"'(]")), 1), "\n")
@@ -163,7 +163,7 @@ def clean_note_marks(c: Column) -> Column:
 def relabel_notes(c: Column) -> Column:
     """Marker-led lines as numbered entries ``[fnNN|marker] text``; other lines continue the entry before them."""
     mark = r"^([\[\(]?(?:[?*!†‡0-9]+|[A-Z]{1,3}|[a-z])[\]\).]?)\s+(.*)$"
-    lines = F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\r?\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
     one = lambda m, t: F.array(F.struct(m.alias("m"), t.alias("t")))
 
     def step(a: Column, x: Column) -> Column:

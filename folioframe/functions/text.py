@@ -73,7 +73,7 @@ def normalize_catchword(c: Column) -> Column:
 def join_dehyphenate(lines: Column, hyphens: str = "-¬—­") -> Column:
     """Lines joined by spaces; one that ends with a hyphen loses it and is fused with the next."""
     marks = "".join("\\" + h if h in "-]^\\" else h for h in hyphens)
-    return F.trim(F.regexp_replace(F.regexp_replace(F.array_join(F.transform(lines, F.trim), "\n"), rf"[{marks}]\n", ""), "\n", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(F.array_join(F.transform(lines, lambda x: F.trim(x)), "\n"), rf"[{marks}]\n", ""), "\n", " "))
 
 
 def alpha_breakdown(c: Column) -> dict[str, Column]:

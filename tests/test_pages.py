@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioframe.functions import pages as P
+from folioframe.functions import text as T
 from folioframe.plans import pages as PP
 
 
@@ -60,6 +61,12 @@ def test_notes(spark):
     assert one(spark, P.clean_note_marks(F.col("t")), "a[b]? c[12]") == "a[fn-b] c[fn-12]"
     assert one(spark, P.relabel_notes(F.col("t")), "lead\n* first\nmore\n2. second") == "[fn01|?] lead\n[fn02|*] first more\n[fn03|2.] second"
     assert one(spark, P.relabel_notes(F.col("t")), None) == ""
+    assert one(spark, P.relabel_notes(F.col("t")), "0 zero\n1 one 1\n2. two 2\nmore 3") == "[fn01|0] zero\n[fn02|1] one 1\n[fn03|2.] two 2 more 3"
+
+
+def test_digits_that_equal_the_place_of_their_line_stay(spark):
+    assert one(spark, P.stitch_pages(F.array("t")), "year 0\nyear 1\nyear 2 \nend") == "year 0 year 1 year 2 end"
+    assert one(spark, T.join_dehyphenate(F.split("t", "\n")), "0 a 0\n1 b 1\n2 c 2") == "0 a 0 1 b 1 2 c 2"
 
 
 def test_report(spark):
