@@ -2,14 +2,50 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Shares of a group between which its middle rows lie for certain, as the sketch's rank error is a 10,000th of the group.
+_AROUND = (0.498, 0.502)
+
+
+def with_medians(rows: DataFrame, keys: list[str], values: dict[str, Column], *others: Column) -> DataFrame:
+    """Keys, the exact median of each named value that isn't null (null where there is none), and ``others``, plain aggregates.
+
+    A sketch of bounded size, made beside the other aggregates, brackets the middle of each group. Only different values inside the
+    bracket, counted before the shuffle, are then ranked: a group of any size sends 0.4 % of its rows to one task, not all of them.
+    Null keys are a group. Without keys there is one row, also of an empty table.
+    """
+    x = rows.withColumns({f"_m_{n}": v.cast("double") for n, v in values.items()})
+    sketch = [F.struct(F.count(f"_m_{n}").alias("n"), F.percentile_approx(f"_m_{n}", F.array(*map(F.lit, _AROUND)), F.lit(10_000)).alias("at")).alias(f"_s_{n}") for n in values]
+    out = x.groupBy(*keys).agg(*others, *sketch)
+    names = [f"_k{i}" for i in range(len(keys))]
+    renamed = [F.col(c).alias(k) for c, k in zip(keys, names, strict=True)]
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(keys, names, strict=True)], F.lit(True))
+    for n in values:
+        v, s = F.col(f"_m_{n}"), F.col("_s")
+        groups = out.select(*renamed, F.col(f"_s_{n}").alias("_s"))
+        y = x.select(*keys, v).where(v.isNotNull()).join(groups if keys else F.broadcast(groups), same)  # without keys one row
+        # One row for all below the bracket, and one for each different value in it.
+        inside = v >= s["at"][0]
+        y = y.where(v <= s["at"][1]).groupBy(*names, F.when(inside, v).alias("_v")).agg(F.count("*").alias("_c"), F.first(s["n"]).alias("_n"))
+        y = y.withColumn("_to", F.sum("_c").over(Window.partitionBy(*names).orderBy(F.col("_v").asc_nulls_first())))
+        # Rows n/2 and n/2 + 1 of an even n, the middle one of an odd n, are those that a value's run of rows reaches.
+        middle = (F.col("_to") * 2 >= F.col("_n")) & ((F.col("_to") - F.col("_c")) * 2 <= F.col("_n"))
+        m = y.where(middle & F.col("_v").isNotNull()).groupBy(*names).agg(((F.min("_v") + F.max("_v")) / 2).alias(n))
+        out = out.join(m, same, "left").drop(*names, f"_s_{n}")
+    return out
+
+
 def score_stats(rows: DataFrame, keys: list[str], score: str) -> DataFrame:
     """n, mean, median, sample deviation (null for one row), min and max of the scores that aren't null."""
     s = F.col(score)
-    return rows.groupBy(*keys).agg(F.count(s).alias("n"), F.avg(s).alias("mean"), F.median(s).alias("median"), F.stddev_samp(s).alias("stdev"), F.min(s).alias("min"), F.max(s).alias("max"))
+    out = with_medians(rows, keys, {"median": s}, F.count(s).alias("n"), F.avg(s).alias("mean"), F.stddev_samp(s).alias("stdev"), F.min(s).alias("min"), F.max(s).alias("max"))
+    return out.select(*keys, "n", "mean", "median", "stdev", "min", "max")
 
 
 def win_tie_loss(pairs: DataFrame, a: str, b: str, keys: list[str] | None = None) -> DataFrame:
@@ -17,8 +53,9 @@ def win_tie_loss(pairs: DataFrame, a: str, b: str, keys: list[str] | None = None
     d = F.col(b) - F.col(a)
     ok = d.isNotNull()
     only = lambda c: F.when(ok, F.col(c))
-    out = pairs.groupBy(*(keys or [])).agg(
-        F.count_if(ok).alias("n"), F.count_if(~ok).alias("n_errored"), F.avg(only(a)).alias("mean_a"), F.avg(only(b)).alias("mean_b"), F.median(only(a)).alias("median_a"), F.median(only(b)).alias("median_b"),
+    out = with_medians(
+        pairs, keys or [], {"median_a": only(a), "median_b": only(b)},
+        F.count_if(ok).alias("n"), F.count_if(~ok).alias("n_errored"), F.avg(only(a)).alias("mean_a"), F.avg(only(b)).alias("mean_b"),
         F.avg(d).alias("mean_delta"), F.count_if(d > 0).alias("wins"), F.count_if(d == 0).alias("ties"), F.count_if(d < 0).alias("losses"),
     )
     return out.withColumn("win_rate", F.try_divide("wins", "n"))

@@ -68,14 +68,21 @@ def tiled_exactly(big: DataFrame, small: DataFrame, big_id: str, small_id: str,
     return covered.join(sizes, big_id).where("_cover = _size and _total = _size").select(big_id, "pieces")
 
 
-#: Rules that may be broadcast: their number is checked, beyond it Spark chooses the join.
+#: Patterns a broadcast block holds at most, on average: the blocks' number follows from a count.
 RULES_AT_MOST = 20_000
 
 
 def matching_rules(texts: DataFrame, text: str, rules: DataFrame, pattern: str) -> DataFrame:
-    """Pairs of a text and a rule whose pattern it matches."""
-    few = rules.limit(RULES_AT_MOST + 1).count() <= RULES_AT_MOST
-    return texts.join(F.broadcast(rules) if few else rules, F.rlike(F.col(text), F.col(pattern)))
+    """Pairs of a text and a rule whose pattern it matches; null patterns and texts match nothing.
+
+    Each different pattern is tried once a text, whatever the number of its rules. Blocks of patterns are broadcast, each against
+    one pass over the texts, so a larger rule table means more passes and never a product of two shuffled sides.
+    """
+    each = rules.where(F.col(pattern).isNotNull()).select(F.col(pattern).alias("_pattern")).distinct()
+    blocks = -(-each.count() // RULES_AT_MOST)
+    block = lambda i: each.where(F.pmod(F.xxhash64("_pattern"), F.lit(blocks)) == i) if blocks > 1 else each
+    hits = [texts.join(F.broadcast(block(i)), F.rlike(F.col(text), F.col("_pattern"))) for i in range(max(1, blocks))]
+    return reduce(DataFrame.unionByName, hits).join(rules, F.col("_pattern") == F.col(pattern)).drop("_pattern")
 
 
 def bind_by_rank(a: DataFrame, b: DataFrame, keys: list[str], order_a: str, order_b: str) -> DataFrame:

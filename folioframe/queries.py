@@ -1499,11 +1499,21 @@ def _is(*pairs) -> str:
     return "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(lit, p)) + ")" for p in pairs) + ") v(t, x)"
 
 
-@query(_is(("First page be-\nlieves .\n12", "First page believes."), ("Text\na  See there\n3\n", "Text")))
+@query(r"""WITH s AS (SELECT conv_id, turn, replace(coalesce(text, ''), ' the ', '-' || chr(10) || 'the ') || chr(10) || '  "' || chr(10) || 'a  See ' || turn || chr(10) || 'b  Also' || chr(10) || chr(10) || turn || ' ' AS t FROM conversations),
+l AS (SELECT conv_id, turn, array_to_string(list_filter(list_transform(regexp_split_to_array(t, '\r?\n'), lambda v: rtrim(v)), lambda v: trim(v) <> ''), chr(10)) AS t FROM s),
+n AS (SELECT conv_id, turn, regexp_replace(chr(10) || t, '(\n\s*[0-9]{1,3}\s*)+$', '') AS t FROM l),
+f AS (SELECT conv_id, turn, substr(regexp_replace(t, '(\n\s*[a-z]\s+[A-Z“”"''(][^\n]*)+$', ''), 2) AS t FROM n),
+c AS (SELECT conv_id, string_agg(regexp_replace(t, '(?m)^\s*["“”<>''‘’]{1,3}\s*$\n?', '', 'g'), chr(10) ORDER BY turn) AS t FROM f GROUP BY conv_id),
+h AS (SELECT conv_id, regexp_replace(regexp_replace(t, '([\p{L}\p{M}\p{Nd}_])-\s*\n\s*([\p{L}\p{M}\p{Nd}_])', '\1\2', 'g'), '\s*\n\s*', ' ', 'g') AS t FROM c)
+SELECT conv_id, trim(regexp_replace(regexp_replace(t, '\s{2,}', ' ', 'g'), '\s+([,.;:!?])', '\1', 'g')) AS x FROM h""")
 def stitch_pages(spark, d):
+    """Conversations as books: each turn is a page with broken words, a line of noise, notes and a number at its foot."""
     from .functions import pages as FP
 
-    return _rows(spark, "First page be-\nlieves .\n12", "Text\na  See there\n3\n").select("t", FP.stitch_pages(F.array("t")).alias("x"))
+    n = F.col("turn").cast("string")
+    page = F.concat(F.replace(F.coalesce("text", F.lit("")), F.lit(" the "), F.lit("-\nthe ")), F.lit('\n  "\na  See '), n, F.lit("\nb  Also\n\n"), n, F.lit(" "))
+    x = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", page.alias("t")))).alias("p"))
+    return x.select("conv_id", FP.stitch_pages(F.transform("p", lambda p: p["t"])).alias("x"))
 
 
 _NO_ENCLITIC = ", ".join(f"'{w}'" for w in mining.NO_ENCLITIC)
@@ -1519,19 +1529,29 @@ def clause_tokens(spark, d):
     return c.groupBy("doc_id").agg(F.count("*").alias("clauses"), F.sum(F.size("tokens")).alias("tokens"), F.sum(F.length(F.array_join("tokens", ""))).alias("letters"))
 
 
-@query(_is(("CAP. IV.|33", "true true right left true"), ("33|x", "true false left  false"), ("x", "false false   false")))
+@query(r"""WITH x AS (SELECT o_orderkey, (o_orderkey // 10)::VARCHAR AS page, string_split(CASE WHEN o_orderkey % 7 = 0 THEN 'x' ELSE concat(CASE WHEN o_orderkey % 2 = 0 THEN 'CAP. IV.' ELSE o_orderkey::VARCHAR END, '|middle|', CASE WHEN o_orderkey % 3 = 0 THEN 'cap xi' ELSE (o_orderkey // 10)::VARCHAR END) END, '|') AS l FROM orders),
+y AS (SELECT *, o_orderkey // 10 % 2 = 0 AS even, contains(l[1], page) AS p1, coalesce(contains(l[3], page), false) AS p3, regexp_matches(l[1], '(?i)\bCAP') AS c1, coalesce(l[3] = 'cap xi', false) AS c3 FROM x),
+z AS (SELECT *, CASE WHEN p1 AND len(l) > 1 THEN 'left' WHEN p3 THEN 'right' WHEN p1 THEN CASE WHEN even THEN 'left' ELSE 'right' END ELSE '' END AS page_side FROM y)
+SELECT o_orderkey, p1 OR p3 AS has_page, c1 OR c3 AS has_chapter, page_side, CASE WHEN c1 THEN 'left' WHEN c3 THEN 'right' ELSE '' END AS chapter_side, (p1 OR p3) AND page_side = CASE WHEN even THEN 'left' ELSE 'right' END AS parity_ok FROM z""")
 def header_meta(spark, d):
+    """Header lines made of order keys: chapter or number on the left, something between, number or chapter on the right."""
     from .functions import pages as FP
 
-    m = FP.header_meta(F.split("t", r"\|"), F.lit(3))
-    return _rows(spark, "CAP. IV.|33", "33|x", "x").select("t", F.concat_ws(" ", *[c.cast("string") for c in m.values()]).alias("x"))
+    page = F.expr("o_orderkey div 10")
+    left = F.when(F.col("o_orderkey") % 2 == 0, "CAP. IV.").otherwise(F.col("o_orderkey").cast("string"))
+    right = F.when(F.col("o_orderkey") % 3 == 0, "cap xi").otherwise(page.cast("string"))
+    lines = F.when(F.col("o_orderkey") % 7 == 0, F.array(F.lit("x"))).otherwise(F.array(left, F.lit("middle"), right))
+    return table(spark, d, "orders").select("o_orderkey", *[c.alias(k) for k, c in FP.header_meta(lines, page).items()])
 
 
-@query(_is(("lead\n* first\nmore\n2. second", "[fn01|?] lead\n[fn02|*] first more\n[fn03|2.] second"), ("", "")))
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '[fn01|?] lead [b] tail' || chr(10) ELSE '' END || CASE WHEN doc_id % 3 = 0 THEN '[fn02|*] ' ELSE '[fn01|*] ' END || CASE WHEN doc_id % 2 = 0 THEN 'note ' ELSE '' END || doc_id || ' more' || chr(10) || CASE WHEN doc_id % 3 = 0 THEN '[fn03|2.] ' ELSE '[fn02|2.] ' END || coalesce(lang, 'none') || ' x (a) not a marker' AS x FROM documents""")
 def relabel_footnotes(spark, d):
+    """Note blocks made of documents' columns: lines with markers, without, and before the first marker."""
     from .functions import pages as FP
 
-    return _rows(spark, "lead\n* first\nmore\n2. second", "").select("t", FP.relabel_notes(F.col("t")).alias("x"))
+    lead, note = F.when(F.col("doc_id") % 3 == 0, "lead [b]\n\n tail \r\n").otherwise(""), F.when(F.col("doc_id") % 2 == 0, "note ").otherwise("")
+    t = F.concat(lead, F.lit("* "), note, F.col("doc_id").cast("string"), F.lit("\nmore\n2. "), F.coalesce("lang", F.lit("none")), F.lit("  \n x \n(a) not a marker"))
+    return table(spark, d, "documents").select("doc_id", FP.relabel_notes(t).alias("x"))
 
 
 def _history(spark: SparkSession, d: str) -> DataFrame:
@@ -1650,9 +1670,12 @@ def judgment_scan(spark, d):
     return spark.read.schema("o_orderkey long, pairing string").json(base).groupBy("pairing").agg(F.count("*").alias("n"))
 
 
-@query(_is(("the", 2), ("and", 2)))
+@query("SELECT p_partkey, p_name AS term, '(?iU)' || p_brand AS matcher FROM part WHERE p_partkey % 3 <> 0 AND p_partkey % 5 <> 0 AND p_name <> '' AND p_brand <> ''")
 def glossary_load(spark, d):
-    return _terms(spark).select(F.col("term").alias("t"), F.size("approved").alias("x"))
+    """Parts as entries, some without a term and some without a pattern."""
+    some = lambda c, n: F.when(F.col("p_partkey") % n != 0, F.col(c)).otherwise(F.when(F.col("p_partkey") % 2 == 0, ""))
+    entries = table(spark, d, "part").select("p_partkey", some("p_name", 3).alias("term"), some("p_brand", 5).alias("latin_pattern"))
+    return readers.glossary(entries).select("p_partkey", "term", "matcher")
 
 
 @query("""WITH p AS (SELECT conv_id AS page_num, printf('p%04d', conv_id) AS page_id, avg(length(text) % 100) AS raw_confidence_avg, min(length(text) % 100)::DOUBLE AS raw_confidence_min FROM conversations GROUP BY conv_id),
