@@ -287,6 +287,6 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
             error = float(np.abs(covariances(own, means(own))[k] - np.eye(k)).max())
         known += [(size, i + 1, float(e / m.trace) if m.trace > 0 else None, error) for i, e in enumerate(m.values.tolist())]
     facts = spark.createDataFrame(known, "size int, component int, explained double, identity_error double")
-    # At most ``components`` rows a size of vectors.
-    out = done.join(facts, "size")
+    # ``components`` rows a size of vectors at most; all rows of a size share their key, so this side is broadcast while it is small.
+    out = done.join(F.broadcast(facts) if len(known) <= 100_000 else facts, "size")
     return out.select(F.col("id").alias(id_col), "component", "n", "deviation", F.get("v", F.col("component") - 1).alias("whitened"), "explained", "identity_error")
