@@ -88,9 +88,16 @@ def once_each(text: Column, required: Column) -> dict[str, Column]:
 
 
 def placed(original: Column, response: Column, token: Column) -> Column:
-    """Whether the response is the original plus exactly one token, white space aside."""
-    squeeze = lambda c: F.regexp_replace(c, r"\s+", "")
-    o, r, t = squeeze(original), squeeze(response), squeeze(token)
-    at = F.sequence(F.lit(0), F.length(o))
-    fits = F.exists(at, lambda i: F.concat(F.substring(o, F.lit(1), i), t, F.substring(o, i + 1, F.length(o))) == r)
-    return F.coalesce((F.length(r) == F.length(o) + F.length(t)) & fits, F.lit(False))
+    """Whether the response is the original plus the token once, white space aside: the response without the token's first place is
+    the original. False for null and blank responses and for those without the token. Linear in the texts.
+    """
+    spaced = lambda c: F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    at = F.instr(response, token)
+    rest = F.concat(F.left(response, at - 1), F.substring(response, at + F.length(token), F.length(response)))
+    return F.coalesce((at > 0) & (spaced(rest) == spaced(original)), F.lit(False))
+
+
+def place_or_append(original: Column, response: Column, token: Column) -> Column:
+    """The trimmed response where it fits, else the original with the token at its end, so that no marker is lost."""
+    trimmed = lambda c, ends: F.regexp_replace(c, rf"(?U){ends}", "")
+    return F.when(placed(original, trimmed(response, r"^\s+|\s+$"), token), trimmed(response, r"^\s+|\s+$")).otherwise(F.concat(trimmed(F.coalesce(original, F.lit("")), r"\s+$"), token))

@@ -188,12 +188,8 @@ def repair_inputs(findings: DataFrame, segments: DataFrame, kinds: list[str]) ->
     return f.join(segments.select("segment_id", "latin", "english"), "segment_id").withColumn("floor_score", F.lit(1))
 
 
-#: Mechanical rules: name and pattern over English text.
-RULES = {"double_space": r"\S  +\S", "space_before_mark": r"\s[,;:.!?](?:\s|$)", "repeated_word": r"\b([A-Za-z]+) \1\b", "open_bracket": r"\([^)]*$", "caret_left": r"\^[A-Za-z0-9]{1,2}", "digit_letter": r"[0-9][A-Za-z]{3,}", "lone_quote": r"(?:^|\s)\"(?:\s|$)"}
-
-
-def rule_findings(rows: DataFrame, key: str, text: str, rules: dict[str, str] = RULES) -> DataFrame:
-    """(key, rule, match) of every match of each rule."""
+def pattern_findings(rows: DataFrame, key: str, text: str, patterns: dict[str, str]) -> DataFrame:
+    """(key, rule, match) of every match of each named pattern."""
     named = lambda n: lambda m: F.struct(F.lit(n).alias("rule"), m.alias("match"))
-    each = [F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(p), F.lit(0)), named(n)) for n, p in rules.items()]
+    each = [F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(p), F.lit(0)), named(n)) for n, p in patterns.items()]
     return rows.select(key, F.explode(F.concat(*each)).alias("x")).select(key, "x.*")

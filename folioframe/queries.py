@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -15,7 +15,8 @@ from .operators import changes as C
 from .operators import joins as J
 from .operators import sets as S
 from .operators import windows as W
-from .plans import alignment, decisions, mining, service, validators
+from .operators import snapshots as SN
+from .plans import alignment, bundles, decisions, mining, rules, service, validators
 from .sources import ocr, readers, writers
 from .workspace import fresh_path
 
@@ -739,10 +740,63 @@ def is_sentence_end(spark, d):
 # --- Incremental ---------------------------------------------------------------------------------------------------
 
 
+def _snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Conversations as pages before and after a save: lines and footnotes come and go, fields, metadata and markers change."""
+    turn, body = F.col("turn"), F.col("role") == "user"
+
+    def side(new: bool) -> DataFrame:
+        text = F.when((turn % 3 == 1) & F.lit(new), F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+        status = F.when((turn % 4 == 2) & F.lit(new), "locked").otherwise("draft")
+        marks = F.when(turn % 2 == 1, F.array(F.struct(F.lit(1).alias("number"), F.when(F.lit(new), 10 + turn % 3).otherwise(10).alias("char_offset"))))
+        marks = marks if new else F.coalesce(marks, F.array().cast("array<struct<number:int,char_offset:bigint>>"))
+        line = F.struct(F.concat(F.lit("l"), turn).alias("line_id"), text.alias("text_gold"), F.when((turn % 6 == 5) & F.lit(new), "n").alias("notes"), status.alias("review_status"), marks.alias("markers"))
+        note = F.struct(F.concat(F.lit("fn"), turn).alias("footnote_id"), F.col("role").alias("text_gold"), F.when((turn % 8 == 1) & F.lit(new), "gloss").otherwise("citation").alias("kind"), turn.alias("marker_number"))
+        there = turn % 5 != (3 if new else 4)
+        of = lambda x, when: F.array_sort(F.collect_list(F.when(when, x)))
+        regions = F.struct(of(line, body & there).alias("body"), of(line, ~body & there).alias("marginalia"))
+        pages = table(spark, d, "conversations").where(F.col("conv_id") % 10 != (8 if new else 9)).groupBy("conv_id").agg(regions.alias("regions"), of(note, ~body & (turn != (5 if new else 3))).alias("footnotes"))
+        c = F.col("conv_id")
+        meta = F.struct(F.when((c % 2 == 0) & F.lit(new), "locked").otherwise("draft").alias("review_status"), F.concat(F.lit("r"), c % 3).alias("reviewer"))
+        own = [R.page_id(c).alias("page_id"), c.alias("page_num"), F.when((c % 4 == 1) & F.lit(new), "s2").otherwise("s1").alias("section_id"), F.when((c % 3 == 0) & F.lit(new), "1687").alias("edition")]
+        return pages.select(*own, meta.alias("meta"), "regions", "footnotes")
+
+    return side(False), side(True)
+
+
+def _snapshot_sql() -> str:
+    def side(new: bool) -> str:
+        """Fields of one side as (page_id, scope, target_id, field, v), and its footnotes as (page_id, target_id, node)."""
+        then = lambda when, x, y: f"CASE WHEN {when} THEN {x} ELSE {y} END" if new else y
+        c = f"(SELECT *, printf('p%04d', conv_id) AS page_id FROM conversations WHERE conv_id % 10 <> {8 if new else 9})"
+        page = {"page_num": "conv_id::VARCHAR", "section_id": then("conv_id % 4 = 1", "'\"s2\"'", "'\"s1\"'"), "edition": then("conv_id % 3 = 0", "'\"1687\"'", "NULL")}
+        line = {"text_gold": f"to_json({then('turn % 3 = 1', "text || '!'", 'text')})::VARCHAR", "notes": then("turn % 6 = 5", "'\"n\"'", "NULL"), "review_status": then("turn % 4 = 2", "'\"locked\"'", "'\"draft\"'")}
+        note = {"text_gold": "to_json(role)::VARCHAR", "kind": then("turn % 8 = 1", "'\"gloss\"'", "'\"citation\"'"), "marker_number": "turn::VARCHAR"}
+        lines, notes = f"turn % 5 <> {3 if new else 4}", f"role <> 'user' AND turn <> {5 if new else 3}"
+        rows = [f"SELECT DISTINCT page_id, 'page', page_id, '{f}', {v} FROM {c}" for f, v in page.items()]
+        rows.append(f"SELECT DISTINCT page_id, 'page_meta', page_id, 'review_status', {then('conv_id % 2 = 0', "'\"locked\"'", "'\"draft\"'")} FROM {c}")
+        rows += [f"SELECT page_id, 'line', 'l' || turn, '{f}', {v} FROM {c} WHERE {lines}" for f, v in line.items()]
+        rows.append(f"SELECT page_id, 'body_marker', 'l' || turn, 'markers', CASE WHEN turn % 2 = 1 THEN '[{{\"number\":1,\"char_offset\":' || {'10 + turn % 3' if new else '10'} || '}}]' END FROM {c} WHERE {lines}")
+        rows += [f"SELECT page_id, 'footnote', 'fn' || turn, '{f}', {v} FROM {c} WHERE {notes}" for f, v in note.items()]
+        node = "'{{\"footnote_id\":\"fn' || turn || '\",\"text_gold\":' || {} || ',\"kind\":' || {} || ',\"marker_number\":' || turn || '}}'".format(note["text_gold"], note["kind"])
+        n = "n" if new else "o"
+        return f"f{n}(page_id, scope, target_id, field, v) AS ({' UNION ALL '.join(rows)}), x{n} AS (SELECT page_id, 'fn' || turn AS target_id, {node} AS node FROM {c} WHERE {notes})"
+
+    return f"""WITH {side(False)}, {side(True)}, p AS (SELECT printf('p%04d', conv_id) AS page_id, 'r' || any_value(conv_id % 3) AS reviewer FROM conversations WHERE conv_id % 10 <> 8 GROUP BY conv_id),
+changed AS (SELECT page_id, scope, target_id, field, fo.v AS before, fn.v AS after FROM fo FULL JOIN fn USING (page_id, scope, target_id, field) WHERE fo.v IS DISTINCT FROM fn.v),
+kept AS (SELECT * FROM changed WHERE scope IN ('page', 'page_meta') OR (page_id, scope, target_id) IN (SELECT (page_id, scope, target_id) FROM fn)
+UNION ALL SELECT page_id, 'footnote', target_id, '_added', NULL, node FROM xn ANTI JOIN xo USING (page_id, target_id) UNION ALL SELECT page_id, 'footnote', target_id, '_deleted', node, NULL FROM xo ANTI JOIN xn USING (page_id, target_id))
+SELECT kept.*, coalesce(reviewer, '') AS reviewer FROM kept LEFT JOIN p USING (page_id)"""
+
+
+@query(_snapshot_sql())
+def cdc_diff(spark, d):
+    return SN.nested_diff(*_snapshots(spark, d))
+
+
 @query("""WITH b AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 10 <> 0), a AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 4 = 0 THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 15 <> 0),
 j AS (SELECT c_custkey, b.c_name AS bn, a.c_name AS an, b.c_mktsegment AS bm, a.c_mktsegment AS am, b.c_name IS NULL AS new, a.c_name IS NULL AS gone FROM b FULL JOIN a USING (c_custkey))
 SELECT c_custkey, 'c_name' AS field, bn AS before, an AS after FROM j WHERE NOT gone AND bn IS DISTINCT FROM an UNION ALL SELECT c_custkey, 'c_mktsegment', bm, am FROM j WHERE NOT gone AND bm IS DISTINCT FROM am UNION ALL SELECT c_custkey, '_added', NULL, NULL FROM j WHERE new UNION ALL SELECT c_custkey, '_deleted', NULL, NULL FROM j WHERE gone""")
-def cdc_diff(spark, d):
+def cdc_diff_flat(spark, d):
     c = table(spark, d, "customer")
     after = c.where("c_custkey % 15 <> 0").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 4 == 0, "MOVED").otherwise(F.col("c_mktsegment")))
     return C.diff(c.where("c_custkey % 10 <> 0"), after, ["c_custkey"], ["c_name", "c_mktsegment"])
@@ -784,8 +838,6 @@ def payload_validator(spark, d):
 
 def _segments(spark: SparkSession, d: str) -> DataFrame:
     """Conversations as segments: a turn's text as Latin, the next turn's as English."""
-    from pyspark.sql import Window
-
     nxt = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
     x = table(spark, d, "conversations").select(F.format_string("p%04d_%d", "conv_id", "turn").alias("segment_id"), F.format_string("p%04d", "conv_id").alias("page_id"), F.col("turn").cast("int").alias("seq"), F.col("text").alias("latin"), nxt.alias("english"))
     return validators.prepared(x)
@@ -835,8 +887,36 @@ def glossary_drift(spark, d):
 
 
 @query("SELECT doc_id, 'digits' AS rule, unnest(regexp_extract_all(text, '[0-9]{3,}')) AS match FROM documents UNION ALL SELECT doc_id, 'marks', unnest(regexp_extract_all(text, '[!?]{2,}')) FROM documents")
+def pattern_findings(spark, d):
+    return validators.pattern_findings(table(spark, d, "documents"), "doc_id", "text", {"digits": "[0-9]{3,}", "marks": "[!?]{2,}"})
+
+
+#: Texts in which the mechanical rules find something, and in which they are silenced.
+_RULED = """CASE WHEN doc_id % 11 = 0 THEN '' ELSE concat(replace(replace(replace(replace(replace(text, ' the ', ' Thee '), ' de ', ' Boadicea '), ' und ', ' De Trinitate '), ' and ', '^ab '), ' la ', ' LSJ '),
+CASE WHEN doc_id % 13 = 0 THEN '```x~~~' ELSE '' END, CASE WHEN doc_id % 7 = 0 THEN ' Boudica *De Trinitate*' ELSE '' END) END"""
+
+
+def _rules_sql() -> str:
+    """Every rule as SQL; letters beyond ASCII become a q, so that word ends mean the same, and places stay."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    shaped = f"(SELECT doc_id, t, regexp_replace(t, '{_WIDE}', 'q', 'g') AS w FROM (SELECT doc_id, {_RULED} AS t FROM documents))"
+    parts = []
+    for r in rules.RULES:
+        p = quoted(r.pattern.replace("\\Z", "\\z"))
+        note = " || hit || ".join(quoted(x) for x in r.note.split("{hit}"))
+        hits = f"SELECT doc_id, t, regexp_extract_all(w, {p}) AS m, regexp_split_to_array(w, {p}) AS s FROM {shaped} WHERE regexp_matches(w, {p})"
+        if r.unless:
+            hits += f" AND NOT regexp_matches(w, {quoted(r.unless)})"
+        each = f"SELECT doc_id, t, m[i] AS hit, (list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::INTEGER AS a FROM (SELECT *, unnest({'range(1, len(m) + 1)' if r.every else '[1]'}) AS i FROM ({hits}))"
+        if r.name == "empty_english":
+            each = f"SELECT doc_id, t, '' AS hit, 0 AS a FROM {shaped} WHERE t = ''"
+        parts.append(f"SELECT doc_id, '{r.name}' AS rule, a, hit, t, {note} AS note FROM ({each})")
+    cut = "replace(t[greatest(a - 24, 0) + 1 : a + length(hit) + 24], chr(10), ' ')"
+    return f"""SELECT doc_id, rule, a AS start, (a + length(hit))::INTEGER AS "end", CASE WHEN hit = '' THEN '' ELSE (CASE WHEN a > 24 THEN '…' ELSE '' END) || {cut} || (CASE WHEN a + length(hit) + 24 < length(t) THEN '…' ELSE '' END) END AS snippet, note FROM ({' UNION ALL '.join(parts)})"""
+
+
 def rule_findings(spark, d):
-    return validators.rule_findings(table(spark, d, "documents"), "doc_id", "text", {"digits": "[0-9]{3,}", "marks": "[!?]{2,}"})
+    return rules.findings(_shaped(spark, d, _RULED), ["doc_id"], "t")
 
 
 _STOP = ["the", "and", "of", "to", "in"]
@@ -917,10 +997,17 @@ def trailing_cluster_detector(spark, d):
     return table(spark, d, "documents").select("doc_id", validators.trailing_cluster(text).alias("cluster"))
 
 
-@query()
+#: Answers of a placement pass: the token put where the text has its first blank, at the end, twice, into a changed text, or nowhere.
+_ANSWER = """CASE doc_id % 5 WHEN 0 THEN concat(' ', substring(text, 1, strpos(concat(text, ' '), ' ') - 1), ' ^z  ', substring(text, strpos(concat(text, ' '), ' ') + 1)) WHEN 1 THEN concat(text, '^z')
+WHEN 2 THEN concat('^z ', text, '^z') WHEN 3 THEN concat(upper(text), '^z') ELSE text END"""
+_SPACED = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
+
+
+@query(f"""WITH a AS (SELECT doc_id, text, {_ANSWER} AS r FROM documents), b AS (SELECT *, strpos(r, '^z') AS k FROM a), c AS (SELECT *, k > 0 AND {_SPACED.format("r[1 : k - 1] || r[k + 2 :]")} = {_SPACED.format("text")} AS placed FROM b)
+SELECT doc_id, placed, md5(CASE WHEN placed THEN trim(r, chr(32) || chr(10)) ELSE rtrim(text, chr(32) || chr(10)) || '^z' END) AS text_md5 FROM c""")
 def placement_validator(spark, d):
-    x = table(spark, d, "documents")
-    return x.select("doc_id", C.placed(F.col("text"), F.concat(F.left("text", F.lit(5)), F.lit(" ^z "), F.substring("text", F.lit(6), F.length("text"))), F.lit("^z")).alias("placed"))
+    x = table(spark, d, "documents").select("doc_id", "text", F.expr(_ANSWER.replace("strpos(concat(text, ' '), ' ')", "instr(concat(text, ' '), ' ')")).alias("r"))
+    return x.select("doc_id", C.placed(F.col("text"), F.col("r"), F.lit("^z")).alias("placed"), F.md5(C.place_or_append(F.col("text"), F.col("r"), F.lit("^z"))).alias("text_md5"))
 
 
 # --- More scans, filters, joins and page operators -----------------------------------------------------------------
@@ -1062,13 +1149,66 @@ def marker_lookup_join(spark, d):
 
 
 @query("SELECT conv_id, printf('## p%04d', conv_id) || chr(10) || chr(10) || string_agg(text || chr(10) || chr(10) || role, chr(10) || chr(10) ORDER BY turn) AS markdown FROM conversations GROUP BY conv_id")
-def page_bundle_renderer(spark, d):
+def page_markdown(spark, d):
     from .plans import pages as PP
 
     s = table(spark, d, "conversations").select(R.page_id(F.col("conv_id")).alias("page_id"), F.format_string("p%04d_l%04d", "conv_id", "turn").alias("segment_id"), F.col("turn").cast("int").alias("seq"), F.col("text").alias("latin"), F.col("role").alias("english"))
     return PP.bundles(s).select(F.regexp_extract("page_id", "([0-9]+)", 1).cast("long").alias("conv_id"), "markdown")
 
 
+def _spanning_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as sentences that share lines at their seams and may run over pages, and as footnotes on their markers, some without one."""
+    c, t = F.col("conv_id"), F.col("turn")
+    last = t == F.max(F.when(F.col("role") == "user", t)).over(Window.partitionBy("conv_id"))
+    page, following, body = R.page_id(c), R.page_id(c + 1), F.col("role") == "user"
+    line = lambda p, n: F.format_string("%s_body_l%04d", p, n)
+    letter = lambda n: F.char(97 + n % 26)
+    over = last & (c % 3 != 1)
+    x = table(spark, d, "conversations").withColumns({"_over": over, "_next": following})
+    return x.select(
+        F.when(body, F.format_string("%s_l%04d", page, t)).otherwise(F.format_string("%s_fn_%02d", page, t)).alias("segment_id"), page.alias("page_id"), F.when(body, "body").otherwise("footnote").alias("segment_type"),
+        F.when(c % 7 != 0, t.cast("int")).alias("seq"), F.concat("text", F.when(body, F.concat(F.lit("^"), letter(t))).otherwise("")).alias("latin"), F.concat("role", F.lit("^"), letter(t)).alias("english"),
+        F.when(~body, F.when(c % 5 == 0, "9").otherwise(letter(t - 1))).alias("marker_id"), F.when(~body, F.concat(F.lit("seg_"), line(F.when(c % 10 == 5, "p9999").otherwise(page), t - 1))).alias("body_segment_id"),
+        F.when(body & F.col("_over"), F.array(page, "_next")).alias("spans_pages"),
+        F.when(body, F.concat(F.array(line(page, t)), F.when(F.col("_over"), F.array(line(F.col("_next"), F.lit(0)))).otherwise(F.array(line(page, t + 1))))).alias("source_line_ids"),
+    )
+
+
+def _bundle_sql() -> str:
+    """Bundles as SQL: claims of carets and lines by rank, then texts in order."""
+    page = "printf('p%04d', {})".format
+    line = lambda c, t: f"printf('p%04d_body_l%04d', {c}, {t})"
+    link = "[n.segment_id FOR n IN notes IF n.marker_id = s][-1]"
+    up = lambda text, back: (
+        f"(SELECT string_agg(p || coalesce('<sup' || {back} || '>' || coalesce('<a href=\"#fn-' || {link} || '\">' || s || '</a>', s) || '</sup>', ''), '' ORDER BY i) FROM (SELECT i, regexp_split_to_array({text}, '\\^[A-Za-z0-9]{{1,2}}')[i] AS p, regexp_extract_all({text}, '\\^([A-Za-z0-9]{{1,2}})', 1)[i] AS s FROM (SELECT unnest(range(1, len(regexp_split_to_array({text}, '\\^[A-Za-z0-9]{{1,2}}')) + 1)) AS i)))"
+    )
+    back = "' id=\"fnref-' || page_id || '-' || s || '\"'"
+    plain = lambda c: f"regexp_replace({c}, '\\^[A-Za-z0-9]{{1,2}}', '', 'g')"
+    return f"""WITH c AS (SELECT *, {page('conv_id')} AS page_id, role = 'user' AS body, role = 'user' AND conv_id % 3 <> 1 AND turn = max(turn) FILTER (role = 'user') OVER (PARTITION BY conv_id) AS over FROM conversations),
+b AS (SELECT page_id, conv_id, turn, over, printf('%s_l%04d', page_id, turn) AS segment_id, CASE WHEN conv_id % 7 <> 0 THEN turn ELSE 1073741824 END AS n, text || '^' || chr(97 + (turn % 26)::INTEGER) AS latin, role || '^' || chr(97 + (turn % 26)::INTEGER) AS english, {line('conv_id', 'turn')} AS l1, CASE WHEN over THEN {line('conv_id + 1', '0')} ELSE {line('conv_id', 'turn + 1')} END AS l2, CASE WHEN over THEN {page('conv_id + 1')} END AS later FROM c WHERE body),
+f AS (SELECT page_id, turn, conv_id, printf('%s_fn_%02d', page_id, turn) AS segment_id, CASE WHEN conv_id % 5 = 0 THEN '9' ELSE chr(97 + ((turn - 1) % 26)::INTEGER) END AS marker_id, {line("CASE WHEN conv_id % 10 = 5 THEN 9999 ELSE conv_id END", 'turn - 1')} AS anchor, text AS latin, role || '^' || chr(97 + (turn % 26)::INTEGER) AS english FROM c WHERE NOT body),
+claims AS (SELECT l1 AS line, {{'h': page_id, 'n': n, 'i': segment_id, 'p': 0}} AS r FROM b UNION ALL SELECT l2, {{'h': page_id, 'n': n, 'i': segment_id, 'p': 1}} FROM b), lines AS (SELECT line, min(r) AS r FROM claims GROUP BY line),
+touched AS (SELECT page_id AS page, regexp_extract_all(latin, '\\^([A-Za-z0-9]{{1,2}})', 1) AS s, {{'h': page_id, 'n': n, 'i': segment_id}} AS r FROM b UNION ALL SELECT later, regexp_extract_all(latin, '\\^([A-Za-z0-9]{{1,2}})', 1), {{'h': page_id, 'n': n, 'i': segment_id}} FROM b WHERE later IS NOT NULL),
+carets AS (SELECT page, symbol, min(r).h AS home FROM (SELECT page, r, unnest(s) AS symbol FROM touched) GROUP BY page, symbol),
+homes AS (SELECT f.*, r, coalesce(home, r.h, f.page_id) AS goes_to FROM f LEFT JOIN carets ON page = f.page_id AND symbol = marker_id LEFT JOIN lines ON line = anchor),
+notes AS (SELECT goes_to AS page_id, list({{'segment_id': segment_id, 'marker_id': marker_id, 'latin': latin, 'english': english}} ORDER BY r IS NULL, r, CASE WHEN conv_id % 7 <> 0 THEN 0 ELSE 1 END, turn, segment_id) AS notes FROM homes GROUP BY goes_to),
+cont AS (SELECT later AS page_id, min({{'h': page_id, 'n': n, 'i': segment_id}}) AS k FROM b WHERE later IS NOT NULL GROUP BY later),
+pages AS (SELECT DISTINCT page_id FROM b UNION SELECT page_id FROM notes), j AS (SELECT pages.page_id, coalesce(notes, []) AS notes, k FROM pages LEFT JOIN notes USING (page_id) LEFT JOIN cont USING (page_id)),
+rows AS (SELECT b.page_id, CASE WHEN conv_id % 7 <> 0 THEN 0 ELSE 1 END AS o, turn, segment_id, l1, '<a id=\"line-' || b.page_id || '-' || printf('l%04d', turn) || '\"></a>**LA**  ' || {up('latin', back)} || chr(10) || chr(10) || '**EN**  ' || {up('english', "''")} || CASE WHEN later IS NOT NULL THEN chr(10) || chr(10) || '*⟶ Runs on to ' || later || '; translated whole here.*' ELSE '' END AS md FROM b JOIN j USING (page_id)),
+text AS (SELECT page_id, list(segment_id ORDER BY o, turn) AS ids, string_agg(md, chr(10) || chr(10) ORDER BY o, turn) AS md, arg_min(l1, turn) AS first FROM rows GROUP BY page_id),
+feet AS (SELECT page_id, list(n.segment_id ORDER BY i) AS ids, string_agg('<a id=\"fn-' || n.segment_id || '\"></a>**<a href=\"#fnref-' || page_id || '-' || n.marker_id || '\">^' || n.marker_id || '</a>**  *LA:* ' || {plain('n.latin')} || chr(10) || chr(10) || '**EN:** ' || {plain('n.english')}, chr(10) || chr(10) ORDER BY i) AS md FROM (SELECT page_id, unnest(notes) AS n, generate_subscripts(notes, 1) AS i FROM j) GROUP BY page_id)
+SELECT j.page_id, coalesce(array_to_string(text.ids, ' '), '') AS body, coalesce(array_to_string(feet.ids, ' '), '') AS notes, k.h AS from_page,
+rtrim(concat_ws(chr(10) || chr(10), '# Page ' || j.page_id, '## Interlinear', CASE WHEN k IS NOT NULL THEN '*⟵ First lines: the end of the last sentence of ' || k.h || ' (' || k.i || '). ' || CASE WHEN text.md IS NULL THEN 'No sentence begins on this page.' ELSE 'This page''s own text begins at ' || regexp_extract(first, '_(l[0-9]+)$', 1) || '.' END || '*' END, text.md, CASE WHEN feet.md IS NOT NULL THEN '## Footnotes' END, feet.md), ' ') || chr(10) AS markdown
+FROM j LEFT JOIN text USING (page_id) LEFT JOIN feet USING (page_id)"""
+
+
+@query(_bundle_sql())
+def page_bundle_renderer(spark, d):
+    x = bundles.bundled(_spanning_segments(spark, d))
+    ids = lambda c: F.array_join(F.transform(c, lambda s: s["segment_id"]), " ")
+    return x.select("page_id", ids("body").alias("body"), ids("notes").alias("notes"), F.col("continued.from_page").alias("from_page")).join(bundles.markdown(x), "page_id")
+
+
 @query("SELECT doc_id, max(quality) AS score, CASE WHEN max(quality) = 0 THEN 2 ELSE 1 END AS versions FROM labels GROUP BY doc_id")
 def fix_application(spark, d):
     from .plans import pages as PP
@@ -1195,8 +1335,6 @@ def flag_bridge(spark, d):
 
 @query("SELECT doc_id, row_number() OVER (ORDER BY length(text) DESC, doc_id)::INTEGER AS rank, length(text) AS chars FROM documents")
 def page_profiling(spark, d):
-    from pyspark.sql import Window
-
     m = mining.page_metrics(table(spark, d, "documents"), ["doc_id"], "text")
     # One row a page, ranked over the whole book: the report's order.
     return m.select("doc_id", F.row_number().over(Window.orderBy(F.col("chars").desc(), "doc_id")).alias("rank"), F.col("chars").cast("long").alias("chars"))
@@ -1236,6 +1374,9 @@ _FENCED = "CASE WHEN event_id % 5 = 0 THEN 'none' ELSE concat('```json', chr(10)
 _WIDE = "[\\x{00AA}\\x{00B5}\\x{00BA}\\x{00C0}-\\x{00D6}\\x{00D8}-\\x{00F6}\\x{00F8}-\\x{1FFF}\\x{2C00}-\\x{2DFF}\\x{3040}-\\x{D7FF}]"
 
 
+query(_rules_sql())(rule_findings)
+
+
 def _roman(s: str) -> str:
     """Value of Roman letters, as SQL."""
     value = lambda i: f"[1, 5, 10, 50, 100, 500, 1000][strpos('IVXLCDM', ({s})[{i}])]"

@@ -104,8 +104,11 @@ def test_changes(spark):
     b = spark.createDataFrame([(1, "x", ""), (3, "n", None)], "id int, t string, u string")
     got = {(r["id"], r["field"], r["before"], r["after"]) for r in changes.diff(a, b, ["id"], ["t", "u"]).collect()}
     assert got == {(1, "u", None, ""), (2, "_deleted", None, None), (3, "_added", None, None), (3, "t", None, "n")}
-    x = spark.createDataFrame([("ab c", "a ^m b c", "^m"), ("ab", "ab ^m ^m", "^m")], "o string, r string, t string")
-    assert [r[0] for r in x.select(changes.placed(F.col("o"), F.col("r"), F.col("t"))).collect()] == [True, False]
+    rows = [("a b c", "a ^m b\n c", "^m"), ("ab", "ab ^m ^m", "^m"), ("ab c", "a ^m b c", "^m"), ("ab", None, "^m"), ("ab", "ab", "^m"), ("ab", "^mab ", "^m"), (None, "^m", "^m"), ("a ", "b^m", "^m")]
+    x = spark.createDataFrame(rows, "o string, r string, t string")
+    got = x.select(changes.placed(F.col("o"), F.col("r"), F.col("t")), changes.place_or_append(F.col("o"), F.col("r"), F.col("t"))).collect()
+    # White space counts as one blank, so a token may not part a word.
+    assert [tuple(r) for r in got] == [(True, "a ^m b\n c"), (False, "ab^m"), (False, "ab c^m"), (False, "ab^m"), (False, "ab^m"), (True, "^mab"), (False, "^m"), (False, "a^m")]
 
 
 def test_subgrams_and_tiles(spark):
