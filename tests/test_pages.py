@@ -25,9 +25,12 @@ def test_inline_markers(spark):
 def test_stitch(spark):
     pages = F.array(F.lit("First page be-\n\nlieves .\n''\na  See there\n12\n"), F.lit("  lieving ,\nthe end\n"))
     assert one(spark, P.stitch_pages(pages)) == "First page believes. lieving, the end"
+    # Numbers and notes go at the foot alone, notes under a number stay; a hyphen before a sign stays.
+    assert one(spark, P.stitch_pages(F.array("t")), "12\na  See it\ntext-\n, more\nb  Also\n'\u201d'\n7\n 123 \n") == "12 a See it text-, more b Also"
+    assert one(spark, P.stitch_pages(F.array("t")), "1\n22\n") == "" and one(spark, P.stitch_pages(F.array("t")), "1234\na-\nb-\nc") == "1234 abc"
 
 
-@pytest.mark.parametrize(("text", "want"), [("One. Two! See Lib. 3 there. \"Said.\" End", ["One.", "Two!", "See Lib. 3 there.", '"Said."', "End"]), ("St. John", ["St. John"]), ("", [])])
+@pytest.mark.parametrize(("text", "want"), [("One. Two! See Lib. 3 there. \"Said.\" End", ["One.", "Two!", "See Lib. 3 there.", '"Said."', "End"]), ("St. John", ["St. John"]), ("", []), ("See cap.\n 3. Best. Est. i.e. that! No? yes (vid. x) ...Lib. y", ["See cap. 3.", "Best.", "Est.", "i.e. that!", "No? yes (vid. x) ...Lib. y"]), ("Lib.\" x a.d. ", ["Lib.\"", "x a.d."])])
 def test_sentences(spark, text, want):
     assert one(spark, P.split_sentences(F.col("t")), text) == want
 
@@ -61,6 +64,8 @@ def test_notes(spark):
     assert one(spark, P.clean_note_marks(F.col("t")), "a[b]? c[12]") == "a[fn-b] c[fn-12]"
     assert one(spark, P.relabel_notes(F.col("t")), "lead\n* first\nmore\n2. second") == "[fn01|?] lead\n[fn02|*] first more\n[fn03|2.] second"
     assert one(spark, P.relabel_notes(F.col("t")), None) == ""
+    text = "a lower\na. no marker\n(b) nor this\n[ABC] three\nABCD four\n(12). twice closed\n†‡ signs\nX\n?! both"
+    assert one(spark, P.relabel_notes(F.col("t")), text) == "[fn01|a] lower a. no marker (b) nor this\n[fn02|[ABC]] three ABCD four (12). twice closed\n[fn03|†‡] signs X\n[fn04|?!] both"
     assert one(spark, P.relabel_notes(F.col("t")), "0 zero\n1 one 1\n2. two 2\nmore 3") == "[fn01|0] zero\n[fn02|1] one 1\n[fn03|2.] two 2 more 3"
 
 
