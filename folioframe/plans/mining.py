@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.sets import without_subgrams
-from ..workspace import stored
+from ..workspace import spread, stored
+from . import grams
 
 
 def clauses(rows: DataFrame, page: str, text: str, token: str = r"\p{L}{2,}") -> DataFrame:
     """(page, pos, tokens): the lower-case tokens of each stretch between punctuation marks."""
-    parts = rows.select(page, F.posexplode(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[.,;:!?()\[\]\n]+")).alias("pos", "_c"))
+    parts = spread(rows).select(page, F.posexplode(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[.,;:!?()\[\]\n]+")).alias("pos", "_c"))
     return parts.select(page, "pos", F.regexp_extract_all("_c", F.lit(token), F.lit(0)).alias("tokens")).where(F.size("tokens") > 0)
 
 
@@ -39,23 +40,23 @@ def latin_clauses(rows: DataFrame, page: str, text: str) -> DataFrame:
     return parts.select(page, "pos", kept.alias("surfaces")).where(F.size("surfaces") > 0).select(page, "pos", "surfaces", F.transform("surfaces", F.lower).alias("tokens"))
 
 
+def surface_clauses(rows: DataFrame, page: str, text: str, token: str = r"\p{L}{2,}") -> DataFrame:
+    """(page, pos, surfaces, tokens): as :func:`clauses`, with the words as written beside those in lower case."""
+    parts = spread(rows).select(page, F.posexplode(F.split(F.coalesce(text, F.lit("")), r"[.,;:!?()\[\]\n]+")).alias("pos", "_c"))
+    return parts.select(page, "pos", F.regexp_extract_all("_c", F.lit(token), F.lit(0)).alias("surfaces")).where(F.size("surfaces") > 0).withColumn("tokens", F.transform("surfaces", F.lower))
+
+
 def word_table(clause: DataFrame, page: str) -> DataFrame:
     """(word, count, pages)"""
     return clause.select(page, F.explode("tokens").alias("word")).groupBy("word").agg(F.count("*").alias("count"), F.countDistinct(page).alias("pages"))
 
 
 def phrase_table(clause: DataFrame, page: str, stopwords: list[str], least: int = 2, most: int = 6, min_count: int = 3) -> DataFrame:
-    """(phrase, n, count, pages, loglik of pairs): n-grams without stopwords at their ends, without those a longer one explains."""
-    t, good = F.col("tokens"), F.col("_good")
-    clause = clause.withColumn("_good", F.transform(t, lambda w: ~w.isin(*stopwords)))
-    ends_well = lambda i, n: F.get(good, i) & F.get(good, i + n - 1)
-    starts = lambda n: F.filter(F.sequence(F.lit(0), F.size(t) - n), lambda i: ends_well(i, n))
-    sized = lambda n: F.when(F.size(t) >= n, F.transform(starts(n), lambda i: T.gram(t, i, n))).otherwise(F.array().cast("array<string>"))
-    grams = clause.select(page, F.explode(F.concat(*[sized(n) for n in range(least, most + 1)])).alias("phrase"))
-    # N-grams are built once: per phrase and page, then per phrase; what is left is stored, since it is joined with itself.
-    per_page = grams.groupBy("phrase", page).agg(F.count("*").alias("c"))
-    counted = stored(per_page.groupBy("phrase").agg(F.sum("c").alias("count"), F.count("*").alias("pages")).where(F.col("count") >= min_count), "phrases")
-    kept = without_subgrams(counted, "phrase", "count", least, most).withColumn("n", F.size(F.split("phrase", " ")))
+    """(phrase, n, count, pages, loglik of pairs): n-grams without stopwords at their ends, without those a longer one explains; with ``example`` where the clauses have surfaces."""
+    t, shown = F.col("tokens"), ["example"] if "surfaces" in clause.columns else []
+    clause = grams.prepared(clause if shown else clause.withColumn("surfaces", t), page, stopwords)
+    counted = stored(grams.frequent_grams(clause, least, most, min_count), "phrases")  # joined with itself below
+    kept = without_subgrams(counted, "phrase", "count", least, most)
     # A pair's marginals are how often its words have a right or a left neighbour.
     words = clause.select(F.size(t).alias("_n"), F.posexplode(t).alias("_i", "_w")).groupBy("_w").agg(F.count_if(F.col("_i") < F.col("_n") - 1).alias("row"), F.count_if(F.col("_i") > 0).alias("col"), F.count("*").alias("seen"))
     words = stored(words, "phrase-words")
@@ -63,7 +64,7 @@ def phrase_table(clause: DataFrame, page: str, stopwords: list[str], least: int
     two = kept.where("n = 2").withColumns({"_a": F.split("phrase", " ")[0], "_b": F.split("phrase", " ")[1]})
     two = two.join(words.select(F.col("_w").alias("_a"), "row"), "_a").join(words.select(F.col("_w").alias("_b"), "col"), "_b").join(F.broadcast(total))  # one row
     scored = two.select("phrase", F.round(T.log_likelihood(F.col("count"), F.col("row"), F.col("col"), F.col("total")), 2).alias("loglik"))
-    return kept.join(scored, "phrase", "left").select("phrase", "n", "count", "pages", "loglik")
+    return kept.join(scored, "phrase", "left").select("phrase", "n", "count", "pages", "loglik", *shown)
 
 
 def ranked(phrases: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def loose_key(phrase: Column, endings: str = "ibus|orum|arum|ium|que|ing|ed|es|u
 def noun_evidence(tokens: DataFrame, word: str, surface: str, pos: str, least: int = 2, share: float = 0.6) -> DataFrame:
     """Words that are capitalised, where they don't begin a clause, at least ``share`` of at least ``least`` times."""
     inner = F.col(pos) > 0
-    upper = inner & F.col(surface).rlike("^[A-Z]")
+    upper = inner & F.col(surface).rlike(r"^\p{Lu}")
     out = tokens.groupBy(word).agg(F.count_if(inner).alias("seen"), F.count_if(upper).alias("capital"))
     return out.where((F.col("seen") >= least) & (F.col("capital") >= share * F.col("seen")))
 

@@ -16,7 +16,7 @@ from .operators import joins as J
 from .operators import sets as S
 from .operators import windows as W
 from .operators import snapshots as SN
-from .plans import alignment, bundles, decisions, mining, rules, service, validators
+from .plans import alignment, bundles, candidates, decisions, mining, rules, service, validators
 from .sources import ocr, readers, writers
 from .workspace import fresh_path
 
@@ -943,10 +943,19 @@ def phrase_mining(spark, d):
     return mining.phrase_table(mining.clauses(table(spark, d, "documents"), "doc_id", "text"), "doc_id", _STOP)
 
 
+#: Texts in which some words are written as names are.
+_NAMED = "replace(replace(replace(replace(text, ' and ', ' Arimathia '), ' is ', ' Josephus '), ' of ', ' Josepho '), ' und ', ' Glastonia ')"
+
+
 @query()
 def review_candidates(spark, d):
-    p = mining.phrase_table(mining.clauses(table(spark, d, "documents"), "doc_id", "text"), "doc_id", _STOP)
-    return A.clusters(p, mining.loose_key(F.col("phrase")), "phrase", "count", "pages").where("pages >= 2").orderBy(F.col("total").desc(), "cluster").limit(200)
+    shaped = table(spark, d, "documents").select("doc_id", F.expr(_NAMED).alias("t"))
+    return candidates.review_candidates(mining.surface_clauses(shaped, "doc_id", "t"), "doc_id", _STOP)
+
+
+@query()
+def glossary_seed(spark, d):
+    return candidates.glossary_seed(review_candidates(spark, d))
 
 
 _WINNER = "CASE o_orderstatus WHEN 'F' THEN 'v1' WHEN 'O' THEN 'v0' WHEN 'P' THEN 'tie' END"
