@@ -18,6 +18,7 @@ from .operators import windows as W
 from .operators import snapshots as SN
 from .plans import alignment, bundles, candidates, decisions, mining, rules, service, validators
 from .sources import ocr, readers, writers
+from .streaming import resume
 from .workspace import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -815,8 +816,24 @@ def metadata_refresh(spark, d):
     return C.refresh(table(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal"), new, "s_suppkey", ["s_acctbal"])
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+_LOGGED = "(SELECT DISTINCT doc_id FROM labels WHERE {})"
+
+
+@query(f"""SELECT 'complete_only' AS policy, doc_id FROM documents WHERE doc_id NOT IN {_LOGGED.format("toxic <> 1 AND quality = 1 AND doc_id % 7 <> 0")}
+UNION ALL SELECT 'any_row', doc_id FROM documents WHERE doc_id NOT IN {_LOGGED.format("toxic <> 1")}""")
 def idempotent_resume(spark, d):
+    """Labels as the log of an earlier run: good ones are done, bad ones errors, some results are empty, toxic ones are torn lines; what is left under both policies."""
+    kind = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("error", StringType())])
+    row = F.to_json(F.struct("doc_id", F.when(F.col("doc_id") % 7 != 0, "x").otherwise(" ").alias("text"), F.when(F.col("quality") != 1, "late").alias("error")))
+    path = fresh_path(spark, "log")
+    table(spark, d, "labels").select(F.when(F.col("toxic") == 1, F.left(row, F.length(row) - 3)).otherwise(row)).write.text(path)
+    log, work = resume.load(spark, path, kind, "doc_id", result="text"), table(spark, d, "documents").select("doc_id")
+    left = [resume.remaining(work, log, "doc_id", p).select(F.lit(p).alias("policy"), "doc_id") for p in resume.POLICIES]
+    return left[0].union(left[1])
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def unlogged_work(spark, d):
     return C.remaining(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id", F.lit(True))
 
 
