@@ -1,10 +1,11 @@
 """Near-duplicate search over vectors: iterative quantisation and multi-index Hamming tables.
 
-A bounded seeded sample gives the mean, the principal axes and a rotation that iterative quantisation (ITQ) turns until
-the signs of the rotated vectors lose least. Every vector's code is cut into ``tables`` substrings; two vectors are
-candidates if some substring differs in at most one bit, which holds for all pairs of a Hamming distance below
-2 * tables. Candidates are filtered by the distance of their whole codes and reranked by cosine on the
-original vectors in double precision.
+A bounded seeded sample gives axes and rotations that iterative quantisation (ITQ) turns until the signs of the rotated vectors lose
+least; the first block of bits takes the principal axes, further ones random axes of the whole space. A code is cut into a substring
+for each table; two vectors are candidates if some substring differs in at most one bit. Substrings are as wide as the logarithm of
+the number of vectors, so that a bucket and its neighbours hold a bounded number of unrelated vectors, and there are as many tables as
+the wanted share of pairs at the threshold needs (:func:`plan`). Candidates are filtered by the distance of their whole codes
+and reranked by cosine on the original vectors in double precision.
 
 Equal vectors are one class with a weight, so copies aren't compared. Each class lies once in every table and asks, with its
 code, for its substrings' neighbours; a bucket of many classes is cut into tiles to which askers are sent
@@ -27,41 +28,69 @@ from .ngram_join import connected
 
 #: Vectors that the rotation is learned from, at most, and rounds of learning.
 FIT_ROWS, ROUNDS, SEED = 4096, 30, 11
-TABLES, COSINE = 6, 0.9
+COSINE = 0.9
+#: Share of the pairs at the threshold that some table must bring together, and bits of a substring at least and at most.
+SHARE, NARROWEST, WIDEST = 0.98, 8, 28
+#: Bits of a block that one rotation gives at most.
+BLOCK = 64
 #: Classes of a bucket's tile.
 TILE = 2048
 #: Standard deviations of the code distance at the threshold's angle that the code filter allows.
 SLACK = 3.5
 
 
+def plan(classes: int, cosine: float = COSINE, share: float = SHARE) -> tuple[int, int]:
+    """(bits of a substring, tables) for a number of vectors.
+
+    A bit differs with the chance angle / pi, so a substring at most one bit apart is found with the chance below; tables are taken as
+    independent. The work for a vector, tables times (bits + 1) buckets of about one unrelated vector each, grows with the square
+    of a logarithm and not with the number of vectors, but for the tables that wider substrings need.
+    """
+    bits = int(np.clip(np.ceil(np.log2(max(2, classes))), NARROWEST, WIDEST))
+    p = float(np.arccos(np.clip(cosine, -1, 1))) / np.pi
+    found = (1 - p) ** bits + bits * p * (1 - p) ** (bits - 1)
+    return bits, max(1, int(np.ceil(np.log(1 - share) / np.log(1 - found)))) if found < 1 else 1
+
+
 class Codes:
-    """Learned hashing of unit vectors of one dimension."""
+    """Learned hashing of unit vectors of one dimension to ``tables`` substrings of ``width`` bits, in words of 64."""
 
-    def __init__(self, sample: np.ndarray, rounds: int = ROUNDS, seed: int = SEED):
+    def __init__(self, sample: np.ndarray, width: int = 16, tables: int = 10, rounds: int = ROUNDS, seed: int = SEED):
         unit, d = sample, sample.shape[1]
-        self.bits = min(64, d)
+        self.width, self.tables, self.bits = width, tables, width * tables
+        self.words = -(-self.bits // 64)
         rng = np.random.default_rng(seed)
         # Without a mean taken off, angles are kept: the distance of codes then follows the cosine.
         _, axes = np.linalg.eigh(unit.T @ unit)
-        p = axes[:, ::-1][:, : self.bits]
-        r = np.linalg.qr(rng.normal(size=(self.bits, self.bits)))[0]
-        v = unit @ p
-        for _ in range(rounds):
-            b = np.where(v @ r >= 0, 1.0, -1.0)
-            u, _, wt = np.linalg.svd(b.T @ v)
-            r = (u @ wt).T
-        self.axes = p @ r
+        each, blocks = min(BLOCK, d), []
+        while sum(x.shape[1] for x in blocks) < self.bits:
+            p = axes[:, ::-1][:, :each] if not blocks else np.linalg.qr(rng.normal(size=(d, each)))[0]
+            r = np.linalg.qr(rng.normal(size=(each, each)))[0]
+            v = unit @ p
+            for _ in range(rounds):
+                b = np.where(v @ r >= 0, 1.0, -1.0)
+                u, _, wt = np.linalg.svd(b.T @ v)
+                r = (u @ wt).T
+            blocks.append(p @ r)
+        self.axes = np.concatenate(blocks, axis=1)[:, : self.bits]
 
     def __call__(self, vectors: np.ndarray) -> np.ndarray:
-        on = vectors @ self.axes >= 0
-        return np.packbits(np.pad(on, ((0, 0), (0, 64 - self.bits))), axis=1, bitorder="little").view("<u8").ravel()
+        """A row of words a vector."""
+        on = np.pad(vectors @ self.axes >= 0, ((0, 0), (0, 64 * self.words - self.bits)))
+        return np.packbits(on, axis=1, bitorder="little").view("<u8")
+
+    def substring(self, code: np.ndarray, t: int) -> np.ndarray:
+        """The t-th substrings of rows of words."""
+        word, shift = divmod(t * self.width, 64)
+        out = code[..., word] >> np.uint64(shift)
+        if shift + self.width > 64:
+            out = out | (code[..., word + 1] << np.uint64(64 - shift))
+        return out & np.uint64((1 << self.width) - 1)
 
 
-def substrings(bits: int, tables: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of each table's substring, as even as can be."""
-    tables = min(tables, bits)
-    cut = [bits * i // tables for i in range(tables + 1)]
-    return [(a, b - a) for a, b in zip(cut, cut[1:], strict=False)]
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Code distances of all rows of ``a`` from all rows of ``b``."""
+    return sum(np.bitwise_count(a[:, None, w] ^ b[None, :, w]).astype(np.int16) for w in range(a.shape[1]))
 
 
 def farthest(bits: int, cosine: float) -> int:
@@ -77,12 +106,11 @@ def _unit(column: pa.Array, rows: int) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _asking(codes: Codes, tables: int):
+def _asking(codes: Codes):
     """Of (class, vector): rows by bucket, with codes alone. kind 0 lies in it, 1 asks its own bucket, 2 asks one that has a bit set which it hasn't.
 
     So of two classes whose substrings differ in one bit, exactly one asks the other.
     """
-    spans = substrings(codes.bits, tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -90,37 +118,39 @@ def _asking(codes: Codes, tables: int):
                 part = b.slice(at, 1024)
                 code, every = codes(_unit(part.column(1), part.num_rows)), np.arange(part.num_rows)
                 keys, rows, kinds = [], [], []
-                for t, (lo, n) in enumerate(spans):
-                    sub = ((code >> np.uint64(lo)) & np.uint64((1 << n) - 1)).astype(np.int64) | (t << 56)
-                    unset = [np.flatnonzero(~sub & (1 << bit)) for bit in range(n)]
+                for t in range(codes.tables):
+                    sub = codes.substring(code, t).astype(np.int64) | (t << 48)
+                    unset = [np.flatnonzero(~sub & (1 << bit)) for bit in range(codes.width)]
                     keys += [sub, sub, *(sub[u] | (1 << bit) for bit, u in enumerate(unset))]
                     rows += [every, every, *unset]
                     kinds += [np.zeros(len(every), np.int8), np.ones(len(every), np.int8), *(np.full(len(u), 2, np.int8) for u in unset)]
                 row = np.concatenate(rows)
-                cols = [pa.array(np.concatenate(keys), pa.int64()), pa.array(np.concatenate(kinds), pa.int8()), part.column(0).take(pa.array(row)), pa.array(code.view(np.int64)[row], pa.int64())]
-                yield pa.RecordBatch.from_arrays(cols, names=["key", "kind", "c", "code"])
+                cols = [pa.array(np.concatenate(keys), pa.int64()), pa.array(np.concatenate(kinds), pa.int8()), part.column(0).take(pa.array(row)), *(pa.array(np.ascontiguousarray(code[row, w]).view(np.int64)) for w in range(codes.words))]
+                yield pa.RecordBatch.from_arrays(cols, names=["key", "kind", "c", *_words(codes)])
 
     return run
 
 
+def _words(codes: Codes) -> list[str]:
+    return [f"w{i}" for i in range(codes.words)]
+
+
 class _Pairs:
     """Which askers of a tile meet which of its classes: by the whole codes' distance, each pair in the first of its tables only."""
 
-    def __init__(self, bits: int, tables: int, cosine: float):
-        self.spans, self.far = substrings(bits, tables), farthest(bits, cosine)
+    def __init__(self, codes: Codes, cosine: float):
+        self.codes, self.far = codes, farthest(codes.bits, cosine)
 
-    def first_table(self, x: np.ndarray) -> np.ndarray:
-        out = np.full(x.shape, len(self.spans), np.int64)
-        for t in reversed(range(len(self.spans))):
-            lo, n = self.spans[t]
-            out[np.bitwise_count((x >> np.uint64(lo)) & np.uint64((1 << n) - 1)) <= 1] = t
+    def first_table(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.full(len(a), self.codes.tables, np.int64)
+        for t in reversed(range(self.codes.tables)):
+            out[np.bitwise_count(self.codes.substring(a, t) ^ self.codes.substring(b, t)) <= 1] = t
         return out
 
     def __call__(self, t: int, kind: np.ndarray, c: np.ndarray, code: np.ndarray, own: np.ndarray, own_code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = code[:, None] ^ own_code[None, :]
         once = np.where(kind[:, None] == 2, True, c[:, None] < own[None, :])
-        i, j = np.nonzero((np.bitwise_count(x) <= self.far) & once)
-        here = self.first_table(x[i, j]) == t
+        i, j = np.nonzero((distances(code, own_code) <= self.far) & once)
+        here = self.first_table(code[i], own_code[j]) == t
         return i[here], j[here]
 
 
@@ -135,7 +165,7 @@ def _tiles(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[tupl
 
 
 def _meeting(pairs: _Pairs):
-    """Of (key, tile, kind, c, code), sorted: the rows (key, tile, kind, c) that have a candidate in their tile."""
+    """Of (key, tile, kind, c, words of the code), sorted: the rows (key, tile, kind, c) that have a candidate in their tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, out = None, []
@@ -155,8 +185,8 @@ def _meeting(pairs: _Pairs):
                 out.clear()
 
         for b, stretches in _tiles(batches):
-            kind, c, code = (b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
-            code = code.view(np.uint64)
+            kind, c, *words = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2, b.num_columns))
+            code = np.stack(words, axis=1).view(np.uint64)
             for at, lo, hi in stretches:
                 own = lo + np.flatnonzero(kind[lo:hi] == 0)
                 if held is None or held[0] != at:
@@ -167,7 +197,7 @@ def _meeting(pairs: _Pairs):
                 asking = lo + np.flatnonzero(kind[lo:hi])
                 for k in range(0, len(asking) if len(held[1]) else 0, 256):
                     a = asking[k : k + 256]
-                    i, j = pairs(at[0] >> 56, kind[a], c[a], code[a], held[1], held[2])
+                    i, j = pairs(at[0] >> 48, kind[a], c[a], code[a], held[1], held[2])
                     held[3][j] = True
                     met = a[np.unique(i)]
                     put(at, kind[met], c[met])
@@ -214,7 +244,7 @@ def _linked(codes: Codes, pairs: _Pairs, cosine: float):
                 asking = lo + np.flatnonzero(kind[lo:hi])
                 for k in range(0, len(asking) if len(held[1]) else 0, 256):
                     a = asking[k : k + 256]
-                    i, j = pairs(at[0] >> 56, kind[a], c[a], code[a], held[1], held[3])
+                    i, j = pairs(at[0] >> 48, kind[a], c[a], code[a], held[1], held[3])
                     good = np.einsum("ij,ij->i", vec[a[i]], held[4][j]) >= cosine
                     i, j = i[good], j[good]
                     if len(i):
@@ -231,18 +261,18 @@ def _linked(codes: Codes, pairs: _Pairs, cosine: float):
 
 
 def learn(classes: DataFrame, rows: int = FIT_ROWS, **options) -> Codes | None:
-    """Rotation from the ``rows`` vectors of the smallest seeded hash; None for an empty table."""
+    """Rotations from the ``rows`` vectors of the smallest seeded hash; None for an empty table."""
     sample = classes.orderBy(F.xxhash64("c", F.lit(SEED)), "c").limit(rows).select("vector").toArrow()
     if not sample.num_rows:
         return None
     return Codes(_unit(sample.column(0).combine_chunks(), sample.num_rows), **options)
 
 
-def links(classes: DataFrame, codes: Codes, tables: int = TABLES, cosine: float = COSINE) -> DataFrame:
+def links(classes: DataFrame, codes: Codes, cosine: float = COSINE) -> DataFrame:
     """(c, links, root) rows of the classes (c, weight, vector), to be summed by c; (c, root) are edges of the same components."""
     spark = classes.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = classes.select("c", "vector").mapInArrow(_asking(codes, tables), "key long, kind tinyint, c long, code long")
+    rows = classes.select("c", "vector").mapInArrow(_asking(codes), "key long, kind tinyint, c long, " + ", ".join(f"{w} long" for w in _words(codes)))
     large = stored(rows.where("kind = 0").groupBy("key").agg(F.ceil(F.count("*") / TILE).alias("tiles")).where("tiles > 1"), "embed-large")
     some = large.count()
     if some:
@@ -253,14 +283,14 @@ def links(classes: DataFrame, codes: Codes, tables: int = TABLES, cosine: float
         rows = rows.withColumn("tile", F.explode(F.when(F.col("kind") == 0, F.array(own)).otherwise(F.sequence(F.lit(0).cast("long"), last))))
     else:
         rows = rows.withColumn("tile", F.lit(0).cast("long"))
-    pairs = _Pairs(codes.bits, tables, cosine)
+    pairs = _Pairs(codes, cosine)
     dealt = lambda x: x.repartition(n, "key", "tile").sortWithinPartitions("key", "tile", "kind")
-    met = stored(dealt(rows.select("key", "tile", "kind", "c", "code")).mapInArrow(_meeting(pairs), "key long, tile long, kind tinyint, c long").distinct(), "embed-met")
+    met = stored(dealt(rows.select("key", "tile", "kind", "c", *_words(codes))).mapInArrow(_meeting(pairs), "key long, tile long, kind tinyint, c long").distinct(), "embed-met")
     # Only what has a candidate in a tile is sent there with its vector.
     return dealt(met.join(classes, "c").select("key", "tile", "kind", "c", "weight", "vector")).mapInArrow(_linked(codes, pairs, cosine), "c long, links long, root long")
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, cosine: float = COSINE, fit_rows: int = FIT_ROWS) -> DataFrame:
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, share: float = SHARE, fit_rows: int = FIT_ROWS) -> DataFrame:
     """One row a row of ``vectors``: its id, n_links (other rows linked with it), component_id (smallest id reachable) and kept.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors of different
@@ -274,9 +304,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = rows.withColumn("_c", F.when(F.col("_good"), F.xxhash64("_v")))
     classes = stored(rows.where("_good").groupBy(F.col("_c").alias("c"), F.col("_v").alias("vector")).agg(F.count("*").alias("weight"), F.min("_id").alias("rep")), "embed-classes")
     found = None
-    for (size,) in classes.groupBy(F.size("vector")).count().select(F.expr("`size(vector)`")).collect():
+    for size, n in classes.groupBy(F.size("vector")).count().collect():
         part = classes.where(F.size("vector") == size)
-        some = links(part, learn(part, fit_rows), tables, cosine)
+        width, tables = plan(n, cosine, share)
+        some = links(part, learn(part, fit_rows, width=width, tables=tables), cosine)
         found = some if found is None else found.union(some)
     last = F.lit(2**63 - 1)
     if found is None:

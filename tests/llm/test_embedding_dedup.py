@@ -58,7 +58,7 @@ def test_codes_follow_the_angle():
     v = r.normal(size=(500, 64))
     v /= np.linalg.norm(v, axis=1, keepdims=True)
     codes = E.Codes(v)(v)
-    d = np.bitwise_count(codes[:, None] ^ codes[None, :])[np.triu_indices(500, 1)]
+    d = E.distances(codes, codes)[np.triu_indices(500, 1)]
     a = np.arccos(np.clip(v @ v.T, -1, 1))[np.triu_indices(500, 1)]
     assert np.corrcoef(d, a)[0, 1] > 0.7
 
@@ -79,3 +79,39 @@ def test_pairs_just_above_the_threshold(spark, size):
     found = sum(got[300 + i].component_id == i for i in range(300))
     assert found >= 0.97 * 300
     assert all(x.n_links == 0 or x.n_links == 1 for x in got.values())
+
+
+def test_substrings():
+    r = np.random.default_rng(4)
+    codes = E.Codes(r.normal(size=(100, 12)), width=13, tables=11)
+    v = r.normal(size=(50, 12))
+    on = v @ codes.axes >= 0
+    assert codes.words == 3 and codes.axes.shape == (12, 143)
+    for t in range(11):
+        assert (codes.substring(codes(v), t) == (on[:, 13 * t : 13 * t + 13] << np.arange(13)).sum(axis=1).astype(np.uint64)).all()
+    assert (E.distances(codes(v), codes(v[:9])) == (on[:, None] ^ on[None, :9]).sum(axis=2)).all()
+
+
+def test_comparisons_a_vector_stay_bounded():
+    """Unrelated vectors that share a bucket or a neighbouring one, from 10 to 80 thousand: eight times the vectors, about the same for each."""
+    r, each = np.random.default_rng(9), {}
+    for n in (10_000, 80_000):
+        v = r.normal(size=(n, 64))
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        codes = E.Codes(v[:4096], *E.plan(n), rounds=5)
+        words, met = codes(v), 0
+        for t in range(codes.tables):
+            size = np.bincount(codes.substring(words, t).astype(np.int64), minlength=1 << codes.width)
+            near = size + sum(size[np.arange(len(size)) ^ (1 << bit)] for bit in range(codes.width))
+            met += int((size * near).sum())
+        each[n] = met / n
+    assert each[80_000] < 2 * each[10_000] and each[80_000] < 400
+
+
+def test_plan_finds_its_share():
+    for n in (100, 10_000, 10**6, 10**9):
+        bits, tables = E.plan(n)
+        p = np.arccos(0.9) / np.pi
+        found = 1 - (1 - (1 - p) ** bits - bits * p * (1 - p) ** (bits - 1)) ** tables
+        assert found >= E.SHARE and bits <= E.WIDEST and tables < 60
+    assert E.plan(1000, cosine=1.0)[1] == 1
