@@ -3,7 +3,7 @@
 A bounded seeded sample gives axes and rotations that iterative quantisation (ITQ) turns until the signs of the rotated vectors lose
 least; the first block of bits takes the principal axes, further ones random axes of the whole space. A code is cut into a substring
 for each table; two vectors are candidates if some substring differs in at most one bit. Substrings are as wide as the logarithm of
-the number of vectors, so that a bucket and its neighbours hold a bounded number of unrelated vectors, and there are as many tables as
+the number of vectors, less a constant, so that a bucket and its neighbours hold a bounded number of unrelated vectors, and there are as many tables as
 the wanted share of pairs at the threshold needs (:func:`plan`). Candidates are filtered by the distance of their whole codes
 and reranked by cosine on the original vectors in double precision.
 
@@ -31,8 +31,8 @@ FIT_ROWS, ROUNDS, SEED = 4096, 30, 11
 COSINE = 0.9
 #: Share of the pairs at the threshold that some table must bring together, and bits of a substring at least and at most.
 SHARE, NARROWEST, WIDEST = 0.98, 8, 28
-#: Bits of a block that one rotation gives at most.
-BLOCK = 64
+#: Bits of a block that one rotation gives at most, and unrelated classes of a bucket on average: rows cost more than comparisons.
+BLOCK, LOAD = 64, 16
 #: Classes of a bucket's tile.
 TILE = 2048
 #: Standard deviations of the code distance at the threshold's angle that the code filter allows.
@@ -43,10 +43,10 @@ def plan(classes: int, cosine: float = COSINE, share: float = SHARE) -> tuple[in
     """(bits of a substring, tables) for a number of vectors.
 
     A bit differs with the chance angle / pi, so a substring at most one bit apart is found with the chance below; tables are taken as
-    independent. The work for a vector, tables times (bits + 1) buckets of about one unrelated vector each, grows with the square
+    independent. The work for a vector, tables times (bits + 1) buckets of about ``LOAD`` unrelated vectors each, grows with the square
     of a logarithm and not with the number of vectors, but for the tables that wider substrings need.
     """
-    bits = int(np.clip(np.ceil(np.log2(max(2, classes))), NARROWEST, WIDEST))
+    bits = int(np.clip(np.ceil(np.log2(max(2, classes / LOAD))), NARROWEST, WIDEST))
     p = float(np.arccos(np.clip(cosine, -1, 1))) / np.pi
     found = (1 - p) ** bits + bits * p * (1 - p) ** (bits - 1)
     return bits, max(1, int(np.ceil(np.log(1 - share) / np.log(1 - found)))) if found < 1 else 1
