@@ -21,8 +21,8 @@ from .common import let, stored, unused, words
 ABSTAIN, FOR, AGAINST = 0, 1, 2
 #: A word of letters, small but for the first, with one closing mark at most.
 CLEAN_WORD = r"(?<![^\x20\x09-\x0D])\p{L}\p{Ll}*+[.,;:?]?(?![^\x20\x09-\x0D])"
-#: Words from which on the share of repeated ones counts against a text.
-LONG_ENOUGH = 200
+#: Share of repeated words that counts against any text, and words more that may repeat: one sentence said twice is a large share of a short text.
+REPEATED, SAID_TWICE = 0.33, 14
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_shouts", "n_clean")
 
 
@@ -80,8 +80,7 @@ def default_rules() -> dict[str, Column]:
     clean, length, repeats = F.col("n_clean") / n, F.col("word_chars") / n, F.col("n_repeat_words") / n
     return {
         "symbols": against(n, F.col("n_symbols") / n > 0.12),
-        # In a short text one repeated sentence is a large share, so it says nothing there.
-        "repeats": against(n, (repeats > 0.35) & (F.col("n_words") >= LONG_ENOUGH), repeats < 0.10),
+        "repeats": against(n, repeats > REPEATED + SAID_TWICE / n, repeats < 0.10),
         "lines": against(n, F.col("n_dup_lines") / n > 0.05),
         "word_length": against(n, (length < 2.5) | (length > 12.0)),
         "upper": against(chars, F.col("n_upper") / chars > 0.30),
@@ -125,7 +124,8 @@ def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None
 
     ``keep`` names the columns of ``docs`` to carry (all by default); one that clashes with a column made here gives
     way to it. A null, empty or blank text has no words: base_failed is true, so it isn't kept. Equal texts get equal
-    verdicts; an empty table gives no rows.
+    verdicts, so repeated rows each get theirs; null ids are carried as they are; texts of any length are read whole, one text's
+    words being held at a time; an empty table gives no rows.
     """
     made = {*FEATURES, "_text", "_words", "base_failed", "p_good", "kept", *(f"vote_{k}" for k in rules())}
     carried = [c for c in (docs.columns if keep is None else keep) if c not in made]

@@ -91,6 +91,20 @@ def test_verdicts_equal_a_plain_em(spark, small):
         assert r.kept == (not r.base_failed and p >= 0.5) or abs(p - 0.5) < 1e-6
 
 
+def test_repeats_against_the_length(spark):
+    """Half of what repeats in a text of any length weighs against what one sentence said twice would be there."""
+    said = lambda k, n: " ".join([f"w{i} x{i}" for i in range(k)] * 2 + [f"y{i}" for i in range(n - 4 * k)])
+    shares = {(n, k): 4 * k / n for n in (60, 130, 199, 200, 1000) for k in range(1, n // 8)}
+    docs = [(n * 1000 + k, said(k, n)) for n, k in shares if n < 1000 or k % 10 == 0]
+    docs += [(7, "very long text " * 200_000), (8, None)]
+    got = {r.doc_id: (r.n_words, r.vote_repeats) for r in Q.judge(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for (n, k), share in shares.items():
+        if n < 1000 or k % 10 == 0:
+            assert got[n * 1000 + k] == (n, Q.AGAINST if share > Q.REPEATED + Q.SAID_TWICE / n else Q.FOR if share < 0.1 else Q.ABSTAIN)
+    assert got[7] == (600_000, Q.AGAINST) and got[8] == (0, Q.ABSTAIN)
+    assert Q.judge(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_repeats_count_in_long_texts_only(spark):
     part = " ".join(f"w{i} x{i}" for i in range(60))
     docs = [(1, part + " " + " ".join(f"y{i}" for i in range(180)) + " " + part + " " + " ".join(f"v{i}" for i in range(100))), (2, "a b c d e f g h i j k l m n o p q r s t " * 2 + " ".join(f"z{i}" for i in range(60)))]
