@@ -52,12 +52,23 @@ def concat_lines(units: DataFrame, lines: DataFrame, unit: str, ids: str, line_i
     return parts.select(unit, F.array_join(F.transform("_p", lambda x: x[text]), sep).alias("text"))
 
 
+def rarest_holders(big: DataFrame, small: DataFrame, big_id: str, small_id: str, items: str) -> DataFrame:
+    """(big, small): each small set with the big sets that hold its rarest item. Small sets with an item that no big set has are left out.
+
+    So an item that all sets have makes pairs only for small sets that have no other.
+    """
+    held = big.select(big_id, F.explode(F.array_distinct(items)).alias("_x"))
+    holders = held.groupBy("_x").agg(F.count("*").alias("_h"))
+    need = small.select(small_id, F.size(F.array_distinct(items)).alias("_n"), F.explode(F.array_distinct(items)).alias("_x")).join(holders, "_x")
+    rare = need.groupBy(small_id, "_n").agg(F.count("*").alias("_k"), F.min(F.struct("_h", "_x")).alias("_r")).where("_k = _n")
+    return held.join(rare.select(small_id, F.col("_r._x").alias("_x")), "_x").select(big_id, small_id)
+
+
 def contained_sets(big: DataFrame, small: DataFrame, big_id: str, small_id: str, items: str) -> DataFrame:
-    """(big, small, n) where every item of the small set is in the big one: an inverted index and a count."""
-    b = big.select(big_id, F.explode(F.array_distinct(items)).alias("_x"))
-    s = small.select(small_id, F.size(F.array_distinct(items)).alias("_n"), F.explode(F.array_distinct(items)).alias("_x"))
-    hit = b.join(s, "_x").groupBy(big_id, small_id, "_n").agg(F.count("*").alias("n"))
-    return hit.where("n = _n").select(big_id, small_id, F.col("n"))
+    """(big, small, n) where every item of the small set is in the big one: looked up by the rarest item, then compared. Empty sets and null items are in none."""
+    s, b = small.select(small_id, F.array_distinct(items).alias("_s")), big.select(big_id, F.array_distinct(items).alias("_b"))
+    pairs = rarest_holders(big, small, big_id, small_id, items).join(s, small_id).join(b, big_id)
+    return pairs.where(F.size(F.array_except("_s", "_b")) == 0).select(big_id, small_id, F.size("_s").cast("long").alias("n"))
 
 
 def tiled_exactly(big: DataFrame, small: DataFrame, big_id: str, small_id: str, items: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..workspace import stored
+
 
 def neighbour_text(text: Column, group: list[str], order: list[str], radius: int = 1, sep: str = " ") -> Column:
     """Texts of the rows up to ``radius`` away, joined in order; nulls count as ''."""
@@ -117,3 +119,22 @@ def fragment_groups(rows: DataFrame, page: str, order: str, anchor: str, continu
 
     out = rows.groupBy(page).agg(F.aggregate(F.array_sort(F.collect_list(item)), start, step, lambda s: s["out"]).alias("f"))
     return out.select(page, F.explode("f").alias("f")).select(page, F.col("f.o").alias(order), F.col("f.g").alias("fragment_group"))
+
+
+def rank_by_ranges(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """``rows`` with their place in the order, from 1, as row_number over one window would give it, ties aside.
+
+    Rows are dealt into ranges of the order and stored with their range; a range's first place is the number of rows in the ranges
+    before it, of which the driver sees one number each. So no task sees more than its range.
+    """
+    spark = rows.sparkSession
+    part, before = f"_{name}_part", f"_{name}_before"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    x = stored(rows.repartitionByRange(n, *order).withColumn(part, F.spark_partition_id()), "ranges")
+    sizes, offsets, total = {r[0]: r[1] for r in x.groupBy(part).count().collect()}, [], 0
+    for p in sorted(sizes):
+        offsets.append((p, total))
+        total += sizes[p]
+    known = F.broadcast(spark.createDataFrame(offsets, f"{part} int, {before} long"))  # a row a range
+    place = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    return x.join(known, part).withColumn(name, place + F.col(before)).drop(part, before)

@@ -1361,9 +1361,8 @@ def flag_bridge(spark, d):
 
 @query("SELECT doc_id, row_number() OVER (ORDER BY length(text) DESC, doc_id)::INTEGER AS rank, length(text) AS chars FROM documents")
 def page_profiling(spark, d):
-    m = mining.page_metrics(table(spark, d, "documents"), ["doc_id"], "text")
-    # One row a page, ranked over the whole book: the report's order.
-    return m.select("doc_id", F.row_number().over(Window.orderBy(F.col("chars").desc(), "doc_id")).alias("rank"), F.col("chars").cast("long").alias("chars"))
+    m = mining.page_metrics(table(spark, d, "documents"), ["doc_id"], "text").select("doc_id", F.col("chars").cast("long").alias("chars"))
+    return W.rank_by_ranges(m, [F.col("chars").desc(), F.col("doc_id")]).select("doc_id", F.col("rank").cast("int").alias("rank"), "chars")
 
 
 # --- Functions over whole tables, shaped so that what they look for occurs; tests hold them on literal rows ---------------
@@ -1803,7 +1802,7 @@ def phrase_rank(spark, d):
 @query("SELECT n_nationkey, n_name FROM nation ORDER BY n_name DESC")
 def order_preserving_rewrite(spark, d):
     path = fresh_path(spark, "ordered")
-    x = W.dense_sequence(table(spark, d, "nation").select("n_nationkey", "n_name"), [F.lit(1)], [F.col("n_name").desc()], "_pos")
+    x = W.rank_by_ranges(table(spark, d, "nation").select("n_nationkey", "n_name"), [F.col("n_name").desc()], "_pos")
     writers.ordered_jsonl(x, path)
     return spark.read.schema("n_nationkey int, n_name string").json(path)
 

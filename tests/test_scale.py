@@ -39,3 +39,31 @@ def test_rules_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(J, "RULES_AT_MOST", 2)
     assert found() == whole
     assert J.matching_rules(texts, "t", rules.where(F.lit(False)), "p").count() == 0
+
+
+def test_containment_by_the_rarest_item(spark):
+    """One item in all sets: pairs come from rarer ones."""
+    import random
+
+    r = random.Random(3)
+    big = {i: [0, *r.sample(range(1, 400), 12)] for i in range(300)}
+    small = {i: [0, *(r.sample(big[i], 3) if i % 2 else r.sample(range(1, 400), 3))] for i in range(200)}
+    small |= {900: [0], 901: [], 902: [0, 999], 903: [0, None]}
+    frame = lambda sets, k: spark.createDataFrame(list(sets.items()), f"{k} int, items array<int>")
+    b, s = frame(big, "b"), frame(small, "s")
+    got = {(x.b, x.s, x.n) for x in J.contained_sets(b, s, "b", "s", "items").collect()}
+    assert got == {(i, j, len(set(y))) for i, x in big.items() for j, y in small.items() if y and set(y) <= set(x)}
+    holders = {x: sum(x in v for v in big.values()) for x in range(1000)}
+    bound = sum(min((holders.get(x, 0) for x in y), default=0) for y in small.values())
+    assert J.rarest_holders(b, s, "b", "s", "items").count() <= bound < 300 * 200 / 8
+
+
+def test_ranks_by_ranges(spark):
+    from folioframe.operators import windows as W
+
+    rows = spark.range(5000).selectExpr("id", "cast(id * 7919 % 97 as int) AS v", "'x' AS rank_part").repartition(9)
+    order = [F.col("v").desc_nulls_last(), F.col("id")]
+    got = {r.id: r["rank"] for r in W.rank_by_ranges(rows, order).collect()}
+    want = sorted(range(5000), key=lambda i: (-(i * 7919 % 97), i))
+    assert got == {i: k + 1 for k, i in enumerate(want)}
+    assert W.rank_by_ranges(rows.limit(0), order).count() == 0
