@@ -590,10 +590,10 @@ def group_consecutive_fragments(spark, d):
     return W.fragment_groups(x, "page", "pos", "anchor", "continues")
 
 
-@query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z]+')) AS w, generate_subscripts(regexp_extract_all(text, '[A-Za-z]+'), 1) AS i FROM documents)
-SELECT lower(w) AS word, count(*) FILTER (i > 1) AS seen, count(*) FILTER (i > 1 AND regexp_matches(w, '^[A-Z]')) AS capital FROM t GROUP BY 1 HAVING seen >= 2 AND capital >= 0.6 * seen""")
+@query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(text, '\\p{L}+')) AS w, generate_subscripts(regexp_extract_all(text, '\\p{L}+'), 1) AS i FROM documents)
+SELECT lower(w) AS word, count(*) FILTER (i > 1) AS seen, count(*) FILTER (i > 1 AND regexp_matches(w, '^\\p{Lu}')) AS capital FROM t GROUP BY 1 HAVING seen >= 2 AND capital >= 0.6 * seen""")
 def proper_noun_evidence(spark, d):
-    t = table(spark, d, "documents").select(F.posexplode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("pos", "surface")).withColumn("word", F.lower("surface"))
+    t = table(spark, d, "documents").select(F.posexplode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("pos", "surface")).withColumn("word", F.lower("surface"))
     return mining.noun_evidence(t, "word", "surface", "pos")
 
 
@@ -1293,7 +1293,7 @@ def split_sentences_abbrev(spark, d):
     return table(spark, d, "documents").select("doc_id", F.size(FP.split_sentences(F.col("text"))).cast("long").alias("n"))
 
 
-@query()
+@query("""SELECT doc_id, array_to_string(regexp_extract_all(lower(strip_accents(replace(replace(replace(replace(replace(replace(coalesce(text, ''), 'ſ', 's'), 'æ', 'ae'), 'Æ', 'Ae'), 'œ', 'oe'), 'Œ', 'Oe'), '&', ' and '))), '[\\p{L}\\p{N}]+'), ' ') AS tokens FROM documents""")
 def tokenize_fold(spark, d):
     from .functions import pages as FP
 
@@ -1314,18 +1314,18 @@ def has_target_flags(spark, d):
     return table(spark, d, "documents").select("doc_id", *[c.alias(k) for k, c in FP.target_flags(F.col("text")).items()])
 
 
-@query("""WITH t AS (SELECT regexp_extract_all(lower(text), '[a-z]+') AS t FROM documents), g AS (SELECT unnest([t[i] || ' ' || t[i + 1] FOR i IN range(1, len(t))] || [t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] FOR i IN range(1, len(t) - 1)]) AS phrase FROM t), c AS (SELECT phrase, count(*) AS count FROM g GROUP BY phrase),
+@query("""WITH t AS (SELECT regexp_extract_all(lower(text), '\\p{L}+') AS t FROM documents), g AS (SELECT unnest([t[i] || ' ' || t[i + 1] FOR i IN range(1, len(t))] || [t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] FOR i IN range(1, len(t) - 1)]) AS phrase FROM t), c AS (SELECT phrase, count(*) AS count FROM g GROUP BY phrase),
 x AS (SELECT split_part(phrase, ' ', 1) || ' ' || split_part(phrase, ' ', 2) AS phrase, count FROM c WHERE phrase LIKE '% % %' UNION SELECT split_part(phrase, ' ', 2) || ' ' || split_part(phrase, ' ', 3), count FROM c WHERE phrase LIKE '% % %')
 SELECT phrase, count FROM c WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.phrase = c.phrase AND x.count = c.count)""")
 def maximal_repeat_dedup(spark, d):
-    tokens = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    tokens = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
     g = table(spark, d, "documents").select(F.explode(T.ngrams(tokens, 2, 3)).alias("phrase")).groupBy("phrase").agg(F.count("*").alias("count"))
     return S.without_subgrams(g, most=3)
 
 
-@query("WITH t AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z]+') AS t FROM documents), w AS (SELECT doc_id, unnest(t) AS s, generate_subscripts(t, 1) AS i FROM t) SELECT lower(s) AS word, arg_min(s, {'p': doc_id, 'i': i}) AS example FROM w GROUP BY 1")
+@query("WITH t AS (SELECT doc_id, regexp_extract_all(text, '\\p{L}+') AS t FROM documents), w AS (SELECT doc_id, unnest(t) AS s, generate_subscripts(t, 1) AS i FROM t) SELECT lower(s) AS word, arg_min(s, {'p': doc_id, 'i': i}) AS example FROM w GROUP BY 1")
 def first_example(spark, d):
-    w = table(spark, d, "documents").select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("i", "example"))
+    w = table(spark, d, "documents").select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("i", "example"))
     return W.first_per_key(w.withColumn("word", F.lower("example")), ["word"], "example", ["doc_id", "i"])
 
 
@@ -1534,9 +1534,9 @@ def loose_key(spark, d):
     return table(spark, d, "documents").select("doc_id", mining.loose_key(T.normalize_ws(F.col("text")), "ibus|orum|arum|ae|us|um|es").alias("x"))
 
 
-@query("SELECT doc_id, len(t) - 1 + greatest(len(t) - 2, 0) AS grams FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS t FROM documents) WHERE len(t) >= 2")
+@query("SELECT doc_id, len(t) - 1 + greatest(len(t) - 2, 0) AS grams FROM (SELECT doc_id, regexp_extract_all(lower(text), '\\p{L}+') AS t FROM documents) WHERE len(t) >= 2")
 def ngrams(spark, d):
-    t = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    t = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
     return table(spark, d, "documents").select("doc_id", t.alias("t")).where(F.size("t") >= 2).select("doc_id", F.size(T.ngrams(F.col("t"), 2, 3)).cast("long").alias("grams"))
 
 
