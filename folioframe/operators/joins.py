@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .literals import possible, required
+
 
 def shared(a: DataFrame, b: DataFrame, key: str, values: list[str], first: list[str] | None = None) -> DataFrame:
     """Rows of keys that both runs have: ``<value>_a`` and ``<value>_b``; ``first`` columns are a's, else b's."""
@@ -79,20 +81,34 @@ def tiled_exactly(big: DataFrame, small: DataFrame, big_id: str, small_id: str,
     return covered.join(sizes, big_id).where("_cover = _size and _total = _size").select(big_id, "pieces")
 
 
-#: Patterns a broadcast block holds at most, on average: the blocks' number follows from a count.
-RULES_AT_MOST = 20_000
+#: Patterns, and characters of patterns, that a block holds at most, on average: the blocks' number follows from a count.
+RULES_AT_MOST, RULE_CHARS_AT_MOST = 20_000, 4_000_000
 
 
 def matching_rules(texts: DataFrame, text: str, rules: DataFrame, pattern: str) -> DataFrame:
     """Pairs of a text and a rule whose pattern it matches; null patterns and texts match nothing.
 
-    Each different pattern is tried once a text, whatever the number of its rules. Blocks of patterns are broadcast, each against
-    one pass over the texts, so a larger rule table means more passes and never a product of two shuffled sides.
+    Each different pattern is tried once a text, whatever the number of its rules, and only where the text holds a literal that the
+    pattern needs: literals of a block of patterns are looked for in one pass. Patterns without such a literal are broadcast and tried on
+    every text. A larger rule table means more blocks, a pass over the texts each, and never a product of two shuffled sides; the driver
+    holds a block at a time.
     """
     each = rules.where(F.col(pattern).isNotNull()).select(F.col(pattern).alias("_pattern")).distinct()
-    blocks = -(-each.count() // RULES_AT_MOST)
-    block = lambda i: each.where(F.pmod(F.xxhash64("_pattern"), F.lit(blocks)) == i) if blocks > 1 else each
-    hits = [texts.join(F.broadcast(block(i)), F.rlike(F.col(text), F.col("_pattern"))) for i in range(max(1, blocks))]
+    number, chars = each.agg(F.count("*"), F.coalesce(F.sum(F.length("_pattern")), F.lit(0))).head()
+    blocks = max(1, -(-number // RULES_AT_MOST), -(-chars // RULE_CHARS_AT_MOST))
+    hits = []
+    for i in range(blocks):
+        needs, anywhere = {}, []
+        for (p,) in each.where(F.pmod(F.xxhash64("_pattern"), F.lit(blocks)) == i).collect():
+            found = required(p)
+            for literal in found:
+                needs.setdefault(literal, []).append(p)
+            if not found:
+                anywhere.append((p,))
+        if needs:
+            hits.append(texts.withColumn("_pattern", F.explode(possible(F.col(text), needs))).where(F.rlike(F.col(text), F.col("_pattern"))))
+        if anywhere or not needs:
+            hits.append(texts.join(F.broadcast(texts.sparkSession.createDataFrame(anywhere, "_pattern string")), F.rlike(F.col(text), F.col("_pattern"))))
     return reduce(DataFrame.unionByName, hits).join(rules, F.col("_pattern") == F.col(pattern)).drop("_pattern")
 
 

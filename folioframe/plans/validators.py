@@ -65,8 +65,10 @@ def citation_rules(spark: SparkSession) -> DataFrame:
 
 def citations(segments: DataFrame, rules: DataFrame, window: int = 1) -> DataFrame:
     """Citation words of the Latin without a counterpart in the neighbours' English."""
+    from ..operators.joins import matching_rules
+
     x = segments.withColumn("_en", neighbour_text(F.trim("english"), GROUP, ORDER, window))
-    hit = x.join(F.broadcast(rules), F.rlike("latin", "lat")).where(~F.rlike("_en", "en"))  # the rule table is a fixed list
+    hit = matching_rules(x, "latin", rules, "lat").where(~F.rlike("_en", "en"))
     return _finding(hit, F.col("flag"), F.col("severity"), rule=F.col("rule"))
 
 
