@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
 import re
 
 import numpy as np
@@ -87,14 +86,101 @@ def align(rows: DataFrame, doc: str, side: str, pos: str, text: str) -> DataFram
     return rows.select(doc, side, pos, text).groupBy(doc).applyInPandas(run, f"{doc} {rows.schema[doc].dataType.simpleString()}, unit long, first long, last long")
 
 
+def _numbered(values: np.ndarray) -> np.ndarray:
+    return np.unique(values, return_inverse=True)[1]
+
+
+def _shared(keys: np.ndarray, ok: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Numbers of the keys, equal for equal ones, where ``ok`` and on both sides; -1 elsewhere."""
+    out = np.full(len(keys), -1)
+    at = np.flatnonzero(ok)
+    if len(at):
+        number = _numbered(keys[at])
+        both = np.zeros(number.max() + 1, int)
+        both[number[left[at]]] |= 1
+        both[number[~left[at]]] |= 2
+        at, number = at[both[number] == 3], number[both[number] == 3]
+        out[at] = number
+    return out
+
+
+def longest_blocks(token: np.ndarray, left: np.ndarray, window: np.ndarray) -> dict[int, tuple[int, int, int]]:
+    """For each window the longest run of tokens on both its sides, as (place on the left, place on the right, length).
+
+    Rows lie by window and side, a side's in text order. Of equally long runs that first on the left is taken, and of its places
+    on the right the first. Runs of 1, 2, 4, ... tokens get numbers from those of their halves; lengths between are reached from
+    the longest such power down. Places whose run isn't on both sides drop out at once.
+    """
+    n = len(token)
+    side = np.flatnonzero(np.r_[True, (window[1:] != window[:-1]) | (left[1:] != left[:-1])]) if n else np.empty(0, int)
+    end = np.repeat(np.r_[side[1:], n], np.diff(np.r_[side, n])) if n else np.empty(0, int)  # where each row's side ends
+    w = _numbered(window) if n else window
+    here = np.arange(n)
+
+    def longer(run: np.ndarray, length: np.ndarray, by: np.ndarray) -> np.ndarray:
+        ok = run >= 0
+        then = np.where(ok, here + length, 0)
+        ok &= then < end
+        tail = by[np.where(ok, then, 0)]
+        ok &= tail >= 0
+        return _shared(run * (n + 1) + tail, ok, left)
+
+    powers = [_shared(w * (int(token.max(initial=0)) + 1) + token, np.ones(n, bool), left)]
+    while (powers[-1] >= 0).any():
+        powers.append(longer(powers[-1], np.full(n, 1 << (len(powers) - 1)), powers[-1]))
+    powers.pop()
+    length, run = np.zeros(w.max(initial=-1) + 1, int), np.full(n, -1)
+    for t in reversed(range(len(powers))):
+        more = np.where(length[w] == 0, powers[t], longer(run, length[w], powers[t]) if (run >= 0).any() else -1)
+        grown = np.zeros(len(length), bool)
+        grown[w[more >= 0]] = True
+        run = np.where(grown[w], more, run)
+        length[grown] += 1 << t
+    out = {}
+    at = np.flatnonzero((run >= 0) & left)
+    first = at[np.unique(w[at], return_index=True)[1]]
+    right = np.flatnonzero((run >= 0) & ~left)
+    of = w * (n + 1) + run  # a number may come up in several windows
+    kept = dict(zip(*np.unique(of[right], return_index=True), strict=True))
+    for i in first:
+        out[int(window[i])] = (int(i), int(right[kept[of[i]]]), int(length[w[i]]))
+    return out
+
+
+def matching_blocks(a: list[str], b: list[str]) -> list[tuple[int, int, int]]:
+    """(start in a, start in b, length) of the longest common block, the first one in a and then in b, and of those before and after it in
+    turn, in order: the blocks of difflib without junk, before it joins neighbours.
+
+    All windows of one depth are searched together, so a depth costs a few sorts of the tokens that are still left. Texts whose
+    longest block lies near their end again and again have as many depths as blocks; otherwise depths grow with the logarithm.
+    """
+    number = _numbered(np.array([*a, *b], dtype=object)) if a or b else np.empty(0, int)
+    ta, tb = number[: len(a)], number[len(a) :]
+    todo, out = [(0, len(a), 0, len(b))] if a and b else [], []
+    while todo:
+        sizes = np.array([(ah - al, bh - bl) for al, ah, bl, bh in todo])
+        place = np.concatenate([np.arange(x, y) for al, ah, bl, bh in todo for x, y in ((al, ah), (bl, bh))])
+        left = np.repeat(np.tile([True, False], len(todo)), sizes.ravel())
+        window = np.repeat(np.arange(len(todo)), sizes.sum(axis=1))
+        token = np.where(left, ta[np.where(left, place, 0)], tb[np.where(left, 0, place)])
+        after = []
+        for i, (x, y, k) in longest_blocks(token, left, window).items():
+            al, ah, bl, bh = todo[i]
+            x, y = int(place[x]), int(place[y])
+            out.append((x, y, k))
+            after += [q for q in ((al, x, bl, y), (x + k, ah, y + k, bh)) if q[0] < q[1] and q[2] < q[3]]
+        todo = after
+    return sorted(out)
+
+
 def matching_lines(source: list[list[str]], reference: list[list[str]]) -> list[list[int]]:
     """For each source line the reference lines of its tokens in matching blocks, one a token."""
     flat = lambda lines: ([t for x in lines for t in x], [i for i, x in enumerate(lines) for _ in x])
     (a, at_a), (b, at_b) = flat(source), flat(reference)
     votes: list[list[int]] = [[] for _ in source]
-    for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
-        for k in range(m.size):
-            votes[at_a[m.a + k]].append(at_b[m.b + k])
+    for x, y, size in matching_blocks(a, b):
+        for k in range(size):
+            votes[at_a[x + k]].append(at_b[y + k])
     return votes
 
 
@@ -114,8 +200,7 @@ def bridge_lines(source: list[list[str]], reference: list[list[str]]) -> list[tu
 def bridge(rows: DataFrame, doc: str, side: str, pos: str, text: str) -> DataFrame:
     """(doc, pos, line, votes) of the rows with side 'bridge' against those with side 'reference', by folded tokens.
 
-    One document's rows meet in a task; documents are of bounded size. Matching is that of difflib, quadratic at worst in
-    a document's tokens.
+    One document's rows meet in a task; documents are of bounded size. Blocks are difflib's (:func:`matching_blocks`).
     """
     from ..functions.pages import folded
 
