@@ -1,7 +1,7 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-A candidate is any value assigned to a word such as password or token, whatever blanks and tabs stand around the sign, or a
-run of 16 and more letters, digits and ``_+/-``, or a shorter one that begins as issued keys do. The forest sees its length, shares and transitions of character
+A candidate is any value assigned to a word such as password or token, or to a name that holds one (SECRET_KEY), whatever blanks and
+tabs stand around the sign, the password in an address (``//user:password@host``), a signed token with its dots, or a run of 16 and more letters, digits and ``_+/-``, or a shorter one that begins as issued keys do. The forest sees its length, shares and transitions of character
 classes, how much of it dictionary words cover, whether it stands in a path, and the words beside it. It is trained from labelled
 findings (left context, value, right context, label), a table or a list; where a user has none, from seeded examples of what is
 and isn't a secret. :func:`evaluate` gives precision and recall on findings that were held out.
@@ -32,12 +32,25 @@ TREES, DEPTH, SEED, EXAMPLES = 21, 8, 5, 4000
 FIT_FINDINGS, DICTIONARY_WORDS = 20_000, 1500
 THRESHOLD, MASK = 0.5, "[SECRET]"
 KEY = r"(?i:passwords?|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
-ASSIGNED = KEY + r"[\"']?[ \t]*+[=:][ \t]*+[\"']?"
+#: The word may go on (SECRET_KEY, password-old); then the sign.
+SIGN = r"[\w-]{0,40}+[\"']?[ \t]*+(?:=>|[=:])[ \t]*+[\"']?"
+ASSIGNED = KEY + SIGN
+#: What stands before a password in an address.
+LOGIN = r"://[^\s:/@]{1,64}:"
+LEAD = f"(?:{ASSIGNED}|{LOGIN})"
 VALUE = r"[A-Za-z0-9_+/.!@#$%^&*~-]+"
 #: Starts by which issuers mark their keys.
 MARKS = r"(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_live_|rk_live_|sk-|AIza|ya29|eyJ)"
 ISSUED = f"^{MARKS}"
-PATTERN = rf"{ASSIGNED}{VALUE}|(?<![A-Za-z0-9_+/-]){MARKS}[A-Za-z0-9_+/-]{{12,}}|(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{{16,}}"
+START = "(?<![A-Za-z0-9_+/-])"
+#: Assigned values, passwords in addresses, signed tokens of several parts, issued keys, and runs that aren't themselves the name of an assignment.
+PATTERN = "|".join([
+    ASSIGNED + VALUE,
+    LOGIN + r"[^\s/@]+(?=@)",
+    START + r"eyJ[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]+){1,2}",
+    START + MARKS + "[A-Za-z0-9_+/-]{12,}",
+    START + rf"(?=[A-Za-z0-9_+/-]{{16}})(?![\w-]{{1,40}}?{KEY}{SIGN}{VALUE})[A-Za-z0-9_+/-]{{16,}}",
+])
 #: Endings and words that stand inside joined-up names, for values whose words nothing separates.
 PARTS = "the|and|tion|ing|ment|with|from|have|this|that|user|name|file|data|page|test|demo|dummy|example|sample|change|place|holder|your|here|secret|password|token|hello|world|admin|letme|default|value|index|image|version|release|build|config|system|report|final|draft"
 #: Words beside values that are digests or ids rather than secrets.
@@ -100,8 +113,8 @@ def features(value: Column, left: Column, right: Column, words: tuple[str, ...]
         "parts": (size - F.length(F.regexp_replace(F.lower(value), PARTS, ""))) / size,
         "dictionary": covered / size,
         "placeholder": yes(value.rlike(PLACEHOLDER)),
-        "path": yes(value.rlike("[/.][A-Za-z_]+[/.]|^/|/$") | left.rlike(r"(?:https?:|/|\\)\S*$") | right.rlike(r"^[./][A-Za-z]")),
-        "assigned": yes(left.rlike(ASSIGNED + "$")),
+        "path": yes(value.rlike("[/.][A-Za-z_]+[/.]|^/|/$") | (left.rlike(r"(?:https?:|/|\\)\S*$") & ~left.rlike(LOGIN + "$")) | right.rlike(r"^[./][A-Za-z]")),
+        "assigned": yes(left.rlike(LEAD + "$")),
         "issued": yes(value.rlike(ISSUED)),
         "harmless": yes(left.rlike(HARMLESS) | right.rlike(HARMLESS)),
         "dashes": n("[_-]") / size,
@@ -258,7 +271,7 @@ def _candidates(text: Column, model: Model) -> Column:
     gaps, found = F.split(text, PATTERN, -1), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
     def one(parts: Column, m: Column, i: Column) -> Column:
-        key = F.regexp_extract(m, f"^{ASSIGNED}", 0)
+        key = F.regexp_extract(m, f"^{LEAD}", 0)
         value = F.substring(m, F.length(key) + 1, F.length(m))
         left = F.concat(F.right(F.get(parts, i), F.lit(40)), key)
         inputs = let(
