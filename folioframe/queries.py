@@ -58,9 +58,14 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 _TURN = StructType([StructField("key", StringType()), StructField("conv_id", LongType()), StructField("turn", LongType()), StructField("text", StringType())])
 
 
-def _jsonl(spark: SparkSession, d: str, torn: bool = False) -> str:
-    """The conversations as JSON lines, with rows of equal keys, and with a torn and a blank line if asked."""
+def _jsonl(spark: SparkSession, d: str, torn: bool = False, by_conversation: bool = False) -> str:
+    """The conversations as JSON lines, with rows of equal keys, and with a torn and a blank line if asked.
+
+    The key is the role, or the conversation, whose turns then stand in one file in their order.
+    """
     x = table(spark, d, "conversations").select(F.col("role").alias("key"), "conv_id", "turn", "text")
+    if by_conversation:
+        x = x.withColumn("key", F.col("conv_id").cast("string")).repartition("key").sortWithinPartitions("key", "turn")
     lines = x.select(F.to_json(F.struct(*x.columns)).alias("value"))
     if torn:
         lines = lines.union(spark.createDataFrame([('{"key": "torn", "conv_id": 1, "tu',), ("",)], "value string"))
@@ -74,14 +79,16 @@ def jsonl_scan_ordered_list(spark, d):
     return readers.jsonl_ordered(spark, _jsonl(spark, d), _TURN).select("key", "conv_id", "turn", "text")
 
 
-@query("SELECT DISTINCT role AS key FROM conversations")
+@query("SELECT conv_id::VARCHAR AS key, max(turn) AS turn, arg_max(text, turn) AS text FROM conversations GROUP BY conv_id")
 def jsonl_scan_strict(spark, d):
-    return readers.jsonl_strict(spark, _jsonl(spark, d), _TURN, "key").select("key")
+    """The last turn of each conversation."""
+    return readers.jsonl_strict(spark, _jsonl(spark, d, by_conversation=True), _TURN, "key").select("key", "turn", "text")
 
 
-@query("SELECT DISTINCT role AS key FROM conversations")
+@query("SELECT conv_id::VARCHAR AS key, max(turn) AS turn, arg_max(text, turn) AS text FROM conversations GROUP BY conv_id")
 def jsonl_scan_lenient(spark, d):
-    return readers.jsonl_lenient(spark, _jsonl(spark, d, torn=True), _TURN, "key").select("key")
+    """The last turn of each conversation."""
+    return readers.jsonl_lenient(spark, _jsonl(spark, d, torn=True, by_conversation=True), _TURN, "key").select("key", "turn", "text")
 
 
 @query("SELECT count(*) AS good, 1::BIGINT AS malformed FROM conversations")
@@ -584,7 +591,10 @@ def per_key_ordinal(spark, d):
     return W.dense_sequence(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], [anchored, F.col("o_orderkey")], "marker_number").drop("o_orderstatus")
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id AS page, event_id AS pos, (event_id // 50)::INTEGER AS a, event_type = 'view' AS c, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events),
+g AS (SELECT page, pos, r, a AS head, 1 AS fragment_group FROM e WHERE r = 1
+UNION ALL SELECT page, pos, r, CASE WHEN joins THEN head ELSE a END, fragment_group + CASE WHEN joins THEN 0 ELSE 1 END FROM (SELECT e.*, g.head, g.fragment_group, coalesce(e.a = g.head OR (e.c AND e.a - g.head BETWEEN 0 AND 1), false) AS joins FROM g JOIN e ON e.page = g.page AND e.r = g.r + 1))
+SELECT page, pos, fragment_group FROM g""")
 def group_consecutive_fragments(spark, d):
     x = table(spark, d, "events").select(F.col("user_id").alias("page"), F.col("event_id").alias("pos"), F.floor(F.col("event_id") / 50).cast("int").alias("anchor"), (F.col("event_type") == "view").alias("continues"))
     return W.fragment_groups(x, "page", "pos", "anchor", "continues")
