@@ -34,11 +34,10 @@ def sessions(rows: DataFrame, ends: Column, group: list[str], order: list[str],
 
 def sessions_across(rows: DataFrame, ends: Column, block: str, order: list[str], text: str, sep: str = " ") -> DataFrame:
     """Sessions over the whole ordered corpus, by blocks (pages, conversations) in their order: numbers within blocks plus
-    the sessions that earlier blocks ended. Only one row a block is ordered globally. (session, home, lines, text); home is the block of its first row."""
+    the sessions that earlier blocks ended, added up by ranges of blocks. (session, home, lines, text); home is the block of its first row."""
     x = rows.withColumns({"_end": ends.cast("int"), "_own": session_number(ends, [block], order)})
     totals = x.groupBy(block).agg(F.sum("_end").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    x = x.join(totals.select(block, before.alias("_before")), block).withColumn("session", F.col("_own") + F.col("_before"))
+    x = x.join(sum_before_by_ranges(totals, [F.col(block)], F.col("_n"), "_before").drop("_n"), block).withColumn("session", F.col("_own") + F.col("_before"))
     part = F.struct(block, *order, F.coalesce(text, F.lit("")).alias("_t"))
     out = x.groupBy("session").agg(F.count("*").alias("lines"), F.min(block).alias("home"), F.array_sort(F.collect_list(part)).alias("_p"))
     return out.select("session", "home", "lines", F.array_join(F.transform("_p", lambda p: p["_t"]), sep).alias("text"))
@@ -121,20 +120,25 @@ def fragment_groups(rows: DataFrame, page: str, order: str, anchor: str, continu
     return out.select(page, F.explode("f").alias("f")).select(page, F.col("f.o").alias(order), F.col("f.g").alias("fragment_group"))
 
 
-def rank_by_ranges(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """``rows`` with their place in the order, from 1, as row_number over one window would give it, ties aside.
+def sum_before_by_ranges(rows: DataFrame, order: list[Column], value: Column, name: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` over the rows before them in the order, as one window over all would give it, ties aside; 0 for the first.
 
-    Rows are dealt into ranges of the order and stored with their range; a range's first place is the number of rows in the ranges
-    before it, of which the driver sees one number each. So no task sees more than its range.
+    Rows are dealt into ranges of the order and stored with their range; what lies before a range is the sum of the ranges before it,
+    of which the driver sees one number each. So no task sees more than its range.
     """
     spark = rows.sparkSession
-    part, before = f"_{name}_part", f"_{name}_before"
+    part, mine, before = f"_{name}_part", f"_{name}_value", f"_{name}_before"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    x = stored(rows.repartitionByRange(n, *order).withColumn(part, F.spark_partition_id()), "ranges")
-    sizes, offsets, total = {r[0]: r[1] for r in x.groupBy(part).count().collect()}, [], 0
-    for p in sorted(sizes):
+    x = stored(rows.withColumn(mine, F.coalesce(value.cast("long"), F.lit(0))).repartitionByRange(n, *order).withColumn(part, F.spark_partition_id()), "ranges")
+    sums, offsets, total = {r[0]: r[1] for r in x.groupBy(part).agg(F.sum(mine)).collect()}, [], 0
+    for p in sorted(sums):
         offsets.append((p, total))
-        total += sizes[p]
+        total += sums[p]
     known = F.broadcast(spark.createDataFrame(offsets, f"{part} int, {before} long"))  # a row a range
-    place = F.row_number().over(Window.partitionBy(part).orderBy(*order))
-    return x.join(known, part).withColumn(name, place + F.col(before)).drop(part, before)
+    w = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return x.join(known, part).withColumn(name, F.coalesce(F.sum(mine).over(w), F.lit(0)) + F.col(before)).drop(part, mine, before)
+
+
+def rank_by_ranges(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """``rows`` with their place in the order, from 1, as row_number over one window would give it, ties aside."""
+    return sum_before_by_ranges(rows, order, F.lit(1), name).withColumn(name, F.col(name) + 1)

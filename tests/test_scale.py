@@ -67,3 +67,24 @@ def test_ranks_by_ranges(spark):
     want = sorted(range(5000), key=lambda i: (-(i * 7919 % 97), i))
     assert got == {i: k + 1 for k, i in enumerate(want)}
     assert W.rank_by_ranges(rows.limit(0), order).count() == 0
+
+
+def test_sums_and_sessions_by_ranges(spark):
+    """Against one pass in Python: blocks without an end, sessions over several blocks, a block of many rows."""
+    import random
+
+    from folioframe.operators import windows as W
+
+    r = random.Random(8)
+    rows = [(b, i, r.choice(["a.", "b", "c", "d"])) for b in range(400) for i in range(300 if b == 7 else r.randrange(1, 4))]
+    got = {(x.session, x.home, x.lines, x.text) for x in W.sessions_across(spark.createDataFrame(rows, "b int, i int, t string").repartition(5), F.col("t").endswith("."), "b", ["i"], "t").collect()}
+    want, session, held = set(), 0, []
+    for row in [*rows, None]:
+        if held and (row is None or held[-1][2].endswith(".")):
+            want.add((session, held[0][0], len(held), " ".join(t for *_, t in held)))
+            session, held = session + 1, []
+        held.append(row)
+    assert got == want
+    x = W.sum_before_by_ranges(spark.createDataFrame([(i, None if i % 5 else i) for i in range(1000)], "i int, v int"), [F.col("i")], F.col("v"), "s")
+    assert {q.i: q.s for q in x.collect()} == {i: sum(range(0, i, 5)) for i in range(1000)}
+    assert W.sessions_across(spark.createDataFrame([], "b int, i int, t string"), F.col("t").endswith("."), "b", ["i"], "t").count() == 0
