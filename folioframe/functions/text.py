@@ -96,8 +96,8 @@ def char_diff_rate(a: Column, b: Column) -> Column:
 
 
 def content_words(c: Column, stopwords: list[str], least: int = 3) -> Column:
-    """Distinct lower-case words of ``least`` ASCII letters or more that aren't stopwords, in order."""
-    words = F.regexp_extract_all(F.lower(c), F.lit(rf"[a-z]{{{least},}}"), F.lit(0))
+    """Distinct lower-case words of ``least`` letters or more that aren't stopwords, in order."""
+    words = F.regexp_extract_all(F.lower(c), F.lit(rf"\p{{L}}{{{least},}}"), F.lit(0))
     return F.array_except(words, F.array(*map(F.lit, stopwords)).cast("array<string>"))
 
 

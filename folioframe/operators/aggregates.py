@@ -8,6 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..workspace import stored
 
 #: Shares of a group between which its middle rows lie for certain, as the sketch's rank error is a 10,000th of the group.
 _AROUND = (0.498, 0.502)
@@ -49,7 +50,11 @@ def score_stats(rows: DataFrame, keys: list[str], score: str) -> DataFrame:
 
 
 def win_tie_loss(pairs: DataFrame, a: str, b: str, keys: list[str] | None = None) -> DataFrame:
-    """Over pairs with both scores: means, medians, mean delta, wins of b, ties, losses, win rate; n_errored counts the rest."""
+    """Over pairs with both scores: means, medians, mean delta, wins of b, ties, losses, win rate; n_errored counts the rest.
+
+    The pairs are stored once, as each median reads them again.
+    """
+    pairs = stored(pairs.select(*(keys or []), a, b), "score-pairs")
     d = F.col(b) - F.col(a)
     ok = d.isNotNull()
     only = lambda c: F.when(ok, F.col(c))
@@ -132,14 +137,20 @@ def text_by_group(rows: DataFrame, group: list[str], order: str, text: str, sep:
     return parts.select(*group, F.array_join(F.transform("_p", lambda x: x["_t"]), sep).alias("text"))
 
 
-def multiset_overlap(pairs: DataFrame, key: str, prediction: str, reference: str, e: float = 2.718281828) -> DataFrame:
-    """Unigram precision with brevity penalty; tokens split at blanks. ``e`` is the constant that the scores were defined with."""
+def multiset_overlap(pairs: DataFrame, keys: list[str], prediction: str, reference: str, e: float = 2.718281828) -> DataFrame:
+    """Unigram precision with brevity penalty; tokens split at blanks. ``e`` is the constant that the scores were defined with.
+
+    The pairs are stored once; a word's two counts come from one grouping.
+    """
     tok = lambda c: F.filter(F.split(F.lower(F.trim(c)), r"\s+"), lambda x: x != "")
-    n = lambda c, name: pairs.select(key, F.explode(tok(F.col(c))).alias("_w")).groupBy(key, "_w").agg(F.count("*").alias(name))
-    hit = n(prediction, "p").join(n(reference, "r"), [key, "_w"]).groupBy(key).agg(F.sum(F.least("p", "r")).alias("hits"))
-    size = pairs.select(key, F.size(tok(F.col(prediction))).alias("np"), F.size(tok(F.col(reference))).alias("nr"))
+    x = stored(pairs.select(*keys, tok(F.col(prediction)).alias("_p"), tok(F.col(reference)).alias("_r")), "overlap-words")
+    tagged = lambda side: F.transform(f"_{side}", lambda w: F.struct(w.alias("_w"), F.lit(side == "p").alias("_of")))
+    words = x.select(*keys, F.inline(F.concat(tagged("p"), tagged("r"))))
+    counts = words.groupBy(*keys, "_w").agg(F.count_if("_of").alias("p"), F.count_if(~F.col("_of")).alias("r"))
+    hit = counts.groupBy(*keys).agg(F.sum(F.least("p", "r")).alias("hits"))
+    size = x.select(*keys, F.size("_p").alias("np"), F.size("_r").alias("nr"))
     penalty = F.when(F.col("np") >= F.col("nr"), 1.0).otherwise(F.pow(F.lit(e), 1 - F.col("nr") / F.col("np")))
-    return size.join(hit, key, "left").select(key, F.when((F.col("np") == 0) | (F.col("nr") == 0), 0.0).otherwise(F.coalesce("hits", F.lit(0)) / F.col("np") * penalty).alias("score"))
+    return size.join(hit, keys, "left").select(*keys, F.when((F.col("np") == 0) | (F.col("nr") == 0), 0.0).otherwise(F.coalesce("hits", F.lit(0)) / F.col("np") * penalty).alias("score"))
 
 
 def position_bias(rows: DataFrame, choice: str) -> DataFrame:

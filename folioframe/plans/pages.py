@@ -94,9 +94,10 @@ def coverage(scores: DataFrame, findings: DataFrame, unit: str) -> DataFrame:
     return scores.join(f, unit, "left").groupBy("score").agg(F.count("*").alias("units"), F.count_if(F.col("_f")).alias("flagged"))
 
 
-def external_scores(rows: DataFrame, score: Callable[[list[str], list[str], list[str]], list[float]], unit: str, src: str, mt: str, ref: str, reference_free: bool = False) -> DataFrame:
+def external_scores(rows: DataFrame, score: Callable[[list[str], list[str], list[str]], list[float]], unit: str | list[str], src: str, mt: str, ref: str, reference_free: bool = False) -> DataFrame:
     """Call a scorer on batches of rows; rows that can't be scored keep a null score and their error."""
-    x = rows.select(unit, src, mt, ref).withColumn("error", R.scorable_error(F.col(src), F.col(mt), None if reference_free else F.col(ref)))
+    units = [unit] if isinstance(unit, str) else unit
+    x = rows.select(*units, src, mt, ref).withColumn("error", R.scorable_error(F.col(src), F.col(mt), None if reference_free else F.col(ref)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -104,10 +105,10 @@ def external_scores(rows: DataFrame, score: Callable[[list[str], list[str], list
             b["score"] = float("nan")
             if good.any():
                 b.loc[good, "score"] = score(list(b.loc[good, src]), list(b.loc[good, mt]), list(b.loc[good, ref].fillna("")))
-            yield b[[unit, "score", "error"]]
+            yield b[[*units, "score", "error"]]
 
-    kind = rows.schema[unit].dataType.simpleString()
-    return x.mapInPandas(run, f"{unit} {kind}, score double, error string").withColumn("score", F.when(F.isnan("score"), None).otherwise(F.col("score")))
+    kinds = "".join(f"`{u}` {rows.schema[u].dataType.simpleString()}, " for u in units)
+    return x.mapInPandas(run, f"{kinds}score double, error string").withColumn("score", F.when(F.isnan("score"), None).otherwise(F.col("score")))
 
 
 def prompt(parts: dict[str, Column]) -> Column:

@@ -53,6 +53,18 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, "user_id", "full_outer")
 
 
+_TURNS = "(SELECT conv_id, turn, max(text) AS text FROM conversations GROUP BY conv_id, turn)"
+_NEXT_TURNS = f"(SELECT a.conv_id, a.turn, a.text AS a, b.text AS b FROM {_TURNS} a LEFT JOIN {_TURNS} b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1)"
+
+
+def _next_turns(spark: SparkSession, d: str) -> DataFrame:
+    """(conv_id, turn, a, b): each turn's text and the next one's, null after the last. One shuffle by both, so a long conversation spreads."""
+    own = F.struct("turn", F.col("text").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(True).alias("here"))
+    before = F.struct((F.col("turn") - 1).alias("turn"), F.lit(None).cast("string").alias("a"), F.col("text").alias("b"), F.lit(False).alias("here"))
+    x = table(spark, d, "conversations").select("conv_id", F.inline(F.array(own, before)))
+    return x.groupBy("conv_id", "turn").agg(F.max("a").alias("a"), F.max("b").alias("b"), F.bool_or("here").alias("here")).where("here").drop("here")
+
+
 # --- Sources -------------------------------------------------------------------------------------------------------
 
 _TURN = StructType([StructField("key", StringType()), StructField("conv_id", LongType()), StructField("turn", LongType()), StructField("text", StringType())])
@@ -464,13 +476,13 @@ def group_string_agg(spark, d):
     return A.text_by_group(table(spark, d, "conversations"), ["conv_id"], "turn", "text")
 
 
-@query("""WITH c AS (SELECT conv_id, lower(trim(max(text) FILTER (turn = 0))) AS p, lower(trim(max(text) FILTER (turn = 1))) AS r FROM conversations GROUP BY conv_id), k AS (SELECT conv_id, regexp_extract_all(coalesce(p, ''), '[^\\x20\\x09-\\x0D]+') AS p, regexp_extract_all(coalesce(r, ''), '[^\\x20\\x09-\\x0D]+') AS r FROM c),
-a AS (SELECT conv_id, w, count(*) AS n FROM (SELECT conv_id, unnest(p) AS w FROM k) GROUP BY 1, 2), b AS (SELECT conv_id, w, count(*) AS n FROM (SELECT conv_id, unnest(r) AS w FROM k) GROUP BY 1, 2), h AS (SELECT conv_id, sum(least(a.n, b.n)) AS h FROM a JOIN b USING (conv_id, w) GROUP BY conv_id)
-SELECT conv_id, round(CASE WHEN len(p) = 0 OR len(r) = 0 THEN 0 ELSE coalesce(h, 0) / len(p) * CASE WHEN len(p) >= len(r) THEN 1 ELSE pow(2.718281828, 1 - len(r) / len(p)) END END, 9) AS score FROM k LEFT JOIN h USING (conv_id)""")
+@query(f"""WITH k AS (SELECT conv_id, turn, regexp_extract_all(lower(coalesce(a, '')), '[^\\x20\\x09-\\x0D]+') AS p, regexp_extract_all(lower(coalesce(b, '')), '[^\\x20\\x09-\\x0D]+') AS r FROM {_NEXT_TURNS}),
+a AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(p) AS w FROM k) GROUP BY 1, 2, 3), b AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(r) AS w FROM k) GROUP BY 1, 2, 3), h AS (SELECT conv_id, turn, sum(least(a.n, b.n)) AS h FROM a JOIN b USING (conv_id, turn, w) GROUP BY 1, 2)
+SELECT conv_id, turn, round(CASE WHEN len(p) = 0 OR len(r) = 0 THEN 0 ELSE coalesce(h, 0) / len(p) * CASE WHEN len(p) >= len(r) THEN 1 ELSE pow(2.718281828, 1 - len(r) / len(p)) END END, 9) AS score FROM k LEFT JOIN h USING (conv_id, turn)""")
 def multiset_overlap(spark, d):
-    t = lambda n: F.coalesce(F.max(F.when(F.col("turn") == n, F.col("text"))), F.lit(""))
-    x = table(spark, d, "conversations").groupBy("conv_id").agg(t(0).alias("p"), t(1).alias("r"))
-    return A.multiset_overlap(x, "conv_id", "p", "r").withColumn("score", F.round("score", 9))
+    """Each turn as a prediction of the next one."""
+    x = _next_turns(spark, d).select("conv_id", "turn", *[F.coalesce(c, F.lit("")).alias(c) for c in "ab"])
+    return A.multiset_overlap(x, ["conv_id", "turn"], "a", "b").withColumn("score", F.round("score", 9))
 
 
 @query("SELECT a.doc_id, (CASE WHEN trim(a.lang) = trim(b.lang) THEN 1.0 ELSE 0.0 END)::DOUBLE AS score FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1")
@@ -658,14 +670,14 @@ def ordered_distinct(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[0-9]+"), F.lit(0))), " ").alias("tokens"))
 
 
-_SETS = "SELECT conv_id, list_distinct(list_filter(regexp_extract_all(lower(coalesce(max(text) FILTER (turn = {0}), '')), '[a-z]{{3,}}'), lambda x: x NOT IN ('the', 'and'))) AS s{0} FROM conversations GROUP BY conv_id"
+_WORD_SET = "list_distinct(list_filter(regexp_extract_all(lower(coalesce({0}, '')), '\\p{{L}}{{3,}}'), lambda x: x NOT IN ('the', 'and'))) AS {0}"
 
 
-@query(f"SELECT conv_id, round(CASE WHEN len(list_distinct(s0 || s1)) = 0 THEN 0 ELSE len(list_intersect(s0, s1)) / len(list_distinct(s0 || s1)) END, 9) AS jaccard FROM ({_SETS.format(0)}) JOIN ({_SETS.format(1)}) USING (conv_id)")
+@query(f"SELECT conv_id, turn, round(CASE WHEN len(list_distinct(a || b)) = 0 THEN 0 ELSE len(list_intersect(a, b)) / len(list_distinct(a || b)) END, 9) AS jaccard FROM (SELECT conv_id, turn, {_WORD_SET.format('a')}, {_WORD_SET.format('b')} FROM {_NEXT_TURNS})")
 def set_jaccard(spark, d):
-    t = lambda n: F.coalesce(F.max(F.when(F.col("turn") == n, F.col("text"))), F.lit(""))
-    x = table(spark, d, "conversations").groupBy("conv_id").agg(t(0).alias("a"), t(1).alias("b"))
-    return x.select("conv_id", F.round(T.jaccard(T.content_words(F.col("a"), ["the", "and"]), T.content_words(F.col("b"), ["the", "and"])), 9).alias("jaccard"))
+    """Shared words of each turn and the next one."""
+    a, b = (T.content_words(F.coalesce(c, F.lit("")), ["the", "and"]) for c in "ab")
+    return _next_turns(spark, d).select("conv_id", "turn", F.round(T.jaccard(a, b), 9).alias("jaccard"))
 
 
 # --- Scalar functions ----------------------------------------------------------------------------------------------
@@ -697,12 +709,12 @@ def decode_ab(spark, d):
     return table(spark, d, "orders").select("o_orderkey", R.decode_choice(pick, F.col("o_orderkey") % 2 == 1).alias("winner"))
 
 
-@query("""WITH c AS (SELECT conv_id, coalesce(max(text) FILTER (turn = 0), '') AS a, coalesce(max(text) FILTER (turn = 2), '') AS b FROM conversations GROUP BY conv_id)
-SELECT conv_id, round(CASE WHEN greatest(length(a), length(b)) = 0 THEN 0 ELSE 100.0 * (greatest(length(a), length(b)) - len(list_filter(list_zip(string_split(a, ''), string_split(b, '')), lambda p: p[1] = p[2] AND p[1] <> ''))) / greatest(length(a), length(b)) END, 6) AS rate FROM c""")
+@query(f"""WITH c AS (SELECT conv_id, turn, coalesce(a, '') AS a, coalesce(b, '') AS b FROM {_NEXT_TURNS})
+SELECT conv_id, turn, round(CASE WHEN greatest(length(a), length(b)) = 0 THEN 0 ELSE 100.0 * (greatest(length(a), length(b)) - len(list_filter(list_zip(string_split(a, ''), string_split(b, '')), lambda p: p[1] = p[2] AND p[1] <> ''))) / greatest(length(a), length(b)) END, 6) AS rate FROM c""")
 def char_diff_rate(spark, d):
-    t = lambda n: F.coalesce(F.max(F.when(F.col("turn") == n, F.col("text"))), F.lit(""))
-    x = table(spark, d, "conversations").groupBy("conv_id").agg(t(0).alias("a"), t(2).alias("b"))
-    return x.select("conv_id", F.round(T.char_diff_rate(F.col("a"), F.col("b")), 6).alias("rate"))
+    """Each turn against the next one."""
+    a, b = (F.coalesce(c, F.lit("")) for c in "ab")
+    return _next_turns(spark, d).select("conv_id", "turn", F.round(T.char_diff_rate(a, b), 6).alias("rate"))
 
 
 @query("SELECT o_orderkey, printf('p%04d', o_orderkey) AS page_id FROM orders")
@@ -737,10 +749,13 @@ def contains_greek(spark, d):
     return table(spark, d, "documents").select("doc_id", F.col("text").rlike(T.GREEK).alias("greek"))
 
 
-@query("SELECT doc_id, replace(trim(regexp_replace(text, '-\\n', '', 'g')), chr(10), ' ') AS text FROM documents WHERE NOT regexp_matches(text, '[\\x20\\x09-\\x0D]\\n|\\n[\\x20\\x09-\\x0D]|[¬—­]\\n')")
+#: Lines that end with a hyphen of each kind, with blanks before and after the break.
+_HYPHENATED = "replace(replace(replace(replace(text, 'en', 'e-' || chr(10) || 'n'), 're', 'r\u00ac ' || chr(10) || ' e'), 'ti', 't\u2014' || chr(10) || 'i'), 'is', 'i\u00ad  ' || chr(10) || 's')"
+
+
+@query(f"SELECT doc_id, trim(replace(regexp_replace(array_to_string(list_transform(string_split(t, chr(10)), lambda x: trim(x)), chr(10)), '[\\-\u00ac\u2014\u00ad]\\n', '', 'g'), chr(10), ' ')) AS text FROM (SELECT doc_id, {_HYPHENATED} AS t FROM documents)")
 def join_dehyphenate(spark, d):
-    x = table(spark, d, "documents").where(~F.col("text").rlike("[\\x20\\x09-\\x0D]\\n|\\n[\\x20\\x09-\\x0D]|[¬—­]\\n"))
-    return x.select("doc_id", T.join_dehyphenate(F.split("text", "\n")).alias("text"))
+    return _shaped(spark, d, _HYPHENATED).select("doc_id", T.join_dehyphenate(F.split("t", "\n")).alias("text"))
 
 
 @query("SELECT conv_id, turn, regexp_matches(text, '[!?]$') OR (text LIKE '%.' AND NOT regexp_matches(text, '(^|[^\\pL\\pN_])([\\pL\\pN_]|[IVXLCDMivxlcdm]+|cap|lib|pag|ver|tom|edit|epist|part|op|num|vid|etc|seq|ibid|fol|sect|art)\\.$', 'i')) AS ends FROM conversations")
@@ -1272,13 +1287,13 @@ def repair_queue(spark, d):
     return PP.repair_queue(s, table(spark, d, "documents").select("doc_id"), "doc_id", 0).select("doc_id", "score")
 
 
-@query("SELECT conv_id, (length(max(text) FILTER (turn = 0)) / 100.0)::DOUBLE AS score, CASE WHEN max(text) FILTER (turn = 1) IS NULL THEN 'missing_translation' END AS error FROM conversations GROUP BY conv_id HAVING max(text) FILTER (turn = 1) IS NOT NULL")
+@query(f"SELECT conv_id, turn, CASE WHEN e IS NULL THEN length(a) / 100.0 END::DOUBLE AS score, e AS error FROM (SELECT *, CASE WHEN coalesce(trim(a), '') = '' THEN 'missing_source' WHEN coalesce(trim(b), '') = '' THEN 'missing_translation' END AS e FROM {_NEXT_TURNS})")
 def external_scorer(spark, d):
+    """The next turn stands for each turn's translation; last turns have none and are errors."""
     from .plans import pages as PP
 
-    t = lambda n: F.max(F.when(F.col("turn") == n, F.col("text")))
-    x = table(spark, d, "conversations").groupBy("conv_id").agg(t(0).alias("src"), t(1).alias("mt")).where("mt is not null").withColumn("ref", F.col("mt"))
-    return PP.external_scores(x, lambda src, mt, ref: [len(s) / 100 for s in src], "conv_id", "src", "mt", "ref")
+    x = _next_turns(spark, d).withColumn("ref", F.col("b"))
+    return PP.external_scores(x, lambda src, mt, ref: [len(s) / 100 for s in src], ["conv_id", "turn"], "a", "b", "ref")
 
 
 @query("SELECT conv_id, turn, '[source]' || chr(10) || text || chr(10) || chr(10) || '[role]' || chr(10) || role AS prompt FROM conversations WHERE trim(text) <> ''")
@@ -1550,7 +1565,7 @@ def ngrams(spark, d):
     return table(spark, d, "documents").select("doc_id", t.alias("t")).where(F.size("t") >= 2).select("doc_id", F.size(T.ngrams(F.col("t"), 2, 3)).cast("long").alias("grams"))
 
 
-@query("WITH w AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]{3,}') AS w FROM documents)), f AS (SELECT doc_id, w, min(i) AS i FROM w WHERE w NOT IN ('the', 'and') GROUP BY 1, 2), g AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS words FROM f GROUP BY 1) SELECT doc_id, coalesce(words, '') AS words FROM documents LEFT JOIN g USING (doc_id)")
+@query("WITH w AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (SELECT doc_id, regexp_extract_all(lower(text), '\\p{L}{3,}') AS w FROM documents)), f AS (SELECT doc_id, w, min(i) AS i FROM w WHERE w NOT IN ('the', 'and') GROUP BY 1, 2), g AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS words FROM f GROUP BY 1) SELECT doc_id, coalesce(words, '') AS words FROM documents LEFT JOIN g USING (doc_id)")
 def content_words(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(T.content_words(F.col("text"), ["the", "and"]), " ").alias("words"))
 
@@ -1949,19 +1964,18 @@ def udf_text_transform(spark, d):
     return table(spark, d, "region").select("r_regionkey", T.compose(F.upper, lambda c: F.concat(c, F.lit("!")))(F.col("r_name")).alias("x"))
 
 
-@query("""WITH x AS (SELECT a.conv_id, a.text AS s, b.text AS r, list_distinct(string_split(a.text, ' ')) AS p, list_distinct(string_split(b.text, ' ')) AS q FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = 0 AND b.turn = 2)
-SELECT conv_id, CASE WHEN e IS NULL THEN len(list_intersect(p, q)) / len(list_distinct(list_concat(p, q))) END::DOUBLE AS score, e AS error FROM (SELECT *, CASE WHEN coalesce(trim(s), '') = '' THEN 'missing_source' WHEN coalesce(trim(r), '') = '' THEN 'missing_reference' END AS e FROM x)""")
+@query(f"""WITH x AS (SELECT conv_id, turn, a AS s, b AS r, list_distinct(string_split(a, ' ')) AS p, list_distinct(string_split(b, ' ')) AS q FROM {_NEXT_TURNS})
+SELECT conv_id, turn, CASE WHEN e IS NULL THEN len(list_intersect(p, q)) / len(list_distinct(list_concat(p, q))) END::DOUBLE AS score, e AS error FROM (SELECT *, CASE WHEN coalesce(trim(s), '') = '' THEN 'missing_source' WHEN coalesce(trim(r), '') = '' THEN 'missing_reference' END AS e FROM x)""")
 def udf_metric(spark, d):
-    """An injected metric, called on batches: shared words of each conversation's turns 0 and 2."""
+    """An injected metric, called on batches: shared words of each turn and the next one."""
     from .plans import pages as PP
 
     def overlap(_, mt, ref):
         sides = [(set(a.split(" ")), set(b.split(" "))) for a, b in zip(mt, ref, strict=True)]
         return [len(a & b) / len(a | b) for a, b in sides]
 
-    c = table(spark, d, "conversations")
-    x = c.where("turn = 0").select("conv_id", F.col("text").alias("s"), F.col("text").alias("m")).join(c.where("turn = 2").select("conv_id", F.col("text").alias("r")), "conv_id")
-    return PP.external_scores(x, overlap, "conv_id", "s", "m", "r").select("conv_id", "score", "error")
+    x = _next_turns(spark, d).withColumn("m", F.col("a"))
+    return PP.external_scores(x, overlap, ["conv_id", "turn"], "a", "m", "b").select("conv_id", "turn", "score", "error")
 
 
 @query("SELECT r_name AS text, 1.0::DOUBLE AS confidence FROM region")

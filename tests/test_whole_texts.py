@@ -21,8 +21,29 @@ def test_lines_keep_whole_texts(spark, talks):
     assert {len(line["text_raw_ocr"]) for r in Q._records(spark, talks).collect() for line in r.lines} == {len(LONG) + 2, len(LONG) + 3, 7}
 
 
-def test_difference_after_60_characters_counts(spark, talks):
-    assert {r.conv_id: r.rate for r in Q.char_diff_rate(spark, talks).collect()} == {1: round(100 / len(LONG), 6), 2: 100.0}
+def test_each_turn_is_held_against_the_next(spark, talks):
+    turns = {(1, 0): LONG, (1, 1): LONG + "!", (1, 2): LONG[:-1] + "D", (2, 0): "short"}
+
+    def rate(a, b):
+        return round(100 * (max(len(a), len(b)) - sum(x == y for x, y in zip(a, b, strict=False))) / max(len(a), len(b)), 6)
+
+    want = {(c, t): rate(a, turns.get((c, t + 1), "")) for (c, t), a in turns.items()}
+    assert {(r.conv_id, r.turn): r.rate for r in Q.char_diff_rate(spark, talks).collect()} == want
+    assert want[1, 0] == round(100 / (len(LONG) + 1), 6)
+
+    words = {k: set(v.replace("!", " ").lower().split()) - {"the"} for k, v in turns.items()}
+    shared = {k: len(w & words.get((k[0], k[1] + 1), set())) / len(w | words.get((k[0], k[1] + 1), set())) for k, w in words.items()}
+    assert {(r.conv_id, r.turn): r.jaccard for r in Q.set_jaccard(spark, talks).collect()} == {k: round(v, 9) for k, v in shared.items()}
+    errors = {(r.conv_id, r.turn): r.error for r in Q.external_scorer(spark, talks).collect()}
+    assert errors == {(1, 0): None, (1, 1): None, (1, 2): "missing_translation", (2, 0): "missing_translation"}
+
+
+def test_hyphens_at_line_ends_are_fused(spark, tmp_path):
+    texts = ["frei- \n  heit und", "soft\u00adly tied\nknots ", "no break-here", ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text for r in Q.join_dehyphenate(spark, tmp_path).collect()}
+    # The shape breaks "en", "re", "ti" and "is" with a hyphen, which joining takes out again.
+    assert got == {0: "freiheit und", 1: "soft\u00adly tied knots", 2: "no break-here", 3: ""}
 
 
 @pytest.fixture(scope="module")
