@@ -903,14 +903,27 @@ def citation_validator(spark, d):
     return validators.citations(_segments(spark, d), validators.citation_rules(spark))
 
 
-@query()
+#: Segments with markers on both sides, of which some are lost, invented or said twice.
+_MARKED_LA, _MARKED_EN = "replace(replace(latin, 'er ', 'er^a '), 'en ', 'en^b ')", "replace(replace(english, 'er ', 'er^a '), 'un', 'un^c ')"
+#: Segments with Greek on both sides, accents kept or lost, with a cue after it or a bracket near by, or neither.
+_GREEK_LA = "replace(replace(replace(latin, 'er ', 'er λόγος id est '), 'en ', 'en ἀρχή '), 'is ', 'is τοῦ θεοῦ ')"
+_GREEK_EN = "replace(replace(replace(english, 'er ', 'er λογος '), 'on ', 'on αρχη '), 'ta', 't[a')"
+
+
+@query(f"""WITH s AS (SELECT segment_id, conv_id, turn, regexp_extract_all({_MARKED_LA}, '\\^([a-z])\\b', 1) AS l, regexp_extract_all(coalesce({_MARKED_EN}, ''), '\\^([a-z])\\b', 1) AS e FROM {_SEG} WHERE trim(latin) <> ''),
+n AS (SELECT *, flatten(list(l) OVER w) AS nl, flatten(list(e) OVER w) AS ne FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING))
+SELECT segment_id, 'MARKER_DROPPED' AS flag, 'high' AS severity, unnest(list_filter(l, lambda x: NOT list_contains(ne, x))) AS marker_id FROM n
+UNION ALL SELECT segment_id, 'MARKER_HALLUCINATED', 'high', unnest(list_filter(list_distinct(e), lambda x: NOT list_contains(nl, x))) FROM n
+UNION ALL SELECT segment_id, 'MARKER_DUPLICATED', 'medium', unnest(list_filter(list_distinct(e), lambda x: len(list_filter(e, lambda y: y = x)) > 1)) FROM n""")
 def marker_validator(spark, d):
-    return validators.markers(_segments(spark, d))
+    x = _segments(spark, d).withColumns({"latin": F.expr(_MARKED_LA), "english": F.expr(_MARKED_EN)})
+    return validators.markers(x).select("segment_id", "flag", "severity", "marker_id")
 
 
 @query()
 def greek_validator(spark, d):
-    return validators.greek(_segments(spark, d), glosses=True)
+    x = _segments(spark, d).withColumns({"latin": F.expr(_GREEK_LA), "english": F.expr(_GREEK_EN)})
+    return validators.greek(x, glosses=True)
 
 
 def _terms(spark: SparkSession) -> DataFrame:
