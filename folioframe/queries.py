@@ -936,7 +936,13 @@ def glossary_validator(spark, d):
     return validators.glossary(_segments(spark, d), _terms(spark))
 
 
-@query()
+_AS_WORD = "'(?i)(^|[^\\p{{L}}\\p{{N}}_])' || {0} || '($|[^\\p{{L}}\\p{{N}}_])'"
+
+
+@query(f"""WITH s AS (SELECT segment_id, latin, array_to_string(list(coalesce(english, '')) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING), ' ') AS en FROM {_SEG} WHERE trim(latin) <> ''),
+h AS (SELECT segment_id, term, v FROM s JOIN (VALUES ('the', 'with'), ('the', 'from'), ('and', 'this'), ('and', 'that')) t(term, v) ON regexp_matches(latin, {_AS_WORD.format('term')}) AND regexp_matches(en, {_AS_WORD.format('v')})),
+n AS (SELECT term, v, count(DISTINCT segment_id) AS n FROM h GROUP BY 1, 2)
+SELECT term, count(*) AS variants, sum(n)::BIGINT AS segments FROM n GROUP BY 1 HAVING count(*) > 1""")
 def glossary_drift(spark, d):
     return validators.glossary_drift(_segments(spark, d), _terms(spark)).select("term", "variants", "segments")
 
