@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+#: Characters or bytes of an Arrow batch that Python works on at once.
+PIECE = 1 << 20
+
 _OWN: dict[str, str] = {}
 
 
@@ -35,6 +41,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def pieces(sizes: np.ndarray) -> Iterator[slice]:
+    """A batch's rows in runs of at most ``PIECE`` in all, or of one larger row: what Python makes of a run is given on before the next one."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(ends):
+        until = max(at + 1, int(np.searchsorted(ends, PIECE + (ends[at - 1] if at else 0), "right")))
+        yield slice(at, until)
+        at = until
+
+
+def in_pieces(texts: pd.Series) -> Iterator[pd.Series]:
+    """A batch's texts in runs as :func:`pieces` gives them."""
+    for p in pieces(np.array([len(t or "") for t in texts], np.int64)):
+        yield texts.iloc[p]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows dealt over as many tasks as the session has cores where the source gives fewer, as one file of one row group does; otherwise as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -15,6 +15,23 @@ from folioframe.sources import ocr
 TEXTS = [f"Thee \u00e6ther &{i} " * 4000 for i in range(40)] + [None, "", "hath"]
 
 
+def parts_of(batches, longest):
+    parts = list(batches)
+    assert len(parts) > 2 and max(longest(p) for p in parts) <= workspace.PIECE + 100
+    return parts
+
+
+def test_pieces():
+    assert [(p.start, p.stop) for p in workspace.pieces([workspace.PIECE, 1, 0, 3 * workspace.PIECE, 5])] == [(0, 1), (1, 3), (3, 4), (4, 5)]
+    assert list(workspace.pieces([])) == []
+
+
+def test_folding_in_pieces():
+    """tokenize_fold"""
+    got = parts_of(P.fold_tokens.func(iter([pd.Series(TEXTS)])), lambda s: sum(len(x) * 2 for x in s))
+    assert pd.concat(got).tolist() == [P.folded(t) for t in TEXTS] and P.folded("A&b_C 1") == ["a", "and", "b", "c", "1"]
+
+
 def seconds(df):
     df.count()
     began = time.time()
