@@ -109,17 +109,17 @@ def greek(segments: DataFrame, window: int = 1, gloss_window: int = 5, glosses:
     """Greek spans of the Latin that the neighbours' English lacks, accents aside; with ``glosses``, on lines that also hold Latin, spans
     that no Latin cue follows and after which no ``[`` opens in the English near by.
     """
-    near = neighbour_text(F.coalesce("english", F.lit("")), GROUP, ORDER, window)
-    far = neighbour_text(F.coalesce("english", F.lit("")), GROUP, ORDER, gloss_window)
-    x = segments.withColumns({"_en": near, "_far": far, "_spans": T.greek_spans(F.col("latin"))}).where(F.size("_spans") > 0)
-    # Texts are folded once a line, before its spans become rows.
-    x = x.withColumns({"_en": strip_accents("_en"), "_far": strip_accents("_far")})
+    x = segments.withColumn("_spans", T.greek_spans(F.col("latin")))
+    # Accents go letter by letter: each English is folded once, before it becomes its neighbours', and a line's spans as one text.
+    x = x.withColumns({"_bare": strip_accents(F.coalesce("english", F.lit(""))), "_plains": F.split(strip_accents(F.array_join("_spans", "\n")), "\n")})
+    near, far = (neighbour_text(F.col("_bare"), GROUP, ORDER, reach) for reach in (window, gloss_window))
+    x = x.withColumns({"_en": near, "_far": far}).where(F.size("_spans") > 0)
     # Spans stand in order, so the tail of each is what follows it in the rest of the line.
-    empty = F.array().cast("array<struct<span:string,tail:string>>")
+    empty = F.array().cast("array<struct<span:string,plain:string,tail:string>>")
     rest = lambda text, span: F.substring(text, F.instr(text, span) + F.length(span), F.length(text))
-    step = lambda a, s: F.struct(rest(a["left"], s).alias("left"), F.concat(a["out"], F.array(F.struct(s.alias("span"), F.left(rest(a["left"], s), F.lit(CUE_REACH)).alias("tail")))).alias("out"))
-    x = x.withColumn("_s", F.explode(F.aggregate("_spans", F.struct(F.col("latin").alias("left"), empty.alias("out")), step, lambda a: a["out"])))
-    x = x.withColumn("_plain", strip_accents("_s.span"))
+    step = lambda a, s: F.struct(rest(a["left"], s["_spans"]).alias("left"), F.concat(a["out"], F.array(F.struct(s["_spans"].alias("span"), s["_plains"].alias("plain"), F.left(rest(a["left"], s["_spans"]), F.lit(CUE_REACH)).alias("tail")))).alias("out"))
+    x = x.withColumn("_s", F.explode(F.aggregate(F.arrays_zip("_spans", "_plains"), F.struct(F.col("latin").alias("left"), empty.alias("out")), step, lambda a: a["out"])))
+    x = x.withColumn("_plain", F.col("_s.plain"))
     at = F.instr("_far", F.col("_plain"))
     glossed = (at > 0) & (F.instr(F.substring("_far", at + F.length("_plain"), F.length("_far")), F.lit("[")) > 0)
     dropped = ~F.col("_en").contains(F.col("_plain"))

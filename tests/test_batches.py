@@ -32,6 +32,17 @@ def test_folding_in_pieces():
     assert pd.concat(got).tolist() == [P.folded(t) for t in TEXTS] and P.folded("A&b_C 1") == ["a", "and", "b", "c", "1"]
 
 
+def test_accents_in_pieces():
+    got = parts_of(P.strip_accents.func(iter([pd.Series([t and t + "\u00e9" for t in TEXTS])])), lambda s: sum(len(x or "") for x in s))
+    assert pd.concat(got).tolist() == [t and t + "e" for t in TEXTS]
+
+
+def test_english_is_folded_once_before_windows(spark, small):
+    """greek_validator: Python runs below the windows that repeat each text."""
+    plan = Q.greek_validator(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Window [collect_list") < plan.index("ArrowEvalPython")
+
+
 def seconds(df):
     df.count()
     began = time.time()
