@@ -7,15 +7,17 @@ text silences the rule. Names with a settled form, titles that must be set off,
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources import readers
+from ..workspace import pieces
 
 #: Characters shown on both sides of a match, and of a malformed row.
 REACH, ROW_SHOWN = 24, 60
@@ -92,22 +94,29 @@ def findings(rows: DataFrame, keys: list[str], text: str, rules: list[Rule] = RU
     the matches, so each batch of texts goes through Python's matcher once, whatever the number of rules.
     """
     keyed = rows.select(*keys, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_t"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields[: len(keys)])
+    return keyed.mapInArrow(_finding(keys, rules), f"{kinds}, rule string, start int, end int, snippet string, note string")
+
+
+def _finding(keys: list[str], rules: list[Rule]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of (keys, text): :func:`findings`, a batch for each piece of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = [(r, re.compile(r.pattern), re.compile(r.unless) if r.unless else None) for r in rules]
-        for b in batches:
-            at, found = [], []
-            for i, t in enumerate(b.column(len(keys)).to_pylist()):
-                new = list(matches(t, compiled))
-                found += new
-                at += [i] * len(new)
-            names, starts, ends, snippets, notes = zip(*found, strict=True) if found else ((),) * 5
-            where = pa.array(at, pa.int32())
-            cols = [*(b.column(k).take(where) for k in range(len(keys))), pa.array(names, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(snippets, pa.string()), pa.array(notes, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*keys, "rule", "start", "end", "snippet", "note"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields[: len(keys)])
-    return keyed.mapInArrow(run, f"{kinds}, rule string, start int, end int, snippet string, note string")
+        for whole in batches:
+            for p in pieces(pc.binary_length(whole.column(len(keys))).to_numpy(zero_copy_only=False)):
+                b = whole.slice(p.start, p.stop - p.start)
+                at, found = [], []
+                for i, t in enumerate(b.column(len(keys)).to_pylist()):
+                    new = list(matches(t, compiled))
+                    found += new
+                    at += [i] * len(new)
+                names, starts, ends, snippets, notes = zip(*found, strict=True) if found else ((),) * 5
+                where = pa.array(at, pa.int32())
+                cols = [*(b.column(k).take(where) for k in range(len(keys))), pa.array(names, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(snippets, pa.string()), pa.array(notes, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, names=[*keys, "rule", "start", "end", "snippet", "note"])
+
+    return run
 
 
 def run_findings(spark: SparkSession, path: str, schema: StructType, key: str, text: Column, rules: list[Rule] = RULES) -> DataFrame:

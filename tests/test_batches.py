@@ -37,6 +37,14 @@ def test_accents_in_pieces():
     assert pd.concat(got).tolist() == [t and t + "e" for t in TEXTS]
 
 
+def test_rules_in_pieces():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(TEXTS))), pa.array([t or "" for t in TEXTS])], names=["k", "t"])
+    got = parts_of(rules._finding(["k"], rules.RULES)(iter([batch])), lambda b: b.num_rows)
+    compiled = [(r, rules.re.compile(r.pattern), rules.re.compile(r.unless) if r.unless else None) for r in rules.RULES]
+    want = [(k, *f) for k, t in enumerate(TEXTS) for f in rules.matches(t or "", compiled)]
+    assert [tuple(r.values()) for b in got for r in b.to_pylist()] == want
+
+
 def test_images_in_pieces():
     images = pd.DataFrame({"path": range(len(TEXTS)), "content": [t if t is None else t.encode() for t in TEXTS]})
     got = parts_of(ocr._reading(lambda image: (image.decode(), 1.0, 1.0, None))(iter([images])), lambda b: sum(len(t or "") for t in b["text"]))
