@@ -71,3 +71,12 @@ def test_sentence_patterns_look_behind_at_blanks_only(spark):
     cut = seconds(rows.where(F.size(P.split_sentences(F.col("t"))) > 1))
     assert cut < 10 * seconds(rows.where(F.size(F.split("t", r"(?iU)(?<=[.!?])\s+")) > 1)) + 0.5
     assert rows.select(F.size(P.split_sentences(F.col("t")))).first()[0] == 20000
+
+
+def test_clause_patterns_run_over_clauses(spark):
+    """clause_tokens: no pattern a word, and the words are cut once, not once for a filter and again for the result."""
+    rows = spark.createDataFrame([(1, "a.5.Annoque que quisque \U0001d4b3aque XIV vi, . x\u0159ab")], "p int, t string")
+    got = mining.latin_clauses(rows, "p", "t")
+    assert [(r.pos, r.surfaces) for r in got.orderBy("pos").collect()] == [(2, ["Anno", "que", "que", "quisque", "que", "vi"]), (4, ["xab"])]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "m{0,4}" in plan and "RLIKE" not in plan
