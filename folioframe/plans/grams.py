@@ -1,9 +1,11 @@
 """Frequent n-grams level by level: an n-gram is looked at only where both its (n-1)-grams are frequent.
 
 Clauses are stored once with their words' hashes. A level's pass reads the hashes alone, makes the hash of each n-gram whose two
-parts the last level's filter admits, and counts hashes in the task before Spark sums them. What is frequent becomes the next
-filter: bits addressed by a hash's first digits, built in slices by Spark and of bounded size, so that a filter that is too small
-admits more and loses nothing. The last pass writes out the words of what is left, and counts those exactly.
+parts the last level's filter admits, and counts hashes in the task before Spark sums them: by their first ``ADDRESS`` digits, sorted,
+as differences of four bytes of which two are nearly always 0, so that the shuffle moves a few bytes an n-gram. What is frequent
+becomes the next filter: bits addressed by a hash's first digits, built in slices by Spark and of bounded size. A short address or a
+filter that is too small admits more and loses nothing. The last pass writes out the words of what is left, once a block of many pages
+where it can, and Spark counts those exactly.
 """
 
 from __future__ import annotations
@@ -12,13 +14,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import spread, stored
 
-#: Bits of a filter: at least, a frequent gram, and at most (32 MB); slices that build it; hashes that a task holds before it counts.
-LEAST_BITS, BITS_A_GRAM, MOST_BITS, SLICES, HELD = 16, 16, 28, 64, 1 << 20
+#: Bits of a filter: at least, a frequent gram, and at most (32 MB).
+LEAST_BITS, BITS_A_GRAM, MOST_BITS = 16, 16, 28
+#: Digits by which hashes are counted, and the first of them that name a slice; hashes or words that a task holds before it counts.
+ADDRESS, SLICE, HELD = 36, 10, 1 << 21
+#: Addresses of a slice that are held one by one; beyond, a slice has a counter for each that may be.
+SPARSE = 1 << 22
 _U = np.uint64
 
 
@@ -53,15 +60,24 @@ def _hashes(words: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
+def _packed(hashes: list[np.ndarray]) -> pa.RecordBatch:
+    """(slice, packed): the addresses of hashes and how often each comes, a row a slice."""
+    at, c = np.unique(np.concatenate(hashes) >> _U(64 - ADDRESS), return_counts=True)
+    low = (at & _U((1 << (ADDRESS - SLICE)) - 1)).astype(np.int64)
+    ends = np.searchsorted(at, np.arange(1, (1 << SLICE) + 1, dtype=_U) << _U(ADDRESS - SLICE))
+    c, slices, rows, begin = np.minimum(c, 65535).astype(np.uint16), [], [], 0
+    for s, end in enumerate(ends.tolist()):
+        if end > begin:
+            step = np.diff(low[begin:end], prepend=0)
+            slices.append(s)
+            rows.append(b"".join(x.astype(np.uint16).tobytes() for x in (step & 65535, step >> 16, c[begin:end])))
+        begin = end
+    return pa.RecordBatch.from_arrays([pa.array(slices, pa.int32()), pa.array(rows, pa.binary())], names=["slice", "packed"])
+
+
 def _counting(n: int, admitted: Filter | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-
-        def counted() -> pa.RecordBatch:
-            h, c = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["h", "c"])
-
         for b in batches:
             words, end, _ = _flat(b.column(0))
             h = _hashes(words, n)
@@ -72,104 +88,206 @@ def _counting(n: int, admitted: Filter | None):
             held.append(h[good])
             size += len(held[-1])
             if size > HELD:
-                yield counted()
-                size = 0
-        if held:
-            yield counted()
+                yield _packed(held)
+                held, size = [], 0
+        if size:
+            yield _packed(held)
 
     return run
 
 
-def _slices(power: int):
-    each = power - SLICES.bit_length() + 1
+def _given(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        if b.num_rows:
+            yield _packed([b.column(0).to_numpy().view(_U)])
+
+
+def _merging(min_count: int):
+    """Of packed rows in order of their slices: (slice, n, low), the addresses that come ``min_count`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, np.ndarray] = {}
+        now, held, size, dense = -1, [], 0, None
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            low, place = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            return low, np.bincount(place, np.concatenate([c for _, c in held]), len(low)).astype(np.int64)
+
+        def row() -> pa.RecordBatch:
+            low = np.flatnonzero(dense >= min_count) if dense is not None else np.compress(*(lambda low, c: (c >= min_count, low))(*summed()))
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([len(low)], pa.int64()), pa.array([low.astype(np.uint32).tobytes()], pa.binary())], names=["slice", "n", "low"])
+
         for b in batches:
-            at = b.column(0).to_numpy().view(_U) >> _U(64 - power)
-            for s in np.unique(at >> _U(each)).tolist():
-                bits = found.setdefault(s, np.zeros(1 << each, bool))
-                bits[(at[at >> _U(each) == s] & _U((1 << each) - 1)).astype(np.int64)] = True
-        for s, bits in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["slice", "bits"])
+            for s, packed in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if s != now:
+                    if now >= 0:
+                        yield row()
+                    now, held, size, dense = s, [], 0, None
+                few, many, c = np.frombuffer(packed.as_buffer(), np.uint16).reshape(3, -1).astype(np.int64)
+                low = np.cumsum(few + (many << 16))
+                if dense is not None:
+                    dense[low] = np.minimum(dense[low] + c, 65535)
+                    continue
+                held.append((low, c))
+                size += len(low)
+                if size > SPARSE:
+                    held = [summed()]
+                    size = len(held[0][0])
+                    if size > SPARSE // 2:
+                        dense = np.zeros(1 << (ADDRESS - SLICE), np.uint16)
+                        dense[held[0][0]] = np.minimum(held[0][1], 65535)
+                        held = []
+        if now >= 0:
+            yield row()
 
     return run
 
 
-def filter_of(frequent: DataFrame) -> Filter | None:
-    """The filter of a table's hashes ``h``; None if it is empty. At most ``SLICES`` pieces reach the driver."""
-    n = frequent.count()
+def _merged(packed: DataFrame, min_count: int) -> DataFrame:
+    """(slice, n, low) of packed rows, stored."""
+    x = packed.repartition("slice").sortWithinPartitions("slice").mapInArrow(_merging(min(min_count, 65535)), "slice int, n long, low binary")
+    return stored(x, "grams")
+
+
+def _bits(power: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s, low in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                at = (np.frombuffer(low.as_buffer(), np.uint32).astype(np.int64) + (s << (ADDRESS - SLICE))) >> (ADDRESS - power)
+                if len(at):
+                    first = int(at[0]) >> 3
+                    bits = np.zeros(8 * ((int(at[-1]) >> 3) - first + 1), bool)
+                    bits[at - 8 * first] = True
+                    yield pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["first", "bits"])
+
+    return run
+
+
+def _filter(merged: DataFrame) -> Filter | None:
+    n = merged.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if not n:
         return None
     power = min(MOST_BITS, max(LEAST_BITS, (BITS_A_GRAM * n - 1).bit_length()))
-    each = power - SLICES.bit_length() + 1
-    where = F.shiftrightunsigned("h", 64 - power + each)
-    pieces = frequent.select("h").repartition(SLICES, where).mapInArrow(_slices(power), "slice int, bits binary")
     bits = np.zeros(1 << (power - 3), np.uint8)
-    for r in pieces.collect():
+    for r in merged.select("slice", "low").mapInArrow(_bits(power), "first long, bits binary").toLocalIterator():
         piece = np.frombuffer(r.bits, np.uint8)
-        bits[r.slice * len(piece) : (r.slice + 1) * len(piece)] |= piece
+        bits[r.first : r.first + len(piece)] |= piece
     return Filter(power, bits)
 
 
-def _writing(filters: dict[int, Filter]):
-    """Of (page, pos, surfaces, tokens, good, hashes): (phrase, n, page, c, pos, at, example) of what the filters admit, once a batch, page and phrase."""
+def filter_of(frequent: DataFrame) -> Filter | None:
+    """The filter of a table's hashes ``h``; None if it is empty. A slice's piece of the filter reaches the driver at a time."""
+    return _filter(_merged(frequent.select("h").mapInArrow(_given, "slice int, packed binary"), 1))
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (page's hash, words): the hashes of pages, once a run of rows, twice if the run is of more than ``HELD`` words."""
+    last, words = None, 0
+    for b in batches:
+        h, n = b.column(0).to_numpy(), b.column(1).to_numpy()
+        begins = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.array([], np.int64)
+        out = []
+        for at, size in zip(begins.tolist(), np.add.reduceat(n, begins).tolist() if len(h) else [], strict=True):
+            new = last is None or h[at] != last
+            before = 0 if new else words
+            last, words = h[at], before + size
+            out += [last] * (int(new) + int(before <= HELD < words))
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["h"])
+
+
+def _writing(filters: dict[int, Filter], apart: Filter | None, shown: bool):
+    """Of (page, pos, tokens, good, hashes, page's hash, surfaces if shown): (phrase, n, apart, page, c, pages, pos, at, example) of what
+    the filters admit, once a block of pages and phrase. Pages of ``apart``, whose rows may come elsewhere too, have rows of their own.
+    """
+
+    def block(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held)
+        code = t.column("page").combine_chunks().dictionary_encode(null_encoding="encode")
+        rank = np.empty(len(code.dictionary), np.int64)
+        rank[pc.sort_indices(code.dictionary, null_placement="at_start").to_numpy()] = np.arange(len(rank))
+        pages = rank[code.indices.to_numpy(zero_copy_only=False)]
+        order = np.lexsort((t.column("pos").to_numpy(), pages))
+        t, pages = t.take(pa.array(order)).combine_chunks(), pages[order]
+        one = lambda name: t.column(name).combine_chunks()
+        words, end, first = _flat(one("hashes"))
+        good, tokens = one("good").flatten().to_numpy(zero_copy_only=False).astype(bool), one("tokens").flatten()
+        surfaces = one("surfaces").flatten() if shown else None
+        alone = apart(one("page_hash").to_numpy().view(_U)) if apart else np.zeros(len(pages), bool)
+        clause = np.repeat(np.arange(t.num_rows), np.diff(first))
+        for n, admits in filters.items():
+            h = _hashes(words, n)
+            size = len(h)
+            if not size:
+                continue
+            at = np.flatnonzero((np.arange(size) + n <= end[:size]) & good[:size] & good[n - 1 : n - 1 + size] & admits(h))
+            if not len(at):
+                continue
+            at = at[np.argsort(h[at], kind="stable")]
+            of = clause[at]
+            moved = pages[of][1:] != pages[of][:-1]
+            new = moved & (alone[of][1:] | alone[of][:-1])
+            for k in range(n):
+                new |= words[at + k][1:] != words[at + k][:-1]
+            begins = np.flatnonzero(np.r_[True, new])
+            count, spread_over = np.diff(np.r_[begins, len(at)]), np.add.reduceat(np.r_[True, moved | new], begins)
+            at, of = at[begins], of[begins]
+            text = lambda x: pc.binary_join_element_wise(*[x.take(pa.array(at + k)) for k in range(n)], " ")  # noqa: B023, E731
+            phrase = text(tokens)
+            cols = [phrase, pa.array(np.full(len(at), n, np.int32)), pa.array(alone[of]), one("page").take(pa.array(of)), pa.array(count), pa.array(spread_over.astype(np.int64)), one("pos").take(pa.array(of)), pa.array((at - first[of]).astype(np.int32)), text(surfaces) if shown else pa.nulls(len(at), pa.string())]
+            # In order of the phrases, so that neighbours begin alike and compress.
+            found = pa.RecordBatch.from_arrays(cols, names=["phrase", "n", "apart", "page", "c", "pages", "pos", "at", "example"]).take(pc.sort_indices(phrase))
+            for i in range(0, found.num_rows, 100_000):
+                yield found.slice(i, 100_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for b in batches:
-            words, end, first = _flat(b.column(5))
-            good = b.column(4).flatten().to_numpy(zero_copy_only=False).astype(bool)
-            page, pos = b.column(0).to_pylist(), b.column(1).to_pylist()
-            clause = np.repeat(np.arange(b.num_rows), np.diff(first))
-            surfaces, tokens = b.column(2).flatten().to_pylist(), b.column(3).flatten().to_pylist()
-            found: dict[tuple, list] = {}
-            for n, admits in filters.items():
-                h = _hashes(words, n)
-                size = len(h)
-                if not size:
-                    continue
-                at = np.flatnonzero((np.arange(size) + n <= end[:size]) & good[:size] & good[n - 1 : n - 1 + size] & admits(h))
-                for i, c in zip(at.tolist(), clause[at].tolist(), strict=True):
-                    phrase = " ".join(tokens[i : i + n])
-                    where = (pos[c], i - int(first[c]))
-                    got = found.get((page[c], phrase))
-                    if got is None:
-                        found[page[c], phrase] = [n, 1, *where, " ".join(surfaces[i : i + n])]
-                    else:
-                        got[1] += 1
-                        if where < (got[2], got[3]):
-                            got[2:] = [*where, " ".join(surfaces[i : i + n])]
-            if found:
-                pages, phrases = zip(*found, strict=True)
-                n, c, p, at, example = zip(*found.values(), strict=True)
-                cols = [pa.array(phrases, pa.string()), pa.array(n, pa.int32()), pa.array(pages, b.schema.field(0).type), pa.array(c, pa.int64()), pa.array(p, pa.int32()), pa.array(at, pa.int32()), pa.array(example, pa.string())]
-                yield pa.RecordBatch.from_arrays(cols, names=["phrase", "n", "page", "c", "pos", "at", "example"])
+            b = b.rename_columns(["page", *b.schema.names[1:]])
+            h = b.column("page_hash").to_numpy()
+            # A block ends where a page does, or within one that stands apart.
+            cuts = np.flatnonzero(np.r_[False, (h[1:] != h[:-1]) | (apart(h[1:].view(_U)) if apart else False)]) if len(h) else []
+            last = held[-1].column("page_hash")[-1].as_py() if held else None
+            if size > HELD and (h[0] != last or len(cuts)):
+                at = 0 if h[0] != last else int(cuts[0])
+                if at:
+                    held.append(b.slice(0, at))
+                yield from block(held)
+                held, size, b = [], 0, b.slice(at)
+            if b.num_rows:
+                held.append(b)
+                size += pc.sum(pc.list_value_length(b.column("hashes"))).as_py()
+        if held:
+            yield from block(held)
 
     return run
 
 
 def prepared(clauses: DataFrame, page: str, stopwords: list[str]) -> DataFrame:
-    """Clauses (page, pos, surfaces, tokens) stored with ``good``, which words are no stopwords, and ``hashes``; null and empty clauses are left out."""
-    x = spread(clauses.where(F.size("tokens") > 0)).select(page, F.col("pos").cast("int").alias("pos"), "surfaces", "tokens")
-    return stored(x.withColumns({"good": F.transform("tokens", lambda w: ~w.isin(*stopwords)), "hashes": F.transform("tokens", lambda w: F.xxhash64(w))}), "clauses")
+    """Clauses (page, pos, tokens, surfaces if there are any) stored with ``good``, which words are no stopwords, ``hashes``, and the page's; null and empty clauses are left out."""
+    shown = ["surfaces"] if "surfaces" in clauses.columns else []
+    x = spread(clauses.where(F.size("tokens") > 0)).select(page, F.col("pos").cast("int").alias("pos"), "tokens", *shown)
+    return stored(x.withColumns({"good": F.transform("tokens", lambda w: ~w.isin(*stopwords)), "hashes": F.transform("tokens", lambda w: F.xxhash64(w)), "page_hash": F.xxhash64(page)}), "clauses")
 
 
 def frequent_grams(x: DataFrame, least: int = 2, most: int = 6, min_count: int = 3) -> DataFrame:
-    """(phrase, n, count, pages, example) of :func:`prepared` clauses: n-grams seen ``min_count`` times, no stopword at their ends.
+    """(phrase, n, count, pages, and example if there are surfaces) of :func:`prepared` clauses: n-grams seen ``min_count`` times, no stopword at their ends.
 
     ``example`` is the first occurrence as written, by page, clause and place.
     """
     sc, filters, admitted, page = x.sparkSession.sparkContext, {}, None, x.columns[0]
     for n in range(1, most + 1):
-        counted = x.select("hashes").mapInArrow(_counting(n, admitted), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-        admitted = filter_of(stored(counted.where(F.col("c") >= min_count).select("h"), f"grams-{n}"))
+        admitted = _filter(_merged(x.select("hashes").mapInArrow(_counting(n, admitted), "slice int, packed binary"), min_count))
         if admitted is None:
             break
         if n >= least:
             filters[n] = admitted
+    # Pages whose rows don't stand together, or fill more than a block: few, unless rows were dealt out.
+    runs = x.select("page_hash", F.size("tokens").alias("n")).mapInArrow(_runs, "h long").groupBy("h").count().where("count > 1")
+    apart, shown = filter_of(runs), "surfaces" in x.columns
     kind = x.schema[page].dataType.simpleString()
-    shared = sc.broadcast(filters)  # at most 2^28 bits a level
-    written = x.mapInArrow(lambda batches: _writing(shared.value)(batches), f"phrase string, n int, page {kind}, c long, pos int, at int, example string")
-    per_page = written.groupBy("phrase", "n", "page").agg(F.sum("c").alias("c"), F.min(F.struct("pos", "at", "example")).alias("e"))
-    counted = per_page.groupBy("phrase", "n").agg(F.sum("c").alias("count"), F.count("*").alias("pages"), F.min(F.struct("page", "e")).alias("e"))
-    return counted.where(F.col("count") >= min_count).select("phrase", "n", "count", "pages", F.col("e.e.example").alias("example"))
+    shared = sc.broadcast((filters, apart))  # at most 2^28 bits a level
+    columns = [page, "pos", "tokens", "good", "hashes", "page_hash", *(["surfaces"] if shown else [])]
+    written = x.select(*columns).mapInArrow(lambda batches: _writing(*shared.value, shown)(batches), f"phrase string, n int, apart boolean, page {kind}, c long, pages long, pos int, at int, example string")
+    own = F.when(F.col("apart"), F.col("page"))
+    each = written.repartition("phrase", "n").groupBy("phrase", "n", "apart", own.alias("own")).agg(F.sum("c").alias("c"), F.when(F.col("apart"), 1).otherwise(F.sum("pages")).alias("pages"), *([F.min(F.struct("page", "pos", "at", "example")).alias("e")] if shown else []))
+    counted = each.groupBy("phrase", "n").agg(F.sum("c").alias("count"), F.sum("pages").alias("pages"), *([F.min("e").alias("e")] if shown else []))
+    return counted.where(F.col("count") >= min_count).select("phrase", "n", "count", "pages", *([F.col("e.example").alias("example")] if shown else []))
