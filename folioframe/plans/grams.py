@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import spread, stored
+from ..workspace import pieces, spread, stored
 
 #: Bits of a filter: at least, a frequent gram, and at most (32 MB).
 LEAST_BITS, BITS_A_GRAM, MOST_BITS = 16, 16, 28
@@ -45,6 +45,13 @@ class Filter:
         return (self.bits[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & np.uint8(1) != 0
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], lists: str) -> Iterator[pa.RecordBatch]:
+    """Batches of long texts in pieces, by the words that the column ``lists`` holds."""
+    for b in batches:
+        for p in pieces(pc.list_value_length(b.column(lists)).to_numpy(zero_copy_only=False)):
+            yield b.slice(p.start, p.stop - p.start)
+
+
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All words' hashes of a batch, where each word's clause ends, and each clause's first place."""
     offsets = lists.offsets.to_numpy().astype(np.int64)
@@ -78,7 +85,7 @@ def _packed(hashes: list[np.ndarray]) -> pa.RecordBatch:
 def _counting(n: int, admitted: Filter | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for b in batches:
+        for b in _pieces(batches, "hashes"):
             words, end, _ = _flat(b.column(0))
             h = _hashes(words, n)
             good = np.arange(len(h)) + n <= end[: len(h)]
@@ -291,3 +298,89 @@ def frequent_grams(x: DataFrame, least: int = 2, most: int = 6, min_count: int =
     each = written.repartition("phrase", "n").groupBy("phrase", "n", "apart", own.alias("own")).agg(F.sum("c").alias("c"), F.when(F.col("apart"), 1).otherwise(F.sum("pages")).alias("pages"), *([F.min(F.struct("page", "pos", "at", "example")).alias("e")] if shown else []))
     counted = each.groupBy("phrase", "n").agg(F.sum("c").alias("count"), F.sum("pages").alias("pages"), *([F.min("e").alias("e")] if shown else []))
     return counted.where(F.col("count") >= min_count).select("phrase", "n", "count", "pages", *([F.col("e.example").alias("example")] if shown else []))
+
+
+def _alone(filters: dict[int, Filter | None]):
+    """Of (tokens, hashes): (phrase, count) of triples that no filter admits, and of such pairs that are a whole text: each comes once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _pieces(batches, "hashes"):
+            words, end, first = _flat(b.column(1))
+            tokens, places = b.column(0).flatten(), np.arange(len(words))
+            whole = np.zeros(len(words), bool)
+            whole[first[:-1][np.diff(first) == 2]] = True
+            for n, admits in filters.items():
+                h = _hashes(words, n)
+                size = len(h)
+                good = (places[:size] + n <= end[:size]) & (whole[:size] if n == 2 else True)
+                at = np.flatnonzero(good & ~admits(h) if admits else good) if size else places[:0]
+                phrase = pc.binary_join_element_wise(*[tokens.take(pa.array(at + k)) for k in range(n)], " ")
+                yield pa.RecordBatch.from_arrays([phrase, pa.array(np.ones(len(at), np.int64))], names=["phrase", "count"])
+
+    return run
+
+
+def _repeated(filters: dict[int, Filter | None]):
+    """Of (tokens, hashes): (phrase, n, c, left_low, left_high, right_low, right_high) of what filters admit, once a block of texts.
+
+    The last four are the least and greatest hashes of a pair's neighbours, apart where one has none, and 0 for triples.
+    """
+    none = np.iinfo(np.int64)
+
+    def block(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held).combine_chunks()
+        words, end, first = _flat(t.column("hashes").combine_chunks())
+        tokens, number = t.column("tokens").combine_chunks().flatten(), words.view(np.int64)
+        begin = np.repeat(first[:-1], np.diff(first))
+        for n, admits in filters.items():
+            h = _hashes(words, n)
+            size = len(h)
+            at = np.flatnonzero((np.arange(size) + n <= end[:size]) & admits(h)) if admits and size else words[:0]
+            if not len(at):
+                continue
+            at = at[np.argsort(h[at], kind="stable")]
+            new = np.zeros(len(at) - 1, bool)
+            for k in range(n):
+                new |= words[at + k][1:] != words[at + k][:-1]
+            begins = np.flatnonzero(np.r_[True, new])
+            sides = [np.zeros(len(begins), np.int64)] * 4
+            if n == 2:
+                left, right = number[np.maximum(at - 1, 0)], number[np.minimum(at + 2, len(words) - 1)]
+                has_left, has_right = at > begin[at], at + 2 < end[at]
+                sides = [f.reduceat(np.where(has, x, lost), begins) for x, has in ((left, has_left), (right, has_right)) for f, lost in ((np.minimum, none.min), (np.maximum, none.max))]
+            phrase = pc.binary_join_element_wise(*[tokens.take(pa.array(at[begins] + k)) for k in range(n)], " ")
+            cols = [phrase, pa.array(np.full(len(begins), n, np.int32)), pa.array(np.diff(np.r_[begins, len(at)])), *map(pa.array, sides)]
+            found = pa.RecordBatch.from_arrays(cols, names=["phrase", "n", "c", "left_low", "left_high", "right_low", "right_high"]).take(pc.sort_indices(phrase))
+            for i in range(0, found.num_rows, 100_000):
+                yield found.slice(i, 100_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in _pieces(batches, "hashes"):
+            held.append(b)
+            size += pc.sum(pc.list_value_length(b.column("hashes"))).as_py() or 0
+            if size > HELD // 2:
+                yield from block(held)
+                held, size = [], 0
+        if size:
+            yield from block(held)
+
+    return run
+
+
+def maximal_repeats(texts: DataFrame, tokens: str) -> DataFrame:
+    """(phrase, count) of all triples of words, and of pairs but those that begin or end a triple of equal count.
+
+    A pair is such if all its occurrences have one and the same word (its 64-bit hash) on one side. What comes once, as the addresses
+    of hashes tell, is written out where it stands; the rest alone is shuffled.
+    """
+    x = spread(texts.select(F.col(tokens).alias("tokens")).where(F.size("tokens") > 1))
+    x = stored(x.withColumn("hashes", F.transform("tokens", lambda w: F.xxhash64(w))), "texts")
+    filters = {n: _filter(_merged(x.select("hashes").mapInArrow(_counting(n, None), "slice int, packed binary"), 2)) for n in (2, 3)}
+    shared = x.sparkSession.sparkContext.broadcast(filters)  # at most 2^28 bits each
+    alone = x.mapInArrow(lambda batches: _alone(shared.value)(batches), "phrase string, count long")
+    rows = x.mapInArrow(lambda batches: _repeated(shared.value)(batches), "phrase string, n int, c long, left_low long, left_high long, right_low long, right_high long")
+    ends = [f(k).alias(k) for side in ("left", "right") for f, k in ((F.min, f"{side}_low"), (F.max, f"{side}_high"))]
+    counted = rows.groupBy("phrase", "n").agg(F.sum("c").alias("count"), *ends)
+    kept = counted.where("n = 3 or (left_low <> left_high and right_low <> right_high)")
+    return alone.unionByName(kept.select("phrase", "count"))

@@ -75,3 +75,33 @@ def test_blocks(monkeypatch, dealt):
     assert got == count and lowest == first
     assert {g: len(s) for g, s in seen.items()} == {g: len(s) for g, s in pages.items()}
     assert dealt or len(out) < 0.85 * sum(len(s) for s in pages.values())
+
+
+def test_maximal_repeats(spark):
+    """maximal_repeat_dedup: against counting everything, texts of two words and repeated pairs with one or several neighbours among them."""
+    r = random.Random(6)
+    texts = [" ".join(r.choice("abcdefghijklmnop") * r.randrange(1, 4) for _ in range(r.choice([1, 2, 2, 3, 30]))) for _ in range(120)] + ["only two", "twice met", "twice met", "p q r", "p q r", "", None]
+    count = Counter(" ".join(w[i : i + n]) for w in ((t or "").split() for t in texts) for n in (2, 3) for i in range(len(w) - n + 1))
+    gone = {s for g, c in count.items() if len(w := g.split()) == 3 for s in (" ".join(w[:2]), " ".join(w[1:])) if count[s] == c}
+    df = spark.createDataFrame([(t if t is None else t.split(),) for t in texts], "t array<string>").repartition(3)
+    got = grams.maximal_repeats(df, "t")
+    assert sorted((x.phrase, x["count"]) for x in got.collect()) == sorted((g, c) for g, c in count.items() if g not in gone)
+    assert {"only two", "twice met", "p q r"} <= set(count) - gone and {"p q", "q r"} <= gone
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert grams.maximal_repeats(df.limit(0), "t").count() == 0
+
+
+def test_what_comes_once_is_not_shuffled():
+    words = [f"w{i}" for i in range(3000)]
+    tokens, numbers = [*words, "w1", "w2", "w3"], [*range(3000), 1, 2, 3]
+    batch = pa.RecordBatch.from_arrays([pa.array([tokens]), pa.array([numbers], pa.list_(pa.int64()))], names=["tokens", "hashes"])
+    known = np.array(numbers, np.int64).view(np.uint64)
+
+    def filters(n):
+        h, c = np.unique(grams._hashes(known, n), return_counts=True)
+        return lambda x: np.isin(x, h[c > 1])
+
+    by = {n: filters(n) for n in (2, 3)}
+    out = [x for b in grams._repeated(by)(iter([batch])) for x in b.to_pylist()]
+    assert sorted((x["phrase"], x["c"]) for x in out) == [("w1 w2", 2), ("w1 w2 w3", 2), ("w2 w3", 2)]
+    assert sum(b.num_rows for b in grams._alone(by)(iter([batch]))) == 3001 - 2
