@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import spread, stored
-from . import mining
+from ..workspace import stored
+from . import grams, mining
 
 #: Capitalised abbreviations of citations, which are no names.
 ABBREVIATIONS = "ms mss jo io st cap lib pag tom ib ibid vid edit epist hist chron cod fol num seq ann".split()
@@ -51,7 +51,7 @@ def review_candidates(clause: DataFrame, page: str, stopwords: list[str], min_co
 
     ``clause`` is (page, pos, surfaces, tokens). A concept's pages are those of its most widespread form. Rank is by total, then term.
     """
-    clause = stored(spread(clause), "candidate-clauses")
+    clause = grams.prepared(clause, page, stopwords)
     words = stored(word_rows(clause, page), "candidate-words")
     phrases = mining.phrase_table(clause, page, stopwords, min_count=min_count)
     each = phrases.select("phrase", F.explode(F.split("phrase", " ")).alias("word")).join(words.select("word", "proper"), "word")

@@ -105,3 +105,16 @@ def test_what_comes_once_is_not_shuffled():
     out = [x for b in grams._repeated(by)(iter([batch])) for x in b.to_pylist()]
     assert sorted((x["phrase"], x["c"]) for x in out) == [("w1 w2", 2), ("w1 w2 w3", 2), ("w2 w3", 2)]
     assert sum(b.num_rows for b in grams._alone(by)(iter([batch]))) == 3001 - 2
+
+
+def test_clauses_are_stored_once(spark, monkeypatch):
+    """review_candidates: words and phrases read the same stored clauses."""
+    from folioframe.plans import candidates, mining
+
+    names = []
+    for m in (candidates, mining, grams):
+        monkeypatch.setattr(m, "stored", lambda df, name, put=m.stored: names.append((name, "surfaces" in df.columns)) or put(df, name))
+    rows = spark.createDataFrame([(p, "The Red Fox, a Red Fox; the Red Fox ran") for p in range(4)], "p int, t string")
+    got = candidates.review_candidates(mining.surface_clauses(rows, "p", "t"), "p", ["the"])
+    assert sum(clauses for _, clauses in names) == 1
+    assert ("red fox", 12, 4) in {(r.term, r.total, r.pages) for r in got.collect()}
