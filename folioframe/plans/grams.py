@@ -300,30 +300,152 @@ def frequent_grams(x: DataFrame, least: int = 2, most: int = 6, min_count: int =
     return counted.where(F.col("count") >= min_count).select("phrase", "n", "count", "pages", *([F.col("e.example").alias("example")] if shown else []))
 
 
+def _reach(filters: dict[int, Filter | None], words: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Words of the longest n-gram from each place on that its filter admits, as all shorter ones there are; 1 where no pair is."""
+    places, reach = np.arange(len(words)), np.ones(len(words), np.int8)
+    good = np.ones(len(words), bool)
+    for n, admits in filters.items():
+        h = _hashes(words, n)
+        size = len(h)
+        if not admits or not size:
+            break
+        good = good[:size] & (places[:size] + n <= end[:size]) & admits(h)
+        reach[:size][good] = n
+    return reach
+
+
 def _alone(filters: dict[int, Filter | None]):
-    """Of (tokens, hashes): (phrase, count) of triples that no filter admits, and of such pairs that are a whole text: each comes once."""
+    """Of (tokens, hashes): (phrase, count) of the longest n-grams that come once, as no filter admits them, and of such shorter ones that are a whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _pieces(batches, "hashes"):
             words, end, first = _flat(b.column(1))
-            tokens, places = b.column(0).flatten(), np.arange(len(words))
-            whole = np.zeros(len(words), bool)
-            whole[first[:-1][np.diff(first) == 2]] = True
-            for n, admits in filters.items():
-                h = _hashes(words, n)
-                size = len(h)
-                good = (places[:size] + n <= end[:size]) & (whole[:size] if n == 2 else True)
-                at = np.flatnonzero(good & ~admits(h) if admits else good) if size else places[:0]
+            tokens, places, most = b.column(0).flatten(), np.arange(len(words)), max(filters)
+            reach, begin = _reach(filters, words, end), np.repeat(first[:-1], np.diff(first))
+            for n in filters:
+                at = np.flatnonzero((reach < n) & ((places + n <= end) if n == most else (places == begin) & (places + n == end)))
                 phrase = pc.binary_join_element_wise(*[tokens.take(pa.array(at + k)) for k in range(n)], " ")
                 yield pa.RecordBatch.from_arrays([phrase, pa.array(np.ones(len(at), np.int64))], names=["phrase", "count"])
 
     return run
 
 
+def _windows(filters: dict[int, Filter | None]):
+    """Of (tokens, hashes): (slice, packed), once a block of texts and slice: the longest admitted n-gram from each place on, in order.
+
+    Beside each stand how often it comes, the word before it, if the triple with that word is admitted, and whether it is a whole text.
+    All n-grams that begin with the same pair are in one slice.
+    """
+
+    def block(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held).combine_chunks()
+        words, end, first = _flat(t.column("hashes").combine_chunks())
+        tokens = t.column("tokens").combine_chunks().flatten()
+        reach, begin = _reach(filters, words, end), np.repeat(first[:-1], np.diff(first))
+        pair, found = _hashes(words, 2) >> _U(64 - SLICE), []
+        for n in filters:
+            at = np.flatnonzero(reach == n)
+            if not len(at):
+                continue
+            before = np.where((at > begin[at]) & (reach[np.maximum(at - 1, 0)] > 2), at - 1, -1)
+            cols = {
+                "slice": pa.array(pair[at].astype(np.int32)),
+                "window": pc.binary_join_element_wise(*[tokens.take(pa.array(at + k)) for k in range(n)], " "),
+                "left": tokens.take(pa.array(before, mask=before < 0)),
+                "whole": pa.array((at == begin[at]) & (at + n == end[at])),
+            }
+            found.append(pa.table(cols).group_by(list(cols)).aggregate([([], "count_all")]))
+        if not found:
+            return
+        t = pa.concat_tables(found)
+        t = t.take(pc.sort_indices(t, [("slice", "ascending"), ("window", "ascending"), ("left", "ascending")])).combine_chunks()
+        s = t.column("slice").to_numpy()
+        cuts = [0, *(np.flatnonzero(s[1:] != s[:-1]) + 1).tolist(), len(s)]
+        rows = [_shut(t.slice(i, k - i).drop_columns("slice")) for i, k in zip(cuts, cuts[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([pa.array(s[cuts[:-1]], pa.int32()), pa.array(rows, pa.binary())], names=["slice", "packed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in _pieces(batches, "hashes"):
+            held.append(b)
+            size += pc.sum(pc.list_value_length(b.column("hashes"))).as_py() or 0
+            if size > HELD // 2:
+                yield from block(held)
+                held, size = [], 0
+        if size:
+            yield from block(held)
+
+    return run
+
+
+def _shut(t: pa.Table) -> bytes:
+    """A table as compressed bytes."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(t)
+    return sink.getvalue().to_pybytes()
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The tables of each slice, of packed rows in order of their slices, as one."""
+    now, held = None, []
+    for b in batches:
+        for s, packed in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            if held and s != now:
+                yield pa.concat_tables(held).combine_chunks()
+                held = []
+            now = s
+            held.append(pa.ipc.open_stream(packed.as_buffer()).read_all())
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
+
+
+def _maximal(most: int):
+    """Of packed windows: (phrase, count) of the n-grams that no longer one of equal count, of ``most`` words at most, begins or ends with.
+
+    In order of their words the windows that begin with an n-gram stand together. One that comes twice or more goes if the windows
+    go on with one word only, or if the same word is before all of them; one that comes once stays if it is longest or a whole text.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _slices(batches):
+            split = pc.split_pattern(t.column("window").combine_chunks(), " ")
+            sizes = pc.list_value_length(split).to_numpy()
+            code = split.flatten().dictionary_encode()
+            m = np.full((len(sizes), most), -1, np.int32)
+            m[np.arange(most) < sizes[:, None]] = code.indices.to_numpy()
+            order = np.lexsort(m.T[::-1])
+            m, sizes = m[order], sizes[order]
+            left = t.column("left").combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy()[order]
+            whole, c = t.column("whole").to_numpy()[order], t.column("count_all").to_numpy()[order]
+            new, levels = np.zeros(len(m), bool), []
+            for n in range(1, most + 1):
+                new = new | np.r_[True, m[1:, n - 1] != m[:-1, n - 1]]
+                if n > 1:
+                    levels.append((n, np.flatnonzero(new)))
+            further = None  # of the level above: where its n-grams begin and how often they come
+            for n, begins in reversed(levels):
+                count = np.where(sizes[begins] >= n, np.add.reduceat(c, begins), 0)
+                keep = count > 0
+                if n < most:
+                    at, more = further
+                    longest = np.maximum.reduceat(more, np.searchsorted(at, begins))
+                    low, high = np.minimum.reduceat(left, begins), np.maximum.reduceat(left, begins)
+                    texts = np.maximum.reduceat(whole & (sizes == n), begins)
+                    keep &= np.where(count > 1, (longest < count) & ((low < 0) | (low < high)), texts)
+                further = begins, count
+                first = begins[keep]
+                phrase = pc.binary_join_element_wise(*[code.dictionary.take(pa.array(m[first, k])) for k in range(n)], " ")
+                yield pa.RecordBatch.from_arrays([phrase, pa.array(count[keep])], names=["phrase", "count"])
+
+    return run
+
+
 def _repeated(filters: dict[int, Filter | None]):
     """Of (tokens, hashes): (phrase, n, c, left_low, left_high, right_low, right_high) of what filters admit, once a block of texts.
 
-    The last four are the least and greatest hashes of a pair's neighbours, apart where one has none, and 0 for triples.
+    The last four are the least and greatest hashes of a pair's neighbours, apart where one has none, and 0 for triples. Only its test
+    calls it: :func:`_windows` took its place.
     """
     none = np.iinfo(np.int64)
 
@@ -368,19 +490,21 @@ def _repeated(filters: dict[int, Filter | None]):
     return run
 
 
-def maximal_repeats(texts: DataFrame, tokens: str) -> DataFrame:
-    """(phrase, count) of all triples of words, and of pairs but those that begin or end a triple of equal count.
+def maximal_repeats(texts: DataFrame, tokens: str, most: int = 3) -> DataFrame:
+    """(phrase, count) of all n-grams of two to ``most`` words, but those that begin or end an n-gram of equal count with one word more.
 
-    A pair is such if all its occurrences have one and the same word (its 64-bit hash) on one side. What comes once, as the addresses
-    of hashes tell, is written out where it stands; the rest alone is shuffled.
+    Words hold no blanks. What comes once, as the addresses of hashes tell level by level, is written out where it stands; of the rest
+    the longest n-gram of each place alone is shuffled, and the shorter ones are counted as what it begins with.
     """
     x = spread(texts.select(F.col(tokens).alias("tokens")).where(F.size("tokens") > 1))
     x = stored(x.withColumn("hashes", F.transform("tokens", lambda w: F.xxhash64(w))), "texts")
-    filters = {n: _filter(_merged(x.select("hashes").mapInArrow(_counting(n, None), "slice int, packed binary"), 2)) for n in (2, 3)}
+    filters, admitted = dict.fromkeys(range(2, most + 1)), None
+    for n in filters:
+        filters[n] = admitted = _filter(_merged(x.select("hashes").mapInArrow(_counting(n, admitted), "slice int, packed binary"), 2))
+        if admitted is None:
+            break
     shared = x.sparkSession.sparkContext.broadcast(filters)  # at most 2^28 bits each
     alone = x.mapInArrow(lambda batches: _alone(shared.value)(batches), "phrase string, count long")
-    rows = x.mapInArrow(lambda batches: _repeated(shared.value)(batches), "phrase string, n int, c long, left_low long, left_high long, right_low long, right_high long")
-    ends = [f(k).alias(k) for side in ("left", "right") for f, k in ((F.min, f"{side}_low"), (F.max, f"{side}_high"))]
-    counted = rows.groupBy("phrase", "n").agg(F.sum("c").alias("count"), *ends)
-    kept = counted.where("n = 3 or (left_low <> left_high and right_low <> right_high)")
-    return alone.unionByName(kept.select("phrase", "count"))
+    rows = x.mapInArrow(lambda batches: _windows(shared.value)(batches), "slice int, packed binary")
+    kept = rows.repartition("slice").sortWithinPartitions("slice").mapInArrow(_maximal(most), "phrase string, count long")
+    return alone.unionByName(kept)

@@ -91,6 +91,22 @@ def test_maximal_repeats(spark):
     assert grams.maximal_repeats(df.limit(0), "t").count() == 0
 
 
+@pytest.mark.parametrize("power", [9, 28])
+def test_maximal_repeats_of_up_to_six_words(spark, monkeypatch, power):
+    """maximal_repeat_dedup: two to six words, against counting everything; with filters that admit nearly all what comes once is counted, too."""
+    monkeypatch.setattr(grams, "LEAST_BITS", min(power, 16))
+    monkeypatch.setattr(grams, "MOST_BITS", power)
+    r = random.Random(7)
+    some = [" ".join(r.choice("abcdefgh") * r.randrange(1, 3) for _ in range(r.choice([1, 2, 3, 4, 5, 6, 7, 40]))) for _ in range(150)]
+    texts = [*some, *some[:30], *(x + " end" for x in some[30:50]), "only four words here", "five words come here twice", "five words come here twice", "z " * 50, "", None]
+    count = Counter(" ".join(w[i : i + n]) for w in ((t or "").split() for t in texts) for n in range(2, 7) for i in range(len(w) - n + 1))
+    gone = {s for g, c in count.items() if len(w := g.split()) > 2 for s in (" ".join(w[:-1]), " ".join(w[1:])) if count[s] == c}
+    df = spark.createDataFrame([(t if t is None else t.split(),) for t in texts], "t array<string>").repartition(3)
+    got = grams.maximal_repeats(df, "t", 6).collect()
+    assert sorted((x.phrase, x["count"]) for x in got) == sorted((g, c) for g, c in count.items() if g not in gone)
+    assert {"only four words here", "five words come here twice"} <= set(count) - gone and {len(x.phrase.split()) for x in got} == {2, 3, 4, 5, 6}
+
+
 def test_what_comes_once_is_not_shuffled():
     words = [f"w{i}" for i in range(3000)]
     tokens, numbers = [*words, "w1", "w2", "w3"], [*range(3000), 1, 2, 3]
