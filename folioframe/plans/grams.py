@@ -18,7 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import pieces, spread, stored
+from ..workspace import pieces, spread
+from ..workspace import tightly as stored
 
 #: Bits of a filter: at least, a frequent gram, and at most (32 MB).
 LEAST_BITS, BITS_A_GRAM, MOST_BITS = 16, 16, 28
@@ -381,7 +382,7 @@ def _windows(filters: dict[int, Filter | None]):
 def _shut(t: pa.Table) -> bytes:
     """A table as compressed bytes."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
         out.write_table(t)
     return sink.getvalue().to_pybytes()
 
@@ -496,8 +497,8 @@ def maximal_repeats(texts: DataFrame, tokens: str, most: int = 3) -> DataFrame:
     Words hold no blanks. What comes once, as the addresses of hashes tell level by level, is written out where it stands; of the rest
     the longest n-gram of each place alone is shuffled, and the shorter ones are counted as what it begins with.
     """
-    x = spread(texts.select(F.col(tokens).alias("tokens")).where(F.size("tokens") > 1))
-    x = stored(x.withColumn("hashes", F.transform("tokens", lambda w: F.xxhash64(w))), "texts")
+    x = stored(spread(texts.select(F.col(tokens).alias("tokens")).where(F.size("tokens") > 1)), "texts")
+    x = x.withColumn("hashes", F.transform("tokens", lambda w: F.xxhash64(w)))  # made again when read: stored they take more than the words
     filters, admitted = dict.fromkeys(range(2, most + 1)), None
     for n in filters:
         filters[n] = admitted = _filter(_merged(x.select("hashes").mapInArrow(_counting(n, admitted), "slice int, packed binary"), 2))

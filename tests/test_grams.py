@@ -107,6 +107,26 @@ def test_maximal_repeats_of_up_to_six_words(spark, monkeypatch, power):
     assert {"only four words here", "five words come here twice"} <= set(count) - gone and {len(x.phrase.split()) for x in got} == {2, 3, 4, 5, 6}
 
 
+def test_maximal_repeats_store_and_shuffle_little(spark, monkeypatch):
+    """maximal_repeat_dedup: words alone are stored; a place's longest repeated n-gram alone is shuffled, in few bytes."""
+    stored = []
+    monkeypatch.setattr(grams, "stored", lambda df, name, put=grams.stored: stored.append((name, df.columns)) or put(df, name))
+    grams.maximal_repeats(spark.createDataFrame([(["a", "b", "c"],)] * 3, "t array<string>"), "t", 6)
+    assert [c for name, c in stored if name == "texts"] == [["tokens"]]
+    words = [f"w{i}" for i in range(3000)]
+    known = {2: [1, 2], 3: [1]}
+    batch = pa.RecordBatch.from_arrays([pa.array([[*words, "w1", "w2", "w3"]]), pa.array([[*range(3000), 1, 2, 3]], pa.list_(pa.int64()))], names=["tokens", "hashes"])
+    by = {n: lambda x, n=n: np.isin(x, [grams._hashes(np.arange(i, i + n, dtype=np.uint64), n)[0] for i in known[n]]) for n in known}
+    rows = [r for b in grams._windows(by)(iter([batch])) for t in grams._slices(iter([b])) for r in t.to_pylist()]
+    key = lambda r: r["window"]
+    assert sorted(rows, key=key) == [{"window": "w1 w2 w3", "left": None, "whole": False, "count_all": 2}, {"window": "w2 w3", "left": "w1", "whole": False, "count_all": 2}]
+    r = random.Random(9)
+    text = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(60_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array([[hash(w) for w in text]], pa.list_(pa.int64()))], names=["tokens", "hashes"])
+    packed = sum(len(x.as_py()) for b in grams._windows(dict.fromkeys(range(2, 7), ALL))(iter([batch])) for x in b.column(1))
+    assert packed < 45 * 59_999  # the windows alone are 42 bytes each
+
+
 def test_what_comes_once_is_not_shuffled():
     words = [f"w{i}" for i in range(3000)]
     tokens, numbers = [*words, "w1", "w2", "w3"], [*range(3000), 1, 2, 3]
