@@ -6,10 +6,15 @@ words that are names are added, and terms are clustered and ranked apart.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import stored
+from ..workspace import tightly as stored
 from . import grams, mining
 
 #: Capitalised abbreviations of citations, which are no names.
@@ -29,21 +34,34 @@ def inflection_key(phrase: Column) -> Column:
     return F.array_join(F.transform(F.split(phrase, " "), bare), " ")
 
 
-def word_rows(clause: DataFrame, page: str, least: int = 2, share: float = 0.6) -> DataFrame:
-    """(word, count, pages, proper): a word is a name if inside clauses it is seen ``least`` times, in at least ``share`` of them with a capital."""
-    each = clause.select(page, F.posexplode(F.arrays_zip("surfaces", "tokens")).alias("i", "w")).select(page, "i", F.col("w.surfaces").alias("s"), F.col("w.tokens").alias("word"))
-    inner = F.col("i") > 0
-    # Per word and page first, so that pages are counted without a second copy of every word.
-    per_page = each.groupBy("word", page).agg(F.count("*").alias("c"), F.count_if(inner).alias("seen"), F.count_if(inner & F.col("s").rlike(r"^\p{Lu}")).alias("capital"))
-    out = per_page.groupBy("word").agg(F.sum("c").alias("count"), F.count("*").alias("pages"), F.sum("seen").alias("seen"), F.sum("capital").alias("capital"))
-    return out.select("word", "count", "pages", ((F.col("seen") >= least) & (F.col("capital") >= share * F.col("seen"))).alias("proper"))
+def judged(phrases: DataFrame, names: DataFrame) -> DataFrame:
+    """Phrases with ``proper``, whether all their words are among the ``names``' words; ``maybe`` by a filter first, so that few are joined."""
+    admits = grams.filter_of(names.select(F.xxhash64("word").alias("h")))
+    if admits is None:
+        return phrases.withColumn("proper", F.lit(False))
+    shared = phrases.sparkSession.sparkContext.broadcast(admits)
+
+    def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = b.column(b.num_columns - 1)
+            good = np.r_[0, np.cumsum(shared.value(h.flatten().to_numpy().view(np.uint64)))]
+            ends = np.r_[0, np.cumsum(pc.list_value_length(h).to_numpy())]
+            maybe = good[ends[1:]] - good[ends[:-1]] == np.diff(ends)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(maybe)], names=[*b.schema.names[:-1], "maybe"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in phrases.schema)
+    x = stored(phrases.withColumn("_h", F.transform(F.split("phrase", " "), lambda w: F.xxhash64(w))).mapInArrow(sifted, f"{kinds}, maybe boolean"), "candidate-phrases")
+    each = x.where("maybe").select("phrase", F.explode(F.split("phrase", " ")).alias("word")).join(names.select("word", F.lit(True).alias("one")), "word", "left")
+    proper = each.groupBy("phrase").agg(F.bool_and(F.coalesce("one", F.lit(False))).alias("proper"))
+    return x.where("maybe").join(proper, "phrase").drop("maybe").unionByName(x.where("not maybe").withColumn("proper", F.lit(False)).drop("maybe"))
 
 
 def clustered(rows: DataFrame) -> DataFrame:
     """(term, variants, total, pages, example) for rows (phrase, count, pages, example): the most frequent form stands for its concept, ties to the smaller one."""
-    order = F.struct((-F.col("count")).alias("o"), "phrase", "example")
+    written = F.when(F.col("example") != F.col("phrase"), F.col("example"))
+    order = F.struct((-F.col("count")).alias("o"), "phrase", written.alias("example"))
     x = rows.groupBy(inflection_key(F.col("phrase")).alias("_key")).agg(F.array_sort(F.collect_list(order)).alias("m"), F.sum("count").alias("total"), F.max("pages").alias("pages"))
-    return x.select(F.col("m")[0]["phrase"].alias("term"), F.transform("m", lambda v: v["phrase"]).alias("variants"), "total", "pages", F.col("m")[0]["example"].alias("example"))
+    return x.select(F.col("m")[0]["phrase"].alias("term"), F.transform("m", lambda v: v["phrase"]).alias("variants"), "total", "pages", F.coalesce(F.col("m")[0]["example"], F.col("m")[0]["phrase"]).alias("example"))
 
 
 def review_candidates(clause: DataFrame, page: str, stopwords: list[str], min_count: int = 3, min_pages: int = 3, top_terms: int = 70, top_names: int = 60, abbreviations: list[str] = ABBREVIATIONS) -> DataFrame:
@@ -52,20 +70,19 @@ def review_candidates(clause: DataFrame, page: str, stopwords: list[str], min_co
     ``clause`` is (page, pos, surfaces, tokens). A concept's pages are those of its most widespread form. Rank is by total, then term.
     """
     clause = grams.prepared(clause, page, stopwords)
-    words = stored(word_rows(clause, page), "candidate-words")
-    phrases = mining.phrase_table(clause, page, stopwords, min_count=min_count)
-    each = phrases.select("phrase", F.explode(F.split("phrase", " ")).alias("word")).join(words.select("word", "proper"), "word")
-    proper = each.groupBy("phrase").agg(F.bool_and("proper").alias("proper"))
-    judged = stored(phrases.join(proper, "phrase").select("phrase", "count", "pages", "example", "proper"), "candidate-phrases")
-    single = words.where(F.col("proper") & (F.col("count") >= min_count) & (F.length("word") > 2) & ~F.col("word").isin(*abbreviations, *stopwords))
-    names = judged.where("proper").drop("proper").unionByName(single.select(F.col("word").alias("phrase"), "count", "pages", F.col("word").alias("example")))
+    found = grams.levels(clause, min_count=min_count)
+    # A word is a name if inside clauses it is seen twice, in three of five such places with a capital.
+    seen = stored(grams.frequent_words(clause, min_count, found).where((F.col("inner") >= 2) & (F.col("capital") >= 0.6 * F.col("inner"))), "candidate-names")
+    phrases = judged(mining.kept_phrases(clause, min_count=min_count, found=found).select("phrase", "count", "pages", "example"), seen)
+    single = seen.where((F.length("word") > 2) & ~F.col("word").isin(*abbreviations, *stopwords))
+    names = phrases.where("proper").drop("proper").unionByName(single.select(F.col("word").alias("phrase"), "count", "pages", F.col("word").alias("example")))
 
     def best(rows: DataFrame, category: str, most: int) -> DataFrame:
         top = clustered(rows).where(F.col("pages") >= min_pages).orderBy(F.desc("total"), "term").limit(most)
         packed = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("total")).alias("o"), "term", "variants", "total", "pages", "example"))).alias("all"))  # ``most`` rows
         return packed.select(F.lit(category).alias("category"), F.posexplode("all").alias("i", "c")).select("category", (F.col("i") + 1).alias("rank"), *[f"c.{k}" for k in ("term", "variants", "total", "pages", "example")])
 
-    return best(names, "proper_name", top_names).unionByName(best(judged.where("not proper").drop("proper"), "term", top_terms))
+    return best(names, "proper_name", top_names).unionByName(best(phrases.where("not proper").drop("proper"), "term", top_terms))
 
 
 def glossary_seed(candidates: DataFrame) -> DataFrame:

@@ -202,9 +202,35 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["h"])
 
 
+def _blocks(apart: Filter | None, block):
+    """Of batches (page, ..., page's hash, hashes): what ``block`` makes of each run of whole pages; of pages ``apart`` a run may hold a part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in batches:
+            b = b.rename_columns(["page", *b.schema.names[1:]])
+            h = b.column("page_hash").to_numpy()
+            # A block ends where a page does, or within one that stands apart.
+            cuts = np.flatnonzero(np.r_[False, (h[1:] != h[:-1]) | (apart(h[1:].view(_U)) if apart else False)]) if len(h) else []
+            last = held[-1].column("page_hash")[-1].as_py() if held else None
+            if size > HELD and (h[0] != last or len(cuts)):
+                at = 0 if h[0] != last else int(cuts[0])
+                if at:
+                    held.append(b.slice(0, at))
+                yield from block(held)
+                held, size, b = [], 0, b.slice(at)
+            if b.num_rows:
+                held.append(b)
+                size += pc.sum(pc.list_value_length(b.column("hashes"))).as_py()
+        if held:
+            yield from block(held)
+
+    return run
+
+
 def _writing(filters: dict[int, Filter], apart: Filter | None, shown: bool):
-    """Of (page, pos, tokens, good, hashes, page's hash, surfaces if shown): (phrase, n, apart, page, c, pages, pos, at, example) of what
-    the filters admit, once a block of pages and phrase. Pages of ``apart``, whose rows may come elsewhere too, have rows of their own.
+    """Of (page, pos, tokens, good, hashes, page's hash, surfaces if shown): (phrase, n, apart, page, c, pages, pos, at, example, slice) of
+    what the filters admit, once a block of pages and phrase. Pages of ``apart``, whose rows may come elsewhere too, have rows of their own.
     """
 
     def block(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,65 +266,141 @@ def _writing(filters: dict[int, Filter], apart: Filter | None, shown: bool):
             at, of = at[begins], of[begins]
             text = lambda x: pc.binary_join_element_wise(*[x.take(pa.array(at + k)) for k in range(n)], " ")  # noqa: B023, E731
             phrase = text(tokens)
-            cols = [phrase, pa.array(np.full(len(at), n, np.int32)), pa.array(alone[of]), one("page").take(pa.array(of)), pa.array(count), pa.array(spread_over.astype(np.int64)), one("pos").take(pa.array(of)), pa.array((at - first[of]).astype(np.int32)), text(surfaces) if shown else pa.nulls(len(at), pa.string())]
+            part = (_hashes(words, min(n, 2))[at] >> _U(64 - SLICE)).astype(np.int32)
+            cols = [phrase, pa.array(np.full(len(at), n, np.int32)), pa.array(alone[of]), one("page").take(pa.array(of)), pa.array(count), pa.array(spread_over.astype(np.int64)), one("pos").take(pa.array(of)), pa.array((at - first[of]).astype(np.int32)), text(surfaces) if shown else pa.nulls(len(at), pa.string()), pa.array(part)]
             # In order of the phrases, so that neighbours begin alike and compress.
-            found = pa.RecordBatch.from_arrays(cols, names=["phrase", "n", "apart", "page", "c", "pages", "pos", "at", "example"]).take(pc.sort_indices(phrase))
+            found = pa.RecordBatch.from_arrays(cols, names=["phrase", "n", "apart", "page", "c", "pages", "pos", "at", "example", "slice"]).take(pc.sort_indices(phrase))
             for i in range(0, found.num_rows, 100_000):
                 yield found.slice(i, 100_000)
 
+    return _blocks(apart, block)
+
+
+def _word_rows(admits: Filter, apart: Filter | None):
+    """Of (page, tokens, upper, hashes, page's hash): (word, apart, page, c, pages, inner, capital) of what the filter admits, once a block
+    of pages and word: how often it comes, and does so within a clause, and there with a capital. Pages of ``apart`` have rows of their own.
+    """
+
+    def block(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held).combine_chunks()
+        one = lambda name: t.column(name).combine_chunks()
+        words, _, first = _flat(one("hashes"))
+        upper, tokens = one("upper").flatten().to_numpy(zero_copy_only=False).astype(bool), one("tokens").flatten()
+        page = one("page").dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        alone = apart(one("page_hash").to_numpy().view(_U)) if apart else np.zeros(t.num_rows, bool)
+        clause = np.repeat(np.arange(t.num_rows), np.diff(first))
+        at = np.flatnonzero(admits(_hashes(words, 1)))
+        if not len(at):
+            return
+        at = at[np.lexsort((page[clause[at]], words[at]))]
+        of = clause[at]
+        new, moved = words[at][1:] != words[at][:-1], page[of][1:] != page[of][:-1]
+        begins = np.flatnonzero(np.r_[True, new | moved & (alone[of][1:] | alone[of][:-1])])
+        inner = at > first[of]
+        sums = [np.add.reduceat(x.astype(np.int64), begins) for x in (np.ones(len(at), bool), np.r_[True, new | moved], inner, inner & upper[at])]
+        word, of = tokens.take(pa.array(at[begins])), of[begins]
+        found = pa.RecordBatch.from_arrays([word, pa.array(alone[of]), one("page").take(pa.array(of)), *map(pa.array, sums)], names=["word", "apart", "page", "c", "pages", "inner", "capital"]).take(pc.sort_indices(word))
+        for i in range(0, found.num_rows, 100_000):
+            yield found.slice(i, 100_000)
+
+    return _blocks(apart, block)
+
+
+def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows of :func:`_writing`: (slice, packed), once many rows and slice; an example that is the phrase itself is left out."""
+
+    def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held).combine_chunks()
+        t = t.take(pc.sort_indices(t, [("slice", "ascending"), ("phrase", "ascending")])).combine_chunks()
+        same = pc.fill_null(pc.equal(t.column("example"), t.column("phrase")), False)
+        t = t.set_column(t.schema.get_field_index("example"), "example", pc.if_else(same, pa.scalar(None, pa.string()), t.column("example")))
+        s = t.column("slice").to_numpy()
+        cuts = [0, *(np.flatnonzero(s[1:] != s[:-1]) + 1).tolist(), len(s)]
+        rows = [_shut(t.slice(i, k - i).drop_columns("slice")) for i, k in zip(cuts, cuts[1:], strict=False)]
+        return pa.RecordBatch.from_arrays([pa.array(s[cuts[:-1]], pa.int32()), pa.array(rows, pa.binary())], names=["slice", "packed"])
+
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.num_rows
+        if size > HELD:
+            yield block(held)
+            held, size = [], 0
+    if size:
+        yield block(held)
+
+
+def _summing(min_count: int):
+    """Of packed rows of :func:`_writing`: (phrase, n, count, pages, example) of what comes ``min_count`` times; the example is the first by page, clause and place."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for b in batches:
-            b = b.rename_columns(["page", *b.schema.names[1:]])
-            h = b.column("page_hash").to_numpy()
-            # A block ends where a page does, or within one that stands apart.
-            cuts = np.flatnonzero(np.r_[False, (h[1:] != h[:-1]) | (apart(h[1:].view(_U)) if apart else False)]) if len(h) else []
-            last = held[-1].column("page_hash")[-1].as_py() if held else None
-            if size > HELD and (h[0] != last or len(cuts)):
-                at = 0 if h[0] != last else int(cuts[0])
-                if at:
-                    held.append(b.slice(0, at))
-                yield from block(held)
-                held, size, b = [], 0, b.slice(at)
-            if b.num_rows:
-                held.append(b)
-                size += pc.sum(pc.list_value_length(b.column("hashes"))).as_py()
-        if held:
-            yield from block(held)
+        for t in _slices(batches):
+            t = t.take(pc.sort_indices(t, [(k, "ascending") for k in ("phrase", "page", "pos", "at")], null_placement="at_start")).combine_chunks()
+            one = lambda name: t.column(name).combine_chunks()  # noqa: B023, E731
+            code, page = (one(k).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False) for k in ("phrase", "page"))
+            new = np.r_[True, code[1:] != code[:-1]]
+            begins = np.flatnonzero(new)
+            alone, c = one("apart").to_numpy(zero_copy_only=False), np.add.reduceat(one("c").to_numpy(), begins)
+            # Rows of a page that stands apart are of that page alone, and stand together.
+            pages = np.add.reduceat(np.where(alone, new | np.r_[True, page[1:] != page[:-1]], one("pages").to_numpy()), begins)
+            often = c >= min_count
+            first = pa.array(begins[often])
+            phrase = one("phrase").take(first)
+            yield pa.RecordBatch.from_arrays([phrase, one("n").take(first), pa.array(c[often]), pa.array(pages[often]), pc.coalesce(one("example").take(first), phrase)], names=["phrase", "n", "count", "pages", "example"])
 
     return run
 
 
 def prepared(clauses: DataFrame, page: str, stopwords: list[str]) -> DataFrame:
-    """Clauses (page, pos, tokens, surfaces if there are any) stored with ``good``, which words are no stopwords, ``hashes``, and the page's; null and empty clauses are left out."""
-    shown = ["surfaces"] if "surfaces" in clauses.columns else []
-    x = spread(clauses.where(F.size("tokens") > 0)).select(page, F.col("pos").cast("int").alias("pos"), "tokens", *shown)
-    return stored(x.withColumns({"good": F.transform("tokens", lambda w: ~w.isin(*stopwords)), "hashes": F.transform("tokens", lambda w: F.xxhash64(w)), "page_hash": F.xxhash64(page)}), "clauses")
+    """Clauses (page, pos, tokens, surfaces if there are any) stored, with ``good``, which words are no stopwords, ``hashes``, and the page's; null and empty clauses are left out.
 
+    Tokens are the surfaces in lower case. What can be made of the words is made again when they are read: stored it takes three times as much.
+    """
+    shown = "surfaces" in clauses.columns
+    x = spread(clauses.where(F.size("tokens") > 0)).select(page, F.col("pos").cast("int").alias("pos"), "surfaces" if shown else "tokens")
+    x = stored(x, "clauses")
+    if shown:
+        x = x.withColumns({"tokens": F.transform("surfaces", F.lower), "upper": F.transform("surfaces", lambda w: w.rlike(r"^\p{Lu}"))})
+    return x.withColumns({"good": F.transform("tokens", lambda w: ~w.isin(*stopwords)), "hashes": F.transform("tokens", lambda w: F.xxhash64(w)), "page_hash": F.xxhash64(page)})
 
-def frequent_grams(x: DataFrame, least: int = 2, most: int = 6, min_count: int = 3) -> DataFrame:
-    """(phrase, n, count, pages, and example if there are surfaces) of :func:`prepared` clauses: n-grams seen ``min_count`` times, no stopword at their ends.
 
-    ``example`` is the first occurrence as written, by page, clause and place.
-    """
-    sc, filters, admitted, page = x.sparkSession.sparkContext, {}, None, x.columns[0]
+def levels(x: DataFrame, most: int = 6, min_count: int = 3) -> tuple[dict[int, Filter], Filter | None]:
+    """Of :func:`prepared` clauses: by length, filters of n-grams seen ``min_count`` times; a filter of the pages whose rows don't stand together, or fill more than a block."""
+    filters, admitted = {}, None
     for n in range(1, most + 1):
         admitted = _filter(_merged(x.select("hashes").mapInArrow(_counting(n, admitted), "slice int, packed binary"), min_count))
         if admitted is None:
             break
-        if n >= least:
-            filters[n] = admitted
-    # Pages whose rows don't stand together, or fill more than a block: few, unless rows were dealt out.
+        filters[n] = admitted
+    # Few pages, unless rows were dealt out.
     runs = x.select("page_hash", F.size("tokens").alias("n")).mapInArrow(_runs, "h long").groupBy("h").count().where("count > 1")
-    apart, shown = filter_of(runs), "surfaces" in x.columns
-    kind = x.schema[page].dataType.simpleString()
-    shared = sc.broadcast((filters, apart))  # at most 2^28 bits a level
+    return filters, filter_of(runs)
+
+
+def frequent_words(x: DataFrame, min_count: int, found: tuple[dict[int, Filter], Filter | None]) -> DataFrame:
+    """(word, count, pages, inner, capital) of :func:`prepared` clauses with surfaces: words seen ``min_count`` times, how often they are so within a clause, and there with a capital."""
+    page, kind = x.columns[0], x.schema[0].dataType.simpleString()
+    if 1 not in found[0]:
+        return x.sparkSession.createDataFrame([], "word string, count long, pages long, inner long, capital long")
+    shared = x.sparkSession.sparkContext.broadcast((found[0][1], found[1]))
+    rows = x.select(page, "tokens", "upper", "hashes", "page_hash").mapInArrow(lambda batches: _word_rows(*shared.value)(batches), f"word string, apart boolean, page {kind}, c long, pages long, inner long, capital long")
+    own, sums = F.when(F.col("apart"), F.col("page")), [F.sum(k).alias(k) for k in ("inner", "capital")]
+    each = rows.repartition("word").groupBy("word", "apart", own.alias("own")).agg(F.sum("c").alias("c"), F.when(F.col("apart"), 1).otherwise(F.sum("pages")).alias("pages"), *sums)
+    return each.groupBy("word").agg(F.sum("c").alias("count"), F.sum("pages").alias("pages"), *sums).where(F.col("count") >= min_count)
+
+
+def frequent_grams(x: DataFrame, least: int = 2, most: int = 6, min_count: int = 3, found: tuple[dict[int, Filter], Filter | None] | None = None) -> DataFrame:
+    """(phrase, n, count, pages, and example if there are surfaces) of :func:`prepared` clauses: n-grams seen ``min_count`` times, no stopword at their ends.
+
+    ``example`` is the first occurrence as written, by page, clause and place. ``found`` is what :func:`levels` gives for the same clauses.
+    """
+    filters, apart = found or levels(x, most, min_count)
+    page, shown = x.columns[0], "surfaces" in x.columns
+    shared = x.sparkSession.sparkContext.broadcast(({n: f for n, f in filters.items() if n >= least}, apart))  # at most 2^28 bits a level
     columns = [page, "pos", "tokens", "good", "hashes", "page_hash", *(["surfaces"] if shown else [])]
-    written = x.select(*columns).mapInArrow(lambda batches: _writing(*shared.value, shown)(batches), f"phrase string, n int, apart boolean, page {kind}, c long, pages long, pos int, at int, example string")
-    own = F.when(F.col("apart"), F.col("page"))
-    each = written.repartition("phrase", "n").groupBy("phrase", "n", "apart", own.alias("own")).agg(F.sum("c").alias("c"), F.when(F.col("apart"), 1).otherwise(F.sum("pages")).alias("pages"), *([F.min(F.struct("page", "pos", "at", "example")).alias("e")] if shown else []))
-    counted = each.groupBy("phrase", "n").agg(F.sum("c").alias("count"), F.sum("pages").alias("pages"), *([F.min("e").alias("e")] if shown else []))
-    return counted.where(F.col("count") >= min_count).select("phrase", "n", "count", "pages", *([F.col("e.example").alias("example")] if shown else []))
+    packed = x.select(*columns).mapInArrow(lambda batches: _packing(_writing(*shared.value, shown)(batches)), "slice int, packed binary")
+    counted = packed.repartition("slice").sortWithinPartitions("slice").mapInArrow(_summing(min_count), "phrase string, n int, count long, pages long, example string")
+    return counted if shown else counted.drop("example")
 
 
 def _reach(filters: dict[int, Filter | None], words: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -380,13 +482,35 @@ def _windows(filters: dict[int, Filter | None]):
 
 
 def _shut(t: pa.Table) -> bytes:
-    """A table as compressed bytes."""
+    """A table as compressed bytes; strings as their lengths and their letters, since offsets compress badly."""
+    zstd, letters = pa.Codec("zstd", 6), {}
+    for i, name in enumerate(t.column_names):
+        if pa.types.is_string(t.schema.field(i).type):
+            x = t.column(i).combine_chunks()
+            sizes, x = pc.fill_null(pc.binary_length(x), -1), pc.fill_null(x, "")
+            at = np.frombuffer(x.buffers()[1], np.int32)[x.offset : x.offset + len(x) + 1]
+            letters[name] = zstd.compress(x.buffers()[2].slice(at[0], at[-1] - at[0]) if at[-1] > at[0] else b"", asbytes=True)
+            t = t.set_column(i, name, sizes)
+    t = t.replace_schema_metadata(letters)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
+    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression=zstd)) as out:
         out.write_table(t)
     return sink.getvalue().to_pybytes()
 
 
+def _opened(packed: pa.Buffer) -> pa.Table:
+    """What :func:`_shut` packed."""
+    t = pa.ipc.open_stream(packed).read_all()
+    for name, letters in (t.schema.metadata or {}).items():
+        i = t.schema.get_field_index(name.decode())
+        sizes = t.column(i).to_numpy()
+        at = np.r_[0, np.cumsum(np.maximum(sizes, 0))].astype(np.int32)
+        known = pa.py_buffer(np.packbits(sizes >= 0, bitorder="little").tobytes())
+        text = pa.Codec("zstd").decompress(letters, int(at[-1])) if at[-1] else pa.py_buffer(b"")
+        t = t.set_column(i, name.decode(), pa.StringArray.from_buffers(len(sizes), pa.py_buffer(at), text, known))
+    return t.replace_schema_metadata(None)
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The tables of each slice, of packed rows in order of their slices, as one."""
     now, held = None, []
@@ -396,7 +520,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
                 yield pa.concat_tables(held).combine_chunks()
                 held = []
             now = s
-            held.append(pa.ipc.open_stream(packed.as_buffer()).read_all())
+            held.append(_opened(packed.as_buffer()))
     if held:
         yield pa.concat_tables(held).combine_chunks()
 

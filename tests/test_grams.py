@@ -154,3 +154,47 @@ def test_clauses_are_stored_once(spark, monkeypatch):
     got = candidates.review_candidates(mining.surface_clauses(rows, "p", "t"), "p", ["the"])
     assert sum(clauses for _, clauses in names) == 1
     assert ("red fox", 12, 4) in {(r.term, r.total, r.pages) for r in got.collect()}
+
+
+def test_review_stores_and_shuffles_little(spark, monkeypatch):
+    """review_candidates, glossary_seed: words alone are stored, and no row a word and page or a phrase and block is shuffled unpacked."""
+    from folioframe.plans import candidates, mining
+
+    stored = []
+    for m in (candidates, mining, grams):
+        monkeypatch.setattr(m, "stored", lambda df, name, put=m.stored: stored.append((name, df.columns)) or put(df, name))
+    rows = spark.createDataFrame([(p, "The Red Fox, a Red Fox; the Red Fox ran") for p in range(4)], "p int, t string")
+    candidates.review_candidates(mining.surface_clauses(rows, "p", "t"), "p", ["the"]).count()
+    assert dict(stored)["clauses"] == ["p", "pos", "surfaces"] and "phrase-words" not in dict(stored)
+    r = random.Random(2)
+    phrases = sorted({" ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(3)) for _ in range(20_000)})
+    n = len(phrases)
+    cols = {"phrase": phrases, "n": pa.array([3] * n, pa.int32()), "apart": [False] * n, "page": [r.randrange(900) for _ in phrases], "c": [1] * n, "pages": [1] * n, "pos": pa.array([r.randrange(50) for _ in phrases], pa.int32()), "at": pa.array([r.randrange(9) for _ in phrases], pa.int32()), "example": phrases, "slice": pa.array([0] * n, pa.int32())}
+    batches = pa.table(cols).to_batches()
+    packed = list(grams._packing(iter(batches)))
+    assert sum(len(x.as_py()) for b in packed for x in b.column(1)) < 20 * n  # 17 bytes are the phrase
+    odd = pa.table({"a": pa.array(["", None, "é x", None, ""]), "b": pa.array([None] * 5, pa.string()), "c": [1, 2, 3, 4, 5]})
+    assert all(grams._opened(pa.py_buffer(grams._shut(t))).to_pylist() == t.to_pylist() for t in (odd, odd.slice(1, 3), odd.slice(1, 1)))
+    assert [x for b in grams._summing(1)(iter(packed)) for x in b.column(0).to_pylist()] == phrases
+
+
+@pytest.mark.parametrize("dealt", [False, True])
+def test_frequent_words(spark, monkeypatch, dealt):
+    """review_candidates: words with their pages and capitals, pages whose rows are apart, longer than a block and without a key among them."""
+    monkeypatch.setattr(grams, "HELD", 60)
+    from folioframe.plans import mining
+
+    r = random.Random(4)
+    rows = [(None if p == 3 else p % 37, " ".join(r.choice("aa Aa bb Bb cc dd Ee ff".split()) + r.choice(["", ",", " "]) for _ in range(400 if p == 5 else r.randrange(1, 9)))) for p in range(60)] + [(50, "zz zz")]
+    seen = spark.createDataFrame(rows, "p int, t string")
+    x = grams.prepared(mining.surface_clauses(seen.repartition(5) if dealt else seen.coalesce(1), "p", "t"), "p", [])
+    count, inner, capital, pages = Counter(), Counter(), Counter(), defaultdict(set)
+    for p, t in rows:
+        for clause in t.split(","):
+            for i, w in enumerate(clause.split()):
+                count[w.lower()] += 1
+                inner[w.lower()] += i > 0
+                capital[w.lower()] += i > 0 and w[0].isupper()
+                pages[w.lower()].add(p)
+    got = {x.word: (x["count"], x.pages, x.inner, x.capital) for x in grams.frequent_words(x, 3, grams.levels(x, 2, 3)).collect()}
+    assert got == {w: (c, len(pages[w]), inner[w], capital[w]) for w, c in count.items() if c >= 3} and "zz" not in got
