@@ -57,11 +57,10 @@ def judged(phrases: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def clustered(rows: DataFrame) -> DataFrame:
-    """(term, variants, total, pages, example) for rows (phrase, count, pages, example): the most frequent form stands for its concept, ties to the smaller one."""
-    written = F.when(F.col("example") != F.col("phrase"), F.col("example"))
-    order = F.struct((-F.col("count")).alias("o"), "phrase", written.alias("example"))
+    """(term, variants, total, pages) for rows (phrase, count, pages): the most frequent form stands for its concept, ties to the smaller one."""
+    order = F.struct((-F.col("count")).alias("o"), "phrase")
     x = rows.groupBy(inflection_key(F.col("phrase")).alias("_key")).agg(F.array_sort(F.collect_list(order)).alias("m"), F.sum("count").alias("total"), F.max("pages").alias("pages"))
-    return x.select(F.col("m")[0]["phrase"].alias("term"), F.transform("m", lambda v: v["phrase"]).alias("variants"), "total", "pages", F.coalesce(F.col("m")[0]["example"], F.col("m")[0]["phrase"]).alias("example"))
+    return x.select(F.col("m")[0]["phrase"].alias("term"), F.transform("m", lambda v: v["phrase"]).alias("variants"), "total", "pages")
 
 
 def review_candidates(clause: DataFrame, page: str, stopwords: list[str], min_count: int = 3, min_pages: int = 3, top_terms: int = 70, top_names: int = 60, abbreviations: list[str] = ABBREVIATIONS) -> DataFrame:
@@ -73,16 +72,19 @@ def review_candidates(clause: DataFrame, page: str, stopwords: list[str], min_co
     found = grams.levels(clause, min_count=min_count)
     # A word is a name if inside clauses it is seen twice, in three of five such places with a capital.
     seen = stored(grams.frequent_words(clause, min_count, found).where((F.col("inner") >= 2) & (F.col("capital") >= 0.6 * F.col("inner"))), "candidate-names")
-    phrases = judged(mining.kept_phrases(clause, min_count=min_count, found=found).select("phrase", "count", "pages", "example"), seen)
+    phrases = judged(mining.kept_phrases(clause.drop("surfaces"), min_count=min_count, found=found).select("phrase", "count", "pages"), seen)
     single = seen.where((F.length("word") > 2) & ~F.col("word").isin(*abbreviations, *stopwords))
-    names = phrases.where("proper").drop("proper").unionByName(single.select(F.col("word").alias("phrase"), "count", "pages", F.col("word").alias("example")))
+    names = phrases.where("proper").drop("proper").unionByName(single.select(F.col("word").alias("phrase"), "count", "pages"))
 
     def best(rows: DataFrame, category: str, most: int) -> DataFrame:
         top = clustered(rows).where(F.col("pages") >= min_pages).orderBy(F.desc("total"), "term").limit(most)
-        packed = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("total")).alias("o"), "term", "variants", "total", "pages", "example"))).alias("all"))  # ``most`` rows
-        return packed.select(F.lit(category).alias("category"), F.posexplode("all").alias("i", "c")).select("category", (F.col("i") + 1).alias("rank"), *[f"c.{k}" for k in ("term", "variants", "total", "pages", "example")])
+        packed = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("total")).alias("o"), "term", "variants", "total", "pages"))).alias("all"))  # ``most`` rows
+        return packed.select(F.lit(category).alias("category"), F.posexplode("all").alias("i", "c")).select("category", (F.col("i") + 1).alias("rank"), *[f"c.{k}" for k in ("term", "variants", "total", "pages")])
 
-    return best(names, "proper_name", top_names).unionByName(best(phrases.where("not proper").drop("proper"), "term", top_terms))
+    top = stored(best(names, "proper_name", top_names).unionByName(best(phrases.where("not proper").drop("proper"), "term", top_terms)), "candidates")
+    # How they are written is looked up for these few alone, so that no other phrase carries it along; a single word stands as it is.
+    examples = grams.first_examples(clause, top.where(F.contains("term", F.lit(" "))).select(F.col("term").alias("phrase")))
+    return top.join(examples.withColumnRenamed("phrase", "term"), "term", "left").select("category", "rank", "term", "variants", "total", "pages", F.coalesce("example", "term").alias("example"))
 
 
 def glossary_seed(candidates: DataFrame) -> DataFrame:

@@ -63,11 +63,16 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n-gram that begins at each place."""
     h = _mixed(words)
-    for k in range(1, n):
-        h = _mixed(h[:-1] * _U(0x9E3779B97F4A7C15) + words[k:]) if len(h) > 1 else h[:0]
+    for k in range(2, n + 1):
+        h = _longer(h, words, k)
     return h
 
 
+def _longer(h: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n-gram, of those one word shorter."""
+    return _mixed(h[:-1] * _U(0x9E3779B97F4A7C15) + words[n - 1 :]) if len(h) > 1 else h[:0]
+
+
 def _packed(hashes: list[np.ndarray]) -> pa.RecordBatch:
     """(slice, packed): the addresses of hashes and how often each comes, a row a slice."""
     at, c = np.unique(np.concatenate(hashes) >> _U(64 - ADDRESS), return_counts=True)
@@ -88,10 +93,11 @@ def _counting(n: int, admitted: Filter | None):
         held, size = [], 0
         for b in _pieces(batches, "hashes"):
             words, end, _ = _flat(b.column(0))
-            h = _hashes(words, n)
+            shorter = _hashes(words, n - 1) if admitted is not None else None
+            h = _hashes(words, n) if shorter is None else _longer(shorter, words, n)
             good = np.arange(len(h)) + n <= end[: len(h)]
-            if admitted is not None and len(h):
-                part = admitted(_hashes(words, n - 1))
+            if shorter is not None and len(h):
+                part = admitted(shorter)
                 good &= part[: len(h)] & part[1 : len(h) + 1]
             held.append(h[good])
             size += len(held[-1])
@@ -247,8 +253,10 @@ def _writing(filters: dict[int, Filter], apart: Filter | None, shown: bool):
         surfaces = one("surfaces").flatten() if shown else None
         alone = apart(one("page_hash").to_numpy().view(_U)) if apart else np.zeros(len(pages), bool)
         clause = np.repeat(np.arange(t.num_rows), np.diff(first))
+        pair, h, reached = _hashes(words, 2), _mixed(words), 1
         for n, admits in filters.items():
-            h = _hashes(words, n)
+            for reached in range(reached + 1, n + 1):
+                h = _longer(h, words, reached)
             size = len(h)
             if not size:
                 continue
@@ -266,7 +274,7 @@ def _writing(filters: dict[int, Filter], apart: Filter | None, shown: bool):
             at, of = at[begins], of[begins]
             text = lambda x: pc.binary_join_element_wise(*[x.take(pa.array(at + k)) for k in range(n)], " ")  # noqa: B023, E731
             phrase = text(tokens)
-            part = (_hashes(words, min(n, 2))[at] >> _U(64 - SLICE)).astype(np.int32)
+            part = ((h if n == 1 else pair)[at] >> _U(64 - SLICE)).astype(np.int32)
             cols = [phrase, pa.array(np.full(len(at), n, np.int32)), pa.array(alone[of]), one("page").take(pa.array(of)), pa.array(count), pa.array(spread_over.astype(np.int64)), one("pos").take(pa.array(of)), pa.array((at - first[of]).astype(np.int32)), text(surfaces) if shown else pa.nulls(len(at), pa.string()), pa.array(part)]
             # In order of the phrases, so that neighbours begin alike and compress.
             found = pa.RecordBatch.from_arrays(cols, names=["phrase", "n", "apart", "page", "c", "pages", "pos", "at", "example", "slice"]).take(pc.sort_indices(phrase))
@@ -306,14 +314,18 @@ def _word_rows(admits: Filter, apart: Filter | None):
     return _blocks(apart, block)
 
 
-def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows of :func:`_writing`: (slice, packed), once many rows and slice; an example that is the phrase itself is left out."""
+def _packing(batches: Iterator[pa.RecordBatch], shown: bool = True) -> Iterator[pa.RecordBatch]:
+    """Of rows of :func:`_writing`: (slice, packed), once many rows and slice; an example that is the phrase itself is left out, and all places if none are ``shown``."""
 
     def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held).combine_chunks()
         t = t.take(pc.sort_indices(t, [("slice", "ascending"), ("phrase", "ascending")])).combine_chunks()
-        same = pc.fill_null(pc.equal(t.column("example"), t.column("phrase")), False)
-        t = t.set_column(t.schema.get_field_index("example"), "example", pc.if_else(same, pa.scalar(None, pa.string()), t.column("example")))
+        if shown:
+            same = pc.fill_null(pc.equal(t.column("example"), t.column("phrase")), False)
+            t = t.set_column(t.schema.get_field_index("example"), "example", pc.if_else(same, pa.scalar(None, pa.string()), t.column("example")))
+        else:
+            page = t.column("page")
+            t = t.set_column(t.schema.get_field_index("page"), "page", pc.if_else(t.column("apart"), page, pa.scalar(None, page.type))).drop_columns(["pos", "at", "example"])
         s = t.column("slice").to_numpy()
         cuts = [0, *(np.flatnonzero(s[1:] != s[:-1]) + 1).tolist(), len(s)]
         rows = [_shut(t.slice(i, k - i).drop_columns("slice")) for i, k in zip(cuts, cuts[1:], strict=False)]
@@ -323,19 +335,19 @@ def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         held.append(b)
         size += b.num_rows
-        if size > HELD:
+        if size > HELD // 2:
             yield block(held)
             held, size = [], 0
     if size:
         yield block(held)
 
 
-def _summing(min_count: int):
+def _summing(min_count: int, shown: bool = True):
     """Of packed rows of :func:`_writing`: (phrase, n, count, pages, example) of what comes ``min_count`` times; the example is the first by page, clause and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _slices(batches):
-            t = t.take(pc.sort_indices(t, [(k, "ascending") for k in ("phrase", "page", "pos", "at")], null_placement="at_start")).combine_chunks()
+            t = t.take(pc.sort_indices(t, [(k, "ascending") for k in ("phrase", "page", *(["pos", "at"] if shown else []))], null_placement="at_start")).combine_chunks()
             one = lambda name: t.column(name).combine_chunks()  # noqa: B023, E731
             code, page = (one(k).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False) for k in ("phrase", "page"))
             new = np.r_[True, code[1:] != code[:-1]]
@@ -346,7 +358,8 @@ def _summing(min_count: int):
             often = c >= min_count
             first = pa.array(begins[often])
             phrase = one("phrase").take(first)
-            yield pa.RecordBatch.from_arrays([phrase, one("n").take(first), pa.array(c[often]), pa.array(pages[often]), pc.coalesce(one("example").take(first), phrase)], names=["phrase", "n", "count", "pages", "example"])
+            example = pc.coalesce(one("example").take(first), phrase) if shown else pa.nulls(len(first), pa.string())
+            yield pa.RecordBatch.from_arrays([phrase, one("n").take(first), pa.array(c[often]), pa.array(pages[often]), example], names=["phrase", "n", "count", "pages", "example"])
 
     return run
 
@@ -398,17 +411,33 @@ def frequent_grams(x: DataFrame, least: int = 2, most: int = 6, min_count: int =
     page, shown = x.columns[0], "surfaces" in x.columns
     shared = x.sparkSession.sparkContext.broadcast(({n: f for n, f in filters.items() if n >= least}, apart))  # at most 2^28 bits a level
     columns = [page, "pos", "tokens", "good", "hashes", "page_hash", *(["surfaces"] if shown else [])]
-    packed = x.select(*columns).mapInArrow(lambda batches: _packing(_writing(*shared.value, shown)(batches)), "slice int, packed binary")
-    counted = packed.repartition("slice").sortWithinPartitions("slice").mapInArrow(_summing(min_count), "phrase string, n int, count long, pages long, example string")
+    packed = x.select(*columns).mapInArrow(lambda batches: _packing(_writing(*shared.value, shown)(batches), shown), "slice int, packed binary")
+    counted = packed.repartition("slice").sortWithinPartitions("slice").mapInArrow(_summing(min_count, shown), "phrase string, n int, count long, pages long, example string")
     return counted if shown else counted.drop("example")
 
 
+def first_examples(x: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(phrase, example) of a few phrases: how the first of each by page, clause and place is written in :func:`prepared` clauses."""
+    numbers: dict[int, list] = {}
+    for r in phrases.select(F.transform(F.split("phrase", " "), lambda w: F.xxhash64(w)).alias("h")).collect():
+        numbers.setdefault(len(r.h), []).append(_hashes(np.array(r.h, np.int64).view(_U), len(r.h))[0])
+    filters = {}
+    for n, h in sorted(numbers.items()):
+        bits = np.zeros(1 << LEAST_BITS, bool)
+        bits[np.array(h, _U) >> _U(64 - LEAST_BITS)] = True
+        filters[n] = Filter(LEAST_BITS, np.packbits(bits, bitorder="little"))
+    page, kind = x.columns[0], x.schema[0].dataType.simpleString()
+    rows = x.select(page, "pos", "tokens", "good", "hashes", "page_hash", "surfaces").mapInArrow(lambda batches: _writing(filters, None, True)(batches), f"phrase string, n int, apart boolean, page {kind}, c long, pages long, pos int, at int, example string, slice int")
+    first = rows.groupBy("phrase").agg(F.min(F.struct("page", "pos", "at", "example")).alias("e"))
+    return phrases.select("phrase").join(first.select("phrase", F.col("e.example").alias("example")), "phrase")
+
+
 def _reach(filters: dict[int, Filter | None], words: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Words of the longest n-gram from each place on that its filter admits, as all shorter ones there are; 1 where no pair is."""
     places, reach = np.arange(len(words)), np.ones(len(words), np.int8)
-    good = np.ones(len(words), bool)
+    good, h = np.ones(len(words), bool), _mixed(words)
     for n, admits in filters.items():
-        h = _hashes(words, n)
+        h = _longer(h, words, n)
         size = len(h)
         if not admits or not size:
             break

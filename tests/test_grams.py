@@ -198,3 +198,18 @@ def test_frequent_words(spark, monkeypatch, dealt):
                 pages[w.lower()].add(p)
     got = {x.word: (x["count"], x.pages, x.inner, x.capital) for x in grams.frequent_words(x, 3, grams.levels(x, 2, 3)).collect()}
     assert got == {w: (c, len(pages[w]), inner[w], capital[w]) for w, c in count.items() if c >= 3} and "zz" not in got
+
+
+def test_examples_are_looked_up_for_the_listed_alone(spark, monkeypatch):
+    """glossary_seed, review_candidates: no other phrase carries how it is written; the first by page, clause and place counts."""
+    from folioframe.plans import candidates, mining
+
+    stored = []
+    for m in (candidates, mining, grams):
+        monkeypatch.setattr(m, "stored", lambda df, name, put=m.stored: stored.append((name, df.columns)) or put(df, name))
+    rows = spark.createDataFrame([(p, f"x, the {'RED' if p == 2 else 'Red'} Fox; red fox ran" if p > 1 else "the rEd fOx") for p in range(1, 6)] * 2, "p int, t string").repartition(3)
+    clause = mining.surface_clauses(rows, "p", "t")
+    got = {r.term: r.example for r in candidates.review_candidates(clause, "p", ["the"]).collect()}
+    assert got["red fox"] == "rEd fOx" and "example" not in dict(stored)["candidate-phrases"]
+    x = grams.prepared(clause.where("p > 1"), "p", ["the"])
+    assert {r.phrase: r.example for r in grams.first_examples(x, spark.createDataFrame([("red fox",), ("red fox ran",)], "phrase string")).collect()} == {"red fox": "RED Fox", "red fox ran": "red fox ran"}
