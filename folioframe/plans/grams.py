@@ -23,8 +23,8 @@ from ..workspace import tightly as stored
 
 #: Bits of a filter: at least, a frequent gram, and at most (32 MB).
 LEAST_BITS, BITS_A_GRAM, MOST_BITS = 16, 16, 28
-#: Digits by which hashes are counted, and the first of them that name a slice; hashes or words that a task holds before it counts.
-ADDRESS, SLICE, HELD = 36, 10, 1 << 21
+#: Digits by which hashes are counted, and the first of them that name a slice; words or rows that a task holds before it counts, and half of its hashes.
+ADDRESS, SLICE, HELD = 36, 10, 1 << 20
 #: Addresses of a slice that are held one by one; beyond, a slice has a counter for each that may be.
 SPARSE = 1 << 22
 _U = np.uint64
@@ -101,7 +101,7 @@ def _counting(n: int, admitted: Filter | None):
                 good &= part[: len(h)] & part[1 : len(h) + 1]
             held.append(h[good])
             size += len(held[-1])
-            if size > HELD:
+            if size > 2 * HELD:
                 yield _packed(held)
                 held, size = [], 0
         if size:
@@ -335,7 +335,7 @@ def _packing(batches: Iterator[pa.RecordBatch], shown: bool = True) -> Iterator[
     for b in batches:
         held.append(b)
         size += b.num_rows
-        if size > HELD // 2:
+        if size > HELD:
             yield block(held)
             held, size = [], 0
     if size:
@@ -501,7 +501,7 @@ def _windows(filters: dict[int, Filter | None]):
         for b in _pieces(batches, "hashes"):
             held.append(b)
             size += pc.sum(pc.list_value_length(b.column("hashes"))).as_py() or 0
-            if size > HELD // 2:
+            if size > HELD:
                 yield from block(held)
                 held, size = [], 0
         if size:
@@ -635,7 +635,7 @@ def _repeated(filters: dict[int, Filter | None]):
         for b in _pieces(batches, "hashes"):
             held.append(b)
             size += pc.sum(pc.list_value_length(b.column("hashes"))).as_py() or 0
-            if size > HELD // 2:
+            if size > HELD:
                 yield from block(held)
                 held, size = [], 0
         if size:
